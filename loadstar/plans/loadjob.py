@@ -1,19 +1,28 @@
-"""The load job (P8, M1, M2): extract → transform → load as one Spark plan
-with a single write action, plus the run-log row it leaves behind."""
+"""The load job (P8, M1, M2): extract → transform → load as one Spark plan,
+with the run-log row it leaves behind."""
 
 from __future__ import annotations
 
 import datetime as _dt
+import logging
+import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, quality
+from ..operators.runlog import FAILED, PARTIAL, SUCCESS, run_log_row
 from ..session import checkpoint_root
+from ..sinks.files import archive_file
+from ..sinks.lake import load_run, row_count, write_table
+from ..sources.csv import read_csv
 from .jobspec import JobSpec
 
+log = logging.getLogger("loadstar")
+
 
 @dataclass
 class TransformResult:
@@ -22,6 +31,8 @@ class TransformResult:
     extra_columns: list = field(default_factory=list)
     fills: dict = field(default_factory=dict)
     nulls_before: int = 0
+    observed_in: Observation | None = None      # rows read
+    observed_dedup: Observation | None = None   # rows after dedupe
 
 
 def transform(df: DataFrame, spec: JobSpec,
@@ -34,13 +45,17 @@ def transform(df: DataFrame, spec: JobSpec,
     ``order_by``: delivery-order columns (file ordinal) for keep-first;
     dropped after the dedupe.
     ``stage``: checkpoint the deduped rows into the cluster's checkpoint
-    folder before the statistics passes of the fill, so those passes read
-    the staged rows instead of re-running the read and the dedupe shuffle.
-    """
+    folder before the statistics passes of the fill, so those passes (and
+    the good/bad writes) read the staged rows instead of re-running the read
+    and the dedupe shuffle. The staging pass also fills the row-count
+    observations (no extra scan)."""
     extra = clean.check_schema(df, spec.expected_columns)
-    d = clean.dedupe(df, subset=spec.dedupe_subset, order_by=order_by)
+    obs_in, obs_d = Observation("rows_in"), Observation("rows_dedup")
+    src = df.observe(obs_in, F.count(F.lit(1)).alias("rows"))
+    d = clean.dedupe(src, subset=spec.dedupe_subset, order_by=order_by)
     if order_by:
         d = d.drop(*order_by)
+    d = d.observe(obs_d, F.count(F.lit(1)).alias("rows"))
     if stage:
         checkpoint_root(d.sparkSession)
         d = d.checkpoint(eager=True)
@@ -49,11 +64,113 @@ def transform(df: DataFrame, spec: JobSpec,
     typed = clean.coerce_types(filled, spec.type_mappings)
     rules = clean.range_rules(typed, spec.value_constraints) + list(spec.rules)
     good, bad = quality.split(typed, rules)
-    return TransformResult(good, bad, extra, plan.values, plan.nulls_before)
+    return TransformResult(good, bad, extra, plan.values, plan.nulls_before,
+                           obs_in if stage else None,
+                           obs_d if stage else None)
+
+
+@dataclass
+class RunResult:
+    run_id: str
+    status: str
+    start: _dt.datetime
+    end: _dt.datetime
+    rows_read: int = 0
+    duplicates_removed: int = 0
+    rows_loaded: int = 0
+    rows_rejected: int = 0
+    malformed_rows: int = 0
+    fills: dict = field(default_factory=dict)
+    extra_columns: list = field(default_factory=list)
+    error: str | None = None
+    archived_to: str | None = None
+
+    @property
+    def duration_s(self) -> float:
+        return (self.end - self.start).total_seconds()
+
+    @property
+    def rows_per_second(self) -> float:
+        return self.rows_loaded / self.duration_s if self.duration_s else 0.0
 
 
 def now() -> _dt.datetime:
     return _dt.datetime.now().replace(microsecond=0)
 
 
-__all__ = ["TransformResult", "transform", "now", "F"]
+def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
+        spec: JobSpec, target: str, run_id: str | None = None,
+        reject_target: str | None = None, run_log_target: str | None = None,
+        archive_dir: str | None = None, order_by: Sequence[str] | None = None,
+        fmt: str = "parquet") -> RunResult:
+    """M1/M2: one load run.
+
+    source        CSV path(s) (read with :func:`read_csv`) or a DataFrame
+    target        lake table path; rows land in partition ``run_id=<id>``
+                  with dynamic overwrite, so re-running a run replaces it
+    reject_target where rejected rows (with reasons) and malformed CSV rows
+                  go, partitioned the same way
+    run_log_target append the run-log row (SUCCESS / PARTIAL / FAILED)
+    archive_dir   move the source file(s) aside after a successful load
+
+    Errors are logged in the run log and re-raised."""
+    t0 = time.time()
+    start = now()
+    run_id = run_id or f"{start:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
+    res = RunResult(run_id, FAILED, start, start)
+    try:
+        malformed = None
+        if isinstance(source, DataFrame):
+            raw = source
+        else:
+            r = read_csv(spark, source, on_error=spec.on_error)
+            raw, malformed = r.data, r.malformed
+        t = transform(raw, spec, order_by=order_by)
+        res.extra_columns, res.fills = t.extra_columns, t.fills
+        res.rows_read = int(t.observed_in.get.get("rows", 0))
+        res.duplicates_removed = res.rows_read - int(
+            t.observed_dedup.get.get("rows", 0))
+        quality.enforce_policy(t.bad, spec.on_error)
+        res.rows_loaded = load_run(t.good, target, run_id, fmt=fmt)
+        written = row_count(spark, target, fmt,
+                            where=F.col("run_id") == run_id)
+        if written != res.rows_loaded:
+            raise RuntimeError(f"load check: {written} rows in partition, "
+                               f"{res.rows_loaded} sent")
+        bad = t.bad
+        if malformed is not None:
+            # quarantine keeps rejected rows as text, next to the malformed
+            # records that never had types
+            bad = bad.select(*[F.col(f"`{c}`").cast("string").alias(c)
+                               for c in bad.columns]).unionByName(
+                malformed, allowMissingColumns=True)
+        if reject_target:
+            res.rows_rejected = load_run(bad, reject_target, run_id, fmt=fmt)
+        else:
+            res.rows_rejected = bad.count()
+        res.status = PARTIAL if res.rows_rejected else SUCCESS
+    except Exception as e:
+        res.error = f"{type(e).__name__}: {e}"
+        log.error("Run %s failed: %s", run_id, res.error)
+        raise
+    finally:
+        res.end = now()
+        log.info("Run %s %s in %.2fs: read %d, duplicates %d, loaded %d, "
+                 "rejected %d", run_id, res.status, time.time() - t0,
+                 res.rows_read, res.duplicates_removed, res.rows_loaded,
+                 res.rows_rejected)
+        if run_log_target:
+            details = {"rows_read": res.rows_read,
+                       "duplicates_removed": res.duplicates_removed,
+                       "fills": res.fills,
+                       "extra_columns": res.extra_columns,
+                       "target": target}
+            write_table(run_log_row(spark, run_id, spec.name, res.start,
+                                    res.end, res.status, res.rows_loaded,
+                                    res.rows_rejected, res.error, details),
+                        run_log_target, mode="append", fmt=fmt)
+    if archive_dir and not isinstance(source, DataFrame):
+        paths = [source] if isinstance(source, str) else list(source)
+        res.archived_to = ",".join(filter(None, (
+            archive_file(spark, p, archive_dir, start) for p in paths)))
+    return res

@@ -108,6 +108,41 @@ def field_count(raw: str = CORRUPT, delimiter: str = ","):
                           F.lit(delimiter)) + 1
 
 
+def text_schema(cols: Sequence[str]) -> T.StructType:
+    """Every column text, plus the corrupt-record column."""
+    return T.StructType([T.StructField(c, T.StringType(), True) for c in cols]
+                        + [T.StructField(CORRUPT, T.StringType(), True)])
+
+
+def parse_records(df: DataFrame, cols: Sequence[str],
+                  na_tokens: Sequence[str] = NA_TOKENS, delimiter: str = ",",
+                  with_file_name: bool = False
+                  ) -> tuple[DataFrame, DataFrame]:
+    """Split a PERMISSIVE all-text CSV read (batch or streaming) into
+    (accepted rows with NA tokens nulled, malformed rows). Spark marks short
+    *and* long rows as corrupt; only rows with more fields than the header
+    are malformed, short rows are padded with nulls and kept."""
+    extra = [F.col("_metadata.file_name").alias("_source_file")] \
+        if with_file_name else []
+    # The flag also reads the first data column: Spark refuses plans whose
+    # only input is the corrupt-record column, which pruning would leave for
+    # a bare ``malformed.count()``.
+    anchor = F.col(f"`{cols[0]}`")
+    long_row = (F.col(CORRUPT).isNotNull()
+                & (field_count(CORRUPT, delimiter) > len(cols))
+                & (anchor.isNull() | anchor.isNotNull()))
+    tagged = df.select(*[null_tokens(F.col(f"`{c}`"), na_tokens).alias(c)
+                         for c in cols], F.col(CORRUPT), *extra,
+                       long_row.alias("_long"))
+    data = tagged.filter(~F.col("_long")).drop(CORRUPT, "_long")
+    malformed = tagged.filter(F.col("_long")).select(
+        *[F.col(f"`{c}`") for c in cols],
+        F.col(CORRUPT).alias("raw_record"),
+        *[F.col("_source_file") for _ in extra],
+        F.lit("malformed_row").alias("reject_reasons"))
+    return data, malformed
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str],
              columns: Sequence[str] | None = None,
              on_error: str = "log_and_continue", multi_line: bool = True,
@@ -127,28 +162,10 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str],
             raise EmptyCsvError(f"No columns to parse from file {paths[0]}")
         columns = parse_header(line)
     cols = list(columns)
-    schema = T.StructType([T.StructField(c, T.StringType(), True)
-                           for c in cols]
-                          + [T.StructField(CORRUPT, T.StringType(), True)])
-    df = _reader(spark, schema, multi_line, delimiter=delimiter).csv(paths)
-    extra = [F.col("_metadata.file_name").alias("_source_file")] \
-        if with_file_name else []
-    # The flag also reads the first data column: Spark refuses plans whose
-    # only input is the corrupt-record column, which pruning would leave for
-    # a bare ``malformed.count()``.
-    anchor = F.col(f"`{cols[0]}`")
-    long_row = (F.col(CORRUPT).isNotNull()
-                & (field_count(CORRUPT, delimiter) > len(cols))
-                & (anchor.isNull() | anchor.isNotNull()))
-    tagged = df.select(*[null_tokens(F.col(f"`{c}`"), na_tokens).alias(c)
-                         for c in cols], F.col(CORRUPT), *extra,
-                       long_row.alias("_long"))
-    data = tagged.filter(~F.col("_long")).drop(CORRUPT, "_long")
-    malformed = tagged.filter(F.col("_long")).select(
-        *[F.col(f"`{c}`") for c in cols],
-        F.col(CORRUPT).alias("raw_record"), *[F.col("_source_file")
-                                             for _ in extra],
-        F.lit("malformed_row").alias("reject_reasons"))
+    df = _reader(spark, text_schema(cols), multi_line,
+                 delimiter=delimiter).csv(paths)
+    data, malformed = parse_records(df, cols, na_tokens, delimiter,
+                                    with_file_name)
     if on_error == "halt":
         if not malformed.isEmpty():
             raise MalformedCsvError(
