@@ -7,6 +7,7 @@ stays inside whole-stage codegen; none of them is a Python UDF.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
@@ -74,12 +75,38 @@ def nan_to_null(c: str | Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def layout_shape(fmt: str) -> str:
+    """A permissive regex every text that ``fmt`` can parse matches (digit
+    fields may be longer or shorter, letters are literal). Used to skip
+    layouts that cannot apply: a failed parse costs an exception inside
+    the JVM, a failed regex does not."""
+    out, i = ["^[+-]?"], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        if ch == "'":                       # quoted literal
+            k = fmt.index("'", i + 1)
+            out.append(re.escape(fmt[i + 1:k]))
+            i = k + 1
+            continue
+        if ch.isalpha():
+            out.append(r"\d+")
+        else:
+            out.append(re.escape(fmt[i:j]))
+        i = j
+    return "".join(out) + "$"
+
+
 def parse_datetime(c: str | Column,
                    formats: Sequence[str] = DATETIME_FORMATS) -> Column:
-    """Text → timestamp_ntz using an ordered list of layouts;
-    text matching none of them → null."""
+    """Text → timestamp_ntz using an ordered list of layouts (the
+    first that parses wins); text matching none of them → null. Each layout
+    is attempted only on text of its shape."""
     c = col_of(c)
-    tries = [F.try_to_timestamp(c, F.lit(f)) for f in formats]
+    tries = [F.when(c.rlike(layout_shape(f)), F.try_to_timestamp(c, F.lit(f)))
+             for f in formats]
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 

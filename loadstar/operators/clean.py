@@ -120,12 +120,12 @@ NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
                  T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def _stats_columns(df: DataFrame) -> list[Column]:
+def _stats_columns(df: DataFrame, skip: set = frozenset()) -> list[Column]:
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
         aggs.append(F.count(c).alias(f"_nn{i}"))
-        if isinstance(f.dataType, T.StringType):
+        if isinstance(f.dataType, T.StringType) and f.name not in skip:
             aggs.append(F.bool_and(c.isNull() | is_number_text(c))
                         .alias(f"_num{i}"))
             aggs.append(F.bool_and(c.isNull() | c.isin(list(BOOL_TOKENS)))
@@ -133,8 +133,11 @@ def _stats_columns(df: DataFrame) -> list[Column]:
     return aggs
 
 
-def _class_expr(df: DataFrame, i: int, f: T.StructField) -> Column:
+def _class_expr(df: DataFrame, i: int, f: T.StructField,
+                skip: set = frozenset()) -> Column:
     dt = f.dataType
+    if f.name in skip:
+        return F.lit("unclassified")
     if isinstance(dt, NUMERIC_TYPES):
         return F.lit("numeric")
     if isinstance(dt, T.BooleanType):
@@ -151,27 +154,30 @@ def _class_expr(df: DataFrame, i: int, f: T.StructField) -> Column:
              .otherwise(F.lit("text")))
 
 
-def column_profile(df: DataFrame) -> DataFrame:
+def column_profile(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
     """A17 + A12: one aggregate pass → long table
     ``(column_name, column_class, null_count)``.
 
     Classes follow the CSV semantics: a text column whose every value is a
     number (or that is entirely null) is ``numeric``; true/false text with
     no nulls is ``boolean``; other text is ``text``; typed columns keep the
-    class of their type."""
-    stats = df.agg(*_stats_columns(df))
+    class of their type. Columns in ``skip`` (never filled) get only their
+    null count."""
+    skip = set(skip)
+    stats = df.agg(*_stats_columns(df, skip))
     args = [F.lit(len(df.schema.fields))]
     for i, f in enumerate(df.schema.fields):
-        args += [F.lit(f.name), _class_expr(df, i, f),
+        args += [F.lit(f.name), _class_expr(df, i, f, skip),
                  (F.col("_rows") - F.col(f"_nn{i}")).cast("bigint")]
     return stats.select(F.stack(*args)).toDF("column_name", "column_class",
                                              "null_count")
 
 
-def column_profile_dict(df: DataFrame) -> dict[str, tuple[str, int]]:
+def column_profile_dict(df: DataFrame, skip: Iterable[str] = ()
+                        ) -> dict[str, tuple[str, int]]:
     """The profile on the driver: one small row per column."""
     return {r["column_name"]: (r["column_class"], r["null_count"])
-            for r in column_profile(df).collect()}
+            for r in column_profile(df, skip).collect()}
 
 
 # ----------------------------------------------------------- exact median ---
@@ -304,7 +310,7 @@ def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
     columns are left alone; ``exclude`` (key columns) is never filled, so a
     missing id stays missing and is rejected by the required rule."""
     skip = set(exclude)
-    prof = profile if profile is not None else column_profile_dict(df)
+    prof = profile if profile is not None else column_profile_dict(df, skip)
     plan = FillPlan(nulls_before=sum(n for _, n in prof.values()))
     exprs = []
     for f in df.schema.fields:

@@ -41,7 +41,7 @@ def run_log_row(spark: SparkSession, execution_id: str, pipeline_name: str,
         execution_id, pipeline_name, start, end, status, int(rows_processed),
         int(rows_failed), error_message,
         json.dumps(details, default=str, sort_keys=True) if details else None,
-    )], RUN_LOG_SCHEMA)
+    )], RUN_LOG_SCHEMA).coalesce(1)       # one row → one file, one task
 
 
 def runs_from_events(events: DataFrame, pipelines: int = 15) -> DataFrame:

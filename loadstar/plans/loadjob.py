@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, quality
 from ..operators.runlog import FAILED, PARTIAL, SUCCESS, run_log_row
-from ..session import checkpoint_root
+from ..session import stage as stage_table
 from ..sinks.files import archive_file
 from ..sinks.lake import load_run, row_count, write_table
 from ..sources.csv import read_csv
@@ -44,8 +44,8 @@ def transform(df: DataFrame, spec: JobSpec,
 
     ``order_by``: delivery-order columns (file ordinal) for keep-first;
     dropped after the dedupe.
-    ``stage``: checkpoint the deduped rows into the cluster's checkpoint
-    folder before the statistics passes of the fill, so those passes (and
+    ``stage``: write the deduped rows as a parquet table into the cluster's
+    checkpoint folder before the statistics passes of the fill, so those passes (and
     the good/bad writes) read the staged rows instead of re-running the read
     and the dedupe shuffle. The staging pass also fills the row-count
     observations (no extra scan)."""
@@ -57,8 +57,7 @@ def transform(df: DataFrame, spec: JobSpec,
         d = d.drop(*order_by)
     d = d.observe(obs_d, F.count(F.lit(1)).alias("rows"))
     if stage:
-        checkpoint_root(d.sparkSession)
-        d = d.checkpoint(eager=True)
+        d = stage_table(d, "dedup")
     filled, plan = clean.fill_missing(d, exclude=spec.fill_exclude,
                                       unknown=spec.unknown_text)
     typed = clean.coerce_types(filled, spec.type_mappings)

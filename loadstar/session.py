@@ -78,3 +78,14 @@ def to_local(path: str) -> str:
 
 __all__ = ["get_spark", "configure", "checkpoint_root", "scratch_path",
            "to_local", "REQUIRED_CONF"]
+
+
+def stage(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as a parquet table under the checkpoint
+    root and reading it back. Unlike ``DataFrame.checkpoint`` (row-by-row
+    RDD serialization) this is a columnar write, later passes read only the
+    columns they need, and the staged table survives executor loss."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
