@@ -202,3 +202,43 @@ def validate_passed(spark, sf_dir):
     s = clean.dedupe(lens.sales(spark, sf_dir), subset=["order_id"],
                      order_by=["line_no"])
     return quality.validate_first_failure(s)
+
+
+_TABLE_RULE_SQL = [
+    ("order_id_not_null", "order_id IS NULL"),
+    ("customer_id_not_null", "customer_id IS NULL"),
+    ("order_date_not_null", "order_date IS NULL"),
+    ("product_id_not_null", "product_id IS NULL"),
+    ("price_not_null", "price IS NULL"),
+    ("order_id_max_50", "length(order_id) > 50"),
+    ("customer_id_max_50", "length(customer_id) > 50"),
+    ("product_id_max_50", "length(product_id) > 50"),
+    ("product_category_max_100", "length(product_category) > 100"),
+    ("price_fits_decimal(10,2)", "abs(price) >= 100000000"),
+    ("payment_type_max_50", "length(payment_type) > 50"),
+]
+
+
+@register("table_rule_failures", f"""
+WITH {SQL_DIRTY}
+{" UNION ALL ".join(f"SELECT '{n}' AS rule_name, count(*) FILTER (WHERE coalesce({c}, false)) AS failed_rows FROM dirty" for n, c in _TABLE_RULE_SQL)}""")
+def table_rule_failures(spark, sf_dir):
+    """The sales table's NOT NULL / VARCHAR / NUMERIC constraints as
+    rules, counted on the conformed dirty rows."""
+    from .. import schemas
+    t = schemas.conform(lens.dirty_sales(spark, sf_dir), "sales_transactions",
+                        AS_OF)
+    return schemas.rule_failures(t, schemas.table_rules("sales_transactions"))
+
+
+@register("conform_sales_table", f"""
+WITH {SQL_DIRTY}
+SELECT order_id, customer_id, order_date, product_id, product_category,
+       price, payment_type, shipping_days,
+       {AS_OF_TS} AS created_at, {AS_OF_TS} AS updated_at
+FROM dirty""")
+def conform_sales_table(spark, sf_dir):
+    """Dirty rows shaped to the sales table with write-time defaults."""
+    from .. import schemas
+    return schemas.conform(lens.dirty_sales(spark, sf_dir),
+                           "sales_transactions", AS_OF)

@@ -192,3 +192,24 @@ def test_column_classes(spark):
            for r in clean.column_profile(df).collect()}
     assert got == {"n": "numeric", "b": "boolean", "t": "text",
                    "e": "numeric", "z": "numeric"}
+
+
+def test_table_catalog_rules_and_defaults(spark):
+    import datetime as dt
+    from loadstar import schemas
+    df = spark.createDataFrame([("A1", "C" * 60, None, "P1", "10.5"),
+                                ("A2", "C2", "2026-01-01", "P2", "1e9")],
+                               "order_id string, customer_id string, "
+                               "order_date string, product_id string, "
+                               "price string")
+    t = schemas.conform(df.withColumn("order_date", F.to_timestamp_ntz(
+        "order_date")), "sales_transactions", dt.datetime(2026, 2, 1))
+    assert t.columns[-2:] == ["created_at", "updated_at"]
+    assert {r.created_at for r in t.collect()} == {dt.datetime(2026, 2, 1)}
+    fails = {r.rule_name: r.failed_rows for r in schemas.rule_failures(
+        t, schemas.table_rules("sales_transactions")).collect()}
+    # 1e9 does not fit decimal(10,2): try_cast → null → price_not_null fails
+    assert fails["price_not_null"] == 1
+    assert fails["customer_id_max_50"] == 1
+    assert fails["order_date_not_null"] == 1
+    assert schemas.key_duplicates(t, "sales_transactions").count() == 0
