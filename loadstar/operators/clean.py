@@ -3,7 +3,7 @@ coercion, range rules (P1-P8, U1-U4, A11-A14, A17, F2-F7).
 
 All of them are DataFrame → DataFrame functions. The only driver work is
 metadata (column lists) and bounded statistics (one row per column, or a
-histogram of at most ``buckets`` rows per pass in :func:`exact_medians`).
+histogram of at most ``buckets`` rows per pass in :func:`exact_median`).
 """
 
 from __future__ import annotations
@@ -248,28 +248,21 @@ def _kth_values(vals: DataFrame, ks: Sequence[int], lo, hi,
     return out
 
 
-def exact_median(df: DataFrame, c: str | Column, buckets: int = 1024,
-                 fetch_limit: int = 4096):
-    """Exact median of a numeric column (nulls and NaN skipped; even
-    count → mean of the two middle values; no values → None).
+def _value_expr(dt: T.DataType, c: Column) -> Column:
+    """The numeric value of a column for statistics: text is parsed, NaN
+    is treated as missing."""
+    v = parse_number(c) if isinstance(dt, T.StringType) else c
+    if isinstance(dt, (T.StringType, T.FloatType, T.DoubleType)):
+        v = nan_to_null(v)
+    return v
 
-    Unlike ``F.median``/``percentile`` — whose final step holds every
-    distinct value of the column in one task — every pass here is a
-    distributed ``groupBy`` with a bounded result, so memory does not grow
-    with the data. Decimal and integer inputs give an exact Decimal."""
-    col = F.col(c) if isinstance(c, str) else c
-    vals = df.select(col.alias("v"))
-    if isinstance(vals.schema["v"].dataType, (T.FloatType, T.DoubleType)):
-        vals = vals.select(nan_to_null("v").alias("v"))
-    vals = vals.where(F.col("v").isNotNull())
-    st = vals.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
-                  F.max("v").alias("hi")).first()
-    n = st["n"]
+
+def _median_from(vals: DataFrame, n: int, lo, hi, buckets: int,
+                 fetch_limit: int):
     if not n:
         return None
     k1, k2 = (n - 1) // 2, n // 2
-    got = _kth_values(vals, sorted({k1, k2}), st["lo"], st["hi"], buckets,
-                      fetch_limit)
+    got = _kth_values(vals, sorted({k1, k2}), lo, hi, buckets, fetch_limit)
     a, b = got[k1], got[k2]
     if isinstance(a, float) or isinstance(b, float):
         return (float(a) + float(b)) / 2 if k1 != k2 else float(a)
@@ -277,6 +270,26 @@ def exact_median(df: DataFrame, c: str | Column, buckets: int = 1024,
     return (a + b) / 2 if k1 != k2 else a
 
 
+def exact_median(df: DataFrame, c: str | Column, buckets: int = 1024,
+                 fetch_limit: int = 4096, stats: tuple | None = None):
+    """Exact median of a numeric column (nulls and NaN skipped; even
+    count → mean of the two middle values; no values → None).
+
+    Unlike ``F.median``/``percentile`` — whose final step holds every
+    distinct value of the column in one task — every pass here is a
+    distributed ``groupBy`` with a bounded result, so memory does not grow
+    with the data. Decimal and integer inputs give an exact Decimal.
+    ``stats`` = (count, min, max) of the values when already known."""
+    col = F.col(c) if isinstance(c, str) else c
+    vals = df.select(col.alias("v"))
+    vals = vals.select(_value_expr(vals.schema["v"].dataType, F.col("v"))
+                       .alias("v")).where(F.col("v").isNotNull())
+    if stats is None:
+        st = vals.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
+        stats = (st[0], st[1], st[2])
+    return _median_from(vals, *stats, buckets, fetch_limit)
+
+
 # ------------------------------------------------------------------ fill ---
 
 @dataclass
@@ -303,32 +316,65 @@ def _fill_literal(dt: T.DataType, median) -> Column | None:
 
 
 def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
-                 unknown: str = UNKNOWN_TEXT, profile: dict | None = None,
-                 buckets: int = 1024) -> tuple[DataFrame, FillPlan]:
+                 unknown: str = UNKNOWN_TEXT, buckets: int = 1024,
+                 stage: bool = False) -> tuple[DataFrame, FillPlan]:
     """Numeric columns with gaps get their exact median, text
     columns get ``'Unknown'``; boolean columns without gaps and datetime
     columns are left alone; ``exclude`` (key columns) is never filled, so a
-    missing id stays missing and is rejected by the required rule."""
+    missing id stays missing and is rejected by the required rule.
+
+    Passes: (1) null counts of every column; (2) only for fillable columns
+    that have gaps — text class (numeric or not) and count/min/max of the
+    numbers; (3) the median selection passes. ``stage=True`` first writes
+    the input under the checkpoint root, for inputs that are expensive to
+    recompute (joins, shuffles) and need several passes."""
+    if stage:
+        from ..session import stage as stage_table
+        df = stage_table(df, "fill-input")
     skip = set(exclude)
-    prof = profile if profile is not None else column_profile_dict(df, skip)
-    plan = FillPlan(nulls_before=sum(n for _, n in prof.values()))
+    fields = df.schema.fields
+    r1 = df.agg(F.count(F.lit(1)).alias("_rows"),
+                *[F.count(F.col(f"`{f.name}`")).alias(f"_nn{i}")
+                  for i, f in enumerate(fields)]).first()
+    rows = r1["_rows"]
+    nulls = {f.name: rows - r1[f"_nn{i}"] for i, f in enumerate(fields)}
+    plan = FillPlan(nulls_before=sum(nulls.values()))
+    gaps = [f for f in fields if nulls[f.name] and f.name not in skip and
+            isinstance(f.dataType, (T.StringType,) + NUMERIC_TYPES)]
+    stats = {}
+    if gaps:
+        aggs = []
+        for i, f in enumerate(gaps):
+            c = F.col(f"`{f.name}`")
+            v = _value_expr(f.dataType, c)
+            if isinstance(f.dataType, T.StringType):
+                aggs.append(F.coalesce(F.bool_and(c.isNull() | is_number_text(c)),
+                                       F.lit(True)).alias(f"_num{i}"))
+            else:
+                aggs.append(F.lit(True).alias(f"_num{i}"))
+            aggs += [F.count(v).alias(f"_n{i}"), F.min(v).alias(f"_lo{i}"),
+                     F.max(v).alias(f"_hi{i}")]
+        r2 = df.agg(*aggs).first()
+        for i, f in enumerate(gaps):
+            stats[f.name] = (r2[f"_num{i}"], r2[f"_n{i}"], r2[f"_lo{i}"],
+                             r2[f"_hi{i}"])
     exprs = []
-    for f in df.schema.fields:
-        name = f.name
-        cls, nulls = prof.get(name, ("other", 0))
-        c = F.col(f"`{name}`")
+    for f in fields:
+        c = F.col(f"`{f.name}`")
         fill = None
-        if name not in skip and nulls:
-            if cls == "numeric":
-                src = c if not isinstance(f.dataType, T.StringType) \
-                    else parse_number(c)
-                med = exact_median(df, src, buckets=buckets)
+        if f.name in stats:
+            numeric, n, lo, hi = stats[f.name]
+            if numeric:
+                vals = df.select(_value_expr(f.dataType, c).alias("v")).where(
+                    F.col("v").isNotNull())
+                med = _median_from(vals, n, lo, hi, buckets, 4096)
                 fill = _fill_literal(f.dataType, med)
-                plan.values[name] = med
-            elif cls == "text":
+                if med is not None:
+                    plan.values[f.name] = med
+            else:
                 fill = F.lit(unknown)
-                plan.values[name] = unknown
-        exprs.append(F.coalesce(c, fill).alias(name) if fill is not None
+                plan.values[f.name] = unknown
+        exprs.append(F.coalesce(c, fill).alias(f.name) if fill is not None
                      else c)
     return df.select(*exprs), plan
 

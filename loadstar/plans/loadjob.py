@@ -50,7 +50,8 @@ def transform(df: DataFrame, spec: JobSpec,
     and the dedupe shuffle. The staging pass also fills the row-count
     observations (no extra scan)."""
     extra = clean.check_schema(df, spec.expected_columns)
-    obs_in, obs_d = Observation("rows_in"), Observation("rows_dedup")
+    tag = uuid.uuid4().hex[:12]
+    obs_in, obs_d = Observation(f"in_{tag}"), Observation(f"dedup_{tag}")
     src = df.observe(obs_in, F.count(F.lit(1)).alias("rows"))
     d = clean.dedupe(src, subset=spec.dedupe_subset, order_by=order_by)
     if order_by:
@@ -118,12 +119,12 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
     run_id = run_id or f"{start:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
     res = RunResult(run_id, FAILED, start, start)
     try:
-        malformed = None
+        malformed, csv = None, None
         if isinstance(source, DataFrame):
             raw = source
         else:
-            r = read_csv(spark, source, on_error=spec.on_error)
-            raw, malformed = r.data, r.malformed
+            csv = read_csv(spark, source, on_error=spec.on_error)
+            raw, malformed = csv.data, csv.malformed
         t = transform(raw, spec, order_by=order_by)
         res.extra_columns, res.fills = t.extra_columns, t.fills
         res.rows_read = int(t.observed_in.get.get("rows", 0))
@@ -137,6 +138,12 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
             raise RuntimeError(f"load check: {written} rows in partition, "
                                f"{res.rows_loaded} sent")
         bad = t.bad
+        if csv is not None:
+            # the staging pass counted the long rows; re-read the files for
+            # the quarantine only when there are any
+            res.malformed_rows = csv.malformed_count()
+            if not res.malformed_rows:
+                malformed = None
         if malformed is not None:
             # quarantine keeps rejected rows as text, next to the malformed
             # records that never had types

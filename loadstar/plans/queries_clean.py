@@ -112,7 +112,7 @@ SELECT order_id, line_no, customer_id, order_date, product_id,
 FROM dirty""")
 def fill_median_unknown(spark, sf_dir):
     out, _ = clean.fill_missing(lens.dirty_sales(spark, sf_dir),
-                                exclude=SALES_JOB.fill_exclude)
+                                exclude=SALES_JOB.fill_exclude, stage=True)
     return out
 
 

@@ -3,6 +3,7 @@ format) by path, or a catalog table by name."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -43,7 +44,7 @@ def write_observed(df: DataFrame, target: str, name: str = "sent",
                    **kw) -> int:
     """Write and return the number of rows written, counted by an
     ``Observation`` during the write itself (no second scan)."""
-    obs = Observation(name)
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:12]}")
     write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), target,
                 **kw)
     return int(obs.get.get("rows", 0))

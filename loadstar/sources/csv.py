@@ -16,10 +16,11 @@ pandas-style CSV reader, plus the malformed rows kept apart.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +46,14 @@ class CsvRead:
     data: DataFrame          # accepted rows, every column text
     malformed: DataFrame     # raw text of rows with too many fields
     columns: list
+    # filled by the first action over ``data``: rows parsed and rows
+    # malformed, so a caller can skip the quarantine pass when it is empty
+    observed: Observation | None = None
+
+    def malformed_count(self) -> int | None:
+        if self.observed is None:
+            return None
+        return int(self.observed.get.get("malformed", 0))
 
 
 def _fs_and_path(spark: SparkSession, path: str):
@@ -116,7 +125,8 @@ def text_schema(cols: Sequence[str]) -> T.StructType:
 
 def parse_records(df: DataFrame, cols: Sequence[str],
                   na_tokens: Sequence[str] = NA_TOKENS, delimiter: str = ",",
-                  with_file_name: bool = False
+                  with_file_name: bool = False,
+                  observe: Observation | None = None
                   ) -> tuple[DataFrame, DataFrame]:
     """Split a PERMISSIVE all-text CSV read (batch or streaming) into
     (accepted rows with NA tokens nulled, malformed rows). Spark marks short
@@ -134,7 +144,10 @@ def parse_records(df: DataFrame, cols: Sequence[str],
     tagged = df.select(*[null_tokens(F.col(f"`{c}`"), na_tokens).alias(c)
                          for c in cols], F.col(CORRUPT), *extra,
                        long_row.alias("_long"))
-    data = tagged.filter(~F.col("_long")).drop(CORRUPT, "_long")
+    seen = tagged if observe is None else tagged.observe(
+        observe, F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("_long")).alias("malformed"))
+    data = seen.filter(~F.col("_long")).drop(CORRUPT, "_long")
     malformed = tagged.filter(F.col("_long")).select(
         *[F.col(f"`{c}`") for c in cols],
         F.col(CORRUPT).alias("raw_record"),
@@ -164,15 +177,16 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str],
     cols = list(columns)
     df = _reader(spark, text_schema(cols), multi_line,
                  delimiter=delimiter).csv(paths)
+    obs = Observation(f"csv_{uuid.uuid4().hex[:12]}")
     data, malformed = parse_records(df, cols, na_tokens, delimiter,
-                                    with_file_name)
+                                    with_file_name, obs)
     if on_error == "halt":
         if not malformed.isEmpty():
             raise MalformedCsvError(
                 f"rows with more fields than the header in {paths}")
     elif on_error != "log_and_continue":
         raise ValueError(f"unknown on-error policy {on_error!r}")
-    return CsvRead(data, malformed, cols)
+    return CsvRead(data, malformed, cols, obs)
 
 
 def list_files(spark: SparkSession, directory: str, pattern: str = "*.csv"
