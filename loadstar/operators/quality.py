@@ -111,16 +111,20 @@ def orphan_count(child: DataFrame, parent: DataFrame, keys: Sequence[str],
     is an orphan (``NOT EXISTS`` semantics).
 
     The child is first reduced to one row per key with its row count
-    (partial aggregation — a hot key costs nothing extra), then anti-joined
-    with the parent keys; the reduced side is already partitioned on the
-    key, so only the parent is shuffled (or broadcast, when AQE measures it
-    small)."""
+    (partial aggregation — a hot key costs nothing extra), then left-joined
+    with the distinct parent keys; the reduced side is already partitioned
+    on the key, so only the parent keys are shuffled (or broadcast, when AQE
+    measures them small). A left outer join, not an anti join: Catalyst
+    pushes an anti join below the aggregate, which would shuffle every child
+    row by key again."""
     keys = list(keys)
-    missing = _key_counts(child, keys).join(
-        _parent_keys(parent, keys, parent_keys), on=keys, how="left_anti")
-    return missing.agg(F.lit(name).alias("check_name"),
-                       F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint")
-                       .alias(out))
+    hits = _parent_keys(parent, keys, parent_keys).distinct().withColumn(
+        "_hit", F.lit(True))
+    joined = _key_counts(child, keys).join(hits, on=keys, how="left")
+    return joined.agg(F.lit(name).alias("check_name"),
+                      F.coalesce(F.sum(F.when(F.col("_hit").isNull(),
+                                              F.col("_n"))), F.lit(0))
+                      .cast("bigint").alias(out))
 
 
 def referential_violations(child: DataFrame, parent: DataFrame,
