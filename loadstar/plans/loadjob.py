@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, quality
 from ..operators.runlog import FAILED, PARTIAL, SUCCESS, run_log_row
-from ..session import stage as stage_table
+from ..session import drop_path, scratch_path, stage as stage_table
 from ..sinks.files import archive_file
 from ..sinks.lake import load_run, row_count, write_table
 from ..sources.csv import read_csv
@@ -33,6 +33,7 @@ class TransformResult:
     nulls_before: int = 0
     observed_in: Observation | None = None      # rows read
     observed_dedup: Observation | None = None   # rows after dedupe
+    staged_path: str | None = None              # where the deduped rows sit
 
 
 def transform(df: DataFrame, spec: JobSpec,
@@ -57,8 +58,10 @@ def transform(df: DataFrame, spec: JobSpec,
     if order_by:
         d = d.drop(*order_by)
     d = d.observe(obs_d, F.count(F.lit(1)).alias("rows"))
+    staged = None
     if stage:
-        d = stage_table(d, "dedup")
+        staged = scratch_path(d.sparkSession, "dedup")
+        d = stage_table(d, path=staged)
     filled, plan = clean.fill_missing(d, exclude=spec.fill_exclude,
                                       unknown=spec.unknown_text)
     typed = clean.coerce_types(filled, spec.type_mappings)
@@ -66,7 +69,7 @@ def transform(df: DataFrame, spec: JobSpec,
     good, bad = quality.split(typed, rules)
     return TransformResult(good, bad, extra, plan.values, plan.nulls_before,
                            obs_in if stage else None,
-                           obs_d if stage else None)
+                           obs_d if stage else None, staged)
 
 
 @dataclass
@@ -155,6 +158,9 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
         else:
             res.rows_rejected = bad.count()
         res.status = PARTIAL if res.rows_rejected else SUCCESS
+        if t.staged_path:
+            # both outputs are written: the staged copy is no longer needed
+            drop_path(spark, t.staged_path)
     except Exception as e:
         res.error = f"{type(e).__name__}: {e}"
         log.error("Run %s failed: %s", run_id, res.error)

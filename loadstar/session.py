@@ -80,12 +80,21 @@ __all__ = ["get_spark", "configure", "checkpoint_root", "scratch_path",
            "to_local", "REQUIRED_CONF"]
 
 
-def stage(df, name: str = "stage"):
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this library staged (through the cluster's FS)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))
+
+
+def stage(df, name: str = "stage", path: str | None = None):
     """Cut lineage by writing ``df`` as a parquet table under the checkpoint
-    root and reading it back. Unlike ``DataFrame.checkpoint`` (row-by-row
-    RDD serialization) this is a columnar write, later passes read only the
-    columns they need, and the staged table survives executor loss."""
+    root (or at ``path``) and reading it back. Unlike
+    ``DataFrame.checkpoint`` (row-by-row RDD serialization) this is a
+    columnar write, later passes read only the columns they need, and the
+    staged table survives executor loss."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -217,11 +218,19 @@ def read_directory(spark: SparkSession, directory: str,
     files = list_files(spark, directory, pattern)
     groups: dict[tuple, list[str]] = {}
     skipped = {}
-    for f in files:
+
+    def peek(f):
         try:
-            line = header_line(spark, f)
+            return header_line(spark, f), None
         except Exception as e:  # noqa: BLE001 - unreadable file: skip it
-            skipped[f] = f"unreadable: {e}"
+            return None, f"unreadable: {e}"
+    # header peeks are small independent reads: run them concurrently (an
+    # object store answers many at once; a thread each costs nothing here)
+    with ThreadPoolExecutor(max_workers=max(1, min(32, len(files)))) as ex:
+        peeked = list(ex.map(peek, files))
+    for f, (line, err) in zip(files, peeked):
+        if err:
+            skipped[f] = err
             continue
         if line is None:
             skipped[f] = "no header (empty file)"

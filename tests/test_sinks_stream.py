@@ -167,3 +167,30 @@ def test_driver_contract(spark):
                           "max_price"]
     assert df.count() > 0
     assert read_csv is not None and SF001
+
+
+def test_json_and_parquet_sources(spark, tmp):
+    from loadstar.sources.csv import read_source
+    p = write(os.path.join(tmp, "a.json"),
+              '{"order_id": "A1", "price": 1.5}\n{"order_id": "A2"}\n')
+    df = read_source(spark, p, fmt="json",
+                     schema="order_id string, price double")
+    assert sorted((r.order_id, r.price) for r in df.collect()) == [
+        ("A1", 1.5), ("A2", None)]
+    df.write.parquet(os.path.join(tmp, "pq"))
+    assert read_source(spark, os.path.join(tmp, "pq"), fmt="parquet").count() \
+        == 2
+    with pytest.raises(ValueError):
+        read_source(spark, p, fmt="xml")
+
+
+def test_staged_copy_removed_after_run(spark, tmp):
+    src = _csv(tmp, "s.csv",
+               "order_id,customer_id,order_date,product_id,price\n"
+               "A1,C1,2026-01-02,P1,10.5\n")
+    from loadstar.session import checkpoint_root
+    root = checkpoint_root(spark).replace("file:", "")
+    before = {d for d in os.listdir(root) if d.startswith("dedup-")}
+    run(spark, src, SALES_JOB, os.path.join(tmp, "t"))
+    after = {d for d in os.listdir(root) if d.startswith("dedup-")}
+    assert after == before
