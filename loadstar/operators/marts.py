@@ -91,3 +91,21 @@ def daily_category(sales: DataFrame, as_of, days: int = 90) -> DataFrame:
             .groupBy(day_of("order_date").alias("date"), "product_category")
             .agg(F.count(F.lit(1)).alias("order_count"),
                  _revenue().alias("revenue")))
+
+
+# --- fixed values -----------------------------------------------------------
+VIEW_NAMES = {"daily": "v_daily_sales", "monthly": "v_monthly_sales",
+              "product": "v_product_performance"}
+# ---------------------------------------------------------------------------
+
+
+def register_views(sales: DataFrame, approx_distinct: bool = False) -> dict:
+    """The three marts as session views, so SQL users can
+    ``SELECT * FROM v_daily_sales``; views stay lazy (nothing runs until
+    queried)."""
+    frames = {"daily": daily_sales(sales, approx_distinct),
+              "monthly": monthly_sales(sales, approx_distinct),
+              "product": product_performance(sales, approx_distinct)}
+    for k, df in frames.items():
+        df.createOrReplaceTempView(VIEW_NAMES[k])
+    return {VIEW_NAMES[k]: df for k, df in frames.items()}

@@ -17,7 +17,8 @@ from ..operators import clean, quality
 from ..operators.runlog import FAILED, PARTIAL, SUCCESS, run_log_row
 from ..session import drop_path, scratch_path, stage as stage_table
 from ..sinks.files import archive_file
-from ..sinks.lake import load_run, row_count, write_table
+from ..sinks.jdbc import JdbcTarget
+from ..sinks.lake import load_run, row_count, verify_load, write_table
 from ..sources.csv import read_csv
 from .jobspec import JobSpec
 
@@ -102,7 +103,7 @@ def now() -> _dt.datetime:
 
 
 def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
-        spec: JobSpec, target: str, run_id: str | None = None,
+        spec: JobSpec, target: str | JdbcTarget, run_id: str | None = None,
         reject_target: str | None = None, run_log_target: str | None = None,
         archive_dir: str | None = None, order_by: Sequence[str] | None = None,
         fmt: str = "parquet") -> RunResult:
@@ -110,7 +111,9 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
 
     source        CSV path(s) (read with :func:`read_csv`) or a DataFrame
     target        lake table path; rows land in partition ``run_id=<id>``
-                  with dynamic overwrite, so re-running a run replaces it
+                  with dynamic overwrite, so re-running a run replaces it.
+                  Or a :class:`JdbcTarget`: batched parallel inserts, then
+                  the before + sent = after row-count check
     reject_target where rejected rows (with reasons) and malformed CSV rows
                   go, partitioned the same way
     run_log_target append the run-log row (SUCCESS / PARTIAL / FAILED)
@@ -134,12 +137,21 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
         res.duplicates_removed = res.rows_read - int(
             t.observed_dedup.get.get("rows", 0))
         quality.enforce_policy(t.bad, spec.on_error)
-        res.rows_loaded = load_run(t.good, target, run_id, fmt=fmt)
-        written = row_count(spark, target, fmt,
-                            where=F.col("run_id") == run_id)
-        if written != res.rows_loaded:
-            raise RuntimeError(f"load check: {written} rows in partition, "
-                               f"{res.rows_loaded} sent")
+        if isinstance(target, JdbcTarget):
+            # relational target: append (as a table insert), then S8 — the
+            # table must hold what it held plus what was sent
+            before = target.count(spark)
+            obs = Observation(f"sent_{uuid.uuid4().hex[:12]}")
+            target.write(t.good.observe(obs, F.count(F.lit(1)).alias("n")))
+            res.rows_loaded = int(obs.get.get("n", 0))
+            verify_load(before, res.rows_loaded, target.count(spark))
+        else:
+            res.rows_loaded = load_run(t.good, target, run_id, fmt=fmt)
+            written = row_count(spark, target, fmt,
+                                where=F.col("run_id") == run_id)
+            if written != res.rows_loaded:
+                raise RuntimeError(f"load check: {written} rows in "
+                                   f"partition, {res.rows_loaded} sent")
         bad = t.bad
         if csv is not None:
             # the staging pass counted the long rows; re-read the files for
@@ -176,7 +188,7 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
                        "duplicates_removed": res.duplicates_removed,
                        "fills": res.fills,
                        "extra_columns": res.extra_columns,
-                       "target": target}
+                       "target": str(target)}
             write_table(run_log_row(spark, run_id, spec.name, res.start,
                                     res.end, res.status, res.rows_loaded,
                                     res.rows_rejected, res.error, details),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
@@ -32,3 +33,29 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
     for k, v in (properties or {}).items():
         w = w.option(k, v)
     w.save()
+
+
+@dataclass(frozen=True)
+class JdbcTarget:
+    """A relational table as the load target of a run."""
+    url: str
+    table: str
+    properties: Mapping = field(default_factory=dict)
+    batchsize: int = 1000
+    num_partitions: int | None = None
+
+    def write(self, df: DataFrame, mode: str = "append") -> None:
+        write_jdbc(df, self.url, self.table, mode, self.batchsize,
+                   self.num_partitions, properties=self.properties)
+
+    def count(self, spark) -> int:
+        """Rows in the table, counted by the database (a pushed-down
+        ``COUNT(*)`` query; 0 when the table does not exist yet)."""
+        r = spark.read.format("jdbc").option("url", self.url).option(
+            "query", f"SELECT COUNT(*) AS n FROM {self.table}")
+        for k, v in self.properties.items():
+            r = r.option(k, v)
+        try:
+            return int(r.load().first()[0])
+        except Exception:  # noqa: BLE001 - missing table
+            return 0

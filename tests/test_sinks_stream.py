@@ -194,3 +194,43 @@ def test_staged_copy_removed_after_run(spark, tmp):
     run(spark, src, SALES_JOB, os.path.join(tmp, "t"))
     after = {d for d in os.listdir(root) if d.startswith("dedup-")}
     assert after == before
+
+
+def test_load_run_into_jdbc_table(spark, tmp):
+    from loadstar.sinks.jdbc import JdbcTarget
+    url = f"jdbc:derby:memory:r{uuid.uuid4().hex[:8]};create=true"
+    tgt = JdbcTarget(url, "SALES_TRANSACTIONS", DERBY, batchsize=2)
+    src = _csv(tmp, "s.csv",
+               "order_id,customer_id,order_date,product_id,price\n"
+               "A1,C1,2026-01-02,P1,10.5\nA2,C2,2026-01-03,P2,20\n"
+               "A3,C3,2026-01-03,P3,-1\n")
+    res = run(spark, src, SALES_JOB, tgt)
+    assert (res.rows_loaded, res.rows_rejected, res.status) == (2, 1,
+                                                                "PARTIAL")
+    run(spark, _csv(tmp, "t.csv",
+                    "order_id,customer_id,order_date,product_id,price\n"
+                    "A9,C9,2026-01-09,P9,9\n"), SALES_JOB, tgt)
+    assert tgt.count(spark) == 3
+
+
+def test_cli_load_marts_report(spark, tmp):
+    from loadstar.__main__ import main
+    src = _csv(tmp, "s.csv",
+               "order_id,customer_id,order_date,product_id,price,"
+               "product_category\n"
+               "A1,C1,2026-01-02,P1,10.5,toys\nA2,C2,2026-01-03,P2,20,toys\n")
+    t = os.path.join(tmp, "sales")
+    assert main(["load", src, "--target", t, "--run-id", "r1"]) == 0
+    assert main(["marts", "--table", t, "--out", os.path.join(tmp, "m"),
+                 "--as-of", "2026-01-10"]) == 0
+    daily = spark.read.parquet(os.path.join(tmp, "m", "v_daily_sales"))
+    assert daily.count() == 2
+    assert spark.sql("SELECT count(*) AS n FROM v_monthly_sales").first().n \
+        == 1
+    cust = os.path.join(tmp, "cust")
+    spark.createDataFrame([("C1",)], "customer_id string").write.parquet(cust)
+    assert main(["report", "--table", t, "--customers", cust, "--out",
+                 os.path.join(tmp, "rep"), "--as-of", "2026-01-10"]) == 0
+    rep = {r.check_name: r.affected_rows for r in
+           spark.read.parquet(os.path.join(tmp, "rep")).collect()}
+    assert rep["orphaned_customers"] == 1
