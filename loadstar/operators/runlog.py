@@ -74,11 +74,20 @@ def _round2(total: str, n: str):
     return centis.cast("double") / 100
 
 
-def slowest_pipelines(run_log: DataFrame, n: int = TOP_N) -> DataFrame:
+def _without(run_log: DataFrame, exclude_like: str | None) -> DataFrame:
+    """leave out pipelines whose name matches a case-insensitive LIKE
+    pattern (e.g. the monitoring job itself)."""
+    if exclude_like is None:
+        return run_log
+    return run_log.filter(~F.col("pipeline_name").ilike(exclude_like))
+
+
+def slowest_pipelines(run_log: DataFrame, n: int = TOP_N,
+                      exclude_like: str | None = None) -> DataFrame:
     """M4 + O2: per pipeline — runs, total / mean / min / max duration in
     seconds — the ``n`` with the largest total (ties by name)."""
-    d = run_log.select("pipeline_name",
-                       elapsed_seconds("start_time", "end_time").alias("d"))
+    d = _without(run_log, exclude_like).select(
+        "pipeline_name", elapsed_seconds("start_time", "end_time").alias("d"))
     g = d.groupBy("pipeline_name").agg(
         F.count(F.lit(1)).alias("calls"), F.sum("d").alias("_t"),
         F.min("d").alias("min_s"), F.max("d").alias("max_s"))
@@ -88,12 +97,12 @@ def slowest_pipelines(run_log: DataFrame, n: int = TOP_N) -> DataFrame:
              .orderBy(F.desc("total_s"), F.asc("pipeline_name")).limit(n))
 
 
-def long_runs(run_log: DataFrame, threshold: int = LONG_RUN_SECONDS
-              ) -> DataFrame:
+def long_runs(run_log: DataFrame, threshold: int = LONG_RUN_SECONDS,
+              exclude_like: str | None = None) -> DataFrame:
     """M5 + O3: runs that took longer than ``threshold`` seconds, newest
     first."""
     d = elapsed_seconds("start_time", "end_time")
-    return (run_log.filter(d > threshold)
+    return (_without(run_log, exclude_like).filter(d > threshold)
             .select("execution_id", "pipeline_name", "start_time", "status",
                     d.alias("duration_seconds"))
             .orderBy(F.desc("start_time"), F.asc("execution_id")))

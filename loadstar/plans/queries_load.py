@@ -128,14 +128,18 @@ def run_log_top10(spark, sf_dir):
     return runlog.slowest_pipelines(runs)
 
 
+# the long-run report leaves out the monitoring pipeline itself
+MONITOR_PIPELINE_LIKE = "PIPELINE_0"
+
+
 @register("run_log_long", f"""
 WITH {SQL_RUNS}
 SELECT execution_id, pipeline_name, start_time, status, d AS duration_seconds
-FROM runs2 WHERE d > 300
+FROM runs2 WHERE d > 300 AND pipeline_name NOT ILIKE '{MONITOR_PIPELINE_LIKE}'
 ORDER BY start_time DESC, execution_id""")
 def run_log_long(spark, sf_dir):
     runs = runlog.runs_from_events(lens.table(spark, sf_dir, "events"))
-    return runlog.long_runs(runs)
+    return runlog.long_runs(runs, exclude_like=MONITOR_PIPELINE_LIKE)
 
 
 @register("export_detail_csv", f"""
