@@ -78,28 +78,19 @@ def cmd_marts(a) -> int:
 
 
 def cmd_ingest(a) -> int:
-    from .functions.rules import range_rule
-    from .operators import clean, quality
     from .plans.jobspec import SALES_JOB
-    from .sources.csv import list_files, header_line, parse_header
-    from .streaming.ingest import ingest_available_now
+    from .sources.csv import header_line, list_files, parse_header
+    from .streaming.ingest import ingest_runs
     spark = _session()
     files = list_files(spark, a.input)
     if not files:
-        print("no files")
+        print(json.dumps({"batches": []}))
         return 0
     cols = parse_header(header_line(spark, files[0]))
-
-    def process(df):
-        typed = clean.coerce_types(df, {k: v for k, v in
-                                        SALES_JOB.type_mappings.items()
-                                        if k in df.columns})
-        rules = [range_rule(c, lo, hi) for c, (lo, hi) in
-                 SALES_JOB.value_constraints.items() if c in df.columns]
-        return quality.split(typed, rules)[0]
-    print(json.dumps(ingest_available_now(
-        spark, a.input, cols, a.target, a.checkpoint, process,
-        reject_target=a.rejects, archive_dir=a.archive)))
+    print(json.dumps(ingest_runs(
+        spark, a.input, cols, SALES_JOB, a.target, a.checkpoint,
+        reject_target=a.rejects, run_log_target=a.run_log,
+        archive_dir=a.archive)))
     return 0
 
 
@@ -135,6 +126,7 @@ def main(argv=None) -> int:
     ig.add_argument("--target", required=True)
     ig.add_argument("--checkpoint", required=True)
     ig.add_argument("--rejects")
+    ig.add_argument("--run-log")
     ig.add_argument("--archive")
     ig.set_defaults(fn=cmd_ingest)
     a = p.parse_args(argv)

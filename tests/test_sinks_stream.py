@@ -234,3 +234,24 @@ def test_cli_load_marts_report(spark, tmp):
     rep = {r.check_name: r.affected_rows for r in
            spark.read.parquet(os.path.join(tmp, "rep")).collect()}
     assert rep["orphaned_customers"] == 1
+
+
+def test_ingest_runs_full_job_per_batch(spark, tmp):
+    from loadstar.__main__ import main
+    inp = os.path.join(tmp, "in")
+    os.makedirs(inp)
+    hdr = "order_id,customer_id,order_date,product_id,price\n"
+    _csv(inp, "1.csv", hdr + "A1,C1,2026-01-02,P1,10\nA1,C1,2026-01-02,P1,10\n"
+         "A2,C2,2026-01-02,P2,abc\n")
+    out = os.path.join(tmp, "out")
+    args = ["ingest", inp, "--target", out + "/t", "--checkpoint",
+            out + "/ck", "--rejects", out + "/rej", "--run-log", out + "/log"]
+    assert main(args) == 0
+    assert [r.order_id for r in spark.read.parquet(out + "/t").collect()] == [
+        "A1"]
+    _csv(inp, "2.csv", hdr + "A3,C3,2026-01-03,P3,30\n")
+    assert main(args) == 0
+    t = spark.read.parquet(out + "/t")
+    assert sorted(r.order_id for r in t.collect()) == ["A1", "A3"]
+    log = spark.read.parquet(out + "/log")
+    assert sorted(r.status for r in log.collect()) == ["PARTIAL", "SUCCESS"]
