@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import decimal
 import logging
+import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -182,18 +183,51 @@ def column_profile_dict(df: DataFrame, skip: Iterable[str] = ()
 
 # ----------------------------------------------------------- exact median ---
 
-def _kth_values(vals: DataFrame, ks: Sequence[int], lo, hi,
+# Offset that puts log10|v| of every non-zero double (-324 … 308) above 0.
+_LOG_OFFSET = 400.0
+
+
+def _signed_log(x: float) -> float:
+    return 0.0 if x == 0 else math.copysign(math.log10(abs(x)) + _LOG_OFFSET,
+                                            x)
+
+
+def _bucket(vd: Column, lo_d: float, hi_d: float, buckets: int,
+            log_scale: bool) -> Column | None:
+    """Equal-width bucket of a double over [lo, hi]; with ``log_scale`` the
+    width is taken on ``sign(v)·(log10|v| + 400)`` (0 ↦ 0), which is
+    monotonic and spreads values that differ in magnitude — huge or tiny —
+    evenly. None when the range cannot be split as doubles."""
+    if log_scale:
+        t = F.when(vd == 0, F.lit(0.0)).otherwise(
+            F.signum(vd) * (F.log10(F.abs(vd)) + F.lit(_LOG_OFFSET)))
+        t_lo, t_hi = _signed_log(lo_d), _signed_log(hi_d)
+    else:
+        t, t_lo, t_hi = vd / 2, lo_d / 2, hi_d / 2
+    width = t_hi - t_lo
+    if not width > 0 or math.isinf(width):
+        return None
+    raw = F.floor((t - F.lit(t_lo)) / F.lit(width) * F.lit(buckets))
+    return F.greatest(F.lit(0), F.least(raw, F.lit(buckets - 1)))
+
+
+def _kth_values(vals: DataFrame, ks: Sequence[int], lo, hi, n: int,
                 buckets: int, fetch_limit: int, max_passes: int = 80) -> dict:
     """Exact k-th smallest (0-based) non-null values of column ``v``.
 
     Distributed selection: each pass narrows [lo, hi] to the histogram
     bucket holding rank k (``groupBy(bucket)`` — at most ``buckets`` result
-    rows reach the driver). When that bucket is one value, or holds at most
-    ``fetch_limit`` rows, the answer is read directly."""
+    rows reach the driver), using the bucket's actual min and max as the
+    next range. When that bucket is one value, or holds at most
+    ``fetch_limit`` rows, the answer is read directly. A pass that cuts the
+    candidates by less than a quarter of the bucket count switches the next
+    pass between linear and log-magnitude buckets, so values spread over
+    many orders of magnitude converge as fast as evenly spread ones."""
     v = F.col("v")
     vd = v.cast("double")
     out = {}
-    pending = {k: (lo, hi, 0) for k in ks}      # k → (lo, hi, rows below lo)
+    # k → (lo, hi, rows below lo, rows in [lo, hi], log-scale buckets?)
+    pending = {k: (lo, hi, 0, n, False) for k in ks}
     passes = 0
     while pending:
         passes += 1
@@ -201,49 +235,49 @@ def _kth_values(vals: DataFrame, ks: Sequence[int], lo, hi,
         for k, st in pending.items():
             groups.setdefault(st, []).append(k)
         nxt = {}
-        for (glo, ghi, below), kk in groups.items():
+        for (glo, ghi, below, cnt, log_scale), kk in groups.items():
             if glo == ghi:
                 for k in kk:
                     out[k] = glo
                 continue
             in_range = vals.where(v.between(F.lit(glo), F.lit(ghi)))
-            lo_d, hi_d = float(glo), float(ghi)
-            half = (hi_d / 2 - lo_d / 2)
-            if passes >= max_passes or half <= 0:
+            b = None if passes >= max_passes else _bucket(
+                vd, float(glo), float(ghi), buckets, log_scale)
+            if b is None:
                 # values indistinguishable as doubles: fetch the remaining
-                # slice only when its measured size is within the bound
-                need = max(kk) - below + 1
-                size = in_range.count()
-                if size > fetch_limit:
+                # slice only when its known size is within the bound
+                if cnt > fetch_limit:
                     raise ValueError(
-                        f"median slice of {size} rows cannot be split "
+                        f"median slice of {cnt} rows cannot be split "
                         "further as doubles; raise fetch_limit")
                 rows = [r["v"] for r in in_range.select("v").orderBy("v")
-                        .limit(need).collect()]
+                        .limit(max(kk) - below + 1).collect()]
                 for k in kk:
                     out[k] = rows[k - below]
                 continue
-            b = F.least(F.floor((vd / 2 - F.lit(lo_d / 2)) / F.lit(half)
-                                * F.lit(buckets)), F.lit(buckets - 1))
             hist = sorted(tuple(r) for r in in_range.groupBy(b.alias("b")).agg(
                 F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"),
                 F.max("v").alias("mx")).collect())
             for k in kk:
                 seen = below
-                for _, n, mn, mx in hist:
-                    if k < seen + n:
+                for _, bn, mn, mx in hist:
+                    if k < seen + bn:
                         if mn == mx:
                             out[k] = mn
-                        elif n <= fetch_limit:
+                        elif bn <= fetch_limit:
                             rows = [r["v"] for r in vals
                                     .where(v.between(F.lit(mn), F.lit(mx)))
-                                    .select("v").orderBy("v").limit(n)
+                                    .select("v").orderBy("v").limit(bn)
                                     .collect()]
                             out[k] = rows[k - seen]
                         else:
-                            nxt[k] = (mn, mx, seen)
+                            stalled = bn * max(2, min(8, buckets // 4)) \
+                                > cnt
+                            nxt[k] = (mn, mx, seen, bn,
+                                      (not log_scale) if stalled
+                                      else log_scale)
                         break
-                    seen += n
+                    seen += bn
         pending = nxt
     return out
 
@@ -262,7 +296,8 @@ def _median_from(vals: DataFrame, n: int, lo, hi, buckets: int,
     if not n:
         return None
     k1, k2 = (n - 1) // 2, n // 2
-    got = _kth_values(vals, sorted({k1, k2}), lo, hi, buckets, fetch_limit)
+    got = _kth_values(vals, sorted({k1, k2}), lo, hi, n, buckets,
+                      fetch_limit)
     a, b = got[k1], got[k2]
     if isinstance(a, float) or isinstance(b, float):
         return (float(a) + float(b)) / 2 if k1 != k2 else float(a)

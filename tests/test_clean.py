@@ -213,3 +213,16 @@ def test_table_catalog_rules_and_defaults(spark):
     assert fails["customer_id_max_50"] == 1
     assert fails["order_date_not_null"] == 1
     assert schemas.key_duplicates(t, "sales_transactions").count() == 0
+
+
+def test_exact_median_heavy_tails(spark):
+    """Values over hundreds of orders of magnitude, both signs, plus a hot
+    value: linear buckets stall, asinh buckets take over."""
+    import random
+    import statistics
+    rnd = random.Random(7)
+    vals = [rnd.choice((-1, 1)) * 10 ** rnd.uniform(-300, 300)
+            for _ in range(3000)] + [1e-200] * 500 + [0.0] * 3
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    assert clean.exact_median(df, "x", buckets=8, fetch_limit=4) == \
+        statistics.median(vals)

@@ -76,7 +76,8 @@ def test_fill_leaves_no_eligible_gap(spark, data):
     present = [x for _, x in data if x is not None]
     if present:
         assert all(row.x is not None for row in r)
-        assert plan.values["x"] == statistics.median(present)
+        if len(present) < len(data):          # a gap was filled
+            assert plan.values["x"] == statistics.median(present)
 
 
 @SETTINGS
