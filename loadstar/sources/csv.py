@@ -95,6 +95,10 @@ def parse_header(line: str) -> list[str]:
         else:
             seen[n] = 0
             out.append(n)
+    dup = sorted(n for n, c in seen.items() if c)
+    if dup:
+        log.warning("Duplicate header names %s renamed with _1, _2 … "
+                    "suffixes", dup)
     return out
 
 

@@ -91,3 +91,17 @@ def test_directory_without_valid_files(spark, tmp):
 def test_missing_file_raises(spark, tmp):
     with pytest.raises(Exception):
         read_csv(spark, os.path.join(tmp, "nope.csv"))
+
+
+def test_blank_lines_skipped_and_spaces_kept(spark, tmp):
+    p = write(os.path.join(tmp, "a.csv"), "a,b\n1, 2 \n\n3,4\n")
+    assert rows(read_csv(spark, p, on_error="halt").data) == [
+        ("1", " 2 "), ("3", "4")]
+
+
+def test_duplicate_header_renamed(spark, tmp, caplog):
+    p = write(os.path.join(tmp, "a.csv"), "a,a,b\n1,2,3\n")
+    r = read_csv(spark, p)
+    assert r.columns == ["a", "a_1", "b"]
+    assert rows(r.data) == [("1", "2", "3")]
+    assert "Duplicate header names" in caplog.text
