@@ -350,29 +350,44 @@ def _fill_literal(dt: T.DataType, median) -> Column | None:
     return F.lit(repr(float(median)))
 
 
+def null_count_columns(df: DataFrame) -> list[Column]:
+    """``count(*)`` and ``count(column)`` for every column — aggregates that
+    can ride along any action as an ``Observation`` (see
+    :func:`fill_missing`'s ``null_counts``)."""
+    return [F.count(F.lit(1)).alias("_rows")] + [
+        F.count(F.col(f"`{f.name}`")).alias(f"_nn{i}")
+        for i, f in enumerate(df.schema.fields)]
+
+
+def null_counts_from(df: DataFrame, row) -> dict[str, int]:
+    rows = row["_rows"]
+    return {f.name: rows - row[f"_nn{i}"]
+            for i, f in enumerate(df.schema.fields)}
+
+
 def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
                  unknown: str = UNKNOWN_TEXT, buckets: int = 1024,
-                 stage: bool = False) -> tuple[DataFrame, FillPlan]:
+                 stage: bool = False, null_counts: dict | None = None
+                 ) -> tuple[DataFrame, FillPlan]:
     """Numeric columns with gaps get their exact median, text
     columns get ``'Unknown'``; boolean columns without gaps and datetime
     columns are left alone; ``exclude`` (key columns) is never filled, so a
     missing id stays missing and is rejected by the required rule.
 
-    Passes: (1) null counts of every column; (2) only for fillable columns
-    that have gaps — text class (numeric or not) and count/min/max of the
-    numbers; (3) the median selection passes. ``stage=True`` first writes
-    the input under the checkpoint root, for inputs that are expensive to
-    recompute (joins, shuffles) and need several passes."""
+    Passes: (1) null counts of every column — skipped when ``null_counts``
+    is given (e.g. observed while the input was staged); (2) only for
+    fillable columns that have gaps — text class (numeric or not) and
+    count/min/max of the numbers; (3) the median selection passes.
+    ``stage=True`` first writes the input under the checkpoint root, for
+    inputs that are expensive to recompute (joins, shuffles) and need
+    several passes."""
     if stage:
         from ..session import stage as stage_table
         df = stage_table(df, "fill-input")
     skip = set(exclude)
     fields = df.schema.fields
-    r1 = df.agg(F.count(F.lit(1)).alias("_rows"),
-                *[F.count(F.col(f"`{f.name}`")).alias(f"_nn{i}")
-                  for i, f in enumerate(fields)]).first()
-    rows = r1["_rows"]
-    nulls = {f.name: rows - r1[f"_nn{i}"] for i, f in enumerate(fields)}
+    nulls = null_counts if null_counts is not None else null_counts_from(
+        df, df.agg(*null_count_columns(df)).first())
     plan = FillPlan(nulls_before=sum(nulls.values()))
     gaps = [f for f in fields if nulls[f.name] and f.name not in skip and
             isinstance(f.dataType, (T.StringType,) + NUMERIC_TYPES)]

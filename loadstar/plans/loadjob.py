@@ -58,13 +58,17 @@ def transform(df: DataFrame, spec: JobSpec,
     d = clean.dedupe(src, subset=spec.dedupe_subset, order_by=order_by)
     if order_by:
         d = d.drop(*order_by)
-    d = d.observe(obs_d, F.count(F.lit(1)).alias("rows"))
-    staged = None
+    # the staging write also counts rows and nulls per column, so the fill
+    # needs no separate counting pass
+    d = d.observe(obs_d, *clean.null_count_columns(d))
+    staged, nulls = None, None
     if stage:
         staged = scratch_path(d.sparkSession, "dedup")
         d = stage_table(d, path=staged)
+        nulls = clean.null_counts_from(d, obs_d.get)
     filled, plan = clean.fill_missing(d, exclude=spec.fill_exclude,
-                                      unknown=spec.unknown_text)
+                                      unknown=spec.unknown_text,
+                                      null_counts=nulls)
     typed = clean.coerce_types(filled, spec.type_mappings)
     rules = clean.range_rules(typed, spec.value_constraints) + list(spec.rules)
     good, bad = quality.split(typed, rules)
@@ -135,7 +139,7 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
         res.extra_columns, res.fills = t.extra_columns, t.fills
         res.rows_read = int(t.observed_in.get.get("rows", 0))
         res.duplicates_removed = res.rows_read - int(
-            t.observed_dedup.get.get("rows", 0))
+            t.observed_dedup.get.get("_rows", 0))
         quality.enforce_policy(t.bad, spec.on_error)
         if isinstance(target, JdbcTarget):
             # relational target: append (as a table insert), then S8 — the
