@@ -255,3 +255,23 @@ def test_ingest_runs_full_job_per_batch(spark, tmp):
     assert sorted(r.order_id for r in t.collect()) == ["A1", "A3"]
     log = spark.read.parquet(out + "/log")
     assert sorted(r.status for r in log.collect()) == ["PARTIAL", "SUCCESS"]
+
+
+def test_halt_policy_stops_run_and_logs(spark, tmp):
+    import dataclasses
+    from loadstar.operators.quality import RejectedRowsError
+    spec = dataclasses.replace(SALES_JOB, on_error="halt")
+    src = _csv(tmp, "s.csv",
+               "order_id,customer_id,order_date,product_id,price\n"
+               "A1,C1,2026-01-02,P1,10.5\nA2,C2,2026-01-02,P2,-3\n")
+    t = os.path.join(tmp, "t")
+    with pytest.raises(RejectedRowsError):
+        run(spark, src, spec, t, run_log_target=t + "_log")
+    assert spark.read.parquet(t + "_log").first().status == "FAILED"
+    assert not lake.table_exists(spark, t)      # nothing was loaded
+
+
+def test_source_file_name_column(spark, tmp):
+    p = _csv(tmp, "deliv_01.csv", "a\n1\n2\n")
+    r = read_csv(spark, p, with_file_name=True)
+    assert {x._source_file for x in r.data.collect()} == {"deliv_01.csv"}
