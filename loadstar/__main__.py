@@ -32,7 +32,8 @@ def cmd_load(a) -> int:
     from .plans.loadjob import run
     from .sinks.jdbc import JdbcTarget
     spark = _session()
-    spec = dataclasses.replace(SALES_JOB, on_error=a.on_error)
+    spec = dataclasses.replace(SALES_JOB, on_error=a.on_error,
+                               csv_multi_line=not a.single_line)
     target = JdbcTarget(a.jdbc_url, a.jdbc_table,
                         json.loads(a.jdbc_properties or "{}")) \
         if a.jdbc_url else a.target
@@ -109,6 +110,9 @@ def main(argv=None) -> int:
     ld.add_argument("--run-id")
     ld.add_argument("--on-error", default="log_and_continue",
                     choices=["log_and_continue", "halt"])
+    ld.add_argument("--single-line", action="store_true",
+                    help="records have no quoted line breaks: split large "
+                         "files across tasks")
     ld.set_defaults(fn=cmd_load)
     rp = sub.add_parser("report", help="append the quality report")
     rp.add_argument("--table", required=True)

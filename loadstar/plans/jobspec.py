@@ -20,6 +20,10 @@ class JobSpec:
     rules: tuple[Rule, ...] = ()                # extra named rules (P18)
     on_error: str = "log_and_continue"          # P19: or "halt"
     unknown_text: str = "Unknown"
+    # CSV records may contain quoted line breaks. Reading them needs
+    # multiLine, which makes every file one task; deliveries of very large
+    # single-line files should set this to False so files split into tasks.
+    csv_multi_line: bool = True
 
 
 # --- fixed values -----------------------------------------------------------

@@ -133,7 +133,8 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
         if isinstance(source, DataFrame):
             raw = source
         else:
-            csv = read_csv(spark, source, on_error=spec.on_error)
+            csv = read_csv(spark, source, on_error=spec.on_error,
+                           multi_line=spec.csv_multi_line)
             raw, malformed = csv.data, csv.malformed
         t = transform(raw, spec, order_by=order_by)
         res.extra_columns, res.fills = t.extra_columns, t.fills

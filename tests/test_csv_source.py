@@ -105,3 +105,20 @@ def test_duplicate_header_renamed(spark, tmp, caplog):
     assert r.columns == ["a", "a_1", "b"]
     assert rows(r.data) == [("1", "2", "3")]
     assert "Duplicate header names" in caplog.text
+
+
+def test_single_line_mode_splits_large_files(spark, tmp):
+    p = os.path.join(tmp, "big.csv")
+    with open(p, "w") as f:
+        f.write("a,b\n")
+        for i in range(200000):
+            f.write(f"{i},x{i}\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        one = read_csv(spark, p).data
+        many = read_csv(spark, p, multi_line=False).data
+        assert one.rdd.getNumPartitions() == 1
+        assert many.rdd.getNumPartitions() > 1
+        assert many.count() == one.count() == 200000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
