@@ -25,6 +25,20 @@ from .jobspec import JobSpec
 log = logging.getLogger("loadstar")
 
 
+def observed(obs: Observation | None, fallback):
+    """Metrics of an ``Observation``; ``fallback()`` computes them with a
+    plain aggregate when Spark cannot deliver them (it fails on some
+    empty inputs)."""
+    if obs is not None:
+        try:
+            got = obs.get
+            if got:
+                return got
+        except Exception:  # noqa: BLE001 - fall back to counting
+            pass
+    return fallback()
+
+
 @dataclass
 class TransformResult:
     good: DataFrame
@@ -65,7 +79,9 @@ def transform(df: DataFrame, spec: JobSpec,
     if stage:
         staged = scratch_path(d.sparkSession, "dedup")
         d = stage_table(d, path=staged)
-        nulls = clean.null_counts_from(d, obs_d.get)
+        nulls = clean.null_counts_from(d, observed(
+            obs_d, lambda: d.agg(*clean.null_count_columns(d)).first()
+            .asDict()))
     filled, plan = clean.fill_missing(d, exclude=spec.fill_exclude,
                                       unknown=spec.unknown_text,
                                       null_counts=nulls)
@@ -138,9 +154,10 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
             raw, malformed = csv.data, csv.malformed
         t = transform(raw, spec, order_by=order_by)
         res.extra_columns, res.fills = t.extra_columns, t.fills
-        res.rows_read = int(t.observed_in.get.get("rows", 0))
-        res.duplicates_removed = res.rows_read - int(
-            t.observed_dedup.get.get("_rows", 0))
+        res.rows_read = int(observed(
+            t.observed_in, lambda: {"rows": raw.count()})["rows"])
+        res.duplicates_removed = res.rows_read - int(observed(
+            t.observed_dedup, lambda: {"_rows": 0})["_rows"])
         quality.enforce_policy(t.bad, spec.on_error)
         if isinstance(target, JdbcTarget):
             # relational target: append (as a table insert), then S8 — the

@@ -97,4 +97,5 @@ def stage(df, name: str = "stage", path: str | None = None):
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    # with the known schema: an empty frame writes no data file to infer from
+    return spark.read.schema(df.schema).parquet(path)

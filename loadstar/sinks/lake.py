@@ -6,6 +6,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,10 @@ def write_observed(df: DataFrame, target: str, name: str = "sent",
     obs = Observation(f"{name}_{uuid.uuid4().hex[:12]}")
     write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), target,
                 **kw)
-    return int(obs.get.get("rows", 0))
+    try:
+        return int((obs.get or {}).get("rows", 0))
+    except Exception:  # noqa: BLE001 - metrics unavailable (empty input)
+        return 0
 
 
 def load_run(df: DataFrame, target: str, run_id: str, run_col: str = "run_id",
@@ -85,7 +89,10 @@ def row_count(spark: SparkSession, target: str, fmt: str = "parquet",
     """Rows in a target (parquet counts come from file footers)."""
     if not path_exists(spark, target):
         return 0
-    df = spark.read.format(fmt).load(target)
+    try:
+        df = spark.read.format(fmt).load(target)
+    except AnalysisException:      # folder without data files yet
+        return 0
     if where is not None:
         df = df.filter(where)
     return df.count()

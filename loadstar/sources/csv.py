@@ -54,7 +54,10 @@ class CsvRead:
     def malformed_count(self) -> int | None:
         if self.observed is None:
             return None
-        return int(self.observed.get.get("malformed", 0))
+        try:
+            return int((self.observed.get or {}).get("malformed", 0))
+        except Exception:  # noqa: BLE001 - metrics unavailable: count
+            return self.malformed.count()
 
 
 def _fs_and_path(spark: SparkSession, path: str):
