@@ -32,8 +32,9 @@ def cmd_load(a) -> int:
     from .plans.loadjob import run
     from .sinks.jdbc import JdbcTarget
     spark = _session()
-    spec = dataclasses.replace(SALES_JOB, on_error=a.on_error,
-                               csv_multi_line=not a.single_line)
+    spec = dataclasses.replace(
+        SALES_JOB, on_error=a.on_error, csv_multi_line=not a.single_line,
+        month_partition="order_date" if a.partition_by_month else None)
     target = JdbcTarget(a.jdbc_url, a.jdbc_table,
                         json.loads(a.jdbc_properties or "{}")) \
         if a.jdbc_url else a.target
@@ -110,6 +111,9 @@ def main(argv=None) -> int:
     ld.add_argument("--run-id")
     ld.add_argument("--on-error", default="log_and_continue",
                     choices=["log_and_continue", "halt"])
+    ld.add_argument("--partition-by-month", action="store_true",
+                    help="also partition the table by order month, so "
+                         "recency queries prune whole months")
     ld.add_argument("--single-line", action="store_true",
                     help="records have no quoted line breaks: split large "
                          "files across tasks")

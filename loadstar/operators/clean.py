@@ -12,6 +12,7 @@ import decimal
 import logging
 import math
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -408,16 +409,25 @@ def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
         for i, f in enumerate(gaps):
             stats[f.name] = (r2[f"_num{i}"], r2[f"_n{i}"], r2[f"_lo{i}"],
                              r2[f"_hi{i}"])
+    # medians of several columns: each column's selection passes run as
+    # their own Spark jobs, submitted concurrently from driver threads
+    todo = [f for f in fields if f.name in stats and stats[f.name][0]]
+
+    def median_of(f):
+        _, n, lo, hi = stats[f.name]
+        vals = df.select(_value_expr(f.dataType, F.col(f"`{f.name}`"))
+                         .alias("v")).where(F.col("v").isNotNull())
+        return _median_from(vals, n, lo, hi, buckets, 4096)
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(todo)))) as ex:
+        medians = dict(zip([f.name for f in todo], ex.map(median_of, todo)))
     exprs = []
     for f in fields:
         c = F.col(f"`{f.name}`")
         fill = None
         if f.name in stats:
-            numeric, n, lo, hi = stats[f.name]
+            numeric = stats[f.name][0]
             if numeric:
-                vals = df.select(_value_expr(f.dataType, c).alias("v")).where(
-                    F.col("v").isNotNull())
-                med = _median_from(vals, n, lo, hi, buckets, 4096)
+                med = medians[f.name]
                 fill = _fill_literal(f.dataType, med)
                 if med is not None:
                     plan.values[f.name] = med

@@ -9,10 +9,12 @@ double; averages are ``sum / count`` so every engine gets the same digits.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import day_of, days_before, month_of
+from ..functions.values import as_datetime, day_of, days_before, month_of
 
 
 def _revenue(price: str = "price") -> Column:
@@ -64,11 +66,21 @@ def product_performance(sales: DataFrame, approx_distinct: bool = False
                  cd("customer_id").alias("unique_customers")))
 
 
-def recent(sales: DataFrame, as_of, days: int) -> DataFrame:
+def recent(sales: DataFrame, as_of, days: int,
+           date_col: str = "order_date") -> DataFrame:
     """Rows with ``order_date >= as_of date - days`` (midnight bound).
     A plain comparison on the column, so it reaches the parquet scan as a
-    pushed filter and prunes date partitions when the table has them."""
-    return sales.filter(F.col("order_date") >= days_before(as_of, days))
+    pushed filter; when the table is partitioned by the month of the date
+    (``order_date_month``, see ``JobSpec.month_partition``) the matching
+    month predicate is added too, so older months are never listed or
+    read."""
+    cond = F.col(date_col) >= days_before(as_of, days)
+    month_col = f"{date_col}_month"
+    if month_col in sales.columns:
+        first = (as_datetime(as_of).date() - _dt.timedelta(days=days)
+                 ).replace(day=1)
+        cond = cond & (F.col(month_col) >= F.lit(first))
+    return sales.filter(cond)
 
 
 def category_revenue(sales: DataFrame, as_of, days: int = 30) -> DataFrame:

@@ -24,6 +24,9 @@ class JobSpec:
     # multiLine, which makes every file one task; deliveries of very large
     # single-line files should set this to False so files split into tasks.
     csv_multi_line: bool = True
+    # Also partition the loaded table by the month of this timestamp column
+    # (``<column>_month``), so recency queries prune whole months.
+    month_partition: str | None = None
 
 
 # --- fixed values -----------------------------------------------------------

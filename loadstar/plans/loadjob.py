@@ -168,7 +168,14 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
             res.rows_loaded = int(obs.get.get("n", 0))
             verify_load(before, res.rows_loaded, target.count(spark))
         else:
-            res.rows_loaded = load_run(t.good, target, run_id, fmt=fmt)
+            good, extra = t.good, ()
+            if spec.month_partition:
+                mcol = f"{spec.month_partition}_month"
+                good = good.withColumn(mcol, F.trunc(spec.month_partition,
+                                                     "month"))
+                extra = (mcol,)
+            res.rows_loaded = load_run(good, target, run_id, fmt=fmt,
+                                       extra_partitions=extra)
             written = row_count(spark, target, fmt,
                                 where=F.col("run_id") == run_id)
             if written != res.rows_loaded:

@@ -60,12 +60,25 @@ def load_run(df: DataFrame, target: str, run_id: str, run_col: str = "run_id",
     """Idempotent load. The rows of one run are written to their own
     ``run_col=<run_id>`` partition with dynamic partition overwrite, so
     loading the same run again replaces exactly that partition and leaves
-    every other run untouched; a failed run leaves no partial partition
-    visible to a rerun. Returns the rows written."""
+    every other run untouched. With ``extra_partitions`` (e.g. the order
+    month, for partition pruning) the run's folder is cleared first and the
+    rows appended, so a rerun that covers fewer months leaves none of the
+    old ones behind. Returns the rows written."""
     out = df.withColumn(run_col, F.lit(run_id))
+    if extra_partitions:
+        spark = df.sparkSession
+        run_dir = f"{target.rstrip('/')}/{run_col}={run_id}"
+        if path_exists(spark, run_dir):
+            jvm = spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(run_dir)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()
+                            ).delete(p, True)
+        return write_observed(out, target, name=f"load_{run_id}",
+                              mode="append", fmt=fmt,
+                              partition_by=[run_col, *extra_partitions])
     return write_observed(
         out, target, name=f"load_{run_id}", mode="overwrite", fmt=fmt,
-        partition_by=[run_col, *extra_partitions],
+        partition_by=[run_col],
         options={"partitionOverwriteMode": "dynamic"})
 
 

@@ -226,3 +226,17 @@ def test_exact_median_heavy_tails(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     assert clean.exact_median(df, "x", buckets=8, fetch_limit=4) == \
         statistics.median(vals)
+
+
+def test_fill_several_numeric_columns(spark):
+    import statistics
+    rows = [(float(i), i * 3, None if i % 4 == 0 else f"{i}.5")
+            for i in range(1, 41)] + [(None, None, None)]
+    df = spark.createDataFrame(rows, "a double, b long, c string")
+    out, plan = clean.fill_missing(df)
+    assert plan.values["a"] == statistics.median(range(1, 41))
+    assert plan.values["b"] == statistics.median([i * 3 for i in
+                                                  range(1, 41)])
+    assert plan.values["c"] == statistics.median(
+        [i + 0.5 for i in range(1, 41) if i % 4])
+    assert out.filter("a IS NULL OR b IS NULL OR c IS NULL").count() == 0

@@ -275,3 +275,26 @@ def test_source_file_name_column(spark, tmp):
     p = _csv(tmp, "deliv_01.csv", "a\n1\n2\n")
     r = read_csv(spark, p, with_file_name=True)
     assert {x._source_file for x in r.data.collect()} == {"deliv_01.csv"}
+
+
+def test_month_partitions_prune_and_rerun(spark, tmp):
+    import dataclasses
+    import datetime as dt
+    from loadstar.operators import marts
+    spec = dataclasses.replace(SALES_JOB, month_partition="order_date")
+    hdr = "order_id,customer_id,order_date,product_id,price\n"
+    t = os.path.join(tmp, "t")
+    first = _csv(tmp, "a.csv", hdr + "A1,C1,2026-01-02,P1,1\n"
+                 "A2,C2,2026-03-05,P2,2\n")
+    run(spark, first, spec, t, run_id="r1")
+    assert sorted(os.listdir(os.path.join(t, "run_id=r1"))) == [
+        "order_date_month=2026-01-01", "order_date_month=2026-03-01"]
+    # rerun of r1 with one month only: the other month must not survive
+    again = _csv(tmp, "b.csv", hdr + "A2,C2,2026-03-05,P2,2\n")
+    run(spark, again, spec, t, run_id="r1")
+    sales = spark.read.parquet(t)
+    assert [r.order_id for r in sales.collect()] == ["A2"]
+    q = marts.recent(sales, dt.datetime(2026, 3, 31), 30)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_date_month" in plan
+    assert [r.order_id for r in q.collect()] == ["A2"]
