@@ -298,3 +298,42 @@ def test_month_partitions_prune_and_rerun(spark, tmp):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_date_month" in plan
     assert [r.order_id for r in q.collect()] == ["A2"]
+
+
+def test_bucketed_change_apply_touches_only_needed_buckets(spark, tmp):
+    import datetime as dt
+    import glob
+    from loadstar.operators import cdc
+    t = os.path.join(tmp, "t")
+    old = spark.createDataFrame([(str(i), i) for i in range(200)],
+                                "k string, v int")
+    ingest.write_buckets(old, t, "k", 16)
+    before = {p: os.path.getmtime(p) for p in glob.glob(t + "/*/*.parquet")}
+    bucket_of = {r.k: r.b for r in old.select(
+        "k", ingest.key_bucket("k", 16).alias("b")).collect()}
+    # delete every key of one bucket, update one key elsewhere, insert one
+    gone = sorted(k for k, b in bucket_of.items() if b == bucket_of["0"])
+    new = (old.filter(~F.col("k").isin(gone))
+              .withColumn("v", F.when(F.col("k") == "5", F.lit(-5))
+                                .otherwise(F.col("v")))
+              .unionByName(spark.createDataFrame([("999", 9)],
+                                                 "k string, v int")))
+    changes = cdc.diff(old, new, "k", dt.datetime(2026, 1, 1))
+    changes.write.json(os.path.join(tmp, "chg"))
+    stream = spark.readStream.schema(changes.schema).json(
+        os.path.join(tmp, "chg"))
+    ingest.apply_change_stream_buckets(
+        spark, stream, t, "k", 16, os.path.join(tmp, "ck"),
+        lambda cur, chg: cdc.apply_changes(cur, chg, "k"))
+    got = sorted(tuple(r) for r in ingest.read_buckets(spark, t).collect())
+    assert got == sorted(tuple(r) for r in new.collect())
+    assert not os.path.exists(f"{t}/_bucket={bucket_of['0']}")
+    inserted_bucket = spark.createDataFrame([("999",)], "k string").select(
+        ingest.key_bucket("k", 16)).first()[0]
+    touched = {bucket_of["0"], bucket_of["5"], inserted_bucket}
+
+    def bucket(p):
+        return int(p.split("_bucket=")[1].split("/")[0])
+    untouched = [p for p in before if bucket(p) not in touched]
+    assert untouched
+    assert all(os.path.getmtime(p) == before[p] for p in untouched)
