@@ -238,6 +238,22 @@ def stream_change_apply_buckets(spark, sf_dir):
     return ingest.read_buckets(spark, base + "/table")
 
 
+@register("cdc_apply_buckets", f"""
+WITH {SQL_SNAPSHOTS}
+SELECT * FROM new""")
+def cdc_apply_buckets(spark, sf_dir):
+    """C3 on a bucketed table: the change log merged into only the buckets
+    it touches."""
+    old, new = snapshots(spark, sf_dir)
+    base = scratch_path(spark, "cdc-buckets")
+    ingest.write_buckets(old, base, "order_id", 64)
+    ingest.apply_to_buckets(spark, base, cdc.diff(old, new, "order_id", AS_OF),
+                            "order_id", 64,
+                            lambda cur, chg: cdc.apply_changes(cur, chg,
+                                                               "order_id"))
+    return ingest.read_buckets(spark, base)
+
+
 # the full load runs reproduce the transform chain
 ORACLE["load_append_verify"] = ORACLE["transform_full"]
 ORACLE["ingest_runs_one_batch"] = ORACLE["transform_full"]

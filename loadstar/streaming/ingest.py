@@ -184,50 +184,62 @@ def read_buckets(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).drop(BUCKET_COL)
 
 
+def apply_to_buckets(spark: SparkSession, target: str, changes: DataFrame,
+                     key: str, buckets: int,
+                     apply: Callable[[DataFrame, DataFrame], DataFrame],
+                     tag: str = "batch") -> list[int]:
+    """C3 on a bucketed table (see :func:`write_buckets`), batch or
+    streaming: merge ``changes`` into only the key buckets they touch.
+
+    The touched bucket ids (at most ``buckets`` small values) select the
+    current rows by partition pruning; ``apply`` merges the changes; the
+    result is staged under the checkpoint root (the job reads and replaces
+    the same folders); touched buckets that ended up empty are removed and
+    the others are replaced by dynamic partition overwrite. Re-applying the
+    same changes gives the same table. Returns the touched bucket ids."""
+    from pyspark.sql import functions as F
+
+    from ..session import drop_path, scratch_path
+    from ..sinks.lake import path_exists
+
+    chg = changes.withColumn(BUCKET_COL, key_bucket(key, buckets))
+    touched = sorted(r[0] for r in chg.select(BUCKET_COL).distinct()
+                     .collect())
+    if not touched:
+        return []
+    cur = spark.read.parquet(target).filter(
+        F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL)
+    merged = apply(cur, chg.drop(BUCKET_COL)).withColumn(
+        BUCKET_COL, key_bucket(key, buckets))
+    staged_path = scratch_path(spark, f"bucket-apply-{tag}")
+    merged.write.partitionBy(BUCKET_COL).parquet(staged_path)
+    staged = spark.read.schema(merged.schema).parquet(staged_path)
+    kept = {r[0] for r in staged.select(BUCKET_COL).distinct().collect()}
+    for b in touched:
+        part = f"{target.rstrip('/')}/{BUCKET_COL}={b}"
+        if b not in kept and path_exists(spark, part):
+            drop_path(spark, part)
+    if kept:
+        (staged.write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET_COL).parquet(target))
+    drop_path(spark, staged_path)
+    return touched
+
+
 def apply_change_stream_buckets(
         spark: SparkSession, changes: DataFrame, target: str, key: str,
         buckets: int, checkpoint: str,
         apply: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
     """T2 at warehouse scale: each micro-batch rewrites only the key buckets
-    its changes touch, not the whole table.
-
-    Per batch: the touched bucket ids (at most ``buckets`` small values)
-    select the current rows by partition pruning; ``apply`` merges the
-    changes; the result is staged under the checkpoint root (the job reads
-    and replaces the same folders); touched buckets that ended up empty are
-    removed and the others are replaced by dynamic partition overwrite.
+    its changes touch (:func:`apply_to_buckets`), not the whole table.
     Replaying a batch gives the same table (the newest change per key wins
     over the stored row either way). Readers can see a batch half-applied
     across buckets; use the versioned :func:`apply_change_stream` when they
     must not."""
-    from pyspark.sql import functions as F
-
-    from ..session import drop_path, scratch_path
-    from ..sinks.lake import path_exists
-
     def batch(df: DataFrame, epoch_id: int) -> None:
-        chg = df.withColumn(BUCKET_COL, key_bucket(key, buckets))
-        touched = sorted(r[0] for r in chg.select(BUCKET_COL).distinct()
-                         .collect())
-        if not touched:
-            return
-        cur = spark.read.parquet(target).filter(
-            F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL)
-        merged = apply(cur, chg.drop(BUCKET_COL)).withColumn(
-            BUCKET_COL, key_bucket(key, buckets))
-        staged_path = scratch_path(spark, f"bucket-apply-{epoch_id}")
-        merged.write.partitionBy(BUCKET_COL).parquet(staged_path)
-        staged = spark.read.schema(merged.schema).parquet(staged_path)
-        kept = {r[0] for r in staged.select(BUCKET_COL).distinct().collect()}
-        for b in touched:
-            part = f"{target.rstrip('/')}/{BUCKET_COL}={b}"
-            if b not in kept and path_exists(spark, part):
-                drop_path(spark, part)
-        if kept:
-            (staged.write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BUCKET_COL).parquet(target))
-        drop_path(spark, staged_path)
+        apply_to_buckets(spark, target, df, key, buckets, apply,
+                         tag=f"epoch-{epoch_id}")
 
     q = (changes.writeStream.foreachBatch(batch)
          .option("checkpointLocation", checkpoint)
@@ -243,5 +255,6 @@ def write_version(df: DataFrame, target_base: str, v: int = 0) -> None:
 
 __all__ = ["csv_stream", "ingest_available_now", "ingest_runs",
            "apply_change_stream", "apply_change_stream_buckets",
+           "apply_to_buckets",
            "write_buckets", "read_buckets",
            "latest_version", "read_version", "write_version"]
