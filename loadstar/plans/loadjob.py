@@ -19,7 +19,7 @@ from ..session import drop_path, scratch_path, stage as stage_table
 from ..sinks.files import archive_file
 from ..sinks.jdbc import JdbcTarget
 from ..sinks.lake import load_run, row_count, verify_load, write_table
-from ..sources.csv import read_csv
+from ..sources.csv import is_directory, read_csv, read_directory
 from .jobspec import JobSpec
 
 log = logging.getLogger("loadstar")
@@ -129,7 +129,9 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
         fmt: str = "parquet") -> RunResult:
     """M1/M2: one load run.
 
-    source        CSV path(s) (read with :func:`read_csv`) or a DataFrame
+    source        CSV file path(s) sharing one header, a delivery folder
+                  (files grouped by header, see :func:`read_directory`), or
+                  a DataFrame
     target        lake table path; rows land in partition ``run_id=<id>``
                   with dynamic overwrite, so re-running a run replaces it.
                   Or a :class:`JdbcTarget`: batched parallel inserts, then
@@ -148,6 +150,11 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
         malformed, csv = None, None
         if isinstance(source, DataFrame):
             raw = source
+        elif isinstance(source, str) and is_directory(spark, source):
+            # a delivery folder: files grouped by header, combined by name
+            csv = read_directory(spark, source, on_error=spec.on_error,
+                                 multi_line=spec.csv_multi_line)
+            raw, malformed = csv.data, csv.malformed
         else:
             csv = read_csv(spark, source, on_error=spec.on_error,
                            multi_line=spec.csv_multi_line)
@@ -224,6 +231,10 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
                         run_log_target, mode="append", fmt=fmt)
     if archive_dir and not isinstance(source, DataFrame):
         paths = [source] if isinstance(source, str) else list(source)
+        if isinstance(source, str) and is_directory(spark, source):
+            # only the files that were read; skipped ones stay for a look
+            paths = [f for f in csv.files if f not in csv.skipped] \
+                if csv is not None else []
         res.archived_to = ",".join(filter(None, (
             archive_file(spark, p, archive_dir, start) for p in paths)))
     return res

@@ -197,6 +197,11 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str],
     return CsvRead(data, malformed, cols, obs)
 
 
+def is_directory(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_and_path(spark, path)
+    return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
+
+
 def list_files(spark: SparkSession, directory: str, pattern: str = "*.csv"
                ) -> list[str]:
     """Non-recursive listing of ``directory/pattern`` through the cluster's
@@ -214,6 +219,11 @@ class DirectoryRead:
     malformed: DataFrame | None
     files: list
     skipped: dict            # file → reason
+    parts: list = None       # one CsvRead per header group
+
+    def malformed_count(self) -> int | None:
+        counts = [p.malformed_count() for p in (self.parts or [])]
+        return None if any(c is None for c in counts) else sum(counts)
 
 
 def read_directory(spark: SparkSession, directory: str,
@@ -248,15 +258,17 @@ def read_directory(spark: SparkSession, directory: str,
     if not groups:
         raise ValueError(f"No valid CSV files found in {directory}")
     data = malformed = None
+    parts = []
     for cols, fs in groups.items():
         r = read_csv(spark, fs, columns=list(cols), **kw)
+        parts.append(r)
         data = r.data if data is None else data.unionByName(
             r.data, allowMissingColumns=True)
         malformed = r.malformed if malformed is None else \
             malformed.unionByName(r.malformed, allowMissingColumns=True)
     log.info("Read %d files in %d header groups", sum(map(len,
              groups.values())), len(groups))
-    return DirectoryRead(data, malformed, files, skipped)
+    return DirectoryRead(data, malformed, files, skipped, parts)
 
 
 def read_source(spark: SparkSession, path: str | Sequence[str],

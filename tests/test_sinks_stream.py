@@ -337,3 +337,20 @@ def test_bucketed_change_apply_touches_only_needed_buckets(spark, tmp):
     untouched = [p for p in before if bucket(p) not in touched]
     assert untouched
     assert all(os.path.getmtime(p) == before[p] for p in untouched)
+
+
+def test_run_on_delivery_folder(spark, tmp):
+    d = os.path.join(tmp, "drop")
+    os.makedirs(d)
+    _csv(d, "a.csv", "order_id,customer_id,order_date,product_id,price\n"
+         "A1,C1,2026-01-02,P1,10\nA9,C9,2026-01-02,P9,1,extra\n")
+    _csv(d, "b.csv", "order_id,price,product_id,order_date,customer_id,note\n"
+         "B1,20,P2,2026-01-03,C2,hi\n")
+    _csv(d, "c.csv", "")
+    t = os.path.join(tmp, "t")
+    res = run(spark, d, SALES_JOB, t, reject_target=t + "_rej",
+              archive_dir=os.path.join(tmp, "arch"))
+    assert sorted(r.order_id for r in spark.read.parquet(t).collect()) == [
+        "A1", "B1"]
+    assert res.malformed_rows == 1 and res.rows_rejected == 1
+    assert sorted(os.listdir(d)) == ["c.csv"]          # read files archived
