@@ -31,9 +31,9 @@ class JobSpec:
 
 # --- fixed values -----------------------------------------------------------
 # The sales load: expected columns, conversions and the accepted price range
-# of the warehouse's sales file.
+# of the warehouse's sales file (the job name is our own label).
 SALES_JOB = JobSpec(
-    name="csv_to_db_etl",
+    name="sales_load",
     table="sales_transactions",
     expected_columns=("order_id", "customer_id", "order_date", "product_id",
                       "price"),
