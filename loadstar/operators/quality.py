@@ -248,8 +248,9 @@ def tag_reasons(df: DataFrame, rules: Sequence[Rule],
 def split(df: DataFrame, rules: Sequence[Rule], col: str = "reject_reasons"
           ) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected rows with ``reject_reasons``). Both come
-    from one tagged plan; write them in one action (see the load job) or
-    checkpoint the tagged frame when they are consumed separately."""
+    from one tagged plan, so each consumer re-evaluates the row-level rules
+    over the input: stage an expensive input first (the load job writes
+    both from its staged table)."""
     tagged = tag_reasons(df, rules, col)
     good = tagged.filter(F.col(col) == "").drop(col)
     bad = tagged.filter(F.col(col) != "")
