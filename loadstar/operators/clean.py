@@ -368,7 +368,8 @@ def null_counts_from(df: DataFrame, row) -> dict[str, int]:
 
 def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
                  unknown: str = UNKNOWN_TEXT, buckets: int = 1024,
-                 stage: bool = False, null_counts: dict | None = None
+                 stage: bool = False, null_counts: dict | None = None,
+                 median: str = "exact", accuracy: int = 10000
                  ) -> tuple[DataFrame, FillPlan]:
     """Numeric columns with gaps get their exact median, text
     columns get ``'Unknown'``; boolean columns without gaps and datetime
@@ -381,7 +382,11 @@ def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
     count/min/max of the numbers; (3) the median selection passes.
     ``stage=True`` first writes the input under the checkpoint root, for
     inputs that are expensive to recompute (joins, shuffles) and need
-    several passes."""
+    several passes. ``median="approx"`` takes ``percentile_approx`` (a data
+    value within 1/``accuracy`` of the middle rank) from pass (2) and skips
+    the selection passes, for very large inputs where an estimate will do."""
+    if median not in ("exact", "approx"):
+        raise ValueError(f"median must be 'exact' or 'approx', not {median!r}")
     if stage:
         from ..session import stage as stage_table
         df = stage_table(df, "fill-input")
@@ -392,7 +397,7 @@ def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
     plan = FillPlan(nulls_before=sum(nulls.values()))
     gaps = [f for f in fields if nulls[f.name] and f.name not in skip and
             isinstance(f.dataType, (T.StringType,) + NUMERIC_TYPES)]
-    stats = {}
+    stats, approx = {}, {}
     if gaps:
         aggs = []
         for i, f in enumerate(gaps):
@@ -405,15 +410,22 @@ def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
                 aggs.append(F.lit(True).alias(f"_num{i}"))
             aggs += [F.count(v).alias(f"_n{i}"), F.min(v).alias(f"_lo{i}"),
                      F.max(v).alias(f"_hi{i}")]
+            if median == "approx":
+                aggs.append(F.percentile_approx(v, 0.5, accuracy)
+                            .alias(f"_q{i}"))
         r2 = df.agg(*aggs).first()
         for i, f in enumerate(gaps):
             stats[f.name] = (r2[f"_num{i}"], r2[f"_n{i}"], r2[f"_lo{i}"],
                              r2[f"_hi{i}"])
+            if median == "approx":
+                approx[f.name] = r2[f"_q{i}"]
     # medians of several columns: each column's selection passes run as
     # their own Spark jobs, submitted concurrently from driver threads
     todo = [f for f in fields if f.name in stats and stats[f.name][0]]
 
     def median_of(f):
+        if median == "approx":
+            return approx.get(f.name)
         _, n, lo, hi = stats[f.name]
         vals = df.select(_value_expr(f.dataType, F.col(f"`{f.name}`"))
                          .alias("v")).where(F.col("v").isNotNull())

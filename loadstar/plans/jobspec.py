@@ -27,6 +27,8 @@ class JobSpec:
     # Also partition the loaded table by the month of this timestamp column
     # (``<column>_month``), so recency queries prune whole months.
     month_partition: str | None = None
+    # "exact" (distributed selection) or "approx" (percentile_approx) median
+    median: str = "exact"
 
 
 # --- fixed values -----------------------------------------------------------

@@ -84,7 +84,7 @@ def transform(df: DataFrame, spec: JobSpec,
             .asDict()))
     filled, plan = clean.fill_missing(d, exclude=spec.fill_exclude,
                                       unknown=spec.unknown_text,
-                                      null_counts=nulls)
+                                      null_counts=nulls, median=spec.median)
     typed = clean.coerce_types(filled, spec.type_mappings)
     rules = clean.range_rules(typed, spec.value_constraints) + list(spec.rules)
     good, bad = quality.split(typed, rules)

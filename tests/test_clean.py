@@ -240,3 +240,15 @@ def test_fill_several_numeric_columns(spark):
     assert plan.values["c"] == statistics.median(
         [i + 0.5 for i in range(1, 41) if i % 4])
     assert out.filter("a IS NULL OR b IS NULL OR c IS NULL").count() == 0
+
+
+def test_approx_median_option(spark):
+    import statistics
+    vals = [float(i) for i in range(1, 1002)] + [None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    out, plan = clean.fill_missing(df, median="approx")
+    exact = statistics.median(v for v in vals if v is not None)
+    assert abs(plan.values["x"] - exact) <= 1.0      # a data value near it
+    assert out.filter("x IS NULL").count() == 0
+    with pytest.raises(ValueError):
+        clean.fill_missing(df, median="mean")
