@@ -38,9 +38,10 @@ def cmd_load(a) -> int:
     target = JdbcTarget(a.jdbc_url, a.jdbc_table,
                         json.loads(a.jdbc_properties or "{}")) \
         if a.jdbc_url else a.target
-    res = run(spark, a.input, spec, target, run_id=a.run_id,
-              reject_target=a.rejects, run_log_target=a.run_log,
-              archive_dir=a.archive)
+    res = run(spark, a.input[0] if len(a.input) == 1 else a.input, spec,
+              target, run_id=a.run_id, reject_target=a.rejects,
+              run_log_target=a.run_log, archive_dir=a.archive,
+              quality_log_target=a.quality_log)
     print(json.dumps({"run_id": res.run_id, "status": res.status,
                       "rows_read": res.rows_read,
                       "duplicates_removed": res.duplicates_removed,
@@ -107,6 +108,7 @@ def main(argv=None) -> int:
     ld.add_argument("--jdbc-properties", help="JSON of JDBC options")
     ld.add_argument("--rejects")
     ld.add_argument("--run-log")
+    ld.add_argument("--quality-log", help="append the run's quality checks")
     ld.add_argument("--archive")
     ld.add_argument("--run-id")
     ld.add_argument("--on-error", default="log_and_continue",

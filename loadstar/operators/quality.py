@@ -224,6 +224,40 @@ def quality_report(sales: DataFrame, customers: DataFrame, as_of,
                                                     CRITICAL_ABOVE)))
 
 
+def quality_log_rows(sales: DataFrame, as_of, table: str = LOG_TABLE,
+                     key: str = "order_id",
+                     customer_key: str = "customer_id", price: str = "price",
+                     date: str = "order_date") -> DataFrame:
+    """S14 for a whole load: the row checks of :func:`quality_report` as
+    ``data_quality_log`` rows (table, check, description, affected rows,
+    severity, checked_at) — every check logged, also at zero."""
+    aggs = [F.count(F.lit(1)).alias("_n"),
+            F.count_if(F.col(key).isNull()).alias("noid"),
+            F.count_if(F.col(customer_key).isNull()).alias("ncust"),
+            F.count_if(F.col(price).isNull()).alias("nprice"),
+            F.count_if(invalid_price(price)).alias("ip"),
+            F.count_if(future_date(as_of, date)).alias("fd"),
+            F.count_distinct(key).alias("_d")]
+    checks = [("Duplicates", "Duplicate order ids found", "dup"),
+              ("Null Values", "Missing order_id values found", "noid"),
+              ("Null Values", LOG_DESCRIPTION, "ncust"),
+              ("Null Values", "Missing price values found", "nprice"),
+              ("Invalid Values", "Prices not above zero or missing", "ip"),
+              ("Future Dates", "Order dates after the run's as_of", "fd")]
+    stats = sales.agg(*aggs).withColumn("dup", F.col("_n") - F.col("_d"))
+    args = [F.lit(len(checks))]
+    for check, desc, c in checks:
+        args += [F.lit(check), F.lit(desc), F.col(c).cast("bigint")]
+    rows = stats.select(F.stack(*args)).toDF("check_type",
+                                             "issue_description",
+                                             "affected_rows")
+    return rows.select(F.lit(table).alias("table_name"), "check_type",
+                       "issue_description", "affected_rows",
+                       severity_of("affected_rows", CRITICAL_ABOVE)
+                       .alias("severity"),
+                       ts_literal(as_of).alias("checked_at"))
+
+
 def null_customer_log_row(sales: DataFrame, as_of,
                           customer_key: str = "customer_id") -> DataFrame:
     """The quality-log row for missing customer ids (always one

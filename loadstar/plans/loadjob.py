@@ -126,7 +126,8 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
         spec: JobSpec, target: str | JdbcTarget, run_id: str | None = None,
         reject_target: str | None = None, run_log_target: str | None = None,
         archive_dir: str | None = None, order_by: Sequence[str] | None = None,
-        fmt: str = "parquet") -> RunResult:
+        fmt: str = "parquet", quality_log_target: str | None = None
+        ) -> RunResult:
     """M1/M2: one load run.
 
     source        CSV file path(s) sharing one header, a delivery folder
@@ -140,6 +141,8 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
                   go, partitioned the same way
     run_log_target append the run-log row (SUCCESS / PARTIAL / FAILED)
     archive_dir   move the source file(s) aside after a successful load
+    quality_log_target append the quality checks of the rows this run
+                  loaded (lake targets), one ``data_quality_log`` row each
 
     Errors are logged in the run log and re-raised."""
     t0 = time.time()
@@ -206,6 +209,13 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
         else:
             res.rows_rejected = bad.count()
         res.status = PARTIAL if res.rows_rejected else SUCCESS
+        if quality_log_target and not isinstance(target, JdbcTarget):
+            loaded = spark.read.format(fmt).load(target).filter(
+                F.col("run_id") == run_id)
+            write_table(quality.quality_log_rows(loaded, res.start,
+                                                 table=spec.table)
+                        .withColumn("run_id", F.lit(run_id)),
+                        quality_log_target, mode="append", fmt=fmt)
         if t.staged_path:
             # both outputs are written: the staged copy is no longer needed
             drop_path(spark, t.staged_path)

@@ -242,3 +242,29 @@ def conform_sales_table(spark, sf_dir):
     from .. import schemas
     return schemas.conform(lens.dirty_sales(spark, sf_dir),
                            "sales_transactions", AS_OF)
+
+
+@register("dq_log_all_checks", f"""
+WITH {SQL_DIRTY},
+c AS (
+  SELECT 'Duplicates' AS check_type, 'Duplicate order ids found' AS issue_description,
+         COUNT(*) - COUNT(DISTINCT order_id) AS affected_rows FROM dirty
+  UNION ALL SELECT 'Null Values', 'Missing order_id values found',
+         COUNT(*) FILTER (WHERE order_id IS NULL) FROM dirty
+  UNION ALL SELECT 'Null Values', 'Missing customer_id values found',
+         COUNT(*) FILTER (WHERE customer_id IS NULL) FROM dirty
+  UNION ALL SELECT 'Null Values', 'Missing price values found',
+         COUNT(*) FILTER (WHERE price IS NULL) FROM dirty
+  UNION ALL SELECT 'Invalid Values', 'Prices not above zero or missing',
+         COUNT(*) FILTER (WHERE price <= 0 OR price IS NULL) FROM dirty
+  UNION ALL SELECT 'Future Dates', 'Order dates after the run''s as_of',
+         COUNT(*) FILTER (WHERE order_date > {FUTURE_TS}) FROM dirty)
+SELECT 'sales_transactions' AS table_name, check_type, issue_description,
+       affected_rows,
+       CASE WHEN affected_rows > 100 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
+       {FUTURE_TS} AS checked_at
+FROM c""")
+def dq_log_all_checks(spark, sf_dir):
+    """S14 for a whole load: every row check as a quality-log row."""
+    return quality.quality_log_rows(lens.dirty_sales(spark, sf_dir),
+                                    FUTURE_AS_OF)

@@ -354,3 +354,22 @@ def test_run_on_delivery_folder(spark, tmp):
         "A1", "B1"]
     assert res.malformed_rows == 1 and res.rows_rejected == 1
     assert sorted(os.listdir(d)) == ["c.csv"]          # read files archived
+
+
+def test_run_writes_quality_log(spark, tmp):
+    src = _csv(tmp, "s.csv",
+               "order_id,customer_id,order_date,product_id,price\n"
+               "A1,,2026-01-02,P1,10\nA1,C2,2026-01-03,P2,20\n"
+               "A3,C3,2099-01-03,P3,0\n")
+    t = os.path.join(tmp, "t")
+    run(spark, src, SALES_JOB, t, run_id="r1",
+        quality_log_target=t + "_dq")
+    log = {r.issue_description: (r.check_type, r.affected_rows, r.severity,
+                                 r.run_id)
+           for r in spark.read.parquet(t + "_dq").collect()}
+    assert log["Missing customer_id values found"] == (
+        "Null Values", 1, "WARNING", "r1")
+    assert log["Duplicate order ids found"][1] == 1
+    assert log["Prices not above zero or missing"][1] == 1
+    assert log["Order dates after the run's as_of"][1] == 1
+    assert len(log) == 6
