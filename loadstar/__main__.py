@@ -31,7 +31,9 @@ def cmd_load(a) -> int:
     from .plans.jobspec import SALES_JOB
     from .plans.loadjob import run
     from .sinks.jdbc import JdbcTarget
+    from .session import input_bytes, size_shuffle
     spark = _session()
+    size_shuffle(spark, input_bytes(spark, a.input))
     spec = dataclasses.replace(
         SALES_JOB, on_error=a.on_error, csv_multi_line=not a.single_line,
         month_partition="order_date" if a.partition_by_month else None)

@@ -99,3 +99,37 @@ def stage(df, name: str = "stage", path: str | None = None):
     df.write.mode("errorifexists").parquet(path)
     # with the known schema: an empty frame writes no data file to infer from
     return spark.read.schema(df.schema).parquet(path)
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (through the cluster's FS)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in ([paths] if isinstance(paths, str) else paths):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            total += fs.getContentSummary(p).getLength()
+    return int(total)
+
+
+def size_shuffle(spark: SparkSession, nbytes: int,
+                 bytes_per_partition: int = 128 << 20,
+                 most: int = 200_000) -> int:
+    """Size the first shuffle of a job to its input: about one partition per
+    ``bytes_per_partition`` of input (at least the cluster's parallelism,
+    never fewer than already configured). AQE then coalesces partitions that
+    turn out small, so starting high keeps each reducer's share within
+    executor memory at any scale. For a dedicated job session (the CLI);
+    library functions never change session settings behind the caller."""
+    want = max(spark.sparkContext.defaultParallelism,
+               min(most, -(-nbytes // bytes_per_partition)))
+    have = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = max(want, have)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                   str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                   str(bytes_per_partition))
+    return n

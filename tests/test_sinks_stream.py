@@ -373,3 +373,18 @@ def test_run_writes_quality_log(spark, tmp):
     assert log["Prices not above zero or missing"][1] == 1
     assert log["Order dates after the run's as_of"][1] == 1
     assert len(log) == 6
+
+
+def test_shuffle_sizing(spark, tmp):
+    from loadstar.session import input_bytes, size_shuffle
+    p = _csv(tmp, "x.csv", "a\n" + "1\n" * 1000)
+    assert input_bytes(spark, [p]) == os.path.getsize(p)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffle(spark, 10 * (128 << 20)) >= 10
+        assert size_shuffle(spark, 1) >= int(before)       # never lowered
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
