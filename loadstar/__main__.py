@@ -38,7 +38,8 @@ def cmd_load(a) -> int:
         SALES_JOB, on_error=a.on_error, csv_multi_line=not a.single_line,
         month_partition="order_date" if a.partition_by_month else None)
     target = JdbcTarget(a.jdbc_url, a.jdbc_table,
-                        json.loads(a.jdbc_properties or "{}")) \
+                        json.loads(a.jdbc_properties or "{}"),
+                        atomic=a.jdbc_atomic) \
         if a.jdbc_url else a.target
     res = run(spark, a.input[0] if len(a.input) == 1 else a.input, spec,
               target, run_id=a.run_id, reject_target=a.rejects,
@@ -108,6 +109,8 @@ def main(argv=None) -> int:
     ld.add_argument("--jdbc-url")
     ld.add_argument("--jdbc-table", default="sales_transactions")
     ld.add_argument("--jdbc-properties", help="JSON of JDBC options")
+    ld.add_argument("--jdbc-atomic", action="store_true",
+                    help="stage, then move rows in one transaction")
     ld.add_argument("--rejects")
     ld.add_argument("--run-log")
     ld.add_argument("--quality-log", help="append the run's quality checks")

@@ -35,18 +35,68 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
     w.save()
 
 
+def execute_sql(spark, url: str, statements, properties: Mapping | None = None
+                ) -> None:
+    """Run DDL/DML statements in the database as one transaction, over a
+    JDBC connection opened by the driver's JVM (no Spark job)."""
+    jvm = spark.sparkContext._jvm
+    props = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        if k != "driver":
+            props.setProperty(k, str(v))
+    if properties and "driver" in properties:
+        jvm.java.lang.Class.forName(properties["driver"])
+    conn = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        conn.setAutoCommit(False)
+        st = conn.createStatement()
+        for sql in statements:
+            st.executeUpdate(sql)
+        conn.commit()
+    except Exception:
+        conn.rollback()
+        raise
+    finally:
+        conn.close()
+
+
 @dataclass(frozen=True)
 class JdbcTarget:
-    """A relational table as the load target of a run."""
+    """A relational table as the load target of a run.
+
+    ``atomic=True``: rows are first written (in parallel, per partition) to
+    a staging table, then moved into the target by one
+    ``INSERT INTO … SELECT`` in a single database transaction and the
+    staging table dropped — a failed or retried Spark job never leaves part
+    of a load in the target."""
     url: str
     table: str
     properties: Mapping = field(default_factory=dict)
     batchsize: int = 1000
     num_partitions: int | None = None
+    atomic: bool = False
 
     def write(self, df: DataFrame, mode: str = "append") -> None:
-        write_jdbc(df, self.url, self.table, mode, self.batchsize,
+        if not self.atomic:
+            write_jdbc(df, self.url, self.table, mode, self.batchsize,
+                       self.num_partitions, properties=self.properties)
+            return
+        import uuid
+        stage = f"{self.table}_STAGE_{uuid.uuid4().hex[:8]}".upper()
+        write_jdbc(df, self.url, stage, "replace", self.batchsize,
                    self.num_partitions, properties=self.properties)
+        cols = ", ".join(df.columns)
+        try:
+            if mode in ("replace", "overwrite"):
+                stmts = [f"DELETE FROM {self.table}"]
+            else:
+                stmts = []
+            stmts.append(f"INSERT INTO {self.table} ({cols}) "
+                         f"SELECT {cols} FROM {stage}")
+            execute_sql(df.sparkSession, self.url, stmts, self.properties)
+        finally:
+            execute_sql(df.sparkSession, self.url, [f"DROP TABLE {stage}"],
+                        self.properties)
 
     def count(self, spark) -> int:
         """Rows in the table, counted by the database (a pushed-down

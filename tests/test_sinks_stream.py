@@ -388,3 +388,25 @@ def test_shuffle_sizing(spark, tmp):
         spark.conf.unset(
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_atomic_jdbc_target(spark, tmp):
+    from loadstar.sinks.jdbc import JdbcTarget, execute_sql
+    url = f"jdbc:derby:memory:a{uuid.uuid4().hex[:8]};create=true"
+    execute_sql(spark, url, ["CREATE TABLE SALES (ORDER_ID VARCHAR(50) "
+                             "PRIMARY KEY, PRICE DOUBLE)"], DERBY)
+    tgt = JdbcTarget(url, "SALES", DERBY, atomic=True)
+    df = spark.createDataFrame([("A1", 1.0), ("A2", 2.0)],
+                               "ORDER_ID string, PRICE double")
+    tgt.write(df)
+    assert tgt.count(spark) == 2
+    # a duplicate key fails the single INSERT … SELECT: nothing of this
+    # load lands, and the staging table is gone
+    bad = spark.createDataFrame([("A3", 3.0), ("A1", 9.0)],
+                                "ORDER_ID string, PRICE double")
+    with pytest.raises(Exception):
+        tgt.write(bad)
+    assert tgt.count(spark) == 2
+    tables = read_jdbc(spark, url, "SYS.SYSTABLES", DERBY).filter(
+        F.col("TABLENAME").like("SALES_STAGE_%")).count()
+    assert tables == 0
