@@ -295,11 +295,24 @@ def read_jdbc(spark: SparkSession, url: str, table: str,
               properties: dict | None = None,
               partition_column: str | None = None, lower=None, upper=None,
               num_partitions: int | None = None) -> DataFrame:
-    """JDBC source. With ``partition_column`` and bounds the read is split
-    into ``num_partitions`` parallel range queries instead of one."""
-    r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for k, v in (properties or {}).items():
-        r = r.option(k, v)
+    """JDBC source. With ``partition_column`` the read is split into
+    ``num_partitions`` parallel range queries instead of one; bounds that
+    are not given are looked up with one ``MIN``/``MAX`` query run by the
+    database."""
+    def reader():
+        r = spark.read.format("jdbc").option("url", url)
+        for k, v in (properties or {}).items():
+            r = r.option(k, v)
+        return r
+    if partition_column and (lower is None or upper is None):
+        b = reader().option(
+            "query", f"SELECT MIN({partition_column}) AS lo, "
+                     f"MAX({partition_column}) AS hi FROM {table}").load().first()
+        lower = b[0] if lower is None else lower
+        upper = b[1] if upper is None else upper
+        if lower is None:                      # empty table
+            partition_column = None
+    r = reader().option("dbtable", table)
     if partition_column:
         r = (r.option("partitionColumn", partition_column)
               .option("lowerBound", lower).option("upperBound", upper)

@@ -410,3 +410,15 @@ def test_atomic_jdbc_target(spark, tmp):
     tables = read_jdbc(spark, url, "SYS.SYSTABLES", DERBY).filter(
         F.col("TABLENAME").like("SALES_STAGE_%")).count()
     assert tables == 0
+
+
+def test_jdbc_partitioned_read_finds_bounds(spark):
+    url = f"jdbc:derby:memory:p{uuid.uuid4().hex[:8]};create=true"
+    df = spark.range(1000).select(F.col("id").alias("ID"),
+                                  (F.col("id") * 2).alias("V"))
+    jdbc.write_jdbc(df, url, "T", mode="fail", properties=DERBY)
+    back = read_jdbc(spark, url, "T", DERBY, partition_column="ID",
+                     num_partitions=4)
+    assert back.rdd.getNumPartitions() == 4
+    assert back.count() == 1000
+    assert back.agg(F.sum("V")).first()[0] == sum(range(0, 2000, 2))
