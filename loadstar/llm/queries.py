@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import orc_ids, packing, sharding
+from . import licenses, linededup, orc_ids, packing, quality, sharding
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,31 @@ def op9(spark, sf_dir):
                              public_tokenizers.path(ORC_TOKENIZER))
     return orc_ids.positions(orc_ids.read_ids(
         spark, path, docs.schema["doc_id"].dataType))
+
+
+@query("op6_line_dedup", linededup.drop_lines_sql("documents"))
+def op6(spark, sf_dir):
+    """Documents without the boilerplate lines of their source."""
+    return linededup.drop_lines(documents(spark, sf_dir)).select(
+        "doc_id", "source", "text", "n_lines", "n_dropped")
+
+
+@query("op7_license_scan", licenses.scan_sql("documents"))
+def op7(spark, sf_dir):
+    """License phrases and lines that contain a template."""
+    return licenses.scan(documents(spark, sf_dir))
+
+
+@query("op8_quality_ledger", f"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  failed & {quality.mask(quality.BASE)} <> 0 AS base_failed,
+  failed & {quality.mask(quality.STRICT)} = 0 AS kept, failed
+FROM ({quality.ledger_sql("documents")})""")
+def op8(spark, sf_dir):
+    """Rule ledger of every document and the verdict of the strict policy."""
+    book = quality.ledger(documents(spark, sf_dir))
+    return book.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", (~quality.verdict(quality.BASE))
+        .alias("base_failed"), quality.verdict(quality.STRICT).alias("kept"),
+        "failed")
