@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, linededup, orc_ids, packing, quality, sharding
+from . import (langid, licenses, linededup, orc_ids, packing, pii, quality,
+               sharding)
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +97,30 @@ def op8(spark, sf_dir):
         "n_repeat_words", (~quality.verdict(quality.BASE))
         .alias("base_failed"), quality.verdict(quality.STRICT).alias("kept"),
         "failed")
+
+
+@query("op4_language_id")
+def op4(spark, sf_dir):
+    """Language of every document, learned from the other three folds."""
+    docs = documents(spark, sf_dir)
+    model = langid.train(docs, ~langid.held_out())
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred",
+        F.col("lang_score").alias("score"))
+
+
+@query("op3_pii")
+def op3(spark, sf_dir):
+    """Personal data of every document, with the words that disclose it."""
+    found = pii.find(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    counts = [F.size(F.filter("spans", _is_kind(k))).cast("long")
+              .alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(
+        "doc_id", *counts[:4],
+        F.sha2(pii.spans_text(base), 256).alias("base_sha256"),
+        pii.spans_text(F.col("spans")).alias("spans"), counts[4])
+
+
+def _is_kind(kind: str):
+    return lambda s: s["kind"] == kind
