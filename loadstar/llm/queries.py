@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (langid, licenses, linededup, orc_ids, packing, pii, quality,
-               sharding)
+from . import (decontam, langid, licenses, linededup, oddsketch, orc_ids,
+               packing, pii, quality, sharding)
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,16 @@ def op3(spark, sf_dir):
 
 def _is_kind(kind: str):
     return lambda s: s["kind"] == kind
+
+
+@query("op2_decontamination")
+def op2(spark, sf_dir):
+    """Documents that hold a benchmark item within its edit budget."""
+    return decontam.leaks(documents(spark, sf_dir),
+                          table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_near_duplicates")
+def op10(spark, sf_dir):
+    """Components of near-duplicate documents."""
+    return oddsketch.near_duplicates(documents(spark, sf_dir))
