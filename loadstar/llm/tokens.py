@@ -1,23 +1,27 @@
 """Token ids of whole texts by the ``tokenizers`` library.
 
-A text is cut before each space that follows a non-space; no token of a
-word-splitting tokenizer spans such a place. Each cut piece goes through the
-library's own normalizer, pre-tokenizer and model, and its ids are kept, so a
-word seen before costs one dictionary lookup. Ids travel as little-endian
-unsigned 32-bit integers.
+A text is cut where no token of a word-splitting tokenizer can span: before
+white space that follows something else, and between a letter and a comma or
+full stop at the end of a word (if the tokenizer's pre-tokenizer cuts there).
+Each piece goes through the library's own normalizer, pre-tokenizer and model,
+and its ids are kept, so a word seen before costs one dictionary lookup. Ids
+travel as little-endian unsigned 32-bit integers.
 """
 
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 from tokenizers import Tokenizer
 
-# Kept pieces per worker; beyond this the table starts anew.
-KEEP = 250_000
+# Kept pieces per worker. Beyond this the later three quarters go: what was
+# met first is what is met most.
+KEEP = 600_000
 # Longer pieces are encoded but not kept.
 KEEP_CHARS = 48
 _CUT = re.compile(r"(?<!\s) ")
+_LATIN = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 
 
 class _Kept(dict):
@@ -28,21 +32,41 @@ class _Kept(dict):
     def __missing__(self, key):
         value = self.make(key)
         if len(key) <= KEEP_CHARS:
-            if len(self) >= KEEP:
-                self.clear()
+            self.make_room()
             self[key] = value
         return value
 
+    def make_room(self) -> None:
+        if len(self) >= KEEP:
+            for old in list(islice(self, KEEP // 4, None)):
+                del self[old]
 
-class _AfterSpace(_Kept):
-    """Ids of " " + piece. A piece that is empty or ends in white space means
-    that the cut after it was not a safe one; ``unsafe`` then says so."""
+
+class _After(_Kept):
+    """Ids of a white-space character and the piece after it. ``unsafe`` is
+    set by a piece that is empty or ends in white space: the cut after such a
+    piece was not a safe one."""
     unsafe = False
+    lines: _After | None = None
+    stops: dict[str, bytes] = {}
 
     def __missing__(self, piece):
         if not piece or piece[-1].isspace():
             self.unsafe = True
             return b""
+        if self.lines is not None and "\n" in piece:
+            parts = piece.split("\n")
+            if not any(not p or p[-1].isspace() for p in parts):
+                return self[parts[0]] + b"".join(
+                    [self.lines[p] for p in parts[1:]])
+        elif piece[-1] in self.stops and piece[-2:-1].isalpha():
+            known = self.get(piece[:-1])
+            if known is None:
+                return self[piece[:-1]] + self.stops[piece[-1]]
+            # kept from the second time on
+            self.make_room()
+            self[piece] = value = known + self.stops[piece[-1]]
+            return value
         return super().__missing__(piece)
 
 
@@ -54,20 +78,42 @@ class Encoder:
     def __init__(self, path: str):
         tok = Tokenizer.from_file(path)
         self._norm, self._pre = tok.normalizer, tok.pre_tokenizer
-        model = tok.model
-        # model.tokenize is a pure function of the pre-token
-        self._pieces = _Kept(lambda s: b"".join(
-            t.id.to_bytes(4, "little") for t in model.tokenize(s)))
-        self._after = _AfterSpace(lambda s: self._chunk(" " + s))
-
-    def _chunk(self, chunk: str) -> bytes:
+        self._model = tok.model
+        self._learn_letters()
+        self._after = _After(lambda s: self._word(" ", s))
+        self._after.lines = _After(lambda s: self._word("\n", s))
+        self._after.stops = self._after.lines.stops = {
+            c: self._chunk(c) for c in ",."
+            if len(self._pre.pre_tokenize_str("ab" + c)) == 2}
+
+    def _split(self, chunk: str) -> list[str]:
         if self._norm is not None:
             chunk = self._norm.normalize_str(chunk)
-        if not chunk:
-            return b""
-        pieces = self._pieces
-        return b"".join([pieces[p] for p, _ in
-                         self._pre.pre_tokenize_str(chunk)])
+        return [p for p, _ in self._pre.pre_tokenize_str(chunk)]
+
+    def _learn_letters(self) -> None:
+        """What normalizer and pre-tokenizer make of each Latin letter, if a
+        word of such letters is one pre-token made of them one by one."""
+        letters = [chr(c) for c in range(0x41, 0x100) if _LATIN.match(chr(c))]
+        made = {c: self._split(c) for c in letters}
+        lead = self._split(" a")[0].removesuffix("".join(made["a"]))
+        word = lead + "".join("".join(made[c]) for c in letters)
+        self._letters = None
+        if self._split(" " + "".join(letters)) == [word]:
+            self._letters = {ord(c): "".join(p) for c, p in made.items()}
+            self._lead = lead
+
+    def _word(self, space: str, piece: str) -> bytes:
+        if space == " " and self._letters and _LATIN.fullmatch(piece):
+            return b"".join([t.id.to_bytes(4, "little") for t in
+                             self._model.tokenize(
+                self._lead + piece.translate(self._letters))])
+        return self._chunk(space + piece)
+
+    def _chunk(self, chunk: str) -> bytes:
+        tokenize = self._model.tokenize
+        return b"".join([t.id.to_bytes(4, "little")
+                         for p in self._split(chunk) for t in tokenize(p)])
 
     def _joined(self, pieces: list[str]) -> bytes | None:
         if len(pieces) == 1:
