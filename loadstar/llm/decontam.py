@@ -107,7 +107,7 @@ class Searcher:
         for n, where in starts.items():
             item, pattern, k = self.items[n]
             best = None
-            done = -1
+            done = float("-inf")
             for s in sorted(where):
                 # starts up to k apart share one stretch of text, which
                 # holds every passage that begins within k words of them

@@ -54,18 +54,21 @@ def vector(text: str | None) -> np.ndarray | None:
         return None
     codes = np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4")
     counts = np.zeros(DIMS)
-    letters = False
+    letters, tail = False, np.array([32], dtype="u4")
     for at in range(0, len(codes), _CHUNK):
-        c = _table()[codes[max(0, at - 2):at + _CHUNK]]
+        c = _table()[codes[at:at + _CHUNK]]
         letters = letters or bool((c != 32).any())
-        c = np.concatenate(([32], c, [32])).astype("u4")
+        end = [32] if at + _CHUNK >= len(codes) else []
+        c = np.concatenate((tail, c, end)).astype("u4")
         c = c[np.concatenate(([True], (c[1:] != 32) | (c[:-1] != 32)))]
         two = (c[:-1] * np.uint32(0x9E3779B1)) ^ (c[1:] * np.uint32(0x85EBCA6B))
         three = (two[:-1] * np.uint32(0xC2B2AE35)) ^ (
             c[2:] * np.uint32(0x27D4EB2F))
-        for h in (two, three):
+        # a tail of two holds a bigram that was counted with its stretch
+        for h in (two[len(tail) - 1:], three):
             h = h * np.uint32(0x2C1B3C6D)
             counts += np.bincount(h >> np.uint32(32 - 12), minlength=DIMS)
+        tail = c[-2:]
     if not letters:
         return None
     return np.sqrt(counts / counts.sum()).astype("f4")

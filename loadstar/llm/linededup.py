@@ -48,9 +48,11 @@ def boilerplate(pages: DataFrame, host_col: str = "source",
 
 def drop_lines(pages: DataFrame, host_col: str = "source",
                text_col: str = "text", max_ratio: float = MAX_RATIO,
-               min_pages: int = MIN_PAGES) -> DataFrame:
+               min_pages: int = MIN_PAGES,
+               counts: tuple[str, str] = ("n_lines", "n_dropped")
+               ) -> DataFrame:
     """``pages`` with boilerplate lines removed from ``text_col`` and two
-    columns, ``n_lines`` (lines with text) and ``n_dropped``.
+    columns (named by ``counts``): lines with text, and lines dropped.
 
     A line is boilerplate of a host if at least ``min_pages`` of the host's
     pages and more than ``max_ratio`` of them contain it (compared without
@@ -61,8 +63,8 @@ def drop_lines(pages: DataFrame, host_col: str = "source",
     * null or empty text stays as it is; blank lines are never dropped
     * null hosts form one host; repeated rows count as pages
     * very long texts and lines: whole lines are compared by fingerprint
-    * a page row keeps all its columns; ``n_lines`` / ``n_dropped`` of the
-      input are replaced; an empty table gives no rows
+    * a page row keeps all its columns; those named like ``counts`` are
+      replaced; an empty table gives no rows
 
     The boilerplate list of a host has at most pages-lines / (ratio × pages)
     entries: its size is bounded by the average lines of a page divided by
@@ -74,7 +76,7 @@ def drop_lines(pages: DataFrame, host_col: str = "source",
     found = lists.count()
     lists = small(lists.groupBy("__host").agg(F.collect_set(F.struct(
         "__a", "__b")).alias("__drop")), found)
-    joined = pages.drop("n_lines", "n_dropped").join(
+    joined = pages.drop(*counts).join(
         lists, F.col(host_col).eqNullSafe(F.col("__host")), "left") \
         .withColumn("__drop", F.coalesce("__drop", F.array().cast(
             "array<struct<__a:bigint,__b:bigint>>")))
@@ -99,8 +101,8 @@ def drop_lines(pages: DataFrame, host_col: str = "source",
         "__marked", lambda x: ~x["drop"]), lambda x: x["line"]), "\n")
     return counted.withColumns({
         text_col: F.when(drops, kept).otherwise(F.col(text_col)),
-        "n_lines": F.col("__n").cast("long"),
-        "n_dropped": F.when(drops, F.col("__d")).otherwise(0).cast("long"),
+        counts[0]: F.col("__n").cast("long"),
+        counts[1]: F.when(drops, F.col("__d")).otherwise(0).cast("long"),
     }).drop("__host", "__drop", "__marked", "__n", "__d")
 
 

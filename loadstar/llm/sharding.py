@@ -63,10 +63,11 @@ def _walk(x, n: int, seed: int, step) -> np.ndarray:
     keys, half = round_keys(seed), half_bits(n)
     if half > 31:
         raise ValueError("more than 2**62 rows")
-    out = step(np.asarray(x, dtype=np.int64), keys, half)
+    x = np.asarray(x, dtype=np.int64)
+    out = step(x.reshape(-1), keys, half)
     while (far := out >= n).any():
         out[far] = step(out[far], keys, half)
-    return out
+    return out.reshape(x.shape)
 
 
 def position(row, n: int, seed: int = 0) -> np.ndarray:
