@@ -115,13 +115,18 @@ def to_text(c: str | Column) -> Column:
     return col_of(c).cast("string")
 
 
+# Layout of timestamps in row images: up to six digits of a second.
+IMAGE_TIME = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+
+
 def json_image(cols: Iterable[str | Column]) -> Column:
     """a row image as JSON text; null fields are kept (as ``null``) and
-    timestamps are written as ``yyyy-MM-dd HH:mm:ss``."""
+    timestamps are written as ``yyyy-MM-dd HH:mm:ss`` with the fraction of a
+    second they have; decimals are written with all their digits."""
     return F.to_json(F.struct(*[col_of(c) for c in cols]),
                      {"ignoreNullFields": "false",
-                      "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
-                      "timestampFormat": "yyyy-MM-dd HH:mm:ss"})
+                      "timestampNTZFormat": IMAGE_TIME,
+                      "timestampFormat": IMAGE_TIME})
 
 
 def ts_literal(ts: _dt.datetime | _dt.date | str) -> Column:

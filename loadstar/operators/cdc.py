@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import json_image, ts_literal
+from ..functions.values import IMAGE_TIME, json_image, ts_literal
 
 # --- fixed values -----------------------------------------------------------
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
@@ -31,6 +31,12 @@ CHANGE_LOG_SCHEMA = T.StructType([
 ])
 
 
+def repeated_keys(snapshot: DataFrame, key: str) -> DataFrame:
+    """Keys that a snapshot holds more than once, with their row counts."""
+    return snapshot.groupBy(key).agg(F.count(F.lit(1)).alias("row_count")) \
+        .filter(F.col("row_count") > 1)
+
+
 def diff(old: DataFrame, new: DataFrame, key: str, as_of,
          columns: Sequence[str] | None = None) -> DataFrame:
     """Compare two snapshots keyed by ``key`` and emit the change log:
@@ -38,7 +44,9 @@ def diff(old: DataFrame, new: DataFrame, key: str, as_of,
     differs, nulls compared as equal) and DELETE (old image).
 
     A snapshot is expected to hold one row per key; if a key repeats, the
-    largest row image stands for it (deterministic)."""
+    largest row image stands for it (deterministic), and
+    :func:`repeated_keys` reports it. Images are exact: decimals keep their
+    digits, timestamps their microseconds."""
     cols = list(columns or new.columns)
     side = lambda df, s: df.select(
         F.col(key).alias("_key"),
@@ -56,9 +64,7 @@ def diff(old: DataFrame, new: DataFrame, key: str, as_of,
     changed = g.select("_key", "_o", "_n", kind.alias("change_type")).filter(
         F.col("change_type").isNotNull())
     img = lambda s: json_image(
-        [F.col(f"{s}.`{c}`").cast("double").alias(c)
-         if isinstance(new.schema[c].dataType, T.DecimalType)
-         else F.col(f"{s}.`{c}`").alias(c) for c in cols])
+        [F.col(f"{s}.`{c}`").alias(c) for c in cols])
     at = ts_literal(as_of)
     return changed.select(
         F.xxhash64(F.col("_key"), at).alias("change_id"),
@@ -69,6 +75,20 @@ def diff(old: DataFrame, new: DataFrame, key: str, as_of,
         F.when(n.isNotNull(), img("_n")).alias("new_values"))
 
 
+def append_changes(changes: DataFrame, log: str, key: str = "order_id") -> None:
+    """Append change rows to the change-log table at ``log`` (columns and
+    types of the log; the key column is stored as text)."""
+    changes.select(*[
+        F.col(key if f.name == "order_id" else f.name).cast(f.dataType)
+        .alias(f.name) for f in CHANGE_LOG_SCHEMA]).write.mode(
+        "append").parquet(log)
+
+
+def read_changes(spark, log: str) -> DataFrame:
+    """The change-log table at ``log``."""
+    return spark.read.schema(CHANGE_LOG_SCHEMA).parquet(log)
+
+
 def latest(changes: DataFrame, key: str,
            order: Sequence[str] = ("changed_at", "change_id")) -> DataFrame:
     """C3 (first half): the newest change per key, newest by ``order``
@@ -88,40 +108,95 @@ def latest(changes: DataFrame, key: str,
                       for c in changes.columns])
 
 
+def _row_type(cols, schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(c, schema[c].dataType, True)
+                         for c in cols])
+
+
+def _image(new_values: str, row_type: T.StructType):
+    return F.from_json(F.col(new_values), row_type,
+                       {"timestampNTZFormat": IMAGE_TIME,
+                        "timestampFormat": IMAGE_TIME})
+
+
+def unreadable_changes(changes: DataFrame, schema: T.StructType, key: str,
+                       change_type: str = "change_type",
+                       new_values: str = "new_values") -> DataFrame:
+    """Changes that no apply can use: a null key, or an INSERT or UPDATE
+    whose image is missing, is no JSON object of the table's row, or names
+    another key. :func:`apply_changes` leaves them out; keep them aside."""
+    image = _image(new_values, _row_type(schema.names, schema))
+    usable = F.col(f"`{key}`").isNotNull() & (
+        (F.col(change_type) == DELETE)
+        | image[key].eqNullSafe(F.col(f"`{key}`").cast(schema[key].dataType)))
+    return changes.filter(~F.coalesce(usable, F.lit(False)))
+
+
+# State columns of a table that changes are applied to as they arrive
+STATE = ("_changed_at", "_change_id", "_deleted")
+
+
+def with_state(df: DataFrame) -> DataFrame:
+    """A table as the starting state: rows older than any change."""
+    return df.withColumns({
+        "_changed_at": F.lit(None).cast("timestamp_ntz"),
+        "_change_id": F.lit(None).cast("bigint"), "_deleted": F.lit(False)})
+
+
+def visible(state: DataFrame) -> DataFrame:
+    """The rows of a stateful table that are there."""
+    return state.filter(~F.col("_deleted")).drop(*STATE)
+
+
 def apply_changes(target: DataFrame, changes: DataFrame, key: str,
                   changed_at: str = "changed_at",
                   change_id: str = "change_id",
                   change_type: str = "change_type",
                   new_values: str = "new_values") -> DataFrame:
     """Bring ``target`` up to date with a change log. Per key the newest
-    change wins over the current row; a DELETE removes the key; INSERT and
-    UPDATE carry the full new image (JSON text, read with the target's
-    schema). Keys without changes keep their row.
+    change (later ``changed_at``, then higher ``change_id``) wins; a DELETE
+    removes the key; INSERT and UPDATE carry the full new image (JSON text,
+    read with the target's schema). Keys without changes keep their row;
+    :func:`unreadable_changes` are left out.
+
+    A ``target`` made by :func:`with_state` keeps, per key, when its row last
+    changed, also for deleted keys (as tombstones). A change that arrives
+    late then loses to what is newer, and batches can be applied in any
+    order, or twice. A plain target knows no times: every change is newer.
 
     One union + one aggregate per key — no join, no window. (``MERGE INTO``
     needs a table format such as Delta; this is the plain-parquet form.)"""
-    cols = target.columns
-    row_type = T.StructType([T.StructField(f.name, f.dataType, True)
-                             for f in target.schema.fields])
+    stateful = all(c in target.columns for c in STATE)
+    cols = [c for c in target.columns if not (stateful and c in STATE)]
+    row_type = _row_type(cols, target.schema)
+    none = lambda t: F.lit(None).cast(t)
     cur = target.select(
         F.col(f"`{key}`").alias("_key"),
-        F.struct(F.lit(0).alias("p"),
-                 F.lit(None).cast("timestamp_ntz").alias("at"),
-                 F.lit(None).cast("bigint").alias("id"),
-                 F.lit(False).alias("del"),
+        F.struct((F.col("_changed_at") if stateful else none("timestamp_ntz"))
+                 .alias("at"),
+                 (F.col("_change_id") if stateful else none("bigint"))
+                 .alias("id"),
+                 (F.col("_deleted") if stateful else F.lit(False))
+                 .alias("del"),
                  F.struct(*[F.col(f"`{c}`").cast(row_type[c].dataType)
                             for c in cols]).cast(row_type).alias("row"))
         .alias("_v"))
+    image = _image(new_values, row_type)
+    deletes = F.col(change_type) == DELETE
     chg = changes.select(
-        F.col(f"`{key}`").alias("_key"),
-        F.struct(F.lit(1).alias("p"),
-                 F.col(changed_at).cast("timestamp_ntz").alias("at"),
+        F.col(f"`{key}`").cast(target.schema[key].dataType).alias("_key"),
+        F.struct(F.col(changed_at).cast("timestamp_ntz").alias("at"),
                  F.col(change_id).cast("bigint").alias("id"),
-                 (F.col(change_type) == DELETE).alias("del"),
-                 F.from_json(F.col(new_values), row_type,
-                             {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"})
-                  .alias("row"))
-        .alias("_v"))
+                 deletes.alias("del"),
+                 F.when(~deletes, image).alias("row")).alias("_v")).filter(
+        F.col("_key").isNotNull() & (
+            F.col("_v.del") | F.col(f"_v.row.`{key}`").eqNullSafe(
+                F.col("_key"))))
     g = cur.unionByName(chg).groupBy("_key").agg(F.max("_v").alias("_v"))
-    return g.filter(~F.col("_v.del")).select(
-        *[F.col(f"_v.row.`{c}`").alias(c) for c in cols])
+    if not stateful:
+        return g.filter(~F.col("_v.del")).select(
+            *[F.col(f"_v.row.`{c}`").alias(c) for c in cols])
+    return g.select(*[
+        (F.col("_key") if c == key else F.col(f"_v.row.`{c}`")).alias(c)
+        for c in cols], F.col("_v.at").alias("_changed_at"),
+        F.col("_v.id").alias("_change_id"), F.col("_v.del").alias("_deleted"))

@@ -118,8 +118,8 @@ def dedupe(df: DataFrame, subset: Sequence[str] | None = None,
 
 # ------------------------------------------------------ column classes ---
 
-NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
-                 T.FloatType, T.DoubleType, T.DecimalType)
+INTEGER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+NUMERIC_TYPES = (*INTEGER_TYPES, T.FloatType, T.DoubleType, T.DecimalType)
 
 
 def _stats_columns(df: DataFrame, skip: set = frozenset()) -> list[Column]:
@@ -212,6 +212,26 @@ def _bucket(vd: Column, lo_d: float, hi_d: float, buckets: int,
     return F.greatest(F.lit(0), F.least(raw, F.lit(buckets - 1)))
 
 
+def _midpoint(lo, hi):
+    """A value of the column's exact type between ``lo`` (inclusive) and
+    ``hi`` (exclusive); decimals keep their scale, however wide."""
+    if isinstance(lo, decimal.Decimal):
+        with decimal.localcontext(decimal.Context(prec=80)):
+            step = decimal.Decimal(1).scaleb(lo.as_tuple().exponent)
+            return lo + ((hi - lo) / 2).quantize(
+                step, rounding=decimal.ROUND_FLOOR)
+    if isinstance(lo, int):
+        return lo + (hi - lo) // 2
+    return lo + (hi / 2 - lo / 2)
+
+
+def _exact(value, dt: T.DataType) -> Column:
+    """``value`` as a literal of the column's type."""
+    if isinstance(value, decimal.Decimal):
+        return F.lit(format(value, "f")).cast(dt)
+    return F.lit(value).cast(dt)
+
+
 def _kth_values(vals: DataFrame, ks: Sequence[int], lo, hi, n: int,
                 buckets: int, fetch_limit: int, max_passes: int = 80) -> dict:
     """Exact k-th smallest (0-based) non-null values of column ``v``.
@@ -223,9 +243,11 @@ def _kth_values(vals: DataFrame, ks: Sequence[int], lo, hi, n: int,
     ``fetch_limit`` rows, the answer is read directly. A pass that cuts the
     candidates by less than a quarter of the bucket count switches the next
     pass between linear and log-magnitude buckets, so values spread over
-    many orders of magnitude converge as fast as evenly spread ones."""
+    many orders of magnitude converge as fast as evenly spread ones. Values
+    that doubles cannot tell apart are halved on their exact type, so any
+    number of them converges too."""
     v = F.col("v")
-    vd = v.cast("double")
+    vd, kind = v.cast("double"), vals.schema["v"].dataType
     out = {}
     # k → (lo, hi, rows below lo, rows in [lo, hi], log-scale buckets?)
     pending = {k: (lo, hi, 0, n, False) for k in ks}
@@ -241,21 +263,13 @@ def _kth_values(vals: DataFrame, ks: Sequence[int], lo, hi, n: int,
                 for k in kk:
                     out[k] = glo
                 continue
-            in_range = vals.where(v.between(F.lit(glo), F.lit(ghi)))
+            in_range = vals.where(v.between(_exact(glo, kind),
+                                            _exact(ghi, kind)))
             b = None if passes >= max_passes else _bucket(
                 vd, float(glo), float(ghi), buckets, log_scale)
-            if b is None:
-                # values indistinguishable as doubles: fetch the remaining
-                # slice only when its known size is within the bound
-                if cnt > fetch_limit:
-                    raise ValueError(
-                        f"median slice of {cnt} rows cannot be split "
-                        "further as doubles; raise fetch_limit")
-                rows = [r["v"] for r in in_range.select("v").orderBy("v")
-                        .limit(max(kk) - below + 1).collect()]
-                for k in kk:
-                    out[k] = rows[k - below]
-                continue
+            halved = b is None
+            if halved:
+                b = (v > _exact(_midpoint(glo, ghi), kind)).cast("int")
             hist = sorted(tuple(r) for r in in_range.groupBy(b.alias("b")).agg(
                 F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"),
                 F.max("v").alias("mx")).collect())
@@ -267,13 +281,14 @@ def _kth_values(vals: DataFrame, ks: Sequence[int], lo, hi, n: int,
                             out[k] = mn
                         elif bn <= fetch_limit:
                             rows = [r["v"] for r in vals
-                                    .where(v.between(F.lit(mn), F.lit(mx)))
+                                    .where(v.between(_exact(mn, kind),
+                                                     _exact(mx, kind)))
                                     .select("v").orderBy("v").limit(bn)
                                     .collect()]
                             out[k] = rows[k - seen]
                         else:
-                            stalled = bn * max(2, min(8, buckets // 4)) \
-                                > cnt
+                            stalled = not halved and bn * max(2, min(
+                                8, buckets // 4)) > cnt
                             nxt[k] = (mn, mx, seen, bn,
                                       (not log_scale) if stalled
                                       else log_scale)
@@ -292,38 +307,65 @@ def _value_expr(dt: T.DataType, c: Column) -> Column:
     return v
 
 
-def _median_from(vals: DataFrame, n: int, lo, hi, buckets: int,
+def _median_stats(v: Column, tag: str = "") -> list[Column]:
+    """Aggregates a median starts from: counts of −∞, finite values and +∞,
+    and the smallest and largest finite value. Infinities are ranks, not
+    part of a range that is cut into buckets."""
+    low = v.cast("double") == F.lit(float("-inf"))
+    high = v.cast("double") == F.lit(float("inf"))
+    finite = F.when(~low & ~high, v)
+    return [F.count_if(low).alias(f"_l{tag}"), F.count(finite)
+            .alias(f"_n{tag}"), F.count_if(high).alias(f"_h{tag}"),
+            F.min(finite).alias(f"_lo{tag}"), F.max(finite).alias(f"_hi{tag}")]
+
+
+def _median_from(vals: DataFrame, stats: tuple, buckets: int,
                  fetch_limit: int):
-    if not n:
+    below, n, above, lo, hi = stats
+    rows = below + n + above
+    if not rows:
         return None
-    k1, k2 = (n - 1) // 2, n // 2
-    got = _kth_values(vals, sorted({k1, k2}), lo, hi, n, buckets,
-                      fetch_limit)
-    a, b = got[k1], got[k2]
+    ks = sorted({(rows - 1) // 2, rows // 2})
+    inner = [k - below for k in ks if below <= k < below + n]
+    got = _kth_values(vals, inner, lo, hi, n, buckets, fetch_limit) \
+        if inner else {}
+    ends = [float("-inf") if k < below else got[k - below]
+            if k < below + n else float("inf") for k in ks]
+    a, b = ends[0], ends[-1]
     if isinstance(a, float) or isinstance(b, float):
-        return (float(a) + float(b)) / 2 if k1 != k2 else float(a)
-    a, b = decimal.Decimal(a), decimal.Decimal(b)
-    return (a + b) / 2 if k1 != k2 else a
+        a, b = float(a), float(b)
+        # the mean of two infinities of unlike sign is no number
+        return a if a == b else None if math.isinf(a) and math.isinf(b) \
+            else a / 2 + b / 2 if abs(a) > 1e307 or abs(b) > 1e307 \
+            else (a + b) / 2
+    with decimal.localcontext(decimal.Context(prec=80)):
+        a, b = decimal.Decimal(a), decimal.Decimal(b)
+        return a if len(ks) == 1 else (a + b) / 2
 
 
 def exact_median(df: DataFrame, c: str | Column, buckets: int = 1024,
                  fetch_limit: int = 4096, stats: tuple | None = None):
-    """Exact median of a numeric column (nulls and NaN skipped; even
-    count → mean of the two middle values; no values → None).
+    """Exact median of a numeric column (nulls and NaN skipped,
+    infinities counted; even count → mean of the two middle values; no
+    values, or −∞ and +∞ in the middle → None).
 
     Unlike ``F.median``/``percentile`` — whose final step holds every
     distinct value of the column in one task — every pass here is a
     distributed ``groupBy`` with a bounded result, so memory does not grow
     with the data. Decimal and integer inputs give an exact Decimal.
-    ``stats`` = (count, min, max) of the values when already known."""
+    ``stats`` = the values of :func:`_median_stats` when already known."""
     col = F.col(c) if isinstance(c, str) else c
     vals = df.select(col.alias("v"))
     vals = vals.select(_value_expr(vals.schema["v"].dataType, F.col("v"))
                        .alias("v")).where(F.col("v").isNotNull())
     if stats is None:
-        st = vals.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
-        stats = (st[0], st[1], st[2])
-    return _median_from(vals, *stats, buckets, fetch_limit)
+        stats = tuple(vals.agg(*_median_stats(F.col("v"))).first())
+    return _median_from(_finite(vals), stats, buckets, fetch_limit)
+
+
+def _finite(vals: DataFrame) -> DataFrame:
+    d = F.col("v").cast("double")
+    return vals.where((d > F.lit(float("-inf"))) & (d < F.lit(float("inf"))))
 
 
 # ------------------------------------------------------------------ fill ---
@@ -333,18 +375,21 @@ class FillPlan:
     """What :func:`fill_missing` decided, for the run log."""
     values: dict = field(default_factory=dict)      # column → fill value
     nulls_before: int = 0
+    nulls_after: int = 0        # missing cells that the fill leaves
 
 
 def _fill_literal(dt: T.DataType, median) -> Column | None:
     if median is None:
         return None
     if isinstance(dt, T.DecimalType):
-        q = decimal.Decimal(1).scaleb(-dt.scale)
-        return F.lit(decimal.Decimal(median).quantize(
-            q, rounding=decimal.ROUND_HALF_UP)).cast(dt)
-    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return F.lit(int(decimal.Decimal(median).quantize(
-            decimal.Decimal(1), rounding=decimal.ROUND_HALF_UP))).cast(dt)
+        with decimal.localcontext(decimal.Context(prec=80)):
+            q = decimal.Decimal(1).scaleb(-dt.scale)
+            return _exact(decimal.Decimal(median).quantize(
+                q, rounding=decimal.ROUND_HALF_UP), dt)
+    if isinstance(dt, INTEGER_TYPES):
+        # a fraction makes the column double (see fill_missing)
+        return F.lit(int(median)).cast(dt) if median == int(median) \
+            else F.lit(float(median))
     if isinstance(dt, (T.FloatType, T.DoubleType)):
         return F.lit(float(median)).cast(dt)
     # numeric text column: keep text, write the number as text
@@ -371,8 +416,8 @@ def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
                  stage: bool = False, null_counts: dict | None = None,
                  median: str = "exact", accuracy: int = 10000
                  ) -> tuple[DataFrame, FillPlan]:
-    """Numeric columns with gaps get their exact median, text
-    columns get ``'Unknown'``; boolean columns without gaps and datetime
+    """Numeric columns with gaps get their exact median (an integer
+    column whose median is a fraction becomes double), text columns get ``'Unknown'``; boolean columns without gaps and datetime
     columns are left alone; ``exclude`` (key columns) is never filled, so a
     missing id stays missing and is rejected by the required rule.
 
@@ -408,15 +453,14 @@ def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
                                        F.lit(True)).alias(f"_num{i}"))
             else:
                 aggs.append(F.lit(True).alias(f"_num{i}"))
-            aggs += [F.count(v).alias(f"_n{i}"), F.min(v).alias(f"_lo{i}"),
-                     F.max(v).alias(f"_hi{i}")]
+            aggs += _median_stats(v, str(i))
             if median == "approx":
                 aggs.append(F.percentile_approx(v, 0.5, accuracy)
                             .alias(f"_q{i}"))
         r2 = df.agg(*aggs).first()
         for i, f in enumerate(gaps):
-            stats[f.name] = (r2[f"_num{i}"], r2[f"_n{i}"], r2[f"_lo{i}"],
-                             r2[f"_hi{i}"])
+            stats[f.name] = (r2[f"_num{i}"], tuple(
+                r2[f"_{x}{i}"] for x in ("l", "n", "h", "lo", "hi")))
             if median == "approx":
                 approx[f.name] = r2[f"_q{i}"]
     # medians of several columns: each column's selection passes run as
@@ -426,10 +470,9 @@ def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
     def median_of(f):
         if median == "approx":
             return approx.get(f.name)
-        _, n, lo, hi = stats[f.name]
         vals = df.select(_value_expr(f.dataType, F.col(f"`{f.name}`"))
                          .alias("v")).where(F.col("v").isNotNull())
-        return _median_from(vals, n, lo, hi, buckets, 4096)
+        return _median_from(_finite(vals), stats[f.name][1], buckets, 4096)
     with ThreadPoolExecutor(max_workers=max(1, min(8, len(todo)))) as ex:
         medians = dict(zip([f.name for f in todo], ex.map(median_of, todo)))
     exprs = []
@@ -448,17 +491,10 @@ def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
                 plan.values[f.name] = unknown
         exprs.append(F.coalesce(c, fill).alias(f.name) if fill is not None
                      else c)
+    plan.nulls_after = plan.nulls_before - sum(nulls[c] for c in plan.values)
     return df.select(*exprs), plan
 
 
-def null_cells(df: DataFrame) -> Column:
-    """Total missing cells as one aggregate column."""
-    total = F.lit(0).cast("bigint")
-    for f in df.schema.fields:
-        total = total + F.count_if(F.col(f"`{f.name}`").isNull())
-    return total
-
-
 # ---------------------------------------------------------------- coerce ---
 
 def coerce_column(c: Column, dt: T.DataType, target: str) -> Column:

@@ -27,6 +27,14 @@ class JobSpec:
     # Also partition the loaded table by the month of this timestamp column
     # (``<column>_month``), so recency queries prune whole months.
     month_partition: str | None = None
+    # Enforce the constraints of ``table`` (if the catalog has it) on lake
+    # loads: NOT NULL, text lengths, magnitudes and key uniqueness reject rows
+    # with a reason, and loaded rows get the table's types and defaults.
+    enforce_table: bool = True
+    # Key columns (default: the table's key), and the columns that decide
+    # which row of a repeated key stays (then: the first delivered).
+    key: tuple[str, ...] = ()
+    key_order: tuple[str, ...] = ()
     # "exact" (distributed selection) or "approx" (percentile_approx) median
     median: str = "exact"
 

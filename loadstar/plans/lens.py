@@ -46,18 +46,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Session setting: spread a fact table's rows over so many tasks before the
+# joins. A test file of one row group is one scan task; the bench asks for a
+# task per core. Unset, the plan is the plain scan.
+SPREAD = "loadstar.scan.spread"
+
+
 def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fact table with a floor on scan parallelism. A file written as one
-    row group is one scan task, and every broadcast join, projection and
-    partial aggregate above it would run in that single task; when the scan
-    has fewer splits than the session's parallelism, the rows are spread
-    round-robin first. At warehouse scale (thousands of row groups) the
-    condition is false and the plan is the plain scan."""
     df = table(spark, sf_dir, name)
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= want:
-        df = df.repartition(want)
-    return df
+    spread = int(spark.conf.get(SPREAD, "0"))
+    return df.repartition(spread) if spread else df
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,16 +122,21 @@ def _dirty_projection(df: DataFrame) -> DataFrame:
 
 def dirty_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed sales rows with nulls, negative prices and re-sent rows."""
-    d = _dirty_projection(_joined(spark, sf_dir))
-    return d.unionByName(d.filter(F.col("_k") % DIRT_RESENT == 0)).drop("_k")
+    return _resent(_dirty_projection(_joined(spark, sf_dir))).drop(
+        "_k", "_copy")
+
+
+def _resent(d: DataFrame) -> DataFrame:
+    """Rows with ``_copy`` = 0, and the re-sent ones once more with 1."""
+    return d.withColumn("_copy", F.explode(F.when(
+        F.col("_k") % DIRT_RESENT == 0, F.array(F.lit(0), F.lit(1)))
+        .otherwise(F.array(F.lit(0)))))
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty rows as text columns, plus a ``_row`` ordinal that stands
     for the position in the delivered file (used by keep-first dedupe)."""
-    d = _dirty_projection(_joined(spark, sf_dir)).withColumn("_copy", F.lit(0))
-    d = d.unionByName(d.filter(F.col("_k") % DIRT_RESENT == 0)
-                       .withColumn("_copy", F.lit(1)))
+    d = _resent(_dirty_projection(_joined(spark, sf_dir)))
     k = F.col("_k")
     date_text = (F.when(k % DIRT_JUNK_DATE == 0, F.lit("Unknown"))
                   .when(k % 3 == 0, F.date_format("order_date", "MM/dd/yyyy"))

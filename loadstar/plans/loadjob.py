@@ -20,6 +20,7 @@ from ..sinks.files import archive_file
 from ..sinks.jdbc import JdbcTarget
 from ..sinks.lake import load_run, row_count, verify_load, write_table
 from ..sources.csv import is_directory, read_csv, read_directory
+from ..schemas import CATALOG, conform, table_rules
 from .jobspec import JobSpec
 
 log = logging.getLogger("loadstar")
@@ -46,14 +47,38 @@ class TransformResult:
     extra_columns: list = field(default_factory=list)
     fills: dict = field(default_factory=dict)
     nulls_before: int = 0
+    nulls_after: int = 0
     observed_in: Observation | None = None      # rows read
     observed_dedup: Observation | None = None   # rows after dedupe
     staged_path: str | None = None              # where the deduped rows sit
 
 
+DUPLICATE_KEY = "duplicate_key"
+_ORD = "_delivered"            # position of a row among the deduped ones
+
+
+def _unique(good: DataFrame, bad: DataFrame, key: Sequence[str],
+            order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Key uniqueness: of the good rows of a key one stays (the least by
+    ``order``, then the first delivered), the others are rejected. Keys are
+    counted before anything is joined, and only repeated ones are."""
+    rank = F.struct(*[F.col(f"`{c}`") for c in order], F.col(_ORD))
+    twice = good.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(rank).alias("_least")).filter(
+        F.col("_n") > 1).select(
+        *[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(key)],
+        F.col(f"_least.{_ORD}").alias("_keep"))
+    same = [F.col(f"`{c}`") == F.col(f"_k{i}") for i, c in enumerate(key)]
+    joined = good.join(twice, same, "left")
+    extra = F.col("_keep").isNotNull() & (F.col("_keep") != F.col(_ORD))
+    gone = joined.filter(extra).select(
+        *good.columns, F.lit(DUPLICATE_KEY).alias("reject_reasons"))
+    return joined.filter(~extra).select(*good.columns), bad.unionByName(gone)
+
+
 def transform(df: DataFrame, spec: JobSpec,
               order_by: Sequence[str] | None = None,
-              stage: bool = True) -> TransformResult:
+              stage: bool = True, enforce: bool = False) -> TransformResult:
     """Schema gate → dedupe → fill → type conversion → rules, in that
     order (fill runs before conversion, so a missing value in a text-typed
     numeric column becomes 'Unknown' and then null, and is rejected).
@@ -72,6 +97,9 @@ def transform(df: DataFrame, spec: JobSpec,
     d = clean.dedupe(src, subset=spec.dedupe_subset, order_by=order_by)
     if order_by:
         d = d.drop(*order_by)
+    enforce = enforce and spec.enforce_table and spec.table in CATALOG
+    if enforce:
+        d = d.withColumn(_ORD, F.monotonically_increasing_id())
     # the staging write also counts rows and nulls per column, so the fill
     # needs no separate counting pass
     d = d.observe(obs_d, *clean.null_count_columns(d))
@@ -82,14 +110,27 @@ def transform(df: DataFrame, spec: JobSpec,
         nulls = clean.null_counts_from(d, observed(
             obs_d, lambda: d.agg(*clean.null_count_columns(d)).first()
             .asDict()))
-    filled, plan = clean.fill_missing(d, exclude=spec.fill_exclude,
-                                      unknown=spec.unknown_text,
-                                      null_counts=nulls, median=spec.median)
+    try:
+        filled, plan = clean.fill_missing(d, exclude=spec.fill_exclude,
+                                          unknown=spec.unknown_text,
+                                          null_counts=nulls,
+                                          median=spec.median)
+    except BaseException:
+        if staged:
+            drop_path(d.sparkSession, staged)
+        raise
     typed = clean.coerce_types(filled, spec.type_mappings)
     rules = clean.range_rules(typed, spec.value_constraints) + list(spec.rules)
+    if enforce:
+        rules += table_rules(spec.table, typed.columns)
     good, bad = quality.split(typed, rules)
+    if enforce:
+        key = spec.key or CATALOG[spec.table].key
+        if set(key) <= set(good.columns):
+            good, bad = _unique(good, bad, key, spec.key_order)
+        good, bad = good.drop(_ORD), bad.drop(_ORD)
     return TransformResult(good, bad, extra, plan.values, plan.nulls_before,
-                           obs_in if stage else None,
+                           plan.nulls_after, obs_in if stage else None,
                            obs_d if stage else None, staged)
 
 
@@ -104,6 +145,8 @@ class RunResult:
     rows_loaded: int = 0
     rows_rejected: int = 0
     malformed_rows: int = 0
+    nulls_before: int = 0      # missing cells before and after the fill
+    nulls_after: int = 0
     fills: dict = field(default_factory=dict)
     extra_columns: list = field(default_factory=list)
     error: str | None = None
@@ -147,6 +190,7 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
     Errors are logged in the run log and re-raised."""
     t0 = time.time()
     start = now()
+    t = None
     run_id = run_id or f"{start:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
     res = RunResult(run_id, FAILED, start, start)
     try:
@@ -162,12 +206,15 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
             csv = read_csv(spark, source, on_error=spec.on_error,
                            multi_line=spec.csv_multi_line)
             raw, malformed = csv.data, csv.malformed
-        t = transform(raw, spec, order_by=order_by)
+        lake = not isinstance(target, JdbcTarget)
+        t = transform(raw, spec, order_by=order_by, enforce=lake)
         res.extra_columns, res.fills = t.extra_columns, t.fills
+        res.nulls_before, res.nulls_after = t.nulls_before, t.nulls_after
         res.rows_read = int(observed(
             t.observed_in, lambda: {"rows": raw.count()})["rows"])
         res.duplicates_removed = res.rows_read - int(observed(
-            t.observed_dedup, lambda: {"_rows": 0})["_rows"])
+            t.observed_dedup, lambda: {"_rows": spark.read.parquet(
+                t.staged_path).count()})["_rows"])
         quality.enforce_policy(t.bad, spec.on_error)
         if isinstance(target, JdbcTarget):
             # relational target: append (as a table insert), then S8 — the
@@ -179,6 +226,8 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
             verify_load(before, res.rows_loaded, target.count(spark))
         else:
             good, extra = t.good, ()
+            if spec.enforce_table and spec.table in CATALOG:
+                good = conform(good, spec.table, start, keep_extra=True)
             if spec.month_partition:
                 mcol = f"{spec.month_partition}_month"
                 good = good.withColumn(mcol, F.trunc(spec.month_partition,
@@ -216,14 +265,13 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
                                                  table=spec.table)
                         .withColumn("run_id", F.lit(run_id)),
                         quality_log_target, mode="append", fmt=fmt)
-        if t.staged_path:
-            # both outputs are written: the staged copy is no longer needed
-            drop_path(spark, t.staged_path)
     except Exception as e:
         res.error = f"{type(e).__name__}: {e}"
         log.error("Run %s failed: %s", run_id, res.error)
         raise
     finally:
+        if t is not None and t.staged_path:
+            drop_path(spark, t.staged_path)
         res.end = now()
         log.info("Run %s %s in %.2fs: read %d, duplicates %d, loaded %d, "
                  "rejected %d", run_id, res.status, time.time() - t0,
@@ -233,6 +281,8 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
             details = {"rows_read": res.rows_read,
                        "duplicates_removed": res.duplicates_removed,
                        "fills": res.fills,
+                       "missing_before": res.nulls_before,
+                       "missing_after": res.nulls_after,
                        "extra_columns": res.extra_columns,
                        "target": str(target)}
             write_table(run_log_row(spark, run_id, spec.name, res.start,

@@ -49,10 +49,15 @@ def snapshots(spark, sf_dir):
 
 
 def _img(a: str) -> str:
-    fields = ", ".join(
-        f"{c} := CAST({a}.{c} AS DOUBLE)" if c == "total_price"
-        else f"{c} := {a}.{c}" for c in IMAGE_COLS)
-    return f"CAST(to_json(struct_pack({fields})) AS VARCHAR)"
+    """The row image: decimals and timestamps written out by hand, with all
+    their digits."""
+    def field(c: str) -> str:
+        v = f"{a}.{c}"
+        text = f"CAST({v} AS VARCHAR)" if c == "total_price" else \
+            f"""'"' || strftime({v}, '%Y-%m-%d %H:%M:%S.%f') || '"'""" \
+            if c == "order_date" else f"CAST(to_json({v}) AS VARCHAR)"
+        return f"""'"{c}":' || coalesce({text}, 'null')"""
+    return "'{' || " + " || ',' || ".join(map(field, IMAGE_COLS)) + " || '}'"
 
 
 _CHANGED = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in IMAGE_COLS)

@@ -5,6 +5,7 @@ the session's checkpoint folder; results are read back from the sinks."""
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -23,6 +24,11 @@ from .queries_cdc import SQL_SNAPSHOTS, snapshots
 from .queries_clean import RAW_COLS, dt as sql_dt, num as sql_num
 from .registry import ORACLE, register
 
+# the transform chain alone, without the table's constraints
+CHAIN_JOB = replace(SALES_JOB, enforce_table=False)
+# with them; of an order's lines the first is the one the table's key admits
+LENS_JOB = replace(SALES_JOB, key_order=("line_no", "product_id", "price",
+                                           "shipping_days"))
 RELOAD_SPLIT = dt.datetime(1998, 1, 1)     # runs r1 (before) and r2 (after)
 
 
@@ -75,7 +81,7 @@ def load_append_verify(spark, sf_dir):
     src = read_directory(spark, _raw_csv_dir(spark, sf_dir),
                          pattern="part-*.csv")
     target = scratch_path(spark, "sales-table")
-    res = run(spark, src.data, SALES_JOB, target, run_id="r1",
+    res = run(spark, src.data, CHAIN_JOB, target, run_id="r1",
               reject_target=target + "_rejects",
               run_log_target=target + "_runlog", order_by=["_row"])
     if res.status not in ("SUCCESS", "PARTIAL"):
@@ -190,7 +196,7 @@ def ingest_runs_one_batch(spark, sf_dir):
     src = scratch_path(spark, "raw-sales-csv-plain")
     export_csv(lens.raw_sales(spark, sf_dir).drop("_row"), src)
     base = scratch_path(spark, "stream-runs")
-    ingest.ingest_runs(spark, src, list(RAW_COLS), SALES_JOB,
+    ingest.ingest_runs(spark, src, list(RAW_COLS), CHAIN_JOB,
                        base + "/table", base + "/_checkpoint",
                        reject_target=base + "/rejects",
                        run_log_target=base + "/runlog")
@@ -254,6 +260,65 @@ def cdc_apply_buckets(spark, sf_dir):
     return ingest.read_buckets(spark, base)
 
 
+# What the table's rules say of each row of the transform chain, in order.
+SQL_CHECKED = f"""checked AS (
+  SELECT *, concat_ws(',',
+    CASE WHEN NOT coalesce(price BETWEEN 0 AND 100000, false)
+         THEN 'price_range' END,
+    CASE WHEN order_id IS NULL THEN 'order_id_not_null' END,
+    CASE WHEN customer_id IS NULL THEN 'customer_id_not_null' END,
+    CASE WHEN order_date IS NULL THEN 'order_date_not_null' END,
+    CASE WHEN product_id IS NULL THEN 'product_id_not_null' END,
+    CASE WHEN price IS NULL THEN 'price_not_null' END) AS reasons
+  FROM ({{chain}})),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY order_id, reasons = ''
+                               ORDER BY line_no, product_id, price,
+                                        shipping_days) AS nth FROM checked)"""
+_CHAIN = ORACLE["transform_full"].rpartition("SELECT * FROM f")[0]
+_CHECKED = SQL_CHECKED.replace("{chain}", "SELECT * FROM f")
+
+
+def _constrained_run(spark, sf_dir):
+    src = read_directory(spark, _raw_csv_dir(spark, sf_dir),
+                         pattern="part-*.csv")
+    target = scratch_path(spark, "sales-constrained")
+    run(spark, src.data, LENS_JOB, target, run_id="r1",
+        reject_target=target + "_rejects", order_by=["_row"])
+    return target
+
+
+@register("load_constraints", f"""
+{_CHAIN.rstrip()},
+{_CHECKED}
+SELECT order_id, customer_id, order_date, product_id, product_category,
+       CAST(price AS DECIMAL(10,2)) AS price, payment_type,
+       CAST(shipping_days AS INTEGER) AS shipping_days,
+       true AS stamped, line_no
+FROM ranked WHERE reasons = '' AND nth = 1""")
+def load_constraints(spark, sf_dir):
+    """The rows a load admits to the sales table: every NOT NULL,
+    length, magnitude and key constraint holds, columns have the table's
+    types, and the two time stamps their default."""
+    got = spark.read.parquet(_constrained_run(spark, sf_dir))
+    return got.withColumn("stamped", F.col("created_at").isNotNull()
+                          & (F.col("created_at") == F.col("updated_at"))) \
+        .drop("created_at", "updated_at", "run_id")
+
+
+@register("load_constraint_rejects", f"""
+{_CHAIN.rstrip()},
+{_CHECKED}
+SELECT order_id, line_no,
+       CASE WHEN reasons = '' THEN 'duplicate_key' ELSE reasons END
+         AS reject_reasons
+FROM ranked WHERE reasons <> '' OR nth > 1""")
+def load_constraint_rejects(spark, sf_dir):
+    """The rows the same load rejects, with every reason."""
+    return spark.read.parquet(_constrained_run(spark, sf_dir) + "_rejects") \
+        .select("order_id", "line_no", "reject_reasons")
+
+
 # the full load runs reproduce the transform chain
 ORACLE["load_append_verify"] = ORACLE["transform_full"]
 ORACLE["ingest_runs_one_batch"] = ORACLE["transform_full"]

@@ -129,8 +129,8 @@ def _fits(c: Col) -> Rule | None:
                 (c.name,))
 
 
-def table_rules(name: str) -> list[Rule]:
-    """The table's constraints as rules: NOT NULL (and the key) → required,
+def table_rules(name: str, columns=None) -> list[Rule]:
+    """The table's (those over ``columns``, if given) constraints as rules: NOT NULL (and the key) → required,
     VARCHAR(n) → max length, NUMERIC(p,s) → magnitude fits. Key uniqueness
     and foreign keys need other rows; see :func:`key_duplicates` and
     :func:`loadstar.operators.quality.orphan_count`."""
@@ -147,14 +147,17 @@ def table_rules(name: str) -> list[Rule]:
         r = _fits(c)
         if r is not None:
             rules.append(r)
-    return rules
+    return [r for r in rules
+            if columns is None or set(r.columns) <= set(columns)]
 
 
-def conform(df: DataFrame, name: str, as_of) -> DataFrame:
+def conform(df: DataFrame, name: str, as_of, keep_extra: bool = False
+            ) -> DataFrame:
     """Shape ``df`` to the table — table column order, types (``try``
     casts: a value that does not fit becomes null and fails NOT NULL),
     defaults for missing columns and nulls (``now`` = the run's ``as_of``, one
-    instant per run). Surrogate keys are left to the store."""
+    instant per run). Surrogate keys are left to the store. Columns that the
+    table does not have are dropped, or kept behind it with ``keep_extra``."""
     out = []
     for c in CATALOG[name].columns:
         if c.name in df.columns:
@@ -166,6 +169,9 @@ def conform(df: DataFrame, name: str, as_of) -> DataFrame:
                 F.lit(c.default).cast(c.type)
             col = F.coalesce(col, d)
         out.append(col.alias(c.name))
+    if keep_extra:
+        known = {c.name for c in CATALOG[name].columns}
+        out += [F.col(f"`{c}`") for c in df.columns if c not in known]
     return df.select(*out)
 
 

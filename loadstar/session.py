@@ -58,6 +58,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that "
+                               "driver and executors share")
         root = tempfile.mkdtemp(prefix="loadstar-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
@@ -116,15 +119,17 @@ def input_bytes(spark: SparkSession, paths) -> int:
 
 def size_shuffle(spark: SparkSession, nbytes: int,
                  bytes_per_partition: int = 128 << 20,
-                 most: int = 200_000) -> int:
+                 most: int | None = None) -> int:
     """Size the first shuffle of a job to its input: about one partition per
     ``bytes_per_partition`` of input (at least the cluster's parallelism,
     never fewer than already configured). AQE then coalesces partitions that
     turn out small, so starting high keeps each reducer's share within
     executor memory at any scale. For a dedicated job session (the CLI);
     library functions never change session settings behind the caller."""
-    want = max(spark.sparkContext.defaultParallelism,
-               min(most, -(-nbytes // bytes_per_partition)))
+    want = -(-nbytes // bytes_per_partition)
+    if most is not None:      # a cluster operator's own bound
+        want = min(most, want)
+    want = max(spark.sparkContext.defaultParallelism, want)
     have = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     n = max(want, have)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))

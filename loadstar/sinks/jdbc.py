@@ -105,7 +105,24 @@ class JdbcTarget:
             "query", f"SELECT COUNT(*) AS n FROM {self.table}")
         for k, v in self.properties.items():
             r = r.option(k, v)
-        try:
-            return int(r.load().first()[0])
-        except Exception:  # noqa: BLE001 - missing table
+        if not self.exists(spark):
             return 0
+        return int(r.load().first()[0])
+
+    def exists(self, spark) -> bool:
+        """Does the database list the table (or view)?"""
+        jvm = spark.sparkContext._jvm
+        props = jvm.java.util.Properties()
+        for k, v in self.properties.items():
+            props.setProperty(k, str(v))
+        con = jvm.java.sql.DriverManager.getConnection(self.url, props)
+        try:
+            schema, _, name = self.table.rpartition(".")
+            meta = con.getMetaData()
+            fold = str.upper if meta.storesUpperCaseIdentifiers() else \
+                str.lower if meta.storesLowerCaseIdentifiers() else str
+            found = meta.getTables(None, fold(schema) if schema else None,
+                                   fold(name.strip('"')), None)
+            return bool(found.next())
+        finally:
+            con.close()

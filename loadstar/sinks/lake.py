@@ -48,38 +48,61 @@ def write_observed(df: DataFrame, target: str, name: str = "sent",
     obs = Observation(f"{name}_{uuid.uuid4().hex[:12]}")
     write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), target,
                 **kw)
+    fs, p = _fs(df.sparkSession, target)
+    if kw.get("mode") == "fail" and not any(
+            not x.getPath().getName().startswith(("_", "."))
+            for x in fs.listStatus(p)):
+        return 0          # a new folder without data files
     try:
-        return int((obs.get or {}).get("rows", 0))
-    except Exception:  # noqa: BLE001 - metrics unavailable (empty input)
-        return 0
+        return int(obs.get["rows"])
+    except Exception:  # noqa: BLE001 - Spark has no metrics for this input
+        return row_count(df.sparkSession, target, kw.get("fmt", "parquet")) \
+            if kw.get("mode") == "fail" else 0
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def replace_folder(spark: SparkSession, new: str, place: str) -> None:
+    """Put folder ``new`` in place of ``place`` (either may be missing): the
+    old one is moved aside, the new one moved in, and only then the old one
+    deleted, so a crash leaves one of them whole."""
+    fs, src = _fs(spark, new)
+    _, dst = _fs(spark, place)
+    head, _, tail = place.rstrip("/").rpartition("/")
+    _, aside = _fs(spark, f"{head}/.old-{tail}-{uuid.uuid4().hex[:8]}")
+    had = fs.exists(dst)
+    if had and not fs.rename(dst, aside):
+        raise RuntimeError(f"{place} could not be moved aside")
+    if fs.exists(src) and not fs.rename(src, dst):
+        if had:
+            fs.rename(aside, dst)
+        raise RuntimeError(f"{place} could not be replaced")
+    if had:
+        fs.delete(aside, True)
 
 
 def load_run(df: DataFrame, target: str, run_id: str, run_col: str = "run_id",
              fmt: str = "parquet", extra_partitions: Sequence[str] = ()
              ) -> int:
-    """Idempotent load. The rows of one run are written to their own
-    ``run_col=<run_id>`` partition with dynamic partition overwrite, so
-    loading the same run again replaces exactly that partition and leaves
-    every other run untouched. With ``extra_partitions`` (e.g. the order
-    month, for partition pruning) the run's folder is cleared first and the
-    rows appended, so a rerun that covers fewer months leaves none of the
-    old ones behind. Returns the rows written."""
+    """Idempotent load. The rows of one run are written aside and then
+    take the place of the run's ``run_col=<run_id>`` folder, so loading a run
+    again replaces all of it — also with no rows, or with rows in fewer of
+    the ``extra_partitions`` (e.g. months) — and leaves every other run
+    untouched. Returns the rows written."""
+    spark, base = df.sparkSession, target.rstrip("/")
+    aside = f"{base}/_new-{uuid.uuid4().hex[:12]}"
     out = df.withColumn(run_col, F.lit(run_id))
-    if extra_partitions:
-        spark = df.sparkSession
-        run_dir = f"{target.rstrip('/')}/{run_col}={run_id}"
-        if path_exists(spark, run_dir):
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(run_dir)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()
-                            ).delete(p, True)
-        return write_observed(out, target, name=f"load_{run_id}",
-                              mode="append", fmt=fmt,
-                              partition_by=[run_col, *extra_partitions])
-    return write_observed(
-        out, target, name=f"load_{run_id}", mode="overwrite", fmt=fmt,
-        partition_by=[run_col],
-        options={"partitionOverwriteMode": "dynamic"})
+    rows = write_observed(out, aside, name=f"load_{run_id}", mode="fail",
+                          fmt=fmt, partition_by=[run_col, *extra_partitions])
+    folder = f"{run_col}={run_id}"
+    replace_folder(spark, f"{aside}/{folder}", f"{base}/{folder}")
+    fs, p = _fs(spark, aside)
+    fs.delete(p, True)
+    return rows
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -55,7 +55,7 @@ class CsvRead:
         if self.observed is None:
             return None
         try:
-            return int((self.observed.get or {}).get("malformed", 0))
+            return int(self.observed.get["malformed"])
         except Exception:  # noqa: BLE001 - metrics unavailable: count
             return self.malformed.count()
 
@@ -169,18 +169,24 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str],
              on_error: str = "log_and_continue", multi_line: bool = True,
              na_tokens: Sequence[str] = NA_TOKENS, delimiter: str = ",",
              with_file_name: bool = False) -> CsvRead:
-    """Read CSV files that share one header.
+    """Read CSV files, each by its own header.
 
-    ``columns``: header names when already known (e.g. from
-    :func:`read_directory`); otherwise the first file's header is used.
+    ``columns``: the files' common header when already known; otherwise the
+    headers are looked up, files are grouped by them and the groups combined
+    by column name, so files may order their columns differently.
     ``with_file_name``: add ``_source_file`` (F20, from ``_metadata``).
     Raises ``PATH_NOT_FOUND`` for a missing path (S2) and
     :class:`EmptyCsvError` when the file has no header line."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if columns is None:
+        if len(paths) > 1:
+            return read_files(spark, paths, on_error=on_error,
+                              multi_line=multi_line, na_tokens=na_tokens,
+                              delimiter=delimiter,
+                              with_file_name=with_file_name)
         line = header_line(spark, paths[0])
         if line is None:
-            raise EmptyCsvError(f"No columns to parse from file {paths[0]}")
+            raise EmptyCsvError(f"{paths[0]} holds no header line")
         columns = parse_header(line)
     cols = list(columns)
     df = _reader(spark, text_schema(cols), multi_line,
@@ -221,42 +227,35 @@ class DirectoryRead:
     skipped: dict            # file → reason
     parts: list = None       # one CsvRead per header group
 
+    @property
+    def columns(self) -> list[str]:
+        return self.data.columns
+
     def malformed_count(self) -> int | None:
         counts = [p.malformed_count() for p in (self.parts or [])]
         return None if any(c is None for c in counts) else sum(counts)
 
 
-def read_directory(spark: SparkSession, directory: str,
-                   pattern: str = "*.csv", **kw) -> DirectoryRead:
-    """Read every matching file of a directory. Files are grouped by
-    header; each group is one distributed read, and the groups are combined
-    by column name (columns missing in a group are null). A file without a
-    header is skipped and reported; no readable file at all is an error."""
-    files = list_files(spark, directory, pattern)
+def read_files(spark: SparkSession, files: Sequence[str], **kw
+               ) -> DirectoryRead:
+    """Read files grouped by header: each group is one distributed read, and
+    the groups are combined by column name (columns missing in a group are
+    null). A file that is not there is an error; a file without a header is
+    skipped and reported, and no header at all is :class:`EmptyCsvError`."""
     groups: dict[tuple, list[str]] = {}
     skipped = {}
-
-    def peek(f):
-        try:
-            return header_line(spark, f), None
-        except Exception as e:  # noqa: BLE001 - unreadable file: skip it
-            return None, f"unreadable: {e}"
     # header peeks are small independent reads: run them concurrently (an
     # object store answers many at once; a thread each costs nothing here)
     with ThreadPoolExecutor(max_workers=max(1, min(32, len(files)))) as ex:
-        peeked = list(ex.map(peek, files))
-    for f, (line, err) in zip(files, peeked):
-        if err:
-            skipped[f] = err
-            continue
+        peeked = list(ex.map(lambda f: header_line(spark, f), files))
+    for f, line in zip(files, peeked):
         if line is None:
             skipped[f] = "no header (empty file)"
-            continue
-        groups.setdefault(tuple(parse_header(line)), []).append(f)
-    for f, why in skipped.items():
-        log.warning("Skipping file %s: %s", f, why)
+            log.warning("Skipping %s: %s", f, skipped[f])
+        else:
+            groups.setdefault(tuple(parse_header(line)), []).append(f)
     if not groups:
-        raise ValueError(f"No valid CSV files found in {directory}")
+        raise EmptyCsvError(f"none of {len(files)} files holds a header line")
     data = malformed = None
     parts = []
     for cols, fs in groups.items():
@@ -268,7 +267,20 @@ def read_directory(spark: SparkSession, directory: str,
             malformed.unionByName(r.malformed, allowMissingColumns=True)
     log.info("Read %d files in %d header groups", sum(map(len,
              groups.values())), len(groups))
-    return DirectoryRead(data, malformed, files, skipped, parts)
+    return DirectoryRead(data, malformed, list(files), skipped, parts)
+
+
+def read_directory(spark: SparkSession, directory: str,
+                   pattern: str = "*.csv", **kw) -> DirectoryRead:
+    """Read every matching file of a directory (see
+    :func:`read_files`); no readable file at all is an error."""
+    files = list_files(spark, directory, pattern)
+    if not files:
+        raise ValueError(f"{directory}: no file matches {pattern}")
+    try:
+        return read_files(spark, files, **kw)
+    except EmptyCsvError as e:
+        raise ValueError(f"{directory}: {e}") from e
 
 
 def read_source(spark: SparkSession, path: str | Sequence[str],

@@ -14,9 +14,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sinks.lake import load_run
-from ..sources.csv import CORRUPT, parse_records, text_schema
+from ..session import drop_path, scratch_path, stage
+from ..sinks.lake import load_run, path_exists
+from ..sources.csv import (CORRUPT, DirectoryRead, EmptyCsvError, read_files,
+                           text_schema)
 
 
 def csv_stream(spark: SparkSession, input_dir: str, columns: Sequence[str],
@@ -40,26 +43,65 @@ def csv_stream(spark: SparkSession, input_dir: str, columns: Sequence[str],
     return r.csv(input_dir)
 
 
+def file_stream(spark: SparkSession, input_dir: str,
+                archive_dir: str | None = None,
+                max_files_per_trigger: int | None = None,
+                pattern: str = "*.csv") -> DataFrame:
+    """The paths of the files landing in ``input_dir``, as a stream. Only
+    names are read here; each micro-batch then reads its files the way a
+    batch load does, every file by its own header."""
+    r = (spark.readStream.format("binaryFile")
+         .schema("path string, modificationTime timestamp, length bigint, "
+                 "content binary").option("pathGlobFilter", pattern))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir",
+                                                      archive_dir)
+    return r.load(input_dir).select("path")
+
+
+def batch_files(df: DataFrame, columns: Sequence[str] = (), **kw
+                ) -> DirectoryRead | None:
+    """The files of a micro-batch of :func:`file_stream` as one frame; None
+    if none has a header. ``columns`` that no file has are null."""
+    files = sorted(r["path"] for r in df.collect())
+    if not files:
+        return None
+    try:
+        read = read_files(df.sparkSession, files, **kw)
+    except EmptyCsvError:
+        return None
+    for c in columns:
+        if c not in read.data.columns:
+            read.data = read.data.withColumn(c, F.lit(None).cast("string"))
+    return read
+
+
 def ingest_available_now(spark: SparkSession, input_dir: str,
                          columns: Sequence[str], target: str,
                          checkpoint: str,
                          process: Callable[[DataFrame], DataFrame],
                          reject_target: str | None = None,
                          archive_dir: str | None = None,
-                         max_files_per_trigger: int | None = None) -> dict:
+                         max_files_per_trigger: int | None = None,
+                         multi_line: bool = True) -> dict:
     """Process every new file once and stop.
 
+    Files are read by their own headers; ``columns`` is what ``process`` gets
+    at least (a column that no file of a batch has is null).
     ``process``: the per-batch pipeline (all-text rows in → rows to load),
     e.g. coercion + rules. Malformed rows of each batch go to
     ``reject_target``. Returns the query's last progress summary."""
-    stream = csv_stream(spark, input_dir, columns, archive_dir,
-                        max_files_per_trigger)
+    stream = file_stream(spark, input_dir, archive_dir, max_files_per_trigger)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        data, malformed = parse_records(df, columns)
-        load_run(process(data), target, f"batch-{epoch_id}")
+        read = batch_files(df, columns, multi_line=multi_line)
+        if read is None:
+            return
+        load_run(process(read.data), target, f"batch-{epoch_id}")
         if reject_target:
-            load_run(malformed, reject_target, f"batch-{epoch_id}")
+            load_run(read.malformed, reject_target, f"batch-{epoch_id}")
 
     q = (stream.writeStream.foreachBatch(batch)
          .option("checkpointLocation", checkpoint)
@@ -82,16 +124,17 @@ def ingest_runs(spark: SparkSession, input_dir: str, columns: Sequence[str],
     with ``run_id=batch-<epoch>``, exactly as a scheduled run over those
     files would be; a replayed batch overwrites its own partitions."""
     from ..plans.loadjob import run
-    stream = csv_stream(spark, input_dir, columns, archive_dir,
-                        max_files_per_trigger)
+    stream = file_stream(spark, input_dir, archive_dir, max_files_per_trigger)
     results = []
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        data, malformed = parse_records(df, columns)
-        res = run(spark, data, spec, target, run_id=f"batch-{epoch_id}",
+        read = batch_files(df, columns, multi_line=spec.csv_multi_line)
+        if read is None:
+            return
+        res = run(spark, read.data, spec, target, run_id=f"batch-{epoch_id}",
                   reject_target=reject_target, run_log_target=run_log_target)
         if reject_target:
-            load_run(malformed, reject_target + "_malformed",
+            load_run(read.malformed, reject_target + "_malformed",
                      f"batch-{epoch_id}")
         results.append((epoch_id, res.status, res.rows_loaded,
                         res.rows_rejected))
@@ -145,7 +188,9 @@ def apply_change_stream(spark: SparkSession, changes: DataFrame,
     applies its changes to version ``e`` (or the newest before it) and
     writes version ``e+1`` in one write, so readers always see a complete
     version and a replayed batch rewrites the same version. ``apply`` is
-    e.g. ``lambda cur, chg: cdc.apply_changes(cur, chg, key)``."""
+    e.g. ``lambda cur, chg: cdc.apply_changes(cur, chg, key)``. Start from
+    ``cdc.with_state(df)`` (and read through ``cdc.visible``) where changes
+    of one key can arrive in different batches: late ones then lose."""
     if latest_version(spark, target_base) is None:
         raise ValueError(f"{target_base} has no initial version v=0")
 
@@ -169,15 +214,25 @@ BUCKET_COL = "_bucket"
 
 def key_bucket(key: str, buckets: int):
     """Stable bucket of a key: ``pmod(xxhash64(key), buckets)``."""
-    from pyspark.sql import functions as F
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
 
 
+def _layout(spark: SparkSession, target: str, key: str, buckets: int) -> str:
+    """Marker of the layout a bucketed table was written with."""
+    return f"{target.rstrip('/')}/_layout/{key}-{buckets}"
+
+
 def write_buckets(df: DataFrame, target: str, key: str, buckets: int) -> None:
     """Initial layout for :func:`apply_change_stream_buckets`: the table
-    partitioned by key bucket."""
-    (df.withColumn(BUCKET_COL, key_bucket(key, buckets)).write
+    partitioned by key bucket (each bucket written by one task), with key and
+    bucket count recorded beside it."""
+    spark = df.sparkSession
+    (df.withColumn(BUCKET_COL, key_bucket(key, buckets))
+       .repartition(BUCKET_COL).write
        .mode("overwrite").partitionBy(BUCKET_COL).parquet(target))
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(_layout(spark, target, key, buckets))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
 
 
 def read_buckets(spark: SparkSession, target: str) -> DataFrame:
@@ -191,40 +246,46 @@ def apply_to_buckets(spark: SparkSession, target: str, changes: DataFrame,
     """C3 on a bucketed table (see :func:`write_buckets`), batch or
     streaming: merge ``changes`` into only the key buckets they touch.
 
-    The touched bucket ids (at most ``buckets`` small values) select the
-    current rows by partition pruning; ``apply`` merges the changes; the
-    result is staged under the checkpoint root (the job reads and replaces
-    the same folders); touched buckets that ended up empty are removed and
-    the others are replaced by dynamic partition overwrite. Re-applying the
-    same changes gives the same table. Returns the touched bucket ids."""
-    from pyspark.sql import functions as F
-
-    from ..session import drop_path, scratch_path
-    from ..sinks.lake import path_exists
-
-    chg = changes.withColumn(BUCKET_COL, key_bucket(key, buckets))
-    touched = sorted(r[0] for r in chg.select(BUCKET_COL).distinct()
-                     .collect())
-    if not touched:
-        return []
-    cur = spark.read.parquet(target).filter(
-        F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL)
-    merged = apply(cur, chg.drop(BUCKET_COL)).withColumn(
-        BUCKET_COL, key_bucket(key, buckets))
+    The changes are staged once. The touched bucket ids (at most ``buckets``
+    small values) select the current rows by partition pruning; ``apply``
+    merges the changes; the result is staged under the checkpoint root (the
+    job reads and replaces the same folders); touched buckets that ended up
+    empty are removed and the others are replaced by dynamic partition
+    overwrite. Re-applying the same changes gives the same table. A key or
+    bucket count other than the table's is refused. Returns the touched
+    bucket ids."""
+    if not path_exists(spark, _layout(spark, target, key, buckets)):
+        raise ValueError(f"{target} was not written with key {key!r} in "
+                         f"{buckets} buckets")
+    chg_path = scratch_path(spark, f"bucket-changes-{tag}")
     staged_path = scratch_path(spark, f"bucket-apply-{tag}")
-    merged.write.partitionBy(BUCKET_COL).parquet(staged_path)
-    staged = spark.read.schema(merged.schema).parquet(staged_path)
-    kept = {r[0] for r in staged.select(BUCKET_COL).distinct().collect()}
-    for b in touched:
-        part = f"{target.rstrip('/')}/{BUCKET_COL}={b}"
-        if b not in kept and path_exists(spark, part):
-            drop_path(spark, part)
-    if kept:
-        (staged.write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET_COL).parquet(target))
-    drop_path(spark, staged_path)
-    return touched
+    try:
+        chg = stage(changes.withColumn(BUCKET_COL, key_bucket(key, buckets)),
+                    path=chg_path)
+        touched = sorted(r[0] for r in chg.select(BUCKET_COL).distinct()
+                         .collect())
+        if not touched:
+            return []
+        cur = spark.read.parquet(target).filter(
+            F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL)
+        merged = apply(cur, chg.drop(BUCKET_COL)).withColumn(
+            BUCKET_COL, key_bucket(key, buckets)).repartition(BUCKET_COL)
+        merged.write.partitionBy(BUCKET_COL).parquet(staged_path)
+        staged = spark.read.schema(merged.schema).parquet(staged_path)
+        kept = {r[0] for r in staged.select(BUCKET_COL).distinct().collect()}
+        for b in touched:
+            part = f"{target.rstrip('/')}/{BUCKET_COL}={b}"
+            if b not in kept and path_exists(spark, part):
+                drop_path(spark, part)
+        if kept:
+            (staged.repartition(BUCKET_COL).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BUCKET_COL).parquet(target))
+        return touched
+    finally:
+        for path in (chg_path, staged_path):
+            if path_exists(spark, path):
+                drop_path(spark, path)
 
 
 def apply_change_stream_buckets(
