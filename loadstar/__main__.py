@@ -85,16 +85,16 @@ def cmd_marts(a) -> int:
 
 def cmd_ingest(a) -> int:
     from .plans.jobspec import SALES_JOB
-    from .sources.csv import header_line, list_files, parse_header
+    from .sources.csv import list_files
     from .streaming.ingest import ingest_runs
     spark = _session()
     files = list_files(spark, a.input)
     if not files:
         print(json.dumps({"batches": []}))
         return 0
-    cols = parse_header(header_line(spark, files[0]))
+    # every file is read by its own header
     print(json.dumps(ingest_runs(
-        spark, a.input, cols, SALES_JOB, a.target, a.checkpoint,
+        spark, a.input, SALES_JOB.expected_columns, SALES_JOB, a.target, a.checkpoint,
         reject_target=a.rejects, run_log_target=a.run_log,
         archive_dir=a.archive)))
     return 0

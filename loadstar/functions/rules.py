@@ -14,8 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .values import col_of, ts_literal
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -55,18 +53,6 @@ def positive_rule(column: str, name: str | None = None) -> Rule:
                 (column,))
 
 
-def not_future_rule(column: str, as_of, name: str | None = None) -> Rule:
-    """Negation of P11: ``value <= as_of``."""
-    return Rule(name or f"{column}_not_future",
-                lambda: F.col(column) <= ts_literal(as_of), (column,))
-
-
-def in_set_rule(column: str, allowed: Sequence, name: str | None = None) -> Rule:
-    vals = list(allowed)
-    return Rule(name or f"{column}_allowed", lambda: F.col(column).isin(vals),
-                (column,))
-
-
 def max_length_rule(column: str, n: int, name: str | None = None) -> Rule:
     """VARCHAR(n) as a check: text longer than ``n`` fails; null passes."""
     return Rule(name or f"{column}_max_length",
@@ -74,11 +60,6 @@ def max_length_rule(column: str, n: int, name: str | None = None) -> Rule:
                 (column,))
 
 
-def expr_rule(name: str, sql: str) -> Rule:
-    """A rule given as a SQL boolean expression."""
-    return Rule(name, lambda: F.expr(sql))
-
-
 def reasons(rules: Sequence[Rule]) -> Column:
     """The names of every failed rule, in rule order, as an array."""
     if not rules:
@@ -87,13 +68,6 @@ def reasons(rules: Sequence[Rule]) -> Column:
         F.when(r.fails(), F.lit(r.name)) for r in rules]))
 
 
-def all_pass(rules: Sequence[Rule]) -> Column:
-    out = F.lit(True)
-    for r in rules:
-        out = out & r.passes()
-    return out
-
-
 def ordered_failures(rules: Sequence[Rule]) -> list[tuple[str, Column]]:
     """Rules applied one after another; rule *i* is charged only
     with rows that passed rules 1..i-1 and fail rule *i*. Returned as
@@ -104,7 +78,3 @@ def ordered_failures(rules: Sequence[Rule]) -> list[tuple[str, Column]]:
         out.append((r.name, F.count_if(prior & r.fails())))
         prior = prior & r.passes()
     return out
-
-
-def count_col(c: str | Column) -> Column:
-    return F.count(col_of(c))

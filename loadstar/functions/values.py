@@ -38,7 +38,6 @@ DATETIME_FORMATS = (
     "MM/dd/yyyy",
 )
 # Layout of the timestamp prefix given to archived files.
-ARCHIVE_STAMP_FORMAT = "yyyyMMdd_HHmmss"
 # Text used to fill missing values in text columns.
 UNKNOWN_TEXT = "Unknown"
 # ---------------------------------------------------------------------------
@@ -168,11 +167,6 @@ def elapsed_seconds(start: str | Column, end: str | Column) -> Column:
     return F.timestamp_diff("SECOND", col_of(start), col_of(end))
 
 
-def archive_stamp(ts: str | Column) -> Column:
-    """the ``yyyyMMdd_HHmmss`` prefix of an archived file name."""
-    return F.date_format(col_of(ts), ARCHIVE_STAMP_FORMAT)
-
-
 def severity_of(count: str | Column, threshold: int = 100) -> Column:
     """More than ``threshold`` affected rows is CRITICAL, else WARNING."""
     return F.when(col_of(count) > threshold, F.lit("CRITICAL")).otherwise(

@@ -55,9 +55,11 @@ def check_schema(df: DataFrame, expected: Iterable[str] | None) -> list[str]:
         return []
     missing, extra = schema_diff(df, expected)
     if missing:
-        raise SchemaError(f"Missing columns: {sorted(missing)}")
+        raise SchemaError(f"input lacks {len(missing)} of the expected "
+                          f"columns: {sorted(missing)}")
     if extra:
-        log.warning("Extra columns found: %s", sorted(extra))
+        log.warning("input has %d columns beyond the expected: %s",
+                    len(extra), sorted(extra))
     return extra
 
 
@@ -525,7 +527,7 @@ def coerce_types(df: DataFrame, mappings: Mapping[str, str]) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     for col, t in mappings.items():
         if col not in types:
-            log.warning("Column not found: %s", col)
+            log.warning("%s: not in the input, left out", col)
     return df.select(*[
         coerce_column(F.col(f"`{n}`"), types[n], mappings[n]).alias(n)
         if n in mappings else F.col(f"`{n}`") for n in df.columns])
@@ -537,7 +539,7 @@ def range_rules(df: DataFrame, constraints: Mapping[str, tuple]) -> list[Rule]:
     rules = []
     for col, (lo, hi) in constraints.items():
         if col not in df.columns:
-            log.warning("Column not found: %s", col)
+            log.warning("%s: not in the input, left out", col)
             continue
         rules.append(range_rule(col, lo, hi))
     return rules

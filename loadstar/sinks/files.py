@@ -31,8 +31,8 @@ def archive_file(spark: SparkSession, path: str, archive_dir: str,
         dst = jvm.org.apache.hadoop.fs.Path(dst_dir, f"{stamp}_{src.getName()}")
         if not fs.rename(src, dst):
             raise OSError(f"rename {path} → {dst.toString()} refused")
-        log.info("Archived file: %s", dst.toString())
+        log.info("%s moved to %s", path, dst.toString())
         return dst.toString()
     except Exception as e:  # noqa: BLE001 - archive failures only warn
-        log.warning("Could not archive file: %s", e)
+        log.warning("%s stays where it is: %s", path, e)
         return None

@@ -111,7 +111,7 @@ def test_load_run_failure_is_logged(spark, tmp):
     with pytest.raises(Exception):
         run(spark, src, SALES_JOB, target, run_log_target=target + "_log")
     log = spark.read.parquet(target + "_log").first()
-    assert log.status == "FAILED" and "Missing columns" in log.error_message
+    assert log.status == "FAILED" and "lacks 3 of the expected" in log.error_message
 
 
 def test_archive_failure_only_warns(spark, tmp):
