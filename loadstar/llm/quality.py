@@ -37,7 +37,8 @@ RULES = (
     Rule("few_words", "n_words < 50"),
     Rule("repeated_words", "100 * n_repeat_words > 50 * n_words"),
     Rule("symbols", "10 * n_symbols > n_words"),
-    Rule("repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule("repeated_lines",
+         "n_dup_lines > 2 AND 100 * n_dup_lines > 30 * n_lines"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
     Rule("capitals", "100 * n_capitals > 30 * word_chars"),
 )
