@@ -169,29 +169,35 @@ def disclosing(docs: DataFrame, near: DataFrame, text_col: str,
     ``near`` has entity, term and line. Counts are of distinct lines over the
     whole corpus; the corpus is read once more for the candidate terms only,
     and not at all where there is none."""
-    both = near.select("entity", "term", "line").distinct()
-    pairs = stage(both.groupBy("entity", "term").agg(
+    seen = near.select("entity", "term", "line").distinct()
+    pairs = stage(seen.groupBy("entity", "term").agg(
         F.count(F.lit(1)).alias("n_ct")).filter(
         F.col("n_ct") >= min_support), "pii-pairs")
-    n_pairs = pairs.count()
-    if not n_pairs:
+    if pairs.isEmpty():
         return pairs.select("entity", "term")
-    has = near.select("entity", "line").distinct().groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n_c"))
     lines = docs.select(F.explode(F.split(
         F.col(text_col).cast("string"), "\n")).alias("l"))
-    total = lines.select(F.xxhash64("l").alias("f")).distinct().count()
-    terms = small(pairs.select("term").distinct(), n_pairs)
+    total = float(lines.select(F.xxhash64("l").alias("f")).distinct().count())
+    n_c = near.select("entity", "line").distinct().groupBy("entity").agg(
+        F.count(F.lit(1)).alias("n_c"))
+    # PMI >= ratio * IC says n_t <= n_ct * (total / n_c) ** (1 - ratio). The
+    # lines near entities are some of the term's lines, so a term that stands
+    # in more of them than that is out before the corpus is read for it.
+    near_t = near.select("term", "line").distinct().groupBy("term").agg(
+        F.count(F.lit(1)).alias("n_near"))
+    most = F.col("n_ct") * F.pow(F.lit(total) / F.col("n_c"),
+                                 F.lit(1.0 - ratio)) * (1 + 1e-9)
+    pairs = stage(pairs.join(n_c, "entity").join(near_t, "term").filter(
+        (F.col("n_c") < total) & (F.col("n_near") <= most)), "pii-candidates")
+    terms = stage(pairs.select("term").distinct(), "pii-terms")
     known = lines.select(F.xxhash64("l").alias("f"), F.explode(
         F.array_distinct(F.split(F.lower("l"), r"[^\p{L}]+"))).alias("term")
-        ).join(terms, "term").distinct().groupBy("term").agg(
-        F.count(F.lit(1)).alias("n_t"))
-    pmi = F.log(F.col("n_ct") * F.lit(float(total))
-                / (F.col("n_c") * F.col("n_t")))
-    ic = F.log(F.lit(float(total)) / F.col("n_c"))
-    return pairs.join(has, "entity").join(known, "term").filter(
-        (F.col("n_c") < total) & (pmi >= F.lit(ratio) * ic)).select(
-        "entity", "term")
+        ).join(small(terms, terms.count()), "term").distinct().groupBy(
+        "term").agg(F.count(F.lit(1)).alias("n_t"))
+    pmi = F.log(F.col("n_ct") * F.lit(total) / (F.col("n_c") * F.col("n_t")))
+    ic = F.log(F.lit(total) / F.col("n_c"))
+    return pairs.join(known, "term").filter(
+        pmi >= F.lit(ratio) * ic).select("entity", "term")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
