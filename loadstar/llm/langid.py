@@ -177,17 +177,21 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
            learn: Column, per_language: int, max_languages: int
            ) -> DataFrame:
     """At most ``per_language`` labelled texts of each of the (at most)
-    ``max_languages`` most frequent labels, chosen by a hash of the id."""
+    ``max_languages`` most frequent labels, chosen by a hash of the id. The
+    labels' counts set how small a hash must be, so about twice as many ids
+    as are wanted are ranked, however many rows there are."""
     rows = docs.filter(learn & F.col(lang_col).isNotNull()
                        & F.col(text_col).isNotNull()
                        & F.col(id_col).isNotNull())
     common = rows.groupBy(F.col(lang_col).alias("__lang")).agg(
         F.count(F.lit(1)).alias("__n")).orderBy(F.desc("__n"), "__lang") \
-        .limit(max_languages).select("__lang")
+        .limit(max_languages)
+    share = (F.xxhash64("__id") / F.lit(2.0 ** 64) + 0.5) * F.col("__n")
     w = Window.partitionBy("__lang").orderBy(F.xxhash64("__id"), "__id")
     ids = rows.select(F.col(id_col).alias("__id"),
                       F.col(lang_col).alias("__lang")) \
         .join(F.broadcast(common), "__lang") \
+        .filter(share < 2 * per_language + 100) \
         .withColumn("__nth", F.row_number().over(w)) \
         .filter(F.col("__nth") <= per_language).select("__id", "__lang")
     # at most per_language * max_languages ids
