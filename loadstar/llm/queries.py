@@ -45,7 +45,13 @@ def op1(spark, sf_dir):
         "doc_tokens", "sequence_id", "offset")
 
 
-@query("op5_sharding")
+@query("op5_sharding", f"""
+SELECT documents.doc_id, coalesce(octet_length(encode(text)), 0) + 1 AS size,
+  crc AS text_crc32, 'rows' AS law, shard, slot,
+  CAST(NULL AS INTEGER) AS grown_shard, row_number
+FROM documents
+JOIN ({sharding.crc_sql("documents")}) USING (doc_id)
+JOIN ({sharding.assign_sql("documents", SHARDS, SHARD_SEED)}) USING (doc_id)""")
 def op5(spark, sf_dir):
     """Feistel shuffle of the row numbers into 16 shards."""
     docs = documents(spark, sf_dir).select(
@@ -133,7 +139,7 @@ def op2(spark, sf_dir):
                           table(spark, sf_dir, "benchmark"))
 
 
-@query("op10_near_duplicates")
+@query("op10_near_duplicates", oddsketch.near_duplicates_sql("documents"))
 def op10(spark, sf_dir):
     """Components of near-duplicate documents."""
     return oddsketch.near_duplicates(documents(spark, sf_dir))

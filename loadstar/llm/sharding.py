@@ -110,3 +110,48 @@ def assign(df: DataFrame, n_shards: int, seed: int = 0,
         "slot": F.expr(f"__pos div {int(n_shards)}"),
     }).drop("__pos")
 
+
+
+def assign_sql(rel: str, n_shards: int, seed: int = 0) -> str:
+    """DuckDB SQL for ``doc_id``, ``row_number``, ``shard`` and ``slot`` of a
+    relation with unique ``doc_id``: the same network and walk, step by step
+    in a recursive query."""
+    chain = []
+    for i, k in enumerate(round_keys(seed)):
+        p = f"((r + {k}) * {MULT_A})"
+        y = f"(xor({p}, {p} >> 29) & {_M31})"
+        chain.append(
+            f"s{i + 1} AS (SELECT d, row_number, half, mask, n, r AS l, "
+            f"xor(l, (({y} * {MULT_B}) >> 13) & mask) AS r FROM s{i})")
+    return f"""
+WITH RECURSIVE walk(d, row_number, half, n, x, steps) AS (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1,
+    greatest(1, (length(bin(greatest(c.n - 1, 1))) + 1) // 2)::BIGINT, c.n,
+    row_number() OVER (ORDER BY doc_id) - 1, 0
+  FROM {rel}, (SELECT count(*) AS n FROM {rel}) c
+  UNION ALL
+  SELECT d, row_number, half, n, x, steps + 1 FROM (
+    WITH s0 AS (SELECT d, row_number, half, (1::BIGINT << half) - 1 AS mask,
+      n, x >> half AS l, x & ((1::BIGINT << half) - 1) AS r, steps FROM walk
+      WHERE steps = 0 OR x >= n),
+    {", ".join(chain)}
+    SELECT z.d, z.row_number, z.half, z.n, (z.l << z.half) | z.r AS x,
+      s0.steps FROM s{ROUNDS} z JOIN s0 ON z.d = s0.d))
+SELECT d AS doc_id, row_number, (x % {n_shards})::INTEGER AS shard,
+  x // {n_shards} AS slot FROM walk WHERE steps > 0 AND x < n"""
+
+
+def crc_sql(rel: str, text: str = "text") -> str:
+    """DuckDB SQL for ``doc_id`` and the CRC-32 of the text's UTF-8 bytes."""
+    return f"""
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT range, 0, range::BIGINT FROM range(256)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1
+    THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+tab AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+hexed AS (SELECT doc_id, regexp_extract_all(hex(encode(coalesce({text}, ''))),
+  '..') AS h FROM {rel})
+SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(h, lambda x: ('0x' || x)::BIGINT)),
+  lambda c, b: xor(c >> 8, list_extract(t, xor(c & 255, b) + 1))),
+  4294967295) AS crc FROM hexed, tab"""
