@@ -17,15 +17,21 @@ from loadstar.llm.queries import PACK_TOKENIZER
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language. The labels in ``docs`` train the
-    model (a bounded sample, without the held-out fold); what has no letter,
-    or no text, goes.
+    """Documents in one of the languages that the labels in ``docs`` teach (a
+    bounded sample, without the held-out fold): those whose predicted language
+    scores at least the model's floor, which one in a thousand
+    (``langid.MAX_LOSS``) of the labelled texts stays under. What has no
+    letter, or no text, goes. One language alone has nothing to be told from,
+    so with one label, as with none, only the letterless go.
 
     Null labels are not learned from; an empty table gives no rows."""
-    model = langid.train(docs, ~langid.held_out())
+    model = langid.train(docs, ~langid.held_out(), calibrate=True)
+    if not model.families:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     return langid.identify(docs, model, lang_out="__lang",
                            score_out="__score").filter(
-        F.col("__lang") != langid.UNKNOWN).select(*docs.columns)
+        (F.col("__lang") != langid.UNKNOWN)
+        & (F.col("__score") >= F.lit(model.floor))).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

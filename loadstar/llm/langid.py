@@ -8,6 +8,7 @@ as square roots of their relative frequencies (vectors of length one).
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,6 +32,10 @@ UNKNOWN = "und"
 DIMS = 4096
 # Bounds of the labelled sample that the machines are fitted on.
 SAMPLE_PER_LANGUAGE, MAX_LANGUAGES = 500, 100
+# A calibrated model's floor is the score that this share of labelled texts
+# stays under when each is scored by machines fitted without its part of the
+# sample.
+MAX_LOSS, PARTS = 0.001, 3
 # Characters of a text held as numbers at a time.
 _CHUNK = 1 << 20
 _TABLE: list[np.ndarray] = []
@@ -100,11 +105,12 @@ def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0,
 @dataclass
 class Model:
     """Families, one machine per family, one per pair of a family's
-    languages."""
+    languages. A score below ``floor`` says that a text is in none of them."""
     families: dict[str, list[str]] = field(default_factory=dict)
     family_w: np.ndarray | None = None
     pairs: dict[str, list[tuple[int, int]]] = field(default_factory=dict)
     pair_w: dict[str, np.ndarray] = field(default_factory=dict)
+    floor: float = 0.0
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         """Labels and scores (0 to 1) of feature rows."""
@@ -173,6 +179,22 @@ def fit(x: np.ndarray, labels: list[str], families=FAMILIES) -> Model:
     return model
 
 
+def score_floor(x: np.ndarray, labels: list[str], families=FAMILIES,
+                max_loss: float = MAX_LOSS, parts: int = PARTS) -> float:
+    """The ``max_loss`` quantile of the scores that correctly identified rows
+    get from machines fitted on the other parts. Equal rows are in one part;
+    0 if no part can be scored."""
+    part = np.array([zlib.crc32(v.tobytes()) % parts for v in x])
+    y, right = np.array(labels, dtype=object), []
+    for p in range(parts):
+        rest, own = part != p, part == p
+        if rest.any() and own.any():
+            got, score = fit(x[rest], list(y[rest]), families).predict(x[own])
+            right.append(score[np.array(got, dtype=object) == y[own]])
+    right = np.concatenate(right) if right else np.zeros(0)
+    return float(np.quantile(right, max_loss)) if len(right) else 0.0
+
+
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
            learn: Column, per_language: int, max_languages: int
            ) -> DataFrame:
@@ -215,9 +237,11 @@ def _vectors(batches):
 def train(docs: DataFrame, learn: Column | None = None,
           id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE,
-          max_languages: int = MAX_LANGUAGES, families=FAMILIES) -> Model:
+          max_languages: int = MAX_LANGUAGES, families=FAMILIES,
+          calibrate: bool = False) -> Model:
     """Fit on a bounded sample of labelled rows where ``learn`` holds. The
-    sample's vectors (16 KB each) are made by the executors."""
+    sample's vectors (16 KB each) are made by the executors. ``calibrate``
+    sets the model's floor from the same sample."""
     python_ready(docs.sparkSession)
     learn = F.lit(True) if learn is None else learn
     rows = sample(docs, id_col, text_col, lang_col, learn, per_language,
@@ -228,7 +252,11 @@ def train(docs: DataFrame, learn: Column | None = None,
     if not got:
         return Model()
     x = np.stack([np.frombuffer(r["x"], dtype="f4") for r in got])
-    return fit(x, [r["lang"] for r in got], families)
+    labels = [r["lang"] for r in got]
+    model = fit(x, labels, families)
+    if calibrate:
+        model.floor = score_floor(x, labels, families)
+    return model
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text",
@@ -276,4 +304,4 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 __all__ = ["FAMILIES", "UNKNOWN", "Model", "vector", "fit", "fit_svm",
-           "train", "identify", "held_out"]
+           "score_floor", "train", "identify", "held_out"]

@@ -71,3 +71,13 @@ def test_long_texts_are_read_whole(monkeypatch):
     for size in (1, 2, 3, 7, 100):
         monkeypatch.setattr(langid, "_CHUNK", size)
         assert np.array_equal(whole, langid.vector(text)), size
+
+
+def test_floor_tells_junk_from_labelled_text(spark):
+    model = langid.train(docs(spark, _corpus()), calibrate=True)
+    assert 0 < model.floor < 1
+    assert langid.train(docs(spark, _corpus())).floor == 0
+    one = langid.train(docs(spark, [(1, "only one"), (2, "language here")]),
+                       calibrate=True)
+    assert one.floor == 1 and langid.identify(
+        docs(spark, [(3, "x")]), one).first()["lang_score"] == 1

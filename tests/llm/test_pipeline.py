@@ -61,6 +61,30 @@ def test_stages_against_brute_force(spark, tmp):
     assert leak in decontam.plain(dict((r[0], r[1]) for r in rows)[102])
 
 
+def test_language_stage_decides_by_the_prediction(spark):
+    step = dict(corpus_pipeline.STAGES)["language_id"]
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet") \
+        .select("doc_id", "text", "lang", "source")
+    rng = np.random.default_rng(5)
+    junk = [" ".join("".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 6))
+                     for _ in range(80)) for _ in range(10)]
+    junk += ["<td>{{x}}</td> " * 50, "0x4f 9zq " * 50,
+             "的一是了我不人在他有这个上们来到时 " * 30]
+    rows = [(-1 - i, t, None, "j") for i, t in enumerate(junk)]
+    kept = {r[0] for r in step(spark, given.unionByName(docs(
+        spark, rows).select(given.columns)), "").select("doc_id").collect()}
+    assert not [r for r in rows if r[0] in kept]
+    ids = {r[0] for r in given.select("doc_id").collect()}
+    assert len(ids - kept) <= 0.005 * len(ids)
+
+
+def test_language_stage_without_labels(spark):
+    step = dict(corpus_pipeline.STAGES)["language_id"]
+    df = docs(spark, [(1, "some text", None, "s"), (2, "日本", None, "s"),
+                      (3, "12 ?", None, "s"), (4, None, None, "s")])
+    assert {r[0] for r in step(spark, df, "").collect()} == {1, 2}
+
+
 def test_run_packs_what_is_left(spark, tmp):
     rows, _ = _tables(spark, tmp)
     out = corpus_pipeline.run(spark, tmp)
