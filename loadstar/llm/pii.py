@@ -1,16 +1,16 @@
 """Personal data: patterns, and words that give a person away.
 
 Patterns find the protected entities (email, ip, card and phone spans). For
-the words near them, the corpus tells how strongly each reveals its entity.
-With p(.) the share of the corpus' distinct lines that contain something, a
-word t discloses entity c if
+the words on their lines, the corpus tells how strongly each reveals its
+entity. With p(.) the share of the corpus' distinct lines that contain
+something, a word t discloses entity c if
 
     PMI(c, t) = log(p(c, t) / (p(c) p(t)))  >=  ratio * IC(c) = -ratio log p(c)
 
-and t stands near c in at least ``min_support`` distinct lines, so copies of
-one line prove nothing. Such words get spans of their own in the documents
-that hold the entity; ``redact`` generalises entities to their kind and
-removes the words.
+and t stands with c in at least ``min_support`` distinct lines, so copies of
+one line prove nothing. Such words get spans of their own, wherever they stand
+in the documents that hold the entity; ``redact`` generalises entities to
+their kind and removes the words.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .common import python_ready, small, stage
 
 KINDS = ("email", "ip", "card", "phone", "term")
-WINDOW, MIN_SUPPORT, RATIO = 10, 3, 0.8
+MIN_SUPPORT, RATIO = 3, 0.8
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
                          "0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -36,6 +36,7 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
 _RUN = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\W\d_]+")
+_LEAST_LETTERS = 3
 
 
 def luhn(digits: str) -> bool:
@@ -101,112 +102,162 @@ def entities(text: str) -> list[tuple[int, int, str]]:
     return [(s, e, KINDS[k]) for s, e, k in found]
 
 
-def nearby(text: str, spans, window: int):
-    """(entity, term, start, end, line) of the words within ``window`` words
-    of an entity on its line; words inside any span are not terms."""
-    taken = [(s, e) for s, e, _ in spans]
-    for s, e, kind in spans:
-        lo = text.rfind("\n", 0, s) + 1
-        hi = text.find("\n", e)
+def words(text: str):
+    """(word, start, end) of the runs of letters, in lower case."""
+    for m in _WORD.finditer(text):
+        if m.group().isalpha():
+            yield m.group().lower(), m.start(), m.end()
+            continue
+        # other number signs are no letters
+        for w, s, e in _letter_runs(m.group()):
+            yield w.lower(), m.start() + s, m.start() + e
+
+
+def _letter_runs(text: str):
+    start = None
+    for i, c in enumerate(text + " "):
+        if c.isalpha():
+            start = i if start is None else start
+        elif start is not None:
+            yield text[start:i], start, i
+            start = None
+
+
+def terms(text: Column) -> Column:
+    """The distinct words of a text, as ``words`` finds them."""
+    found = F.array_distinct(F.transform(F.split(text, r"[^\p{L}]+"), F.lower))
+    return F.filter(found, lambda w: F.length(w) >= _LEAST_LETTERS)
+
+
+def names(kind: str, text: str) -> list[str]:
+    """What an entity's words may disclose."""
+    return [f"{kind}:{text}"]
+
+
+def entity_lines(text: str, spans):
+    """(names, line, rest) of each line with entities: what they are called,
+    a hash of the line, and the line without what any span covers."""
+    i = 0
+    while i < len(spans):
+        lo = text.rfind("\n", 0, spans[i][0]) + 1
+        hi = text.find("\n", spans[i][1])
         hi = len(text) if hi < 0 else hi
-        after = []
-        for m in _WORD.finditer(text, e, hi):
-            after.append(m)
-            if len(after) == window:
-                break
-        # far enough back for `window` words of ordinary length; grown if not
-        back, reach = [], 32 * window
-        while True:
-            cut = max(lo, s - reach)
-            back = list(_WORD.finditer(text, cut, s))
-            if cut > lo and text[cut - 1].isalpha():
-                back = back[1:]
-            if cut == lo or len(back) >= window:
-                break
-            reach *= 2
+        called, rest, at = {}, [], lo
+        while i < len(spans) and spans[i][0] < hi:
+            s, e, kind = spans[i]
+            called.update(dict.fromkeys(names(kind, text[s:e])))
+            rest.append(text[at:s])
+            at = max(at, e)
+            i += 1
         line = hashlib.blake2b(text[lo:hi].encode("utf-8", "replace"),
                                digest_size=8).digest()
-        line = int.from_bytes(line, "little", signed=True)
-        name = f"{kind}:{text[s:e]}"
-        for m in back[-window:] + after:
-            if m.end() - m.start() >= 3 and not any(
-                    m.start() < b and a < m.end() for a, b in taken):
-                yield name, m.group().lower(), m.start(), m.end(), line
+        yield (list(called), int.from_bytes(line, "little", signed=True),
+               " ".join([*rest, text[at:hi]]))
 
 
-_NEAR = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()),
-                            ("start", pa.int64()), ("end", pa.int64()),
-                            ("line", pa.int64())]))
+_LINES = pa.list_(pa.struct([("names", pa.list_(pa.string())),
+                             ("line", pa.int64()), ("rest", pa.string())]))
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()),
                              ("kind", pa.string())]))
 SPAN_TYPE = "array<struct<start:bigint,end:bigint,kind:string>>"
-_NEAR_TYPE = ("array<struct<entity:string,term:string,start:bigint,"
-              "end:bigint,line:bigint>>")
+_LINES_TYPE = "array<struct<names:array<string>,line:bigint,rest:string>>"
 
 
-def _read(window: int, names: list[str]):
+def _read(columns: list[str]):
     def run(batches):
         for b in batches:
-            spans, near = [], []
+            spans, lines, held = [], [], []
             for t in b.column(2):
                 text = t.as_py() or ""
                 found = entities(text)
                 spans.append([{"start": s, "end": e, "kind": k}
                               for s, e, k in found])
-                near.append([dict(zip(("entity", "term", "start", "end",
-                                       "line"), x))
-                             for x in nearby(text, found, window)])
+                lines.append([dict(zip(("names", "line", "rest"), x))
+                              for x in entity_lines(text, found)])
+                held.append(text if found else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(spans, _SPANS),
-                 pa.array(near, _NEAR)], names=names)
+                 pa.array(lines, _LINES), pa.array(held, pa.string())],
+                names=columns)
     return run
 
 
-def disclosing(docs: DataFrame, near: DataFrame, text_col: str,
+def _mark(batches):
+    """Every place of a document's terms outside its pattern spans."""
+    for b in batches:
+        out = []
+        for text, spans, told in zip(b.column(1), b.column(2), b.column(3)):
+            text, told, places = text.as_py(), set(told.as_py()), []
+            spans = [(s["start"], s["end"]) for s in spans.as_py()]
+            i = reach = 0
+            for w, s, e in words(text):
+                # by start; ``reach`` is the furthest end of those before e
+                while i < len(spans) and spans[i][0] < e:
+                    reach = max(reach, spans[i][1])
+                    i += 1
+                if w in told and reach <= s:
+                    places.append({"start": s, "end": e, "kind": "term"})
+            out.append(places)
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array(out, _SPANS)], names=["__row", "__terms"])
+
+
+def disclosing(docs: DataFrame, lines: DataFrame, text_col: str,
                min_support: int, ratio: float) -> DataFrame:
-    """(``entity``, ``term``) pairs over the thresholds.
-
-    ``near`` has entity, term and line. Counts are of distinct lines over the
-    whole corpus; the corpus is read once more for the candidate terms only,
-    and not at all where there is none."""
-    seen = near.select("entity", "term", "line").distinct()
-    pairs = stage(seen.groupBy("entity", "term").agg(
+    """(``name``, ``term``) pairs over the thresholds.
+
+    ``lines`` has names, line and rest, in any number of copies. Counts are of
+    distinct lines over the whole corpus; the corpus is read once more for the
+    candidate terms only, and not at all where there is none. An entity on
+    fewer than ``min_support`` lines has no pair, so its words are not
+    counted."""
+    spark = docs.sparkSession
+    once = stage(lines.dropDuplicates(["line"]), "pii-lines")
+    n_c = stage(once.select(F.explode("names").alias("name")).groupBy(
+        "name").agg(F.count(F.lit(1)).alias("n_c")).filter(
+        F.col("n_c") >= min_support), "pii-names")
+    n_names = n_c.count()
+    if not n_names:
+        return spark.createDataFrame([], "name string, term string")
+    named = once.select("rest", F.explode("names").alias("name")).join(
+        small(n_c.select("name"), n_names), "name")
+    pairs = stage(named.select("name", F.explode(terms(F.col("rest")))
+                               .alias("term")).groupBy("name", "term").agg(
         F.count(F.lit(1)).alias("n_ct")).filter(
         F.col("n_ct") >= min_support), "pii-pairs")
     if pairs.isEmpty():
-        return pairs.select("entity", "term")
-    lines = docs.select(F.explode(F.split(
-        F.col(text_col).cast("string"), "\n")).alias("l"))
-    total = float(lines.select(F.xxhash64("l").alias("f")).distinct().count())
-    n_c = near.select("entity", "line").distinct().groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n_c"))
+        return pairs.select("name", "term")
+    corpus = stage(docs.select(F.explode(F.split(
+        F.col(text_col).cast("string"), "\n")).alias("l")).withColumn(
+        "f", F.xxhash64("l")).dropDuplicates(["f"]).select("l"), "pii-corpus")
+    total = float(corpus.count())
     # PMI >= ratio * IC says n_t <= n_ct * (total / n_c) ** (1 - ratio). The
-    # lines near entities are some of the term's lines, so a term that stands
+    # lines with entities are some of the term's lines, so a term that stands
     # in more of them than that is out before the corpus is read for it.
-    near_t = near.select("term", "line").distinct().groupBy("term").agg(
-        F.count(F.lit(1)).alias("n_near"))
+    near_t = once.select(F.explode(terms(F.col("rest"))).alias("term")) \
+        .groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
     most = F.col("n_ct") * F.pow(F.lit(total) / F.col("n_c"),
                                  F.lit(1.0 - ratio)) * (1 + 1e-9)
-    pairs = stage(pairs.join(n_c, "entity").join(near_t, "term").filter(
-        (F.col("n_c") < total) & (F.col("n_near") <= most)), "pii-candidates")
-    terms = stage(pairs.select("term").distinct(), "pii-terms")
-    known = lines.select(F.xxhash64("l").alias("f"), F.explode(
-        F.array_distinct(F.split(F.lower("l"), r"[^\p{L}]+"))).alias("term")
-        ).join(small(terms, terms.count()), "term").distinct().groupBy(
-        "term").agg(F.count(F.lit(1)).alias("n_t"))
+    pairs = stage(pairs.join(small(n_c, n_names), "name").join(
+        near_t, "term").filter((F.col("n_c") < total)
+                               & (F.col("n_near") <= most)), "pii-candidates")
+    wanted = stage(pairs.select("term").distinct(), "pii-terms")
+    known = corpus.select(F.explode(terms(F.col("l"))).alias("term")).join(
+        small(wanted, wanted.count()), "term").groupBy("term").agg(
+        F.count(F.lit(1)).alias("n_t"))
     pmi = F.log(F.col("n_ct") * F.lit(total) / (F.col("n_c") * F.col("n_t")))
     ic = F.log(F.lit(total) / F.col("n_c"))
     return pairs.join(known, "term").filter(
-        pmi >= F.lit(ratio) * ic).select("entity", "term")
+        pmi >= F.lit(ratio) * ic).select("name", "term")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         window: int = WINDOW, min_support: int = MIN_SUPPORT,
-         ratio: float = RATIO) -> DataFrame:
+         min_support: int = MIN_SUPPORT, ratio: float = RATIO) -> DataFrame:
     """One row per row of ``docs``: ``id_col`` and ``spans`` (structs of
     start, end and kind; code points, end exclusive; by start, then kind as
     in ``KINDS``). Pattern spans are always there; words that disclose an
-    entity of the document are added as kind ``term``.
+    entity of the document are added as kind ``term``, at every place in the
+    document outside its pattern spans.
 
     * null or empty text: no spans
     * null ids and repeated rows: one result row each; equal lines count once
@@ -218,17 +269,25 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     schema = T.StructType([
         T.StructField("__row", T.LongType()), T.StructField("__id", kind),
         T.StructField("spans", T._parse_datatype_string(SPAN_TYPE)),
-        T.StructField("near", T._parse_datatype_string(_NEAR_TYPE))])
+        T.StructField("lines", T._parse_datatype_string(_LINES_TYPE)),
+        # texts with entities only
+        T.StructField("text", T.StringType())])
     held = stage(docs.select(
         F.monotonically_increasing_id().alias("__row"),
         F.col(id_col).alias("__id"), F.col(text_col).cast("string")
-        .alias("__text")).mapInArrow(_read(window, schema.names), schema),
+        .alias("__text")).mapInArrow(_read(schema.names), schema),
         "pii")
-    near = held.select("__row", F.inline("near"))
-    told = disclosing(docs, near, text_col, min_support, ratio)
-    extra = near.join(told, ["entity", "term"]).groupBy("__row").agg(
-        F.collect_set(F.struct("start", "end", F.lit("term").alias("kind")))
-        .alias("__terms"))
+    told = stage(disclosing(docs, held.select(F.inline("lines")), text_col,
+                            min_support, ratio), "pii-told")
+    owners = held.filter(F.col("text").isNotNull())
+    own = owners.select("__row", F.flatten("lines.names").alias("names"),
+                        F.explode(terms(F.col("text"))).alias("term")).join(
+        small(told, told.count()), "term").filter(
+        F.array_contains("names", F.col("name"))).groupBy("__row").agg(
+        F.collect_set("term").alias("told"))
+    extra = owners.join(own, "__row").select(
+        "__row", "text", "spans", "told").mapInArrow(
+        _mark, f"__row bigint, __terms {SPAN_TYPE}")
     rank = {k: i for i, k in enumerate(KINDS)}
     order = F.create_map(*[F.lit(x) for kv in rank.items() for x in kv])
     joined = F.concat("spans", F.coalesce("__terms", F.array().cast(SPAN_TYPE)))

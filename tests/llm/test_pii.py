@@ -71,5 +71,23 @@ def test_spans_and_disclosing_words(spark):
     assert "<EMAIL>" in shown and "Zorblax" not in shown and "the" in shown
 
 
+def test_disclosing_words_are_marked_in_the_whole_document(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("klmnopqrst", k=6))
+    many = lambda n: " ".join(word() for _ in range(n))
+    rows = [(i, many(60)) for i in range(280)]
+    rows += [(1000 + i, many(9)) for i in range(400)]
+    # 40 words from the entity on its line, and on another line
+    rows += [(300 + i, f"Zorblax {many(40)} ceo@firm.example {many(3)}\n"
+              f"{many(2)} zorblax² {many(2)}") for i in range(6)]
+    rows += [(400, "zorblax alone")]
+    df = docs(spark, rows)
+    got, text = _spans(pii.find(df)), dict(rows)
+    for i in range(300, 306):
+        marked = [text[i][s:e] for s, e, k in got[i] if k == "term"]
+        assert marked == ["Zorblax", "zorblax"]
+    assert got[400] == []
+
+
 def test_empty_table(spark):
     assert pii.find(docs(spark, [])).count() == 0
