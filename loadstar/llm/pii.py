@@ -8,7 +8,8 @@ something, a word t discloses entity c if
     PMI(c, t) = log(p(c, t) / (p(c) p(t)))  >=  ratio * IC(c) = -ratio log p(c)
 
 and t stands with c in at least ``min_support`` distinct lines, so copies of
-one line prove nothing. Such words get spans of their own, wherever they stand
+one line prove nothing. Most entities are met once or twice, so c is also what
+an entity shares with others: its kind, and the domain of an email. Such words get spans of their own, wherever they stand
 in the documents that hold the entity; ``redact`` generalises entities to
 their kind and removes the words.
 """
@@ -36,7 +37,15 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
 _RUN = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\W\d_]+")
+# Words of fewer letters are no terms, but in the scripts without spaces every
+# two neighbouring characters are a word (a single one that stands alone is).
 _LEAST_LETTERS = 3
+_DENSE = ("\u0e01-\u0e30\u0e32-\u0e33\u0e40-\u0e46\u3041-\u3096\u30a1-\u30fa\u30fc"
+          "\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0002a6df")
+_RUNS = re.compile(f"[{_DENSE}]+|[^{_DENSE}]+")
+_DENSE_CHAR = re.compile(f"[{_DENSE}]")
+_PAIR = f"(?=([{_DENSE}]{{2}}))"
+_ALONE = f"(?<![{_DENSE}])([{_DENSE}])(?![{_DENSE}])"
 
 
 def luhn(digits: str) -> bool:
@@ -103,14 +112,26 @@ def entities(text: str) -> list[tuple[int, int, str]]:
 
 
 def words(text: str):
-    """(word, start, end) of the runs of letters, in lower case."""
+    """(word, start, end) of the runs of letters, in lower case; of a run in a
+    script without spaces, every two neighbours."""
     for m in _WORD.finditer(text):
-        if m.group().isalpha():
-            yield m.group().lower(), m.start(), m.end()
-            continue
+        whole = m.group().isalpha()
         # other number signs are no letters
-        for w, s, e in _letter_runs(m.group()):
-            yield w.lower(), m.start() + s, m.start() + e
+        for w, s, e in [(m.group(), 0, m.end() - m.start())] if whole \
+                else _letter_runs(m.group()):
+            s, e = s + m.start(), e + m.start()
+            if w.isascii():
+                yield w.lower(), s, e
+                continue
+            for r in _RUNS.finditer(w):
+                run, at = r.group(), s + r.start()
+                if not _DENSE_CHAR.match(run):
+                    yield run.lower(), at, at + len(run)
+                elif len(run) == 1:
+                    yield run, at, at + 1
+                else:
+                    for i in range(len(run) - 1):
+                        yield run[i:i + 2], at + i, at + i + 2
 
 
 def _letter_runs(text: str):
@@ -125,13 +146,25 @@ def _letter_runs(text: str):
 
 def terms(text: Column) -> Column:
     """The distinct words of a text, as ``words`` finds them."""
-    found = F.array_distinct(F.transform(F.split(text, r"[^\p{L}]+"), F.lower))
-    return F.filter(found, lambda w: F.length(w) >= _LEAST_LETTERS)
+    spaced = F.filter(F.transform(
+        F.split(text, rf"[^\p{{L}}]+|[{_DENSE}]+"), F.lower),
+        lambda w: F.length(w) >= _LEAST_LETTERS)
+    dense = F.when(text.rlike(f"[{_DENSE}]"), F.concat(
+        F.regexp_extract_all(text, F.lit(_PAIR), 1),
+        F.regexp_extract_all(text, F.lit(_ALONE), 1))).otherwise(
+        F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(spaced, dense))
 
 
 def names(kind: str, text: str) -> list[str]:
-    """What an entity's words may disclose."""
-    return [f"{kind}:{text}"]
+    """What an entity's words may disclose: the entity (however it is
+    written), the domain of an email, the kind."""
+    if kind in ("card", "phone"):
+        return [f"{kind}:{''.join(_DIGIT.findall(text))}", kind]
+    if kind == "ip":
+        return [f"ip:{'.'.join(str(int(p)) for p in text.split('.'))}", kind]
+    text = text.lower()
+    return [f"{kind}:{text}", f"domain:{text[text.index('@') + 1:]}", kind]
 
 
 def entity_lines(text: str, spans):
@@ -227,10 +260,10 @@ def disclosing(docs: DataFrame, lines: DataFrame, text_col: str,
         F.col("n_ct") >= min_support), "pii-pairs")
     if pairs.isEmpty():
         return pairs.select("name", "term")
-    corpus = stage(docs.select(F.explode(F.split(
+    corpus = docs.select(F.explode(F.split(
         F.col(text_col).cast("string"), "\n")).alias("l")).withColumn(
-        "f", F.xxhash64("l")).dropDuplicates(["f"]).select("l"), "pii-corpus")
-    total = float(corpus.count())
+        "f", F.xxhash64("l"))
+    total = float(corpus.select("f").distinct().count())
     # PMI >= ratio * IC says n_t <= n_ct * (total / n_c) ** (1 - ratio). The
     # lines with entities are some of the term's lines, so a term that stands
     # in more of them than that is out before the corpus is read for it.
@@ -242,7 +275,10 @@ def disclosing(docs: DataFrame, lines: DataFrame, text_col: str,
         near_t, "term").filter((F.col("n_c") < total)
                                & (F.col("n_near") <= most)), "pii-candidates")
     wanted = stage(pairs.select("term").distinct(), "pii-terms")
-    known = corpus.select(F.explode(terms(F.col("l"))).alias("term")).join(
+    # equal lines meet as their distinct words, which are shorter than the line
+    known = corpus.select("f", F.array_join(terms(F.col("l")), " ").alias(
+        "ws")).dropDuplicates(["f"]).select(F.explode(F.split("ws", " "))
+                                            .alias("term")).join(
         small(wanted, wanted.count()), "term").groupBy("term").agg(
         F.count(F.lit(1)).alias("n_t"))
     pmi = F.log(F.col("n_ct") * F.lit(total) / (F.col("n_c") * F.col("n_t")))

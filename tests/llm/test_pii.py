@@ -89,5 +89,41 @@ def test_disclosing_words_are_marked_in_the_whole_document(spark):
     assert got[400] == []
 
 
+def test_term_spans_on_the_given_tables(spark):
+    given = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    out = pii.find(given).select(
+        F.size(F.filter("spans", lambda s: s["kind"] == "term")).alias("n"))
+    assert out.filter("n > 0").count() > 0
+
+
+def test_entities_met_once_disclose_by_domain_and_kind(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("klmnopqrst", k=6))
+    rows = [(i, f"{word()} {word()} 天气很好 {word()}") for i in range(900)]
+    rows += [(1000 + i, f"{word()} Acmecorp p{i}@acme.example {word()}")
+             for i in range(4)]
+    rows += [(1100 + i, f"请联系王伟{word()} q{i}@{word()}.example")
+             for i in range(5)]
+    got, text = _spans(pii.find(docs(spark, rows))), dict(rows)
+    marked = {d: "".join(sorted({text[d][s:e] for s, e, k in got[d]
+                                 if k == "term"})) for d in text}
+    assert all(marked[1000 + i] == "Acmecorp" for i in range(4))
+    assert all("王伟" in marked[1100 + i] for i in range(5))
+    assert not any(marked[i] for i in range(900))
+
+
+def test_words_are_found_alike_by_both_readers(spark):
+    rng = random.Random(6)
+    parts = ["a", "Bcd", "É", "王", "伟", "の", "ก", "า", "²", "1", "_", " ",
+             "-", "\n", "ß", "word", "Ⅳ", "한국어"]
+    rows = [(i, "".join(rng.choices(parts, k=rng.randrange(1, 15))))
+            for i in range(500)]
+    got = docs(spark, rows).select("doc_id", pii.terms(F.col("text"))).collect()
+    for d, found in got:
+        want = {w for w, _, _ in pii.words(rows[d][1])
+                if len(w) >= 3 or pii._DENSE_CHAR.match(w)}
+        assert set(found) == want, rows[d][1]
+
+
 def test_empty_table(spark):
     assert pii.find(docs(spark, [])).count() == 0
