@@ -7,7 +7,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, stage
+from .. import session
+from ..session import drop_path, scratch_path
 
 # ASCII white space, the separator of words in several contracts.
 SPACE = " \t\n\x0b\x0c\r"
@@ -19,6 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the checkpoint folder and read again."""
+    path = scratch_path(df.sparkSession, name)
+    out = session.stage(df, name, path)
+    out._staged_at = path
+    return out
+
+
+def drop_staged(*tables: DataFrame) -> None:
+    """Delete the files of staged tables that no later job reads."""
+    for t in tables:
+        if getattr(t, "_staged_at", None):
+            drop_path(t.sparkSession, t._staged_at)
+
+
 def python_ready(spark: SparkSession) -> None:
     """Let Python workers find this package where it lies beside the driver
     (on a cluster it is installed or sent with ``--py-files``)."""
@@ -91,4 +107,4 @@ def numbered(df: DataFrame, order: list[Column], out: str = "row_number",
 
 __all__ = ["SPACE", "BROADCAST_ROWS", "table", "python_ready", "small",
            "letters_down", "let", "running_offsets", "numbered",
-           "scratch_path", "stage"]
+           "scratch_path", "stage", "drop_staged"]

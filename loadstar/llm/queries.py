@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontam, langid, licenses, linededup, oddsketch, orc_ids,
+from . import (bitplanes, decontam, langid, licenses, linededup, oddsketch, orc_ids,
                packing, pii, quality, sharding)
 from .common import scratch_path, table
 
@@ -143,3 +143,9 @@ def op2(spark, sf_dir):
 def op10(spark, sf_dir):
     """Components of near-duplicate documents."""
     return oddsketch.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op12_centroid_clusters", bitplanes.cluster_sql("embeddings"))
+def op12(spark, sf_dir):
+    """Clusters of all usable embeddings."""
+    return bitplanes.cluster(table(spark, sf_dir, "embeddings"))
