@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bitplanes, decontam, langid, licenses, linededup, oddsketch, orc_ids,
-               packing, pii, quality, sharding)
+from . import (bitplanes, decontam, langid, licenses, linededup, mainhtml,
+               oddsketch, orc_ids, packing, pii, quality, sharding)
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,23 @@ def op10(spark, sf_dir):
 def op12(spark, sf_dir):
     """Clusters of all usable embeddings."""
     return bitplanes.cluster(table(spark, sf_dir, "embeddings"))
+
+
+# The given pages have one template, which SQL can take apart by its tags.
+_TEMPLATE = r"""
+SELECT page_id, url, text, length(text) AS n_chars FROM (
+  SELECT page_id, url, coalesce(array_to_string(list_filter(list_transform(
+    string_split_regex(replace(regexp_extract(html,
+      '(?s)<article>(.*)</article>', 1), '<br>', ' '), '</?(?:p|h1)>'),
+    lambda p: trim(regexp_replace(replace(regexp_replace(regexp_replace(
+      regexp_replace(p, '<[^>]+>', '', 'g'), '&quot;?', '"', 'g'),
+      '&amp;?', '&', 'g'), chr(160), ' '), '\s+', ' ', 'g'))),
+    lambda p: p <> ''), chr(10)), '') AS text
+  FROM pages)"""
+
+
+@query("op13_html_extraction", _TEMPLATE)
+def op13(spark, sf_dir):
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return mainhtml.extract(pages, mainhtml.train(pages))
