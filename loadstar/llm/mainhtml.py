@@ -417,7 +417,7 @@ def train(pages: DataFrame, html_col: str = "html",
                [b.text for b, y in zip(p, ys) if not y]) for p, ys in known]
     rng = random.Random(seed)
     source += [(rng.sample(sentences, 5), sentences[:2])
-               for _ in range(max(20, len(source) // 4))]
+               for _ in range(max(60, len(source) // 4))]
     made = []
     for main, rest in source:
         for _ in range(layouts):
