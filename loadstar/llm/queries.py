@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bitplanes, decontam, langid, licenses, linededup, mainhtml,
-               oddsketch, orc_ids, packing, pii, quality, sharding)
+from . import (alignment, bitplanes, decontam, langid, licenses, linededup,
+               mainhtml, oddsketch, orc_ids, packing, pii, quality, sharding)
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,7 @@ ORACLE: dict[str, str] = {}
 
 PACK_TOKENIZER = "byte_bpe_50k.json"
 ORC_TOKENIZER = "word_bpe_49k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 SHARDS, SHARD_SEED = 16, 2026
 
 
@@ -169,3 +170,13 @@ def op13(spark, sf_dir):
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages")
     return mainhtml.extract(pages, mainhtml.train(pages))
+
+
+@query("op11_token_alignment")
+def op11(spark, sf_dir):
+    """Groups and links of two tokenizers' ids in every document."""
+    return alignment.align(documents(spark, sf_dir),
+                           public_tokenizers.path(PACK_TOKENIZER),
+                           public_tokenizers.path(PIECE_TOKENIZER)).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        "groups_sha256")

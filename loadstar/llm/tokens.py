@@ -85,6 +85,7 @@ class Encoder:
         self._after.stops = self._after.lines.stops = {
             c: self._chunk(c) for c in ",."
             if len(self._pre.pre_tokenize_str("ab" + c)) == 2}
+        self.stops = self._after.stops
 
     def _split(self, chunk: str) -> list[str]:
         if self._norm is not None:
@@ -115,6 +116,12 @@ class Encoder:
         return b"".join([t.id.to_bytes(4, "little")
                          for p in self._split(chunk) for t in tokenize(p)])
 
+    def chunk(self, text: str) -> bytes:
+        """Ids of one piece, which is not kept."""
+        if text[:1] == " ":
+            return self._word(" ", text[1:])
+        return self._chunk(text)
+
     def _joined(self, pieces: list[str]) -> bytes | None:
         if len(pieces) == 1:
             return self._chunk(pieces[0])
