@@ -37,6 +37,25 @@ DATETIME_FORMATS = (
     "MM/dd/yyyy HH:mm:ss",
     "MM/dd/yyyy",
 )
+# More layouts a job may name. Fractions have one to six digits; an offset
+# (``Z``, ``+02:00``) turns the wall clock into UTC.
+ALL_FORMATS = (
+    *DATETIME_FORMATS,
+    "yyyy-MM-dd HH:mm",
+    "yyyy-MM-dd'T'HH:mm",
+    "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "yyyy-MM-dd HH:mm:ssXXX",
+    "yyyy-MM-dd'T'HH:mm:ssXXX",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "MM/dd/yyyy HH:mm",
+    "yyyy/MM/dd HH:mm:ss",
+    "yyyy/MM/dd",
+    "dd.MM.yyyy HH:mm:ss",
+    "dd.MM.yyyy",
+    "dd/MM/yyyy",
+    "yyyyMMdd",
+)
 # Layout of the timestamp prefix given to archived files.
 # Text used to fill missing values in text columns.
 UNKNOWN_TEXT = "Unknown"
@@ -90,7 +109,11 @@ def layout_shape(fmt: str) -> str:
             out.append(re.escape(fmt[i + 1:k]))
             i = k + 1
             continue
-        if ch.isalpha():
+        if ch == "X":                       # offset
+            out.append(r"(Z|[+-]\d{2}:?\d{2})")
+        elif ch.isalpha() and fmt.isalnum():
+            out.append(rf"\d{{{j - i}}}")   # nothing between the fields
+        elif ch.isalpha():
             out.append(r"\d+")
         else:
             out.append(re.escape(fmt[i:j]))
@@ -103,10 +126,15 @@ def parse_datetime(c: str | Column,
     """Text → timestamp_ntz using an ordered list of layouts (the
     first that parses wins); text matching none of them → null. Each layout
     is attempted only on text of its shape."""
+    return F.coalesce(F.lit(None).cast("timestamp_ntz"), *[
+        parse_layout(c, f) for f in formats])
+
+
+def parse_layout(c: str | Column, fmt: str) -> Column:
+    """Text of one layout → timestamp_ntz, any other text → null."""
     c = col_of(c)
-    tries = [F.when(c.rlike(layout_shape(f)), F.try_to_timestamp(c, F.lit(f)))
-             for f in formats]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    return F.when(c.rlike(layout_shape(fmt)), F.try_to_timestamp(
+        c, F.lit(fmt)).cast("timestamp_ntz"))
 
 
 def to_text(c: str | Column) -> Column:

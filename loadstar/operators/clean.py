@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rules import Rule, range_rule
-from ..functions.values import (BOOL_TOKENS, UNKNOWN_TEXT, is_number_text,
-                                nan_to_null, parse_datetime, parse_number,
+from ..functions.values import (ALL_FORMATS, BOOL_TOKENS, DATETIME_FORMATS,
+                                UNKNOWN_TEXT, is_number_text,
+                                nan_to_null, parse_datetime,
+                                parse_layout, parse_number,
                                 to_text)
 
 log = logging.getLogger("loadstar")
@@ -499,14 +501,59 @@ def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
 
 # ---------------------------------------------------------------- coerce ---
 
-def coerce_column(c: Column, dt: T.DataType, target: str) -> Column:
+def layout_profile(df: DataFrame, columns: Sequence[str],
+                   formats: Sequence[str] = ALL_FORMATS) -> DataFrame:
+    """``(column_name, layout, parsed)`` per text column and layout, the
+    texts that the layout parses; layout null: the texts that become null.
+    One aggregate over the data, whatever the number of layouts."""
+    text = [c for c in columns if c in df.columns
+            and isinstance(df.schema[c].dataType, T.StringType)]
+    spark = df.sparkSession
+    if not text:
+        return spark.createDataFrame(
+            [], "column_name string, layout string, parsed bigint")
+    aggs, entries = [], []
+    for i, c in enumerate(text):
+        col = F.col(f"`{c}`")
+        for j, f in enumerate(formats):
+            aggs.append(F.count(parse_layout(col, f)).alias(f"_p{i}_{j}"))
+            entries.append((c, f, f"_p{i}_{j}"))
+        aggs.append(F.count_if(col.isNotNull() & parse_datetime(
+            col, formats).isNull()).alias(f"_p{i}_none"))
+        entries.append((c, None, f"_p{i}_none"))
+    args = [F.lit(len(entries))]
+    for c, f, n in entries:
+        args += [F.lit(c), F.lit(f).cast("string"), F.col(n)]
+    return df.agg(*aggs).select(F.stack(*args)).toDF(
+        "column_name", "layout", "parsed")
+
+
+def choose_layouts(profile: DataFrame) -> dict[str, dict[str, int]]:
+    """Of each column the layouts that parse any text with the number of
+    texts, the most frequent first (equal ones in the order of the profile),
+    and ``"none"``: the texts that no layout parses. A day and month that
+    could be either way round are read as most of the column's texts can be.
+    """
+    out: dict[str, dict[str, int]] = {}
+    for r in profile.collect():        # one row per column and layout
+        out.setdefault(r["column_name"], {})[r["layout"]] = r["parsed"]
+    chosen = {}
+    for c, counts in out.items():
+        none = counts.pop(None)
+        chosen[c] = dict(sorted(((f, n) for f, n in counts.items() if n),
+                                key=lambda x: -x[1])) | {"none": none}
+    return chosen
+
+
+def coerce_column(c: Column, dt: T.DataType, target: str,
+                  formats: Sequence[str] = DATETIME_FORMATS) -> Column:
     """P3-P5 for one column; unparseable → null, never an error."""
     t = target.strip().lower()
     if t == "string":
         return to_text(c)
     if t == "datetime":
         if isinstance(dt, T.StringType):
-            return parse_datetime(c)
+            return parse_datetime(c, formats)
         if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             return c.cast("timestamp_ntz")
         return F.lit(None).cast("timestamp_ntz")   # numbers are not dates
@@ -521,15 +568,24 @@ def coerce_column(c: Column, dt: T.DataType, target: str) -> Column:
     raise ValueError(f"unknown target type {target!r}")
 
 
-def coerce_types(df: DataFrame, mappings: Mapping[str, str]) -> DataFrame:
+def coerce_types(df: DataFrame, mappings: Mapping[str, str],
+                 formats: Sequence[str] = DATETIME_FORMATS,
+                 layouts: Mapping[str, Mapping[str, int]] | None = None
+                 ) -> DataFrame:
     """Apply every conversion in one projection. A mapped column that is
-    absent is skipped with a warning; an unknown type name is an error."""
+    absent is skipped with a warning; an unknown type name is an error.
+    ``formats`` are the datetime layouts, ``layouts`` those chosen for a
+    column by :func:`choose_layouts`."""
+    def of(c: str) -> list[str]:
+        return [f for f in layouts[c] if f != "none"] \
+            if layouts and c in layouts else list(formats)
+
     types = {f.name: f.dataType for f in df.schema.fields}
     for col, t in mappings.items():
         if col not in types:
             log.warning("%s: not in the input, left out", col)
     return df.select(*[
-        coerce_column(F.col(f"`{n}`"), types[n], mappings[n]).alias(n)
+        coerce_column(F.col(f"`{n}`"), types[n], mappings[n], of(n)).alias(n)
         if n in mappings else F.col(f"`{n}`") for n in df.columns])
 
 

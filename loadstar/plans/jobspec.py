@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from ..functions.rules import Rule
+from ..functions.values import DATETIME_FORMATS
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,11 @@ class JobSpec:
     # which row of a repeated key stays (then: the first delivered).
     key: tuple[str, ...] = ()
     key_order: tuple[str, ...] = ()
+    # Datetime layouts, tried in this order (``values.ALL_FORMATS`` has more,
+    # with minutes, fractions and offsets), or with ``infer_datetime`` per
+    # column those that parse any of its texts, the most frequent first.
+    datetime_formats: tuple[str, ...] = DATETIME_FORMATS
+    infer_datetime: bool = False
     # "exact" (distributed selection) or "approx" (percentile_approx) median
     median: str = "exact"
 

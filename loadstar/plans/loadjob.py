@@ -7,19 +7,20 @@ import datetime as _dt
 import logging
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, quality
+from ..operators import clean, keys, quality
 from ..operators.runlog import FAILED, PARTIAL, SUCCESS, run_log_row
 from ..session import drop_path, scratch_path, stage as stage_table
 from ..sinks.files import archive_file
 from ..sinks.jdbc import JdbcTarget
 from ..sinks.lake import load_run, row_count, verify_load, write_table
-from ..sources.csv import is_directory, read_csv, read_directory
+from ..sources.csv import (DELIVERED, is_directory, read_csv,
+                           read_directory)
 from ..schemas import CATALOG, conform, table_rules
 from .jobspec import JobSpec
 
@@ -35,8 +36,8 @@ def observed(obs: Observation | None, fallback):
             got = obs.get
             if got:
                 return got
-        except Exception:  # noqa: BLE001 - fall back to counting
-            pass
+        except Exception as e:  # noqa: BLE001 - fall back to counting
+            log.info("no metrics from Spark (%s), counting instead", e)
     return fallback()
 
 
@@ -51,6 +52,7 @@ class TransformResult:
     observed_in: Observation | None = None      # rows read
     observed_dedup: Observation | None = None   # rows after dedupe
     staged_path: str | None = None              # where the deduped rows sit
+    layouts: dict = field(default_factory=dict)  # of each datetime column
 
 
 DUPLICATE_KEY = "duplicate_key"
@@ -90,7 +92,12 @@ def transform(df: DataFrame, spec: JobSpec,
     the good/bad writes) read the staged rows instead of re-running the read
     and the dedupe shuffle. The staging pass also fills the row-count
     observations (no extra scan)."""
-    extra = clean.check_schema(df, spec.expected_columns)
+    if spec.dedupe_subset and not order_by:
+        raise ValueError("dedupe_subset keeps the first row delivered: give "
+                         "order_by, the columns that tell the order")
+    extra = clean.check_schema(df.drop(*[c for c in order_by or ()
+                                         if c in DELIVERED]),
+                               spec.expected_columns)
     tag = uuid.uuid4().hex[:12]
     obs_in, obs_d = Observation(f"in_{tag}"), Observation(f"dedup_{tag}")
     src = df.observe(obs_in, F.count(F.lit(1)).alias("rows"))
@@ -119,7 +126,14 @@ def transform(df: DataFrame, spec: JobSpec,
         if staged:
             drop_path(d.sparkSession, staged)
         raise
-    typed = clean.coerce_types(filled, spec.type_mappings)
+    layouts = None
+    if spec.infer_datetime:
+        layouts = clean.choose_layouts(clean.layout_profile(
+            filled, [c for c, t in spec.type_mappings.items()
+                     if t.strip().lower() == "datetime"],
+            spec.datetime_formats))
+    typed = clean.coerce_types(filled, spec.type_mappings,
+                               spec.datetime_formats, layouts)
     rules = clean.range_rules(typed, spec.value_constraints) + list(spec.rules)
     if enforce:
         rules += table_rules(spec.table, typed.columns)
@@ -131,7 +145,7 @@ def transform(df: DataFrame, spec: JobSpec,
         good, bad = good.drop(_ORD), bad.drop(_ORD)
     return TransformResult(good, bad, extra, plan.values, plan.nulls_before,
                            plan.nulls_after, obs_in if stage else None,
-                           obs_d if stage else None, staged)
+                           obs_d if stage else None, staged, layouts or {})
 
 
 @dataclass
@@ -148,6 +162,7 @@ class RunResult:
     nulls_before: int = 0      # missing cells before and after the fill
     nulls_after: int = 0
     fills: dict = field(default_factory=dict)
+    layouts: dict = field(default_factory=dict)
     extra_columns: list = field(default_factory=list)
     error: str | None = None
     archived_to: str | None = None
@@ -169,8 +184,8 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
         spec: JobSpec, target: str | JdbcTarget, run_id: str | None = None,
         reject_target: str | None = None, run_log_target: str | None = None,
         archive_dir: str | None = None, order_by: Sequence[str] | None = None,
-        fmt: str = "parquet", quality_log_target: str | None = None
-        ) -> RunResult:
+        fmt: str = "parquet", quality_log_target: str | None = None,
+        parents: Mapping[str, DataFrame | str] | None = None) -> RunResult:
     """M1/M2: one load run.
 
     source        CSV file path(s) sharing one header, a delivery folder
@@ -186,36 +201,72 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
     archive_dir   move the source file(s) aside after a successful load
     quality_log_target append the quality checks of the rows this run
                   loaded (lake targets), one ``data_quality_log`` row each
+    parents       tables that the foreign keys of ``spec.table`` refer to, by
+                  name (a DataFrame, or the path of a lake table): rows whose
+                  key is not there are rejected with
+                  ``<column>_not_in_<table>``
+
+    With ``spec.enforce_table`` and a key, rows whose key a row of another
+    run holds are rejected with ``key_in_earlier_run``; a key index beside
+    the table (``_keys``) keeps the keys of each run.
 
     Errors are logged in the run log and re-raised."""
     t0 = time.time()
     start = now()
-    t = None
+    t, listed = None, []
     run_id = run_id or f"{start:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
     res = RunResult(run_id, FAILED, start, start)
     try:
         malformed, csv = None, None
+        # of files the rows' own places tell which one came first
+        ordered = bool(spec.dedupe_subset) and not order_by \
+            and not isinstance(source, DataFrame)
+        if ordered:
+            order_by = list(DELIVERED)
         if isinstance(source, DataFrame):
             raw = source
         elif isinstance(source, str) and is_directory(spark, source):
             # a delivery folder: files grouped by header, combined by name
             csv = read_directory(spark, source, on_error=spec.on_error,
-                                 multi_line=spec.csv_multi_line)
+                                 multi_line=spec.csv_multi_line,
+                                 with_order=ordered)
             raw, malformed = csv.data, csv.malformed
         else:
             csv = read_csv(spark, source, on_error=spec.on_error,
-                           multi_line=spec.csv_multi_line)
+                           multi_line=spec.csv_multi_line,
+                           with_order=ordered)
             raw, malformed = csv.data, csv.malformed
         lake = not isinstance(target, JdbcTarget)
         t = transform(raw, spec, order_by=order_by, enforce=lake)
         res.extra_columns, res.fills = t.extra_columns, t.fills
+        res.layouts = t.layouts
         res.nulls_before, res.nulls_after = t.nulls_before, t.nulls_after
         res.rows_read = int(observed(
             t.observed_in, lambda: {"rows": raw.count()})["rows"])
         res.duplicates_removed = res.rows_read - int(observed(
             t.observed_dedup, lambda: {"_rows": spark.read.parquet(
                 t.staged_path).count()})["_rows"])
-        quality.enforce_policy(t.bad, spec.on_error)
+        good, bad, key = t.good, t.bad, ()
+        if lake and spec.enforce_table and spec.table in CATALOG:
+            table = CATALOG[spec.table]
+            key = [] if table.surrogate_key and not spec.key else list(
+                spec.key or table.key)
+            if not set(key) <= set(good.columns):
+                key = []
+            if parents:
+                good, bad, paths = keys.reject_orphans(
+                    good, bad, table.foreign_keys,
+                    {n: spark.read.format(fmt).load(d)
+                     if isinstance(d, str) else d
+                     for n, d in parents.items()})
+                listed += paths
+            gone = keys.earlier_keys(good, target, run_id, key, fmt) \
+                if key else None
+            if gone is not None:
+                good, bad, path = keys.reject_keys(good, bad, gone, key,
+                                                   keys.EARLIER_RUN)
+                listed.append(path)
+        quality.enforce_policy(bad, spec.on_error)
         if isinstance(target, JdbcTarget):
             # relational target: append (as a table insert), then S8 — the
             # table must hold what it held plus what was sent
@@ -225,7 +276,7 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
             res.rows_loaded = int(obs.get.get("n", 0))
             verify_load(before, res.rows_loaded, target.count(spark))
         else:
-            good, extra = t.good, ()
+            extra = ()
             if spec.enforce_table and spec.table in CATALOG:
                 good = conform(good, spec.table, start, keep_extra=True)
             if spec.month_partition:
@@ -240,7 +291,8 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
             if written != res.rows_loaded:
                 raise RuntimeError(f"load check: {written} rows in "
                                    f"partition, {res.rows_loaded} sent")
-        bad = t.bad
+            if key:
+                keys.index_run(spark, target, run_id, key, fmt)
         if csv is not None:
             # the staging pass counted the long rows; re-read the files for
             # the quarantine only when there are any
@@ -272,6 +324,7 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
     finally:
         if t is not None and t.staged_path:
             drop_path(spark, t.staged_path)
+        keys.forget(spark, listed)
         res.end = now()
         log.info("Run %s %s in %.2fs: read %d, duplicates %d, loaded %d, "
                  "rejected %d", run_id, res.status, time.time() - t0,
@@ -281,6 +334,7 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
             details = {"rows_read": res.rows_read,
                        "duplicates_removed": res.duplicates_removed,
                        "fills": res.fills,
+                       "datetime_layouts": res.layouts,
                        "missing_before": res.nulls_before,
                        "missing_after": res.nulls_after,
                        "extra_columns": res.extra_columns,

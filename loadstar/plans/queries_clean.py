@@ -88,18 +88,14 @@ def infer_column_class(spark, sf_dir):
     return clean.column_profile(lens.raw_sales(spark, sf_dir))
 
 
-SQL_MEDIAN_PRICE = """v AS (
-  SELECT price, row_number() OVER (ORDER BY price) - 1 AS rk,
-         count(*) OVER () AS n
+# the median of decimals is the mean of the two middle ones, rounded half up
+SQL_MEDIAN_PRICE = """q AS (
+  SELECT CAST(median(CAST(price * 100 AS BIGINT)) * 2 AS BIGINT) AS c2
   FROM dirty WHERE price IS NOT NULL),
-s AS (
-  SELECT CAST((max(price) FILTER (WHERE rk = (n - 1) // 2)
-             + max(price) FILTER (WHERE rk = n // 2)) * 100 AS BIGINT) AS c2
-  FROM v),
 m AS (
   SELECT CAST(CAST(sign(c2) * ((abs(c2) + 1) // 2) AS DECIMAL(18,0)) * 0.01
               AS DECIMAL(10,2)) AS med
-  FROM s)"""
+  FROM q)"""
 
 
 @register("fill_median_unknown", f"""

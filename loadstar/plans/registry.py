@@ -30,3 +30,4 @@ def load_all() -> None:
     """Import the modules that register queries."""
     from . import queries_marts, queries_clean, queries_quality  # noqa: F401
     from . import queries_cdc, queries_load, queries_repair  # noqa: F401
+    from . import queries_keys  # noqa: F401

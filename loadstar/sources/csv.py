@@ -29,6 +29,8 @@ from ..functions.values import NA_TOKENS, null_tokens
 
 log = logging.getLogger("loadstar")
 
+# Columns that give the order in which rows were delivered.
+DELIVERED = ("_delivered_file", "_delivered_split", "_delivered_row")
 CORRUPT = "_corrupt_record"
 # Quoted text (with doubled quotes inside); removed before counting commas.
 QUOTED_PATTERN = r'"([^"]|"")*"'
@@ -85,20 +87,25 @@ def header_line(spark: SparkSession, path: str) -> str | None:
 
 
 def parse_header(line: str) -> list[str]:
-    """Split a header line with CSV quoting; duplicate names get ``_1``,
-    ``_2`` … suffixes."""
+    """Split a header line with CSV quoting; a name that came before gets the
+    first of the suffixes ``_1``, ``_2`` … that no column has (names that
+    differ in case alone count as one, as Spark resolves them)."""
     import csv
     names = next(csv.reader([line]))
-    seen: dict[str, int] = {}
-    out = []
+    taken = {n.lower() for n in names}
+    seen: set[str] = set()
+    out, dup = [], []
     for n in names:
-        if n in seen:
-            seen[n] += 1
-            out.append(f"{n}_{seen[n]}")
-        else:
-            seen[n] = 0
-            out.append(n)
-    dup = sorted(n for n, c in seen.items() if c)
+        name, k = n, 0
+        if n.lower() in seen:
+            dup.append(n)
+            while name.lower() in taken:
+                k += 1
+                name = f"{n}_{k}"
+            taken.add(name.lower())
+        seen.add(name.lower())
+        out.append(name)
+    dup = sorted(set(dup))
     if dup:
         log.warning("Duplicate header names %s renamed with _1, _2 … "
                     "suffixes", dup)
@@ -134,14 +141,19 @@ def text_schema(cols: Sequence[str]) -> T.StructType:
 def parse_records(df: DataFrame, cols: Sequence[str],
                   na_tokens: Sequence[str] = NA_TOKENS, delimiter: str = ",",
                   with_file_name: bool = False,
-                  observe: Observation | None = None
-                  ) -> tuple[DataFrame, DataFrame]:
+                  observe: Observation | None = None,
+                  with_order: bool = False) -> tuple[DataFrame, DataFrame]:
     """Split a PERMISSIVE all-text CSV read (batch or streaming) into
     (accepted rows with NA tokens nulled, malformed rows). Spark marks short
     *and* long rows as corrupt; only rows with more fields than the header
     are malformed, short rows are padded with nulls and kept."""
     extra = [F.col("_metadata.file_name").alias("_source_file")] \
         if with_file_name else []
+    # a task reads its splits one after another, so ids rise within a split
+    place = [F.col("_metadata.file_path").alias(DELIVERED[0]),
+             F.col("_metadata.file_block_start").alias(DELIVERED[1]),
+             F.monotonically_increasing_id().alias(DELIVERED[2])] \
+        if with_order else []
     # The flag also reads the first data column: Spark refuses plans whose
     # only input is the corrupt-record column, which pruning would leave for
     # a bare ``malformed.count()``.
@@ -150,7 +162,7 @@ def parse_records(df: DataFrame, cols: Sequence[str],
                 & (field_count(CORRUPT, delimiter) > len(cols))
                 & (anchor.isNull() | anchor.isNotNull()))
     tagged = df.select(*[null_tokens(F.col(f"`{c}`"), na_tokens).alias(c)
-                         for c in cols], F.col(CORRUPT), *extra,
+                         for c in cols], F.col(CORRUPT), *extra, *place,
                        long_row.alias("_long"))
     seen = tagged if observe is None else tagged.observe(
         observe, F.count(F.lit(1)).alias("rows"),
@@ -168,13 +180,17 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str],
              columns: Sequence[str] | None = None,
              on_error: str = "log_and_continue", multi_line: bool = True,
              na_tokens: Sequence[str] = NA_TOKENS, delimiter: str = ",",
-             with_file_name: bool = False) -> CsvRead:
+             with_file_name: bool = False, with_order: bool = False
+             ) -> CsvRead:
     """Read CSV files, each by its own header.
 
     ``columns``: the files' common header when already known; otherwise the
     headers are looked up, files are grouped by them and the groups combined
     by column name, so files may order their columns differently.
     ``with_file_name``: add ``_source_file`` (F20, from ``_metadata``).
+    ``with_order``: add the columns ``DELIVERED``, whose order is that in
+    which rows were delivered: files by their paths, then the place of the
+    split in the file, then the place of the row in the split.
     Raises ``PATH_NOT_FOUND`` for a missing path (S2) and
     :class:`EmptyCsvError` when the file has no header line."""
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -183,7 +199,8 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str],
             return read_files(spark, paths, on_error=on_error,
                               multi_line=multi_line, na_tokens=na_tokens,
                               delimiter=delimiter,
-                              with_file_name=with_file_name)
+                              with_file_name=with_file_name,
+                              with_order=with_order)
         line = header_line(spark, paths[0])
         if line is None:
             raise EmptyCsvError(f"{paths[0]} holds no header line")
@@ -193,7 +210,7 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str],
                  delimiter=delimiter).csv(paths)
     obs = Observation(f"csv_{uuid.uuid4().hex[:12]}")
     data, malformed = parse_records(df, cols, na_tokens, delimiter,
-                                    with_file_name, obs)
+                                    with_file_name, obs, with_order)
     if on_error == "halt":
         if not malformed.isEmpty():
             raise MalformedCsvError(
