@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.values import IMAGE_TIME, json_image, ts_literal
+from ..session import drop_path, scratch_path, stage
+from ..sinks.lake import path_exists
 
 # --- fixed values -----------------------------------------------------------
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
@@ -37,6 +39,40 @@ def repeated_keys(snapshot: DataFrame, key: str) -> DataFrame:
         .filter(F.col("row_count") > 1)
 
 
+def _row_hashes(df: DataFrame, key: str, cols: Sequence[str], side: int
+                ) -> DataFrame:
+    """(key, counts, 128 bits of the row's hash): fixed-width columns that a
+    hash aggregate combines. Nulls count with their place."""
+    held = [F.col(f"`{c}`") for c in cols]
+    flags = [F.col(f"`{c}`").isNull() for c in cols]
+    return df.select(
+        F.col(f"`{key}`").alias("_key"),
+        *[F.lit(int(side == s)).alias(f"_c{s}") for s in (0, 1)],
+        *[(F.xxhash64(F.lit(h), *flags, *held) if side == s else
+           F.lit(None).cast("long")).alias(f"_h{s}{h}")
+          for s in (0, 1) for h in (0, 1)])
+
+
+def differing_keys(old: DataFrame, new: DataFrame, key: str,
+                   columns: Sequence[str]) -> DataFrame:
+    """Keys that only one snapshot holds, whose rows differ, or that repeat
+    in one: one aggregate over 128-bit row hashes, not over rows."""
+    both = _row_hashes(old, key, columns, 0).unionByName(
+        _row_hashes(new, key, columns, 1))
+    g = both.groupBy("_key").agg(
+        F.sum("_c0").alias("_c0"), F.sum("_c1").alias("_c1"),
+        *[F.max(f"_h{s}{h}").alias(f"_h{s}{h}")
+          for s in (0, 1) for h in (0, 1)])
+    same = (F.col("_c0") == 1) & (F.col("_c1") == 1) \
+        & (F.col("_h00") == F.col("_h10")) & (F.col("_h01") == F.col("_h11"))
+    return g.filter(~F.coalesce(same, F.lit(False))).select("_key")
+
+
+def _of_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    return df.join(keys, F.col(f"`{key}`").eqNullSafe(F.col("_key")),
+                   "left_semi")
+
+
 def diff(old: DataFrame, new: DataFrame, key: str, as_of,
          columns: Sequence[str] | None = None) -> DataFrame:
     """Compare two snapshots keyed by ``key`` and emit the change log:
@@ -46,8 +82,16 @@ def diff(old: DataFrame, new: DataFrame, key: str, as_of,
     A snapshot is expected to hold one row per key; if a key repeats, the
     largest row image stands for it (deterministic), and
     :func:`repeated_keys` reports it. Images are exact: decimals keep their
-    digits, timestamps their microseconds."""
+    digits, timestamps their microseconds.
+
+    Row hashes find the keys whose rows differ; whole rows are read and
+    compared for those keys only. ``change_id`` tells the changes of one call
+    apart; :func:`append_changes` gives them their place in the log."""
     cols = list(columns or new.columns)
+    if not any(isinstance(f.dataType, (T.MapType, T.VariantType))
+               for f in new.schema if f.name in cols):
+        keys = differing_keys(old, new, key, cols)
+        old, new = _of_keys(old, key, keys), _of_keys(new, key, keys)
     side = lambda df, s: df.select(
         F.col(key).alias("_key"),
         F.when(F.lit(s == 0), F.struct(*[F.col(f"`{c}`") for c in cols]))
@@ -75,13 +119,82 @@ def diff(old: DataFrame, new: DataFrame, key: str, as_of,
         F.when(n.isNotNull(), img("_n")).alias("new_values"))
 
 
-def append_changes(changes: DataFrame, log: str, key: str = "order_id") -> None:
+def _marks(spark: SparkSession, log: str):
+    """File system, and the high-water marks kept with a change log."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{log.rstrip('/')}/_sequence")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] \
+        if fs.exists(folder) else []
+    return fs, folder, sorted(int(n) for n in names if n.isdigit())
+
+
+def last_change_id(spark: SparkSession, log: str) -> int:
+    """The highest change id of a log (0 without any): its newest mark, or
+    above that, if a writer stopped between rows and mark, what the rows say.
+    Row groups at or below the mark are skipped by their statistics."""
+    mark = (_marks(spark, log)[2] or [0])[-1]
+    if not path_exists(spark, log):
+        return mark
+    top = read_changes(spark, log).filter(F.col("change_id") > mark).agg(
+        F.max("change_id")).first()[0]
+    return max(mark, top or 0)
+
+
+def number_changes(changes: DataFrame, after: int,
+                   order_by: Sequence[str] = ()) -> tuple[DataFrame, int, str]:
+    """``changes`` with ``change_id`` = ``after`` + 1, + 2 … without gaps, in
+    the order of ``order_by`` (else as the tasks hold them); the last id; and
+    the folder where the rows lie meanwhile. Tasks number their own rows, and
+    one count per task makes the numbers follow each other."""
+    spark = changes.sparkSession
+    if order_by:
+        changes = changes.repartitionByRange(*order_by).sortWithinPartitions(
+            *order_by)
+    path = scratch_path(spark, "numbered-changes")
+    held = stage(changes.withColumn("_at", F.monotonically_increasing_id()),
+                 path=path).withColumns({
+        "_part": F.shiftright("_at", 33),
+        "_nth": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per task
+    parts = held.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0))
+        .alias("_before"))
+    rows = held.count()
+    out = held.join(F.broadcast(parts.drop("_n")), "_part").withColumn(
+        "change_id", F.lit(after + 1) + F.col("_before") + F.col("_nth"))
+    return out.drop("_at", "_part", "_nth", "_before"), after + rows, path
+
+
+def append_changes(changes: DataFrame, log: str, key: str = "order_id",
+                   order_by: Sequence[str] = ()) -> int:
     """Append change rows to the change-log table at ``log`` (columns and
-    types of the log; the key column is stored as text)."""
-    changes.select(*[
+    types of the log; the key column is stored as text) with ids that follow
+    the log's last one without gaps, so of two changes of a key at one instant
+    the one appended later is the newer. Returns the last id.
+
+    The new high-water mark is written beside the rows, after them. One writer
+    at a time."""
+    spark = changes.sparkSession
+    after = last_change_id(spark, log)
+    if after >= 1 << 62:
+        raise ValueError(f"{log} holds ids that were not given in sequence")
+    numbered, last, path = number_changes(changes, after, order_by)
+    numbered.select(*[
         F.col(key if f.name == "order_id" else f.name).cast(f.dataType)
         .alias(f.name) for f in CHANGE_LOG_SCHEMA]).write.mode(
         "append").parquet(log)
+    drop_path(spark, path)
+    fs, folder, old = _marks(spark, log)
+    here = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    if last not in old:
+        fs.mkdirs(folder)
+        fs.create(here(folder, str(last))).close()
+    for m in old:
+        if m < last:
+            fs.delete(here(folder, str(m)), False)
+    return last
 
 
 def read_changes(spark, log: str) -> DataFrame:

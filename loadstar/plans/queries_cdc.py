@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import cdc
+from ..session import scratch_path
 from . import lens
 from .lens import AS_OF
 from .registry import register
@@ -146,3 +147,35 @@ def cdc_apply_events(spark, sf_dir):
                            F.col("value").alias("last_value")))
          .alias("new_values"))
     return cdc.apply_changes(target, changes, "user_id")
+
+
+@register("cdc_sequence", f"""
+WITH {SQL_SNAPSHOTS},
+c AS (SELECT count(*) AS n FROM old FULL JOIN new USING (order_id)
+      WHERE old.order_status IS DISTINCT FROM new.order_status
+         OR old.customer_id IS NULL OR new.customer_id IS NULL)
+SELECT 1 AS first_id, 2 * n AS last_id, 2 * n AS changes, 2 * n AS ids FROM c""")
+def cdc_sequence(spark, sf_dir):
+    """Ids of two appends to one log follow each other without gaps."""
+    old, new = snapshots(spark, sf_dir)
+    log = scratch_path(spark, "change-log")
+    for a, b in ((old, new), (new, old)):
+        cdc.append_changes(cdc.diff(a, b, "order_id", AS_OF), log)
+    return cdc.read_changes(spark, log).agg(
+        F.min("change_id").alias("first_id"),
+        F.max("change_id").alias("last_id"),
+        F.count(F.lit(1)).alias("changes"),
+        F.count_distinct("change_id").alias("ids"))
+
+
+@register("cdc_same_instant", f"""
+WITH {SQL_SNAPSHOTS}
+SELECT * FROM old""")
+def cdc_same_instant(spark, sf_dir):
+    """A diff and its reverse, logged at one instant, apply in the
+    order in which they were appended."""
+    old, new = snapshots(spark, sf_dir)
+    log = scratch_path(spark, "change-log")
+    for a, b in ((old, new), (new, old)):
+        cdc.append_changes(cdc.diff(a, b, "order_id", AS_OF), log)
+    return cdc.apply_changes(new, cdc.read_changes(spark, log), "order_id")
