@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadstar.llm import decontam, langid, linededup, oddsketch, packing
-from loadstar.llm.common import stage, table
+from loadstar.llm.common import drop_staged, stage, table
 from loadstar.llm.queries import PACK_TOKENIZER
 
 
@@ -56,12 +56,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str
                   ) -> DataFrame:
-    """Documents that hold no item of the benchmark within its edit budget."""
+    """Documents that hold no item of the benchmark within its edit budget.
+    Null and empty texts hold none and stay; repeated rows go or stay
+    together; items without words are in no document."""
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Power-of-two token sequences of the remaining documents."""
+    """Power-of-two token sequences of the remaining documents; a null or
+    empty text is the end id alone, a repeated row a document of its own."""
     return packing.pack(docs, public_tokenizers.path(PACK_TOKENIZER))
 
 
@@ -76,8 +79,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written below the checkpoint
-    folder and read again."""
+    folder and read again; a stage's table goes when the next one is
+    written."""
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        before, docs = docs, stage(step(spark, docs, sf_dir), name)
+        drop_staged(before)
     return docs

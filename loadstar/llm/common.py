@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,6 +14,8 @@ from ..session import drop_path, scratch_path
 
 # ASCII white space, the separator of words in several contracts.
 SPACE = " \t\n\x0b\x0c\r"
+# Bytes of an Arrow batch on its way to or from a Python worker.
+BATCH_BYTES = 8 << 20
 # Rows a lookup table may have before it is no longer broadcast on request.
 BROADCAST_ROWS = 1_000_000
 
@@ -35,9 +39,54 @@ def drop_staged(*tables: DataFrame) -> None:
             drop_path(t.sparkSession, t._staged_at)
 
 
+class Scratch:
+    """Tables staged on the way to a result, deleted together."""
+
+    def __init__(self):
+        self.tables: list[DataFrame] = []
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(stage(df, name))
+        return self.tables[-1]
+
+    def drop(self, *kept: DataFrame) -> None:
+        drop_staged(*[t for t in self.tables
+                      if not any(t is k for k in kept)])
+
+
+_CACHES: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """What a Python worker keeps from task to task of one operator."""
+    _CACHES.append({})
+    return _CACHES[-1]
+
+
+def only(cache: dict | None = None) -> None:
+    """Called by a task before it starts: empties the other operators' caches
+    in this worker (Spark uses workers again for later stages), and gives the
+    memory back to the system."""
+    others = [c for c in _CACHES if c and c is not cache]
+    for c in others:
+        c.clear()
+    if others:
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):      # another C library
+            pass
+
+
 def python_ready(spark: SparkSession) -> None:
     """Let Python workers find this package where it lies beside the driver
-    (on a cluster it is installed or sent with ``--py-files``)."""
+    (on a cluster it is installed or sent with ``--py-files``), and let a
+    batch for them hold ``BATCH_BYTES`` instead of Spark's default of 64 MB:
+    JVM and worker each hold a few batches a task. A bound that the session
+    sets itself stays."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound, "67108864b") == "67108864b":
+        spark.conf.set(bound, f"{BATCH_BYTES}b")
     root = os.path.dirname(os.path.dirname(os.path.dirname(
         os.path.abspath(__file__))))
     env = spark.sparkContext.environment
@@ -107,4 +156,5 @@ def numbered(df: DataFrame, order: list[Column], out: str = "row_number",
 
 __all__ = ["SPACE", "BROADCAST_ROWS", "table", "python_ready", "small",
            "letters_down", "let", "running_offsets", "numbered",
-           "scratch_path", "stage", "drop_staged"]
+           "scratch_path", "stage", "drop_staged",
+           "Scratch", "worker_cache", "only"]

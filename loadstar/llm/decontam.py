@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import python_ready
+from .common import only, python_ready, worker_cache
 from .packing import _arrow
 
 BUDGET, MIN_WORDS = 0.15, 8
@@ -127,11 +127,12 @@ class Searcher:
         return sorted(found)
 
 
-_SEARCHERS: dict = {}
+_SEARCHERS: dict = worker_cache()
 
 
 def _searcher(items, budget) -> Searcher:
     """One automaton per worker and block."""
+    only(_SEARCHERS)
     key = (hash(items), len(items), budget)
     if key not in _SEARCHERS:
         _SEARCHERS.clear()

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import python_ready
+from .common import only, python_ready
 
 # Families of languages that are easily confused. A label that
 # is not listed is a family of its own.
@@ -281,6 +281,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text",
     names = schema.names
 
     def run(batches):
+        only()
         for b in batches:
             for part in (b.slice(i, 512) for i in range(0, b.num_rows, 512)):
                 vs = [vector(t.as_py()) if model.families else None
