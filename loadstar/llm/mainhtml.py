@@ -402,10 +402,14 @@ def train(pages: DataFrame, html_col: str = "html",
     smallest hashes of their markup), and to ``layouts`` new layouts of each.
     A table without such pages leaves layouts of a few fixed sentences."""
     text = F.col(html_col).cast("string")
-    rows = pages.select(text.alias("h"), F.xxhash64(text).alias("k")).filter(
+    marked = pages.select(text.alias("h"), F.xxhash64(text).alias("k")).filter(
         F.col("h").rlike(r"(?i)<(article|main)[\s>]|itemprop=.?articleBody")
-        & (F.length("h") <= sample_chars)).orderBy("k", "h").limit(
-        sample_pages).collect()
+        & (F.length("h") <= sample_chars))
+    # hashes first, so that no task sends pages which are not taken
+    least = marked.select("k").distinct().orderBy("k").limit(
+        sample_pages).agg(F.max("k")).first()[0]
+    rows = [] if least is None else marked.filter(
+        F.col("k") <= least).dropDuplicates(["k"]).orderBy("k").collect()
     known = []
     for r in rows:
         page = blocks(r["h"])
