@@ -21,14 +21,16 @@ from .common import python_ready, running_offsets, small
 from .packing import _arrow
 from .tokens import encoder
 
-_BYTES = 16 << 20
+_BYTES = 4 << 20
+# Pieces that a worker keeps; nothing else of size is in it.
+KEEP = 1_000_000
 
 
 def _encoded(path: str, end_id: int | None, schema: pa.Schema):
     end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        enc, part, row = encoder(path), TaskContext.get().partitionId(), 0
+        enc, part, row = encoder(path, KEEP), TaskContext.get().partitionId(), 0
         docs, ids, held = [], [], 0
 
         def batch():

@@ -15,9 +15,11 @@ from itertools import islice
 
 from tokenizers import Tokenizer
 
-# Kept pieces per worker. Beyond this the later three quarters go: what was
+from .common import only, worker_cache
+
+# Kept pieces per worker (about 230 bytes each). Beyond this the later three quarters go: what was
 # met first is what is met most.
-KEEP = 600_000
+KEEP = 500_000
 # Longer pieces are encoded but not kept.
 KEEP_CHARS = 48
 _CUT = re.compile(r"(?<!\s) ")
@@ -25,21 +27,21 @@ _LATIN = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 
 
 class _Kept(dict):
-    def __init__(self, make):
+    def __init__(self, make, keep: int):
         super().__init__()
-        self.make = make
+        self.make, self.keep = make, keep
 
     def __missing__(self, key):
         value = self.make(key)
         if len(key) <= KEEP_CHARS:
-            self.make_room()
+            if len(self) >= self.keep:
+                self.make_room()
             self[key] = value
         return value
 
     def make_room(self) -> None:
-        if len(self) >= KEEP:
-            for old in list(islice(self, KEEP // 4, None)):
-                del self[old]
+        for old in list(islice(self, self.keep // 4, None)):
+            del self[old]
 
 
 class _After(_Kept):
@@ -64,7 +66,8 @@ class _After(_Kept):
             if known is None:
                 return self[piece[:-1]] + self.stops[piece[-1]]
             # kept from the second time on
-            self.make_room()
+            if len(self) >= self.keep:
+                self.make_room()
             self[piece] = value = known + self.stops[piece[-1]]
             return value
         return super().__missing__(piece)
@@ -75,13 +78,16 @@ class Encoder:
     add_special_tokens=False)``, as bytes. Strings of special tokens are
     ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, keep: int = KEEP):
         tok = Tokenizer.from_file(path)
         self._norm, self._pre = tok.normalizer, tok.pre_tokenizer
         self._model = tok.model
+        self._four = [k.to_bytes(4, "little") for k in range(
+            max(tok.get_vocab().values()) + 1)]
         self._learn_letters()
-        self._after = _After(lambda s: self._word(" ", s))
-        self._after.lines = _After(lambda s: self._word("\n", s))
+        self._after = _After(self._latin() if self._letters else
+                             lambda s: self._chunk(" " + s), keep)
+        self._after.lines = _After(lambda s: self._chunk("\n" + s), keep)
         self._after.stops = self._after.lines.stops = {
             c: self._chunk(c) for c in ",."
             if len(self._pre.pre_tokenize_str("ab" + c)) == 2}
@@ -104,23 +110,24 @@ class Encoder:
             self._letters = {ord(c): "".join(p) for c, p in made.items()}
             self._lead = lead
 
-    def _word(self, space: str, piece: str) -> bytes:
-        if space == " " and self._letters and _LATIN.fullmatch(piece):
-            return b"".join([t.id.to_bytes(4, "little") for t in
-                             self._model.tokenize(
-                self._lead + piece.translate(self._letters))])
-        return self._chunk(space + piece)
+    def _latin(self):
+        """Ids of a space and a piece; words of Latin letters go to the model
+        at once."""
+        lead, letters, four = self._lead, self._letters, self._four
+        tokenize, latin = self._model.tokenize, _LATIN.fullmatch
+
+        def word(piece: str) -> bytes:
+            if latin(piece):
+                return b"".join([four[t.id] for t in tokenize(
+                    lead + piece.translate(letters))])
+            return self._chunk(" " + piece)
+        return word
 
     def _chunk(self, chunk: str) -> bytes:
         tokenize = self._model.tokenize
-        return b"".join([t.id.to_bytes(4, "little")
-                         for p in self._split(chunk) for t in tokenize(p)])
-
-    def chunk(self, text: str) -> bytes:
-        """Ids of one piece, which is not kept."""
-        if text[:1] == " ":
-            return self._word(" ", text[1:])
-        return self._chunk(text)
+        four = self._four
+        return b"".join([four[t.id] for p in self._split(chunk)
+                         for t in tokenize(p)])
 
     def _joined(self, pieces: list[str]) -> bytes | None:
         if len(pieces) == 1:
@@ -142,11 +149,12 @@ class Encoder:
         return self._joined(_CUT.split(text)) if out is None else out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = worker_cache()
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, keep: int = KEEP) -> Encoder:
     """One encoder per worker process and vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    only(_ENCODERS)
+    if (path, keep) not in _ENCODERS:
+        _ENCODERS[path, keep] = Encoder(path, keep)
+    return _ENCODERS[path, keep]
