@@ -6,6 +6,7 @@ import ctypes
 import gc
 import os
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from ..session import drop_path, scratch_path
 # ASCII white space, the separator of words in several contracts.
 SPACE = " \t\n\x0b\x0c\r"
 # Bytes of an Arrow batch on its way to or from a Python worker.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 # Rows a lookup table may have before it is no longer broadcast on request.
 BROADCAST_ROWS = 1_000_000
 
@@ -65,17 +66,17 @@ def worker_cache() -> dict:
 
 def only(cache: dict | None = None) -> None:
     """Called by a task before it starts: empties the other operators' caches
-    in this worker (Spark uses workers again for later stages), and gives the
-    memory back to the system."""
-    others = [c for c in _CACHES if c and c is not cache]
-    for c in others:
-        c.clear()
-    if others:
-        gc.collect()
-        try:
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
-        except (OSError, AttributeError):      # another C library
-            pass
+    in this worker (Spark uses workers again for later stages), and gives
+    memory that earlier tasks have freed back to the system."""
+    for c in _CACHES:
+        if c is not cache:
+            c.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):          # another C library
+        pass
 
 
 def python_ready(spark: SparkSession) -> None:

@@ -20,7 +20,7 @@ from .common import python_ready, running_offsets, small, stage
 from .tokens import encoder
 
 # Output rows (and bytes of ids) gathered in a worker before they go out.
-_ROWS, _BYTES = 8192, 16 << 20
+_ROWS, _BYTES = 8192, 4 << 20
 
 
 def lengths(n: int, max_len: int) -> list[int]:
