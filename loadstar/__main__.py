@@ -35,7 +35,7 @@ def cmd_load(a) -> int:
     spark = _session()
     size_shuffle(spark, input_bytes(spark, a.input))
     spec = dataclasses.replace(
-        SALES_JOB, on_error=a.on_error, csv_multi_line=not a.single_line,
+        SALES_JOB, on_error=a.on_error, csv_multi_line=False if a.single_line else "auto",
         month_partition="order_date" if a.partition_by_month else None)
     target = JdbcTarget(a.jdbc_url, a.jdbc_table,
                         json.loads(a.jdbc_properties or "{}"),

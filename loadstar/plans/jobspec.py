@@ -21,10 +21,10 @@ class JobSpec:
     rules: tuple[Rule, ...] = ()                # extra named rules (P18)
     on_error: str = "log_and_continue"          # P19: or "halt"
     unknown_text: str = "Unknown"
-    # CSV records may contain quoted line breaks. Reading them needs
-    # multiLine, which makes every file one task; deliveries of very large
-    # single-line files should set this to False so files split into tasks.
-    csv_multi_line: bool = True
+    # CSV records may contain quoted line breaks. Reading them makes a file
+    # one task: True does so for every file, False for none, "auto" for those
+    # that need it (long files cost one more text scan, read in splits).
+    csv_multi_line: bool | str = "auto"
     # Also partition the loaded table by the month of this timestamp column
     # (``<column>_month``), so recency queries prune whole months.
     month_partition: str | None = None

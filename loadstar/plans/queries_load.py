@@ -14,7 +14,8 @@ from ..operators import cdc, clean, marts, quality, runlog
 from ..session import scratch_path
 from ..sinks.export import export_csv
 from ..sinks.lake import load_run
-from ..sources.csv import read_directory
+from ..sources.csv import (DELIVERED, list_files, read_directory, read_files,
+                           splittable)
 from ..streaming import ingest
 from . import lens
 from .jobspec import SALES_JOB
@@ -72,6 +73,37 @@ def csv_directory_union(spark, sf_dir):
     return read_directory(spark, d + "/all").data
 
 
+@register("csv_split_files", f"""
+WITH {SQL_RAW}
+SELECT order_id, CAST(line_no AS VARCHAR) AS line_no,
+  CASE WHEN _row % 2 = 0 THEN customer_id || ', "x"'
+    ELSE customer_id || chr(10) || 'y' END AS customer_id,
+  CAST(_row % 2 = 1 AS BOOLEAN) AS whole
+FROM raw""")
+def csv_split_files(spark, sf_dir):
+    """Of two deliveries with quoted text only the one with quoted
+    line breaks (``whole``) is left to the reader that cannot split files."""
+    raw = lens.raw_sales(spark, sf_dir)
+    who, odd = F.col("customer_id").cast("string"), F.col("_row") % 2 == 1
+    d = scratch_path(spark, "quoted-csv")
+    for name, rows, text in (
+            ("plain", ~odd, F.concat(who, F.lit(', "x"'))),
+            ("broken", odd, F.concat(who, F.lit("\ny")))):
+        export_csv(raw.filter(rows).select(
+            "order_id", "line_no", text.alias("customer_id")), f"{d}/{name}")
+    files = [f for name in ("plain", "broken")
+             for f in list_files(spark, f"{d}/{name}", "part-*.csv")]
+    split = splittable(spark, files, split_bytes=0)
+    read = read_files(spark, files, split_bytes=0, with_order=True)
+    names = spark.createDataFrame([(f.rsplit("/", 1)[-1],) for f in sorted(split)],
+                                  "name string")
+    got = read.data.withColumn("name", F.element_at(F.split(
+        DELIVERED[0], "/"), -1))
+    return got.join(names.withColumn("_split", F.lit(True)), "name", "left") \
+        .select("order_id", "line_no", "customer_id",
+                F.col("_split").isNull().alias("whole"))
+
+
 @register("load_append_verify")
 def load_append_verify(spark, sf_dir):
     """The full load run on the raw CSV with the table's

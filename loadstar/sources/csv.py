@@ -9,17 +9,20 @@ pandas-style CSV reader, plus the malformed rows kept apart.
   (``on_error='log_and_continue'``) or stops the run (``'halt'``); a row with
   fewer fields is padded with nulls and kept;
 * quotes are doubled inside quoted text (``"x ""q"", y"``), and quoted line
-  breaks are allowed (``multi_line``; turn it off for very large single
-  files, which it makes unsplittable).
+  breaks are allowed. The reader that allows them cannot split a file, so
+  ``multi_line="auto"`` keeps it to the files that need it (see
+  :func:`splittable`).
 """
 
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +36,9 @@ log = logging.getLogger("loadstar")
 DELIVERED = ("_delivered_file", "_delivered_split", "_delivered_row")
 CORRUPT = "_corrupt_record"
 # Quoted text (with doubled quotes inside); removed before counting commas.
-QUOTED_PATTERN = r'"([^"]|"")*"'
+QUOTED_PATTERN = r'"(?:[^"]++|"")*"'
+# A quoted field between delimiters (or the ends of the line).
+FIELD_PATTERN = r'(?:\A|{d})"(?:[^"]++|"")*+"(?={d}|\r?\z)'
 
 
 class MalformedCsvError(ValueError):
@@ -86,12 +91,12 @@ def header_line(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def parse_header(line: str) -> list[str]:
+def parse_header(line: str, delimiter: str = ",") -> list[str]:
     """Split a header line with CSV quoting; a name that came before gets the
     first of the suffixes ``_1``, ``_2`` … that no column has (names that
     differ in case alone count as one, as Spark resolves them)."""
     import csv
-    names = next(csv.reader([line]))
+    names = next(csv.reader([line], delimiter=delimiter))
     taken = {n.lower() for n in names}
     seen: set[str] = set()
     out, dup = [], []
@@ -112,12 +117,73 @@ def parse_header(line: str) -> list[str]:
     return out
 
 
+def _place(path: str) -> tuple[str, str]:
+    """A file's authority and decoded path, however its name is written."""
+    u = urlsplit(path)
+    return u.netloc, unquote(u.path)
+
+
+def _longer_than(spark: SparkSession, files: Sequence[str],
+                 most: int | None) -> dict[tuple[str, str], str]:
+    """Those of ``files`` longer than ``most`` bytes (else: than a split), by
+    place (file status only; what is no plain file is left out)."""
+    if most is None:
+        most = spark._jvm.org.apache.spark.network.util.JavaUtils \
+            .byteStringAsBytes(
+                spark.conf.get("spark.sql.files.maxPartitionBytes"))
+
+    def look(f: str):
+        fs, p = _fs_and_path(spark, f)
+        if any(c in f for c in "*?[{") or not fs.exists(p):
+            return None
+        st = fs.getFileStatus(p)
+        if not st.isFile() or st.getLen() <= most:
+            return None
+        uri = st.getPath().toUri()
+        return (uri.getAuthority() or "", uri.getPath()), f
+    with ThreadPoolExecutor(max_workers=max(1, min(32, len(files)))) as ex:
+        return dict(x for x in ex.map(look, files) if x is not None)
+
+
+def splittable(spark: SparkSession, files: Sequence[str],
+               delimiter: str = ",", split_bytes: int | None = None
+               ) -> set[str]:
+    """Those of ``files`` that are longer than a split (``split_bytes``, else
+    Spark's) and give the same rows when each line is read by itself.
+
+    One aggregate over a plain text scan, which is read in splits, looks for
+    what the multi-line reader treats differently: quotes outside complete
+    quoted fields (a quoted line break leaves one on the line where it
+    starts), lines of blanks, and carriage returns that do not end every
+    line. Files of one split are not scanned: they are one task either way."""
+    long = _longer_than(spark, files, split_bytes)
+    if not long:
+        return set()
+    line = F.col("value")
+    d = re.escape(delimiter)
+    loose = line.contains('"') & F.regexp_replace(
+        line, FIELD_PATTERN.format(d=d), "").contains('"')
+    blank = (line != "\r") & line.rlike(r"\A[\x00-\x20]+\z")
+    inner = line.rlike(r"\r(?!\z)")
+    seen = (spark.read.option("lineSep", "\n").text(sorted(long.values()))
+            .select(F.col("_metadata.file_path").alias("file"),
+                    (loose | blank | inner).alias("odd"),
+                    line.endswith("\r").alias("cr"))
+            .groupBy("file").agg(
+                F.bool_or("odd").alias("odd"),
+                F.count_if("cr").alias("cr"), F.count(F.lit(1)).alias("n")))
+    plain = seen.filter(~F.col("odd") & F.col("cr").isin(0, F.col("n")))
+    return {long[_place(r["file"])] for r in plain.select("file").collect()}
+
+
 def _reader(spark: SparkSession, schema: T.StructType, multi_line: bool,
             encoding: str = "UTF-8", delimiter: str = ","):
     return (spark.read.schema(schema)
             .option("header", True)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
+            # a row's fields are counted only where all are parsed
+            .option("columnPruning", False)
             .option("multiLine", multi_line)
             .option("escape", '"')
             .option("quote", '"')
@@ -178,15 +244,19 @@ def parse_records(df: DataFrame, cols: Sequence[str],
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str],
              columns: Sequence[str] | None = None,
-             on_error: str = "log_and_continue", multi_line: bool = True,
+             on_error: str = "log_and_continue",
+             multi_line: bool | str = "auto",
              na_tokens: Sequence[str] = NA_TOKENS, delimiter: str = ",",
-             with_file_name: bool = False, with_order: bool = False
-             ) -> CsvRead:
+             with_file_name: bool = False, with_order: bool = False,
+             split_bytes: int | None = None) -> CsvRead | DirectoryRead:
     """Read CSV files, each by its own header.
 
     ``columns``: the files' common header when already known; otherwise the
     headers are looked up, files are grouped by them and the groups combined
     by column name, so files may order their columns differently.
+    ``multi_line``: True reads each file as one task and allows quoted line
+    breaks, False reads in splits without them, ``"auto"`` chooses by file
+    (:func:`splittable`); the rows are those of True.
     ``with_file_name``: add ``_source_file`` (F20, from ``_metadata``).
     ``with_order``: add the columns ``DELIVERED``, whose order is that in
     which rows were delivered: files by their paths, then the place of the
@@ -200,12 +270,21 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str],
                               multi_line=multi_line, na_tokens=na_tokens,
                               delimiter=delimiter,
                               with_file_name=with_file_name,
-                              with_order=with_order)
+                              with_order=with_order, split_bytes=split_bytes)
         line = header_line(spark, paths[0])
         if line is None:
             raise EmptyCsvError(f"{paths[0]} holds no header line")
-        columns = parse_header(line)
+        columns = parse_header(line, delimiter)
     cols = list(columns)
+    if multi_line == "auto":
+        plain = splittable(spark, paths, delimiter, split_bytes)
+        rest = [p for p in paths if p not in plain]
+        if plain and rest:
+            return _combined(paths, {}, [
+                read_csv(spark, ps, cols, on_error, whole, na_tokens,
+                         delimiter, with_file_name, with_order)
+                for ps, whole in ((sorted(plain), False), (rest, True))])
+        multi_line = not plain
     df = _reader(spark, text_schema(cols), multi_line,
                  delimiter=delimiter).csv(paths)
     obs = Observation(f"csv_{uuid.uuid4().hex[:12]}")
@@ -255,12 +334,18 @@ class DirectoryRead:
 
 def read_files(spark: SparkSession, files: Sequence[str], **kw
                ) -> DirectoryRead:
-    """Read files grouped by header: each group is one distributed read, and
+    """Read files grouped by header (and, with ``multi_line="auto"``, by
+    whether they can be split): each group is one distributed read, and
     the groups are combined by column name (columns missing in a group are
     null). A file that is not there is an error; a file without a header is
     skipped and reported, and no header at all is :class:`EmptyCsvError`."""
     groups: dict[tuple, list[str]] = {}
     skipped = {}
+    mode = kw.pop("multi_line", "auto")
+    split_bytes = kw.pop("split_bytes", None)
+    delimiter = kw.get("delimiter", ",")
+    plain = splittable(spark, files, delimiter, split_bytes) \
+        if mode == "auto" else set()
     # header peeks are small independent reads: run them concurrently (an
     # object store answers many at once; a thread each costs nothing here)
     with ThreadPoolExecutor(max_workers=max(1, min(32, len(files)))) as ex:
@@ -270,20 +355,26 @@ def read_files(spark: SparkSession, files: Sequence[str], **kw
             skipped[f] = "no header (empty file)"
             log.warning("Skipping %s: %s", f, skipped[f])
         else:
-            groups.setdefault(tuple(parse_header(line)), []).append(f)
+            groups.setdefault((f not in plain,
+                               *parse_header(line, delimiter)), []).append(f)
     if not groups:
         raise EmptyCsvError(f"none of {len(files)} files holds a header line")
-    data = malformed = None
-    parts = []
-    for cols, fs in groups.items():
-        r = read_csv(spark, fs, columns=list(cols), **kw)
-        parts.append(r)
-        data = r.data if data is None else data.unionByName(
-            r.data, allowMissingColumns=True)
-        malformed = r.malformed if malformed is None else \
-            malformed.unionByName(r.malformed, allowMissingColumns=True)
     log.info("Read %d files in %d header groups", sum(map(len,
              groups.values())), len(groups))
+    return _combined(files, skipped, [
+        read_csv(spark, fs, columns=cols, multi_line=whole
+                 if mode == "auto" else mode, **kw)
+        for (whole, *cols), fs in groups.items()])
+
+
+def _combined(files: Sequence[str], skipped: dict, parts: list
+              ) -> DirectoryRead:
+    """Several reads as one, combined by column name."""
+    data, malformed = parts[0].data, parts[0].malformed
+    for r in parts[1:]:
+        data = data.unionByName(r.data, allowMissingColumns=True)
+        malformed = malformed.unionByName(r.malformed,
+                                          allowMissingColumns=True)
     return DirectoryRead(data, malformed, list(files), skipped, parts)
 
 

@@ -85,7 +85,7 @@ def ingest_available_now(spark: SparkSession, input_dir: str,
                          reject_target: str | None = None,
                          archive_dir: str | None = None,
                          max_files_per_trigger: int | None = None,
-                         multi_line: bool = True) -> dict:
+                         multi_line: bool | str = "auto") -> dict:
     """Process every new file once and stop.
 
     Files are read by their own headers; ``columns`` is what ``process`` gets

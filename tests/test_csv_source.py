@@ -6,7 +6,7 @@ import pytest
 
 from conftest import write
 from loadstar.sources.csv import (EmptyCsvError, MalformedCsvError,
-                                  read_csv, read_directory)
+                                  read_csv, read_directory, splittable)
 
 
 def rows(df):
@@ -115,10 +115,62 @@ def test_single_line_mode_splits_large_files(spark, tmp):
             f.write(f"{i},x{i}\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
     try:
-        one = read_csv(spark, p).data
+        one = read_csv(spark, p, multi_line=True).data
         many = read_csv(spark, p, multi_line=False).data
         assert one.rdd.getNumPartitions() == 1
         assert many.rdd.getNumPartitions() > 1
         assert many.count() == one.count() == 200000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_auto_splits_only_files_without_quoted_line_breaks(spark, tmp):
+    """Each file gives the rows of the multi-line reader; only those whose
+    lines are whole records are read in splits."""
+    body = "".join(f'{i},"x ""{i}"", y"\n' for i in range(20000))
+    plain = {"lf.csv": "a,b\n" + body,
+             "crlf.csv": ("a,b\n" + body).replace("\n", "\r\n"),
+             "empty_lines.csv": "a,b\n\n" + body + "\n\n"}
+    other = {"break.csv": "a,b\n" + body + '1,"m\nn"\n',
+             # an even number of quotes on the line where the break is
+             "even.csv": "a,b\n" + body + 'x"y,"m\nn"\n',
+             "blank.csv": "a,b\n" + body + "  \n",
+             "mixed.csv": "a,b\n" + body + "1,2\r\n3,4\n",
+             "inner.csv": "a,b\n" + body + "1,2\r3,4\n"}
+    paths = {n: write(os.path.join(tmp, n), t)
+             for n, t in {**plain, **other}.items()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        got = splittable(spark, list(paths.values()))
+        assert {os.path.basename(p) for p in got} == set(plain)
+        for n, p in paths.items():
+            auto = read_csv(spark, p).data
+            whole = read_csv(spark, p, multi_line=True).data
+            assert (auto.rdd.getNumPartitions() > 1) == (n in plain)
+            assert rows(auto) == rows(whole), n
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    both = read_csv(spark, [paths["lf.csv"], paths["break.csv"]],
+                    split_bytes=0, with_order=True)
+    assert len(both.parts) == 2 and both.data.count() == 40001
+    assert splittable(spark, list(paths.values())) == set()
+    spaced = write(os.path.join(tmp, "a b%20ü.csv"), "a;b\n1;\"x;y\"\n")
+    assert splittable(spark, [spaced], ";", 0) == {spaced}
+    assert rows(read_csv(spark, spaced, delimiter=";", split_bytes=0).data) \
+        == [("1", "x;y")]
+
+
+def test_long_quoted_text_in_a_long_row(spark, tmp):
+    p = write(os.path.join(tmp, "a.csv"),
+              'a,b\n1,"' + "x," * 40000 + '",3\n')
+    r = read_csv(spark, p, split_bytes=0)
+    assert r.data.count() == 0 and r.malformed.count() == 1
+
+
+@pytest.mark.parametrize("multi_line", [True, False, "auto"])
+def test_long_rows_are_found_whatever_columns_are_read(spark, tmp, multi_line):
+    p = write(os.path.join(tmp, "a.csv"), "a,b\n1,2\n1,2,3\n")
+    r = read_csv(spark, p, multi_line=multi_line, split_bytes=0)
+    assert r.data.count() == 1 and r.malformed.count() == 1
+    assert rows(r.data.select("a")) == [("1",)]
+    assert rows(r.data.select("b")) == [("2",)]
