@@ -16,7 +16,7 @@ from ..sinks.export import export_csv
 from ..sinks.lake import load_run
 from ..sources.csv import (DELIVERED, list_files, read_directory, read_files,
                            splittable)
-from ..streaming import ingest
+from ..streaming import buckets, ingest
 from . import lens
 from .jobspec import SALES_JOB
 from .lens import AS_OF, SQL_RAW, SQL_SALES
@@ -290,6 +290,46 @@ def cdc_apply_buckets(spark, sf_dir):
     return ingest.read_buckets(spark, base)
 
 
+@register("stream_change_apply_growing", f"""
+WITH {SQL_SNAPSHOTS}
+SELECT * FROM new""")
+def stream_change_apply_growing(spark, sf_dir):
+    """The same change stream on a table whose buckets grow; each
+    micro-batch is one version, there as a whole or not at all."""
+    old, new = snapshots(spark, sf_dir)
+    base = scratch_path(spark, "stream-cdc-growing")
+    changes = cdc.diff(old, new, "order_id", AS_OF)
+    changes.write.partitionBy("change_type").json(base + "/changes")
+    buckets.write_table(old, base + "/table", "order_id")
+    stream = (spark.readStream.schema(changes.schema)
+              .option("maxFilesPerTrigger", 8)
+              .json(base + "/changes"))
+    buckets.apply_change_stream(
+        spark, stream, base + "/table", base + "/_checkpoint",
+        lambda cur, chg: cdc.apply_changes(cur, chg, "order_id"))
+    return buckets.read_table(spark, base + "/table")
+
+
+@register("cdc_growing_buckets", f"""
+WITH {SQL_SNAPSHOTS}
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS too_large,
+  CAST(1 AS DOUBLE) AS hash_space FROM new""")
+def cdc_growing_buckets(spark, sf_dir):
+    """A table that starts empty and gets every order as a change: all
+    rows are in, no bucket is over the size, and the buckets share out the
+    whole hash space."""
+    _, new = snapshots(spark, sf_dir)
+    base, most = scratch_path(spark, "cdc-growing"), 2000
+    buckets.write_table(new.limit(0), base, "order_id", most)
+    buckets.apply_batch(
+        spark, base, cdc.diff(new.limit(0), new, "order_id", AS_OF),
+        lambda cur, chg: cdc.apply_changes(cur, chg, "order_id"))
+    return buckets.version(spark, base).leaves.agg(
+        F.sum("rows").alias("n_rows"),
+        F.count_if(F.col("rows") > most).alias("too_large"),
+        F.sum(F.pow(F.lit(2.0), -F.col("depth"))).alias("hash_space"))
+
+
 # What the table's rules say of each row of the transform chain, in order.
 SQL_CHECKED = f"""checked AS (
   SELECT *, concat_ws(',',
