@@ -1,7 +1,7 @@
 """Line deduplication by site-relative frequency (DataFrame functions only).
 
 Pages are grouped by host. A line's ratio on a host is the number of the
-host's pages that contain it divided by the host's pages; lines above the
+host's pages that contain it divided by the host's pages; lines that reach the
 ratio are boilerplate of that host and are dropped from its pages.
 """
 
@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, small, stage
 
-MAX_RATIO, MIN_PAGES = 0.1, 5
+# A line on one page in twenty is the site's, not the page's; MIN_PAGES keeps
+# small hosts from losing what two or three of their pages happen to share.
+MAX_RATIO, MIN_PAGES = 0.05, 5
 
 
 def _key(line: Column) -> Column:
@@ -42,7 +44,7 @@ def boilerplate(pages: DataFrame, host_col: str = "source",
     hosts = pages.groupBy(F.col(host_col).alias("__h")).agg(
         F.count(F.lit(1)).alias("__all"))
     return counts.join(hosts, F.col("__host").eqNullSafe(F.col("__h"))) \
-        .filter(F.col("__pages") > F.col("__all") * F.lit(max_ratio)) \
+        .filter(F.col("__pages") / F.col("__all") >= F.lit(max_ratio)) \
         .select("__host", "__a", "__b", "__pages", "__all")
 
 
@@ -55,7 +57,7 @@ def drop_lines(pages: DataFrame, host_col: str = "source",
     columns (named by ``counts``): lines with text, and lines dropped.
 
     A line is boilerplate of a host if at least ``min_pages`` of the host's
-    pages and more than ``max_ratio`` of them contain it (compared without
+    pages and ``max_ratio`` of them or more contain it (compared without
     surrounding white space). A page whose every line is boilerplate is left
     whole: nothing on it tells content from boilerplate, and deduplication of
     documents is the next step for it.
@@ -122,7 +124,7 @@ hosts AS (SELECT h, count(*) AS n FROM pages GROUP BY h),
 bad AS (SELECT c.h, c.key FROM (SELECT h, key, count(DISTINCT k) AS p
   FROM keyed WHERE key <> '' GROUP BY h, key) c
   JOIN hosts ON c.h IS NOT DISTINCT FROM hosts.h
-  WHERE p >= {min_pages} AND p > n * CAST({max_ratio} AS DOUBLE)),
+  WHERE p >= {min_pages} AND p / n::DOUBLE >= CAST({max_ratio} AS DOUBLE)),
 marked AS (SELECT keyed.k, i, line, keyed.key, bad.key IS NOT NULL AS d
   FROM keyed LEFT JOIN bad ON keyed.h IS NOT DISTINCT FROM bad.h
   AND keyed.key = bad.key),
