@@ -1,8 +1,12 @@
 """License scan as an exact set-similarity join (DataFrame functions only).
 
-Blocks are the lines of a text. A block matches a template if it contains at
-least ``threshold`` of the template's distinct words. Words are ordered by
-their frequency over all blocks, rarest first; then
+A block is a line of a text and the lines after it, until these have as many
+words as the longest template: license text that is wrapped over lines lies
+within the block of the line where it begins. (Lines without words are passed
+over; of a line without template words the block adds nothing to the next
+one.) A block matches a template if it contains at least ``threshold`` of the
+template's distinct words. Words are ordered by their frequency over all
+blocks, rarest first; then
 
 * prefix filter: two sets that share ``a`` words share one among the first
   ``n - a + 1`` of the template and the first ``m - a + 1`` of the block;
@@ -74,18 +78,39 @@ def _places(words: Column, phrase: str) -> Column:
     return F.filter(starts, here)
 
 
-def _read(docs: DataFrame, id_col: str, text_col: str, phrases, vocabulary
-          ) -> DataFrame:
+def _runs(lines: Column, reach: int) -> Column:
+    """Template words (``t``) of each block: those of a line that has any, and
+    of the lines after it until these have ``reach`` words (``n``)."""
+    def run(line: Column, i: Column) -> Column:
+        start = F.struct(F.lit(0).alias("n"), line["t"].alias("t"))
+        return F.aggregate(
+            F.slice(lines, i + 2, F.lit(reach)), start,
+            lambda acc, x: F.when(acc["n"] >= reach, acc).otherwise(F.struct(
+                (acc["n"] + x["n"]).alias("n"),
+                F.array_union(acc["t"], x["t"]).alias("t"))))["t"]
+    return F.filter(F.transform(lines, lambda x, i: F.when(
+        F.size(x["t"]) > 0, run(x, i))), lambda t: t.isNotNull())
+
+
+def _reach(templates) -> int:
+    return max(len(t.split()) for t, _ in templates)
+
+
+def _read(docs: DataFrame, id_col: str, text_col: str, phrases, vocabulary,
+          reach: int) -> DataFrame:
     """One pass over the texts: word counts, phrase places, and the template
-    words of each line that has any."""
+    words of each block that has any."""
     text = letters_down(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     lines = docs.select(
         F.col(id_col).alias("__id"), F.monotonically_increasing_id()
         .alias("__row"), F.transform(
             F.split(text, "\n"), lambda x: F.array_remove(
                 F.split(x, SEPARATORS), "")).alias("__lines"))
-    words = lines.select("__id", "__row", "__lines",
-                         F.flatten("__lines").alias("__words"))
+    words = lines.select(
+        "__id", "__row", F.flatten("__lines").alias("__words"),
+        F.filter(F.transform("__lines", lambda x: F.struct(
+            F.array_intersect(_strings(vocabulary), x).alias("t"),
+            F.size(x).alias("n"))), lambda x: x["n"] > 0).alias("__lines"))
     no_places = F.array().cast("array<int>")
     every_place = [
         F.when(F.array_contains("__words", _longest(p)),
@@ -95,9 +120,7 @@ def _read(docs: DataFrame, id_col: str, text_col: str, phrases, vocabulary
     return words.select(
         "__id", "__row", F.size("__words").cast("long").alias("n_words"),
         *every_place,
-        F.filter(F.transform("__lines", lambda x: F.array_intersect(
-            _strings(vocabulary), x)), lambda x: F.size(x) > 0)
-        .alias("__blocks"))
+        _runs(F.col("__lines"), reach).alias("__blocks"))
 
 
 def _finder(phrase: str):
@@ -160,11 +183,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     * null or empty text: no words, no labels, score 0
     * null ids and repeated rows: one result row each
-    * very long texts are read whole; a very long line is one block
+    * very long texts are read whole; a very long line is in one block
     * other columns are ignored; an empty table gives no rows"""
     vocabulary = sorted({w for t, _ in templates for w in t.split()})
-    held = stage(_read(docs, id_col, text_col, phrases, vocabulary),
-                 "licenses")
+    held = stage(_read(docs, id_col, text_col, phrases, vocabulary,
+                       _reach(templates)), "licenses")
     blocks = held.select("__row", F.explode("__blocks").alias("__block"))
     found = matches(blocks, templates, threshold).groupBy("__row").agg(
         F.collect_set("label").alias("__found"),
@@ -221,8 +244,17 @@ tw AS (SELECT DISTINCT t, label, a, n, w FROM (SELECT t, label, a, n,
   unnest(string_split(body, ' ')) AS w FROM templates)),
 lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS b
   FROM (SELECT doc_id, string_split(t, chr(10)) AS ls FROM docs)),
+parts AS (SELECT doc_id, b, regexp_extract_all(line, '{word}') AS ws
+  FROM lines),
+nth AS (SELECT doc_id, ws, len(ws) AS n, row_number() OVER o AS k,
+  sum(len(ws)) OVER o AS upto FROM parts WHERE len(ws) > 0
+  WINDOW o AS (PARTITION BY doc_id ORDER BY b)),
+at AS (SELECT doc_id, k + o AS k, k AS b, upto FROM nth,
+  range(0, {_reach(templates)} + 1) r(o)),
+runs AS (SELECT doc_id, at.b, nth.ws FROM at JOIN nth USING (doc_id, k)
+  WHERE k = at.b OR nth.upto - nth.n - at.upto < {_reach(templates)}),
 lw AS (SELECT DISTINCT doc_id, b, w FROM (SELECT doc_id, b,
-  unnest(regexp_extract_all(line, '{word}')) AS w FROM lines)),
+  unnest(ws) AS w FROM runs) WHERE w IN (SELECT w FROM tw)),
 hits AS (SELECT doc_id, b, t, label, count(*) AS o, any_value(n) AS n
   FROM lw JOIN tw ON lw.w = tw.w GROUP BY doc_id, b, t, label
   HAVING count(*) >= any_value(a)),

@@ -22,7 +22,8 @@ def _drop(rows, ratio, least):
     pages, count = Counter(s for _, _, s in rows), Counter()
     for _, t, s in rows:
         count.update({(s, key(x)) for x in (t or "").split("\n") if key(x)})
-    bad = {k for k, n in count.items() if n >= least and n > pages[k[0]] * ratio}
+    bad = {k for k, n in count.items()
+           if n >= least and n / pages[k[0]] >= ratio}
     out = {}
     for d, t, s in rows:
         lines = (t or "").split("\n")
@@ -70,6 +71,21 @@ def test_line_dedup_leaves_boilerplate_pages_whole(spark):
     assert linededup.drop_lines(docs(spark, [])).count() == 0
 
 
+def test_a_line_on_one_page_in_twenty_goes_from_every_host(spark):
+    rows = [(h * 1000 + i, f"own {h} {i}" + ("\n share this" if i % 20 == 3
+                                            else ""), "en", f"h{h}")
+            for h, n in ((1, 100), (2, 140), (3, 500)) for i in range(n)]
+    got = linededup.drop_lines(docs(spark, rows)).collect()
+    assert not any("share" in r["text"] for r in got)
+    assert sum(r["n_dropped"] for r in got) == 37
+    # a line below that stays, and so does one on few pages of a small host
+    rows = [(i, f"own {i}" + ("\nnow" if i < 9 else ""), "en", "h")
+            for i in range(200)] + [
+        (900 + i, f"small {i}\nfour", "en", "s") for i in range(4)]
+    assert sum(r["n_dropped"] for r in linededup.drop_lines(
+        docs(spark, rows)).collect()) == 0
+
+
 # --- license scan -------------------------------------------------------
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -87,8 +103,15 @@ def _scan(text):
                 places.append(i)
                 base.add(label)
     labels, score = set(base), 0.0
-    for line in t.split("\n"):
-        have = set(WORD.findall(line))
+    lines = [w for w in map(WORD.findall, t.split("\n")) if w]
+    reach = max(len(t.split()) for t, _ in licenses.TEMPLATES)
+    for i, line in enumerate(lines):
+        have, after = set(line), 0
+        for more in lines[i + 1:]:
+            if after >= reach:
+                break
+            have.update(more)
+            after += len(more)
         for body, label in licenses.TEMPLATES:
             want = set(body.split())
             both = len(want & have)
@@ -115,6 +138,14 @@ def test_license_scan_against_brute_force(spark):
         rng.shuffle(ws)
         texts.append(rng.choice(["", "intro\n"]) + " ".join(ws).title()
                      + rng.choice(["", "\nthe end"]))
+    for k in range(60):      # wrapped at some width, with text around it
+        ws = ["zz"] * rng.randrange(6) + rng.choice(
+            licenses.TEMPLATES)[0].split() + ["qq"] * rng.randrange(40)
+        n = rng.randrange(1, 9)
+        texts.append(rng.choice(["\n", "\n # ", "\n\n"]).join(
+            " ".join(ws[i:i + n]) for i in range(0, len(ws), n)))
+    texts.append("all\n" + "zz\n" * 30 + "rights reserved")
+    texts.append("the of\n" * 3000 + "this software is\nfree of charge")
     rows = list(enumerate(texts)) + [(None, "All rights reserved"), (3, texts[3])]
     got = licenses.scan(docs(spark, rows, extra=("n_words", "labels", "score")))
     assert _no_python(got)
@@ -126,6 +157,15 @@ def test_license_scan_against_brute_force(spark):
     assert licenses.scan(docs(spark, [])).count() == 0
 
 
+def test_wrapped_license(spark):
+    text = licenses.TEMPLATES[1][0].replace("person obtaining",
+                                            "person\n obtaining")
+    got = licenses.scan(docs(spark, [(1, "Copyright\n" + text),
+                                     (2, text.split("\n")[0])])).collect()
+    assert {r["doc_id"]: (r["labels"], r["score"]) for r in got} == {
+        1: ("mit", 1.0), 2: ("", 0.0)}
+
+
 # --- quality ledger -----------------------------------------------------
 
 def _measure(text):
