@@ -1,6 +1,7 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Texts are sequences of lower-case words. A test item of n words may be met
+Texts are sequences of lower-case words; in scripts that put no spaces between
+words each character is one. A test item of n words may be met
 with up to k = n * budget word edits (insertions, deletions, replacements).
 Cut into k + 1 pieces, at least one piece of it then stands unchanged in any
 such passage. All pieces of all items are searched at once (Aho-Corasick),
@@ -23,21 +24,38 @@ from pyspark.sql import types as T
 from .common import only, python_ready, worker_cache
 from .packing import _arrow
 
-BUDGET, MIN_WORDS = 0.15, 8
+# Items of MIN_WORDS words are searched with edits; shorter ones as they are, if
+# they have MIN_CHARS characters.
+BUDGET, MIN_WORDS, MIN_CHARS = 0.15, 8, 20
 # Characters of benchmark text that one scan of the documents searches for.
 BLOCK_CHARS = 1 << 20
 _BREAK = re.compile(r"[\W_]+")
+# Thai, Lao, Myanmar, Khmer, kana, Han (with extensions and compatibility).
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff"
+                       "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+                       "\U00020000-\U0003ffff]")
 
 
 def plain(text: str | None) -> str:
     """Lower-case words with single spaces between them."""
-    return _BREAK.sub(" ", (text or "").lower()).strip()
+    text = (text or "").lower()
+    if not text.isascii():
+        text = _UNSPACED.sub(r" \g<0> ", text)
+    return _BREAK.sub(" ", text).strip()
 
 
 def edits(n: int, budget: float) -> int:
+    """Edits that an item of ``n`` words may be met with."""
     return int(n * budget + 1e-9)
 
 
+def searched(item: str, min_words: int, min_chars: int) -> bool:
+    """Whether an item (plain text) is evidence of a leak where it stands."""
+    words = item.count(" ") + 1 if item else 0
+    return words >= min_words > 0 or \
+        len(item) - item.count(" ") >= max(1, min_chars)
+
+
 def pieces(words: list[str], k: int) -> list[tuple[int, list[str]]]:
     """``k + 1`` consecutive pieces of nearly equal length, with offsets."""
     n = len(words)
@@ -77,8 +95,10 @@ class Searcher:
     """All items of a block of the benchmark: ``find(text)`` gives (item,
     distance, first word, end word) of each item's best passage."""
 
-    def __init__(self, items: list[tuple[int, list[str]]], budget: float):
-        self.items = [(i, w, edits(len(w), budget)) for i, w in items]
+    def __init__(self, items: list[tuple[int, list[str]]], budget: float,
+                 min_words: int = MIN_WORDS):
+        self.items = [(i, w, edits(len(w), budget)
+                       if len(w) >= min_words else 0) for i, w in items]
         self.auto = ahocorasick.Automaton()
         at: dict[str, list[tuple[int, int]]] = {}
         for n, (_, words, k) in enumerate(self.items):
@@ -130,18 +150,19 @@ class Searcher:
 _SEARCHERS: dict = worker_cache()
 
 
-def _searcher(items, budget) -> Searcher:
+def _searcher(items, budget, min_words) -> Searcher:
     """One automaton per worker and block."""
     only(_SEARCHERS)
-    key = (hash(items), len(items), budget)
+    key = (hash(items), len(items), budget, min_words)
     if key not in _SEARCHERS:
         _SEARCHERS.clear()
-        _SEARCHERS[key] = Searcher([(i, t.split()) for i, t in items], budget)
+        _SEARCHERS[key] = Searcher([(i, t.split()) for i, t in items], budget,
+                                   min_words)
     return _SEARCHERS[key]
 
 
 def blocks(benchmark: DataFrame, item_col: str, text_col: str,
-           min_words: int, block_chars: int):
+           min_words: int, min_chars: int, block_chars: int):
     """The benchmark's distinct items in blocks of about ``block_chars``
     characters, one at a time: (position in the block, plain text), and the
     items' own ids."""
@@ -153,7 +174,7 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str,
     for b in range(n):
         part = rows.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == b).collect()
         kept = [(r["item"], p) for r in part
-                if len((p := plain(r["text"])).split()) >= min_words]
+                if searched(p := plain(r["text"]), min_words, min_chars)]
         kept.sort(key=lambda x: (x[1], str(x[0])))
         if kept:
             yield tuple((i, p) for i, (_, p) in enumerate(kept)), \
@@ -163,15 +184,17 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str,
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
           text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", budget: float = BUDGET,
-          min_words: int = MIN_WORDS, block_chars: int = BLOCK_CHARS
-          ) -> DataFrame:
+          min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS,
+          block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(``id_col``, ``item_col``, ``edits``, ``first_word``, ``last_word``)
     for every document and item that it holds within the item's budget; the
     words are those of the best passage, counted from 0.
 
     * null or empty texts hold nothing; null items are skipped
-    * items under ``min_words`` words are not searched: so short a text is no
-      evidence of a leak
+    * items under ``min_words`` words are searched without edits; those that
+      also have under ``min_chars`` characters (spaces apart) are not: so
+      short a text is no evidence of a leak
+    * in scripts without spaces between words a character is a word
     * equal items are reported each; repeated document rows give a row each
     * very long texts are searched whole
     * other columns are ignored; an empty table on either side gives no rows
@@ -192,9 +215,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                        ("last_word", pa.int64())])
     texts = docs.select(F.col(id_col).alias("__d"),
                         F.col(text_col).cast("string").alias("__t"))
-    found = [texts.mapInArrow(_leaks(block, names, budget, arrow), schema)
+    found = [texts.mapInArrow(_leaks(block, names, budget, min_words, arrow),
+                              schema)
              for block, names in blocks(benchmark, item_col, item_text_col,
-                                        min_words, block_chars)]
+                                        min_words, min_chars, block_chars)]
     out = reduce(DataFrame.unionByName, found,
                  spark.createDataFrame([], schema)) if len(found) != 1 \
         else found[0]
@@ -203,9 +227,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                       "last_word")
 
 
-def _leaks(block, names, budget, schema: pa.Schema):
+def _leaks(block, names, budget, min_words, schema: pa.Schema):
     def run(batches):
-        search = _searcher(block, budget)
+        search = _searcher(block, budget, min_words)
         for b in batches:
             rows = []
             for i, t in enumerate(b.column(1)):
@@ -224,20 +248,22 @@ def _leaks(block, names, budget, schema: pa.Schema):
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text",
           budget: float = BUDGET, min_words: int = MIN_WORDS,
-          block_chars: int = BLOCK_CHARS) -> DataFrame:
+          min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS
+          ) -> DataFrame:
     """The rows of ``docs`` that hold no item (as :func:`leaks` has it), with
     all their columns. Rows are filtered where they are read."""
     python_ready(docs.sparkSession)
     at = docs.columns.index(text_col)
     for block, _ in blocks(benchmark, item_col, item_text_col, min_words,
-                           block_chars):
-        docs = docs.mapInArrow(_clean(block, budget, at), docs.schema)
+                           min_chars, block_chars):
+        docs = docs.mapInArrow(_clean(block, budget, min_words, at),
+                               docs.schema)
     return docs
 
 
-def _clean(block, budget, at):
+def _clean(block, budget, min_words, at):
     def run(batches):
-        search = _searcher(block, budget)
+        search = _searcher(block, budget, min_words)
         for b in batches:
             yield b.filter(pa.array([not search.find(t.as_py())
                                      for t in b.column(at)], pa.bool_()))

@@ -70,9 +70,11 @@ def test_leaks_against_brute_force(spark):
         if d == 902:
             ws = ws[-200:]
         for i, w in items:
-            if len(w) >= decontam.MIN_WORDS:
+            long = len(w) >= decontam.MIN_WORDS
+            if long or len("".join(w)) >= decontam.MIN_CHARS:
                 n = least(w, ws)
-                if n <= decontam.edits(len(w), decontam.BUDGET):
+                if n <= (decontam.edits(len(w), decontam.BUDGET)
+                         if long else 0):
                     want.append((d, i, n))
     for size in (decontam.BLOCK_CHARS, 700):
         got = decontam.leaks(df, bench, block_chars=size).collect()
@@ -91,6 +93,24 @@ def test_leaks_against_brute_force(spark):
     assert len(want) > 80
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    han = "".join(chr(0x4e00 + 37 * i) for i in range(60))
+    thai = "\u0e20\u0e32\u0e29\u0e32\u0e44\u0e17\u0e22\u0e19\u0e32\u0e19"
+    items = [(1, "Which river flows through Vienna?"), (2, han), (3, "yes, it is"),
+             (4, thai), (5, "\u4e00\u4e8c"), (6, "")]
+    bench = spark.createDataFrame(items, ITEMS)
+    rows = [(10, "Q: which river flows through vienna? A: the Danube"),
+            (11, "Which wide river flows through Vienna?"),
+            (12, "\u524d" + han + "\u540e" * 5), (13, han[:20] + "\u4e01" + han[21:]),
+            (14, han[:30]), (15, "yes, it is \u4e00\u4e8c"),
+            (16, "x " + thai + "\u0e01"), (17, None)]
+    got = decontam.leaks(docs(spark, rows), bench).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["edits"]) for r in got) == [
+        (10, 1, 0), (12, 2, 0), (13, 2, 1), (16, 4, 0)]
+    assert {r["doc_id"] for r in decontam.clean(docs(spark, rows), bench)
+            .collect()} == {11, 14, 15, 17}
+
+
 def test_empty_sides(spark):
     none = spark.createDataFrame([], ITEMS)
     some = spark.createDataFrame([(1, " ".join("abcdefghij"))], ITEMS)
