@@ -249,10 +249,11 @@ parts AS (SELECT doc_id, b, regexp_extract_all(line, '{word}') AS ws
 nth AS (SELECT doc_id, ws, len(ws) AS n, row_number() OVER o AS k,
   sum(len(ws)) OVER o AS upto FROM parts WHERE len(ws) > 0
   WINDOW o AS (PARTITION BY doc_id ORDER BY b)),
-at AS (SELECT doc_id, k + o AS k, k AS b, upto FROM nth,
+spans AS (SELECT doc_id, k + o AS k, k AS b, upto FROM nth,
   range(0, {_reach(templates)} + 1) r(o)),
-runs AS (SELECT doc_id, at.b, nth.ws FROM at JOIN nth USING (doc_id, k)
-  WHERE k = at.b OR nth.upto - nth.n - at.upto < {_reach(templates)}),
+runs AS (SELECT doc_id, spans.b, nth.ws
+  FROM spans JOIN nth USING (doc_id, k)
+  WHERE k = spans.b OR nth.upto - nth.n - spans.upto < {_reach(templates)}),
 lw AS (SELECT DISTINCT doc_id, b, w FROM (SELECT doc_id, b,
   unnest(ws) AS w FROM runs) WHERE w IN (SELECT w FROM tw)),
 hits AS (SELECT doc_id, b, t, label, count(*) AS o, any_value(n) AS n
