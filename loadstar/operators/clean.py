@@ -12,7 +12,6 @@ import decimal
 import logging
 import math
 from collections.abc import Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -236,69 +235,107 @@ def _exact(value, dt: T.DataType) -> Column:
     return F.lit(value).cast(dt)
 
 
-def _kth_values(vals: DataFrame, ks: Sequence[int], lo, hi, n: int,
-                buckets: int, fetch_limit: int, max_passes: int = 80) -> dict:
-    """Exact k-th smallest (0-based) non-null values of column ``v``.
-
-    Distributed selection: each pass narrows [lo, hi] to the histogram
-    bucket holding rank k (``groupBy(bucket)`` — at most ``buckets`` result
-    rows reach the driver), using the bucket's actual min and max as the
-    next range. When that bucket is one value, or holds at most
-    ``fetch_limit`` rows, the answer is read directly. A pass that cuts the
-    candidates by less than a quarter of the bucket count switches the next
-    pass between linear and log-magnitude buckets, so values spread over
-    many orders of magnitude converge as fast as evenly spread ones. Values
-    that doubles cannot tell apart are halved on their exact type, so any
-    number of them converges too."""
-    v = F.col("v")
-    vd, kind = v.cast("double"), vals.schema["v"].dataType
-    out = {}
-    # k → (lo, hi, rows below lo, rows in [lo, hi], log-scale buckets?)
-    pending = {k: (lo, hi, 0, n, False) for k in ks}
+def _ranges(vals: DataFrame, marks: Sequence[tuple]) -> DataFrame:
+    """The values of ``vals`` in each of ``marks`` (column, lo, hi, bucket):
+    ``g`` (the mark's place), ``b`` (the bucket) and the value, in one column
+    per data type (``v0``, ``v1`` …); the others are null."""
+    kinds = {f.name: f.dataType for f in vals.schema.fields}
+    slots = list(dict.fromkeys(kinds[c] for c, *_ in marks))
+    rows = [F.when(
+        F.col(c).between(_exact(lo, kinds[c]), _exact(hi, kinds[c])),
+        F.struct(F.lit(g).alias("g"), b.cast("int").alias("b"),
+                 *[(F.col(c) if kinds[c] == t else F.lit(None).cast(t))
+                   .alias(f"v{i}") for i, t in enumerate(slots)]))
+        for g, (c, lo, hi, b) in enumerate(marks)]
+    return vals.select(F.explode(F.array(*rows)).alias("x")).where(
+        F.col("x").isNotNull()).select("x.*")
+
+
+def _values(row, names: Sequence[str]):
+    """The value among columns of which at most one is not null."""
+    return next(row[c] for c in names if row[c] is not None)
+
+
+def _select_ranks(vals: DataFrame, wanted: Mapping[str, tuple], buckets: int,
+                  fetch_limit: int, max_passes: int = 80) -> dict[str, dict]:
+    """Exact k-th smallest (0-based) finite values of several columns.
+    ``wanted``: column → (ks, smallest, largest, number of finite values);
+    result: column → {k: value}.
+
+    Distributed selection. Each pass is one job for all columns and ranks:
+    it narrows every rank's [lo, hi] to the histogram bucket holding the rank
+    (``groupBy(range, bucket)``: at most ``buckets`` result rows a range reach
+    the driver), using the bucket's actual min and max as the next range. When
+    that bucket is one value, the answer is known; when it holds at most
+    ``fetch_limit`` rows, it waits for one last job that reads all such
+    buckets. A pass that cuts the candidates by less than a quarter of the
+    bucket count switches the next pass between linear and log-magnitude
+    buckets, so values spread over many orders of magnitude converge as fast as
+    evenly spread ones. Values that doubles cannot tell apart are halved on
+    their exact type, so any number of them converges too."""
+    kinds = {f.name: f.dataType for f in vals.schema.fields}
+    out = {c: {} for c in wanted}
+    # (column, k) → (lo, hi, rows below lo, rows in [lo, hi], log buckets?)
+    pending = {(c, k): (lo, hi, 0, n, False)
+               for c, (ks, lo, hi, n) in wanted.items() for k in ks}
+    last: dict[tuple, list[tuple]] = {}     # (column, lo, hi) → (k, place)
     passes = 0
     while pending:
         passes += 1
         groups: dict[tuple, list[int]] = {}
-        for k, st in pending.items():
-            groups.setdefault(st, []).append(k)
-        nxt = {}
-        for (glo, ghi, below, cnt, log_scale), kk in groups.items():
-            if glo == ghi:
-                for k in kk:
-                    out[k] = glo
-                continue
-            in_range = vals.where(v.between(_exact(glo, kind),
-                                            _exact(ghi, kind)))
+        for (c, k), st in pending.items():
+            if st[0] == st[1]:
+                out[c][k] = st[0]
+            else:
+                groups.setdefault((c, *st), []).append(k)
+        pending = {}
+        if not groups:
+            break
+        marks, halved = [], []
+        for c, lo, hi, _, _, log_scale in groups:
             b = None if passes >= max_passes else _bucket(
-                vd, float(glo), float(ghi), buckets, log_scale)
-            halved = b is None
-            if halved:
-                b = (v > _exact(_midpoint(glo, ghi), kind)).cast("int")
-            hist = sorted(tuple(r) for r in in_range.groupBy(b.alias("b")).agg(
-                F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"),
-                F.max("v").alias("mx")).collect())
-            for k in kk:
+                F.col(c).cast("double"), float(lo), float(hi), buckets,
+                log_scale)
+            halved.append(b is None)
+            marks.append((c, lo, hi, F.col(c) > _exact(
+                _midpoint(lo, hi), kinds[c]) if b is None else b))
+        spread = _ranges(vals, marks)
+        slots = spread.columns[2:]
+        hist: dict[int, list] = {}
+        for r in spread.groupBy("g", "b").agg(
+                F.count(F.lit(1)).alias("n"),
+                *[f(v).alias(f"{x}{v}") for v in slots
+                  for x, f in (("lo", F.min), ("hi", F.max))]).collect():
+            hist.setdefault(r["g"], []).append(
+                (r["b"], r["n"], _values(r, [f"lo{v}" for v in slots]),
+                 _values(r, [f"hi{v}" for v in slots])))
+        for g, ((c, _, _, below, cnt, log_scale), ks) in enumerate(
+                groups.items()):
+            for k in ks:
                 seen = below
-                for _, bn, mn, mx in hist:
+                for _, bn, mn, mx in sorted(hist[g]):
                     if k < seen + bn:
                         if mn == mx:
-                            out[k] = mn
+                            out[c][k] = mn
                         elif bn <= fetch_limit:
-                            rows = [r["v"] for r in vals
-                                    .where(v.between(_exact(mn, kind),
-                                                     _exact(mx, kind)))
-                                    .select("v").orderBy("v").limit(bn)
-                                    .collect()]
-                            out[k] = rows[k - seen]
+                            last.setdefault((c, mn, mx), []).append(
+                                (k, k - seen))
                         else:
-                            stalled = not halved and bn * max(2, min(
+                            stalled = not halved[g] and bn * max(2, min(
                                 8, buckets // 4)) > cnt
-                            nxt[k] = (mn, mx, seen, bn,
-                                      (not log_scale) if stalled
-                                      else log_scale)
+                            pending[c, k] = (mn, mx, seen, bn,
+                                             log_scale != stalled)
                         break
                     seen += bn
-        pending = nxt
+    if last:
+        spread = _ranges(vals, [(*m, F.lit(0)) for m in last])
+        slots, got = spread.columns[2:], {}
+        for r in spread.collect():
+            got.setdefault(r["g"], []).append(_values(r, slots))
+        for g, ((c, _, _), places) in enumerate(last.items()):
+            rows = sorted(got[g])
+            for k, at in places:
+                out[c][k] = rows[at]
     return out
 
 
@@ -323,16 +360,29 @@ def _median_stats(v: Column, tag: str = "") -> list[Column]:
             F.min(finite).alias(f"_lo{tag}"), F.max(finite).alias(f"_hi{tag}")]
 
 
-def _median_from(vals: DataFrame, stats: tuple, buckets: int,
-                 fetch_limit: int):
-    below, n, above, lo, hi = stats
+def _middle(stats: tuple) -> tuple[list[int], list[int]]:
+    """The median's ranks, and those of them among the finite values."""
+    below, n, above, _, _ = stats
     rows = below + n + above
-    if not rows:
+    ks = sorted({(rows - 1) // 2, rows // 2}) if rows else []
+    return ks, [k - below for k in ks if below <= k < below + n]
+
+
+def _medians(vals: DataFrame, stats: Mapping[str, tuple], buckets: int,
+             fetch_limit: int) -> dict:
+    """Column → exact median, by one selection for all columns of ``stats``
+    (the values of :func:`_median_stats`)."""
+    wanted = {c: (_middle(s)[1], *s[3:], s[1]) for c, s in stats.items()
+              if _middle(s)[1]}
+    got = _select_ranks(vals, wanted, buckets, fetch_limit) if wanted else {}
+    return {c: _median_of(s, got.get(c, {})) for c, s in stats.items()}
+
+
+def _median_of(stats: tuple, got: Mapping):
+    below, n = stats[:2]
+    ks, _ = _middle(stats)
+    if not ks:
         return None
-    ks = sorted({(rows - 1) // 2, rows // 2})
-    inner = [k - below for k in ks if below <= k < below + n]
-    got = _kth_values(vals, inner, lo, hi, n, buckets, fetch_limit) \
-        if inner else {}
     ends = [float("-inf") if k < below else got[k - below]
             if k < below + n else float("inf") for k in ks]
     a, b = ends[0], ends[-1]
@@ -361,15 +411,10 @@ def exact_median(df: DataFrame, c: str | Column, buckets: int = 1024,
     col = F.col(c) if isinstance(c, str) else c
     vals = df.select(col.alias("v"))
     vals = vals.select(_value_expr(vals.schema["v"].dataType, F.col("v"))
-                       .alias("v")).where(F.col("v").isNotNull())
+                       .alias("v"))
     if stats is None:
         stats = tuple(vals.agg(*_median_stats(F.col("v"))).first())
-    return _median_from(_finite(vals), stats, buckets, fetch_limit)
-
-
-def _finite(vals: DataFrame) -> DataFrame:
-    d = F.col("v").cast("double")
-    return vals.where((d > F.lit(float("-inf"))) & (d < F.lit(float("inf"))))
+    return _medians(vals, {"v": stats}, buckets, fetch_limit)["v"]
 
 
 # ------------------------------------------------------------------ fill ---
@@ -467,18 +512,16 @@ def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
                 r2[f"_{x}{i}"] for x in ("l", "n", "h", "lo", "hi")))
             if median == "approx":
                 approx[f.name] = r2[f"_q{i}"]
-    # medians of several columns: each column's selection passes run as
-    # their own Spark jobs, submitted concurrently from driver threads
     todo = [f for f in fields if f.name in stats and stats[f.name][0]]
-
-    def median_of(f):
-        if median == "approx":
-            return approx.get(f.name)
-        vals = df.select(_value_expr(f.dataType, F.col(f"`{f.name}`"))
-                         .alias("v")).where(F.col("v").isNotNull())
-        return _median_from(_finite(vals), stats[f.name][1], buckets, 4096)
-    with ThreadPoolExecutor(max_workers=max(1, min(8, len(todo)))) as ex:
-        medians = dict(zip([f.name for f in todo], ex.map(median_of, todo)))
+    if median == "approx":
+        medians = approx
+    else:
+        got = _medians(
+            df.select(*[_value_expr(f.dataType, F.col(f"`{f.name}`"))
+                        .alias(f"c{i}") for i, f in enumerate(todo)]),
+            {f"c{i}": stats[f.name][1] for i, f in enumerate(todo)},
+            buckets, 4096) if todo else {}
+        medians = {f.name: got[f"c{i}"] for i, f in enumerate(todo)}
     exprs = []
     for f in fields:
         c = F.col(f"`{f.name}`")
@@ -486,7 +529,7 @@ def fill_missing(df: DataFrame, exclude: Iterable[str] = (),
         if f.name in stats:
             numeric = stats[f.name][0]
             if numeric:
-                med = medians[f.name]
+                med = medians.get(f.name)
                 fill = _fill_literal(f.dataType, med)
                 if med is not None:
                     plan.values[f.name] = med
