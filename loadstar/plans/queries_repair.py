@@ -4,18 +4,22 @@ the record a load leaves."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import cdc, clean
+from ..operators import cdc, clean, quality
 from ..session import scratch_path, stage
 from ..sinks.export import export_csv
+from ..sinks.files import archive_file
 from ..sinks.lake import load_run, row_count, table_exists
-from ..sources.csv import list_files, read_csv
+from ..sources.csv import list_files, read_csv, read_directory, read_source
 from ..streaming import ingest
 from . import lens
-from .lens import SQL_RAW, SQL_SALES
+from .lens import SQL_DIRTY, SQL_RAW, SQL_SALES
 from .loadjob import run
+from .queries_clean import SQL_REASONS, _split_rules
 from .queries_load import LENS_JOB, RELOAD_SPLIT
 from .registry import ORACLE, register
 
@@ -273,3 +277,71 @@ def load_run_record(spark, sf_dir):
         "d.missing_after", F.lit(existed).alias("existed"),
         F.lit(table_exists(spark, target)).alias("exists_now"),
         F.lit(moved).alias("archived"), "pipeline_name")
+
+
+@register("read_json_parquet", f"WITH {SQL_RAW} SELECT * FROM raw")
+def read_json_parquet(spark, sf_dir):
+    """Half of the rows as JSON, half as Parquet, through one entry."""
+    raw = lens.raw_sales(spark, sf_dir)
+    d = scratch_path(spark, "json-parquet")
+    raw.filter("_row % 2 = 0").write.json(d + "/json")
+    raw.filter("_row % 2 = 1").write.parquet(d + "/parquet")
+    return read_source(spark, d + "/json", "json", schema=raw.schema) \
+        .unionByName(read_source(spark, d + "/parquet", "parquet"))
+
+
+ARCHIVED = dt.datetime(2026, 1, 2, 3, 4, 5)
+DELIVERIES = 4
+
+
+@register("archived_source_files", f"""
+WITH {SQL_RAW}
+SELECT '20260102_030405_delivery' || (_row % {DELIVERIES}) || '.csv'
+         AS source_file,
+       count(*) AS n, count(customer_id) AS n_customers,
+       min(_row) AS first_row, max(_row) AS last_row
+FROM raw GROUP BY _row % {DELIVERIES}""")
+def archived_source_files(spark, sf_dir):
+    """Files moved aside under their stamp; each row of the archive
+    names the file it came from."""
+    raw = lens.raw_sales(spark, sf_dir)
+    d = scratch_path(spark, "archived")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(d).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for k in range(DELIVERIES):
+        export_csv(raw.filter(F.col("_row") % DELIVERIES == k)
+                   .select("_row", "customer_id").coalesce(1), f"{d}/out{k}")
+        [part] = list_files(spark, f"{d}/out{k}", "part-*.csv")
+        fs.rename(path(part), path(f"{d}/delivery{k}.csv"))
+        archive_file(spark, f"{d}/delivery{k}.csv", d + "/archive", ARCHIVED)
+    row = F.col("_row").cast("bigint")
+    return read_directory(spark, d + "/archive", with_file_name=True).data \
+        .groupBy(F.element_at(F.split("_source_file", "/"), -1)
+                 .alias("source_file")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("customer_id").alias("n_customers"),
+        F.min(row).alias("first_row"), F.max(row).alias("last_row"))
+
+
+@register("on_error_policies", f"""
+WITH {SQL_DIRTY},
+n AS (SELECT count(*) AS rejected FROM dirty WHERE {SQL_REASONS} <> '')
+SELECT 'halt' AS policy,
+       CASE WHEN rejected > 0 THEN 'stopped' ELSE 'went on' END AS outcome,
+       rejected FROM n
+UNION ALL SELECT 'log_and_continue', 'went on', rejected FROM n""")
+def on_error_policies(spark, sf_dir):
+    """What each policy does about the rejected rows."""
+    _, bad = quality.split(lens.dirty_sales(spark, sf_dir), _split_rules())
+
+    def outcome(policy):
+        try:
+            quality.enforce_policy(bad, policy)
+        except quality.RejectedRowsError:
+            return "stopped"
+        return "went on"
+    return bad.agg(F.count(F.lit(1)).alias("rejected")).select(F.explode(
+        F.array(*[F.struct(F.lit(p).alias("policy"), F.lit(outcome(p))
+                           .alias("outcome"), "rejected")
+                  for p in ("halt", "log_and_continue")])).alias("x")) \
+        .select("x.*")
