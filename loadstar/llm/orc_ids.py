@@ -57,6 +57,11 @@ def _encoded(path: str, end_id: int | None, schema: pa.Schema):
     return run
 
 
+# Rows after which a stripe's size is looked at; by default 5,000, which very
+# long documents would make a stripe of gigabytes.
+CHECK_ROWS = 256
+
+
 def write_ids(docs: DataFrame, path: str, tokenizer: str,
               end_id: int | None = 1, id_col: str = "doc_id",
               text_col: str = "text", index_stride: int = 10_000,
@@ -95,6 +100,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str,
      .option("orc.create.index", "true")
      .option("orc.row.index.stride", str(index_stride))
      .option("orc.stripe.size", str(stripe_bytes))
+     .option("orc.rows.between.memory.checks", str(CHECK_ROWS))
      .option("compression", compression).orc(path))
     return path
 

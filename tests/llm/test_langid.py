@@ -81,3 +81,48 @@ def test_floor_tells_junk_from_labelled_text(spark):
                        calibrate=True)
     assert one.floor == 1 and langid.identify(
         docs(spark, [(3, "x")]), one).first()["lang_score"] == 1
+
+
+def _two_steps(model, text):
+    """The prediction spelled out for one text: the family whose machine gives
+    the most, then a vote of each pair of its languages."""
+    x = langid.vector(text)
+    if x is None:
+        return "und", 0.0
+    x = np.append(x, 1).astype("f8")
+    names = list(model.families)
+    scores = sorted(((float(np.dot(w, x)), n) for w, n in
+                     zip(model.family_w, names)), reverse=True)
+    name = scores[0][1]
+    langs = model.families[name]
+    if len(langs) == 1:
+        return langs[0], None
+    votes, margin = dict.fromkeys(langs, 0), dict.fromkeys(langs, 0.0)
+    for (a, b), w in zip(model.pairs[name], model.pair_w[name]):
+        m = float(np.dot(w, x))
+        votes[langs[a] if m >= 0 else langs[b]] += 1
+        margin[langs[a]] += m
+        margin[langs[b]] -= m
+    return max(langs, key=lambda k: (votes[k], margin[k])), None
+
+
+def test_predictions_against_the_two_steps_spelled_out(spark):
+    given = spark.read.parquet(SF + "/documents.parquet")
+    corpora = [(given, langid.train(given, ~langid.held_out()))]
+    df = docs(spark, _corpus())
+    corpora.append((df, langid.train(df, per_language=30)))
+    for table, model in corpora:
+        out = langid.identify(table, model).collect()
+        assert len(out) >= 400
+        for r in out:
+            want, score = _two_steps(model, r["text"])
+            assert r["lang_pred"] == want, r["doc_id"]
+            assert score is None or r["lang_score"] == score
+
+
+def test_pairs_are_machines_of_their_two_languages(spark):
+    df = docs(spark, _corpus())
+    model = langid.train(df, per_language=30)
+    for name, langs in model.families.items():
+        assert model.pairs.get(name, []) == [
+            (a, b) for a in range(len(langs)) for b in range(a + 1, len(langs))]
