@@ -10,9 +10,10 @@
    buckets, is compared with all members; each member's best hub is confirmed.
 3. In buckets that still hold more than one component, members of different
    components are compared, in blocks of bounded size, and each member's best
-   partner is confirmed. A bucket of very many members, such as those of one
-   shared passage, is split first: two of its members are compared in the
-   smaller buckets that they share, or where they share two such large ones.
+   partner is confirmed. Of a bucket of very many members, such as those of
+   one shared passage, members are compared where they share one of the rarest
+   shingles of both: texts that reach the threshold always do, so this leaves
+   out no pair that would be confirmed.
 4. In buckets that even then hold more than one component, every remaining
    pair across components that the sketches admit is confirmed. Members of
    one component need no comparison, so a large group of copies costs a few
@@ -20,9 +21,8 @@
 
 Two texts at the threshold miss each other in all bands with a probability of
 (1 - t**rows)**bands: 2.5e-7 at t = 0.75 with 40 bands of 4 samples; the
-sketch rejects a pair at the threshold by chance less often than that. Where
-buckets are split, a pair at the threshold that shares one large bucket and no
-other is missed as well: 4.6e-6.
+sketch rejects a pair at the threshold by chance less often than that. The
+size of a bucket changes the way to its links, not the links.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ WORDS, THRESHOLD = 5, 75
 BANDS, ROWS, SAMPLES, BITS = 40, 4, 1024, 4096
 # Members of a bucket that are compared in one block.
 BLOCK = 512
-# Members from which on a bucket is split by a second band.
+# Members from which on a bucket's pairs are sought by their rarest shingles.
 WIDE = 2048
 # Standard deviations of the sketch's estimate below the threshold that are
 # still confirmed on the full sets.
@@ -183,7 +183,8 @@ def _matrix(col: pa.Array, rows: int, width: int) -> np.ndarray:
 def _block_pairs(threshold: int, bits: int, best: bool):
     """Rows sorted by (key, i, j): key, i, j, band, blk, v, c, n, sketch,
     bands → pairs (v, p, bits) of different components in one block (i = j) or
-    across two. A pair that shares several buckets is found in the first one.
+    across two. A pair that shares several buckets is found in the first one;
+    in a bucket of one shingle (``band`` is ``BANDS``), if it shares any.
     With ``best`` only the closest partner of each member, counted for the
     member whose component has the larger name."""
     def pairs(rows):
@@ -201,7 +202,9 @@ def _block_pairs(threshold: int, bits: int, best: bool):
                     & (100 * np.minimum(n[other], n[k])
                        >= threshold * np.maximum(n[other], n[k])))
             other, apart = other[fits], apart[fits]
-            new = ~(keys[other, :band] == keys[k, :band]).any(axis=1)
+            new = (keys[other, :band] == keys[k, :band]).any(axis=1)
+            if band < BANDS:
+                new = ~new
             for o, d in zip(other[new], apart[new]):
                 if not best:
                     yield v[k], v[o], d
@@ -351,10 +354,12 @@ def _closest(pairs: DataFrame) -> DataFrame:
 def sketched(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch
              ) -> tuple[DataFrame, DataFrame]:
     """``docs`` with a row number, written once, and (row, id, sketch
-    columns); only ids and texts go to Python, and no text comes back."""
+    columns); only ids and texts go to Python, and no text comes back.
+    ``scratch`` keeps where the texts are."""
     python_ready(docs.sparkSession)
     texts = scratch.stage(docs.select(
         F.monotonically_increasing_id().alias("__row"), "*"), "texts")
+    scratch.source = (texts, text_col)
     given = texts.select("__row", F.col(id_col),
                          F.col(text_col).cast("string").alias("__text"))
     schema = T.StructType(given.schema.fields[:2] + [
@@ -437,42 +442,64 @@ def _mixed(members: DataFrame) -> DataFrame:
         .select("key", "n"), "key")
 
 
-def _split(wide: DataFrame) -> DataFrame:
-    """Members (key, band, v, c) of buckets that are wide → buckets of those
-    that share two of them. A member has at most ``BANDS`` buckets, so it goes
-    to as many as that number's pairs. ``band`` is ``BANDS``: a pair found in
-    any bucket that is not wide is not counted here."""
-    each = wide.groupBy("v", "c").agg(
-        F.array_sort(F.collect_list(F.struct("band", "key"))).alias("k"))
-    return _mixed(each.select("v", "c", "k", F.explode("k").alias("x")).select(
-        "v", "c", "x", F.explode("k").alias("y")).filter("x.band < y.band")
-        .select(F.xxhash64("x.band", "x.key", "y.band", "y.key").alias("key"),
-                F.lit(BANDS).alias("band"), "v", "c"))
+def _items(batches):
+    """(v, set) → (v, shingle)."""
+    only()
+    for b in batches:
+        for v, held in zip(b.column(0).to_pylist(), b.column(1)):
+            sh = np.frombuffer(held.as_buffer(), dtype="<i8")
+            for at in range(0, len(sh), 1 << 16):
+                part = sh[at:at + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(part), v, "i8")), pa.array(part)],
+                    names=["v", "s"])
+
+
+def _by_shingle(wide: DataFrame, threshold: int, scratch: Scratch
+                ) -> DataFrame:
+    """Members (v, c) of wide buckets → buckets (``key``) of those that share
+    a shingle among the rarest of each, ``band`` = ``BANDS``.
+
+    At the threshold t two sets share at least ceil(t * n) of the n shingles
+    of either. In any one order of shingles the first of these is therefore
+    among the first n - ceil(t * n) + 1 of both sets, so no such pair is left
+    out. The order is by the number of members that hold a shingle: what many
+    share comes last, and shingles of one member alone make no bucket."""
+    own = Scratch()
+    members = own.stage(wide.select("v", "c").distinct(), "wide-members")
+    sets = _sets(*scratch.source, members.select("v"), own)
+    items = sets.mapInArrow(_items, "v bigint, s bigint")
+    often = own.stage(items.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+                      .filter("n > 1"), "shared-shingles")
+    ranked = items.join(often, "s", "left").groupBy("v").agg(F.array_sort(
+        F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "s")))
+        .alias("x"))
+    first = F.expr(f"slice(x, 1, cast(size(x) - (cast(size(x) as long) * "
+                   f"{threshold} + 99) div 100 + 1 as int))")
+    out = scratch.stage(_mixed(ranked.select("v", F.explode(first).alias("x"))
+                               .filter("x.n > 1").join(members, "v").select(
+        F.col("x.s").alias("key"), F.lit(BANDS).alias("band"), "v", "c")),
+        "by-shingle")
+    own.drop()
+    return out
 
 
 def _spread(buckets: DataFrame, roots: DataFrame, sketches: DataFrame,
-            scratch: Scratch) -> DataFrame:
+            scratch: Scratch, threshold: int = THRESHOLD) -> DataFrame:
     """The members of every bucket that holds several components, once per
     pair of blocks (``key``, ``i``, ``j``) that they are compared in.
 
     A bucket of n members in b blocks has b (b + 1) / 2 pairs of blocks; each
     member goes to the b pairs that hold its block, so a task's share of a
-    bucket is two blocks however large the bucket is. Buckets of more than
-    ``WIDE`` members are split before (:func:`_split`): texts that share a
-    passage and little else agree in one band by chance, seldom in two."""
+    bucket is two blocks however large the bucket is. The members of buckets
+    of more than ``WIDE`` are compared in buckets of their rarest shingles
+    instead (:func:`_by_shingle`): texts that share a passage and little else
+    meet in none of them."""
     rest = scratch.stage(_mixed(_rooted(buckets.drop("n"), roots)), "mixed")
     wide = rest.filter(F.col("n") > WIDE)
     if not wide.isEmpty():
-        # a wide bucket's key equals no other member's, as it is no place
-        # where the pair is compared
-        own = wide.groupBy("v").agg(F.collect_set("band").alias("w"))
-        sketches = sketches.join(own, "v", "left").withColumn(
-            "__bands", F.when(F.col("w").isNull(), F.col("__bands")).otherwise(
-                F.transform("__bands", lambda k, b: F.when(
-                    F.array_contains("w", b), F.xxhash64("v", b)).otherwise(
-                    k)))).drop("w")
         rest = rest.filter(F.col("n") <= WIDE).unionByName(
-            _split(wide.select("key", "band", "v", "c")))
+            _by_shingle(wide, threshold, scratch))
     return rest.withColumn(
         "blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")).withColumn(
         "blk", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")).join(
@@ -490,7 +517,8 @@ def _across(buckets: DataFrame, roots: DataFrame, sketches: DataFrame,
     """(v, p, bits) for members of different components in one bucket that
     sizes and sketches let reach the threshold (see :func:`_block_pairs`)."""
     where = ["key", "i", "j"]
-    return _spread(buckets, roots, sketches, scratch).repartition(*where) \
+    return _spread(buckets, roots, sketches, scratch, threshold) \
+        .repartition(*where) \
         .sortWithinPartitions(*where).mapInArrow(
         _block_pairs(threshold, bits, best), "v bigint, p bigint, bits bigint")
 

@@ -172,3 +172,33 @@ def test_components_of_long_paths(spark):
     got = {r["v"]: r["root"] for r in oddsketch.components(
         links, Scratch()).collect()}
     assert got == {**{i: 0 for i in range(1, 201)}, 500: 300, 400: 300}
+
+
+@pytest.mark.parametrize("wide", [3, 1000])
+def test_pairs_of_one_bucket_do_not_depend_on_its_size(
+        spark, monkeypatch, wide):
+    monkeypatch.setattr(oddsketch, "WIDE", wide)
+    monkeypatch.setattr(oddsketch, "BLOCK", 4)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(f"o{i}x{k}" for k in range(90)) + " " + passage)
+            for i in range(20)]
+    rows += [(20 + i, t + f" end{i}") for i, (_, t) in enumerate(rows[:3])]
+    scratch = Scratch()
+    _, held = oddsketch.sketched(docs(spark, rows).select("doc_id", "text"),
+                                 "doc_id", "text", scratch)
+    # all members share the first band and no other
+    sketches = held.select(
+        F.col("__row").alias("v"), "doc_id", "__n", "__sketch",
+        F.concat(F.array(F.lit(1).cast("long")), F.transform(
+            F.sequence(F.lit(1), F.lit(oddsketch.BANDS - 1)),
+            lambda i: F.xxhash64("__row", i))).alias("__bands"))
+    buckets = sketches.select("v", F.posexplode("__bands").alias(
+        "band", "key")).filter("key = 1").withColumn(
+        "n", F.lit(len(rows)).cast("long"))
+    of = {r["v"]: r["doc_id"] for r in sketches.collect()}
+    found = oddsketch._across(
+        buckets, spark.createDataFrame([], "v long, root long"),
+        sketches.drop("doc_id"), 75, oddsketch.most_bits(75), False, scratch)
+    assert {frozenset((of[r["v"]], of[r["p"]])) for r in found.collect()} == {
+        frozenset((i, 20 + i)) for i in range(3)}
+    scratch.drop()
