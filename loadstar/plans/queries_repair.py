@@ -310,8 +310,9 @@ def archived_source_files(spark, sf_dir):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(d).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for k in range(DELIVERIES):
+        # one file a delivery: its rows meet in one task, the joins do not
         export_csv(raw.filter(F.col("_row") % DELIVERIES == k)
-                   .select("_row", "customer_id").coalesce(1), f"{d}/out{k}")
+                   .select("_row", "customer_id").repartition(1), f"{d}/out{k}")
         [part] = list_files(spark, f"{d}/out{k}", "part-*.csv")
         fs.rename(path(part), path(f"{d}/delivery{k}.csv"))
         archive_file(spark, f"{d}/delivery{k}.csv", d + "/archive", ARCHIVED)

@@ -23,3 +23,9 @@ def test_mixed_delivery_joins_in_many_tasks(spark, monkeypatch):
     _no_coalesce(spark, monkeypatch)
     d = queries_repair._mixed_delivery(spark, SF001)
     assert len(list_files(spark, d + "/c", "part-*.csv")) == 1
+
+
+def test_archived_deliveries_join_in_many_tasks(spark, monkeypatch):
+    _no_coalesce(spark, monkeypatch)
+    got = queries_repair.archived_source_files(spark, SF001)
+    assert got.count() == queries_repair.DELIVERIES
