@@ -29,6 +29,7 @@ from .registry import ORACLE, register
 LENS_JOB = replace(SALES_JOB, key_order=("line_no", "product_id", "price",
                                            "shipping_days"))
 RELOAD_SPLIT = dt.datetime(1998, 1, 1)     # runs r1 (before) and r2 (after)
+CHANGE_BATCHES = 6       # micro-batches in which a stream of changes comes
 
 
 def _raw_csv_dir(spark, sf_dir):
@@ -233,6 +234,16 @@ def ingest_runs_one_batch(spark, sf_dir):
     return _admitted(spark.read.parquet(base + "/table"))
 
 
+def _files_a_batch(spark, folder: str) -> int:
+    """Files of a micro-batch by which the change files below ``folder`` come
+    in about ``CHANGE_BATCHES`` batches. Every batch that touches all buckets
+    writes the table once, so one file a batch would cost the table as many
+    times as there are files, and both grow."""
+    files = sum(len(list_files(spark, folder, f"change_type={kind}/part-*"))
+                for kind in (cdc.INSERT, cdc.UPDATE, cdc.DELETE))
+    return max(1, -(-files // CHANGE_BATCHES))
+
+
 @register("stream_change_apply", f"""
 WITH {SQL_SNAPSHOTS}
 SELECT * FROM new""")
@@ -246,7 +257,8 @@ def stream_change_apply(spark, sf_dir):
     changes.write.partitionBy("change_type").json(base + "/changes")
     ingest.write_version(old, base + "/table", 0)
     stream = (spark.readStream.schema(changes.schema)
-              .option("maxFilesPerTrigger", 1)
+              .option("maxFilesPerTrigger",
+                      _files_a_batch(spark, base + "/changes"))
               .json(base + "/changes"))
     ingest.apply_change_stream(
         spark, stream, base + "/table", base + "/_checkpoint",
@@ -266,7 +278,8 @@ def stream_change_apply_buckets(spark, sf_dir):
     changes.write.partitionBy("change_type").json(base + "/changes")
     ingest.write_buckets(old, base + "/table", "order_id", 64)
     stream = (spark.readStream.schema(changes.schema)
-              .option("maxFilesPerTrigger", 1)
+              .option("maxFilesPerTrigger",
+                      _files_a_batch(spark, base + "/changes"))
               .json(base + "/changes"))
     ingest.apply_change_stream_buckets(
         spark, stream, base + "/table", "order_id", 64, base + "/_checkpoint",

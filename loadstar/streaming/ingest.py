@@ -278,7 +278,8 @@ def apply_to_buckets(spark: SparkSession, target: str, changes: DataFrame,
             if b not in kept and path_exists(spark, part):
                 drop_path(spark, part)
         if kept:
-            (staged.repartition(BUCKET_COL).write.mode("overwrite")
+            # staged files lie by bucket already: no shuffle to write them
+            (staged.write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy(BUCKET_COL).parquet(target))
         return touched

@@ -29,3 +29,12 @@ def test_archived_deliveries_join_in_many_tasks(spark, monkeypatch):
     _no_coalesce(spark, monkeypatch)
     got = queries_repair.archived_source_files(spark, SF001)
     assert got.count() == queries_repair.DELIVERIES
+
+
+def test_change_files_come_in_a_few_batches(spark, tmp_path):
+    for kind, n in (("INSERT", 25), ("DELETE", 1)):
+        (tmp_path / f"change_type={kind}").mkdir()
+        for i in range(n):
+            (tmp_path / f"change_type={kind}" / f"part-{i:05d}.json").write_text("")
+    assert queries_load._files_a_batch(spark, str(tmp_path)) == 5
+    assert queries_load._files_a_batch(spark, str(tmp_path / "none")) == 1
