@@ -21,9 +21,8 @@ log = logging.getLogger("loadstar")
 # Words of 64 bits in a Bloom filter: at least one per this many keys, and at
 # most MOST_WORDS, which bounds what is broadcast (16 bytes a word).
 KEYS_PER_WORD, MOST_WORDS = 4, 1 << 20
-# Rows of a key list that may be broadcast; a longer one is joined by shuffle,
-# with the rows of each key dealt to SALTS tasks.
-BROADCAST_KEYS, SALTS = 1_000_000, 16
+# Rows of a key list that may be broadcast; a longer one is joined by shuffle.
+BROADCAST_KEYS = 1_000_000
 # Buckets of a key index.
 INDEX_BUCKETS = 64
 EARLIER_RUN = "key_in_earlier_run"
@@ -92,14 +91,10 @@ def reject_keys(good: DataFrame, bad: DataFrame, gone: DataFrame,
                             for i, k in enumerate(keys)],
                           F.lit(True).alias("_gone"))
     same = [F.col(f"`{k}`") == F.col(f"_g{i}") for i, k in enumerate(keys)]
-    if n <= BROADCAST_KEYS:
-        joined = good.join(F.broadcast(marks), same, "left")
-    else:
-        salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
-        joined = good.withColumn("_salt", salt).join(
-            marks.withColumn("_s", F.explode(F.sequence(
-                F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))),
-            [*same, F.col("_salt") == F.col("_s")], "left")
+    # beyond the bound a join by shuffle: keys of ``gone`` are distinct, and
+    # Spark splits the rows of a key that many of ``good`` share
+    joined = good.join(F.broadcast(marks) if n <= BROADCAST_KEYS else marks,
+                       same, "left")
     out = F.coalesce(F.col("_gone"), F.lit(False))
     return (joined.filter(~out).select(*good.columns),
             bad.unionByName(joined.filter(out).select(

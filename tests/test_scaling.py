@@ -38,3 +38,16 @@ def test_change_files_come_in_a_few_batches(spark, tmp_path):
             (tmp_path / f"change_type={kind}" / f"part-{i:05d}.json").write_text("")
     assert queries_load._files_a_batch(spark, str(tmp_path)) == 5
     assert queries_load._files_a_batch(spark, str(tmp_path / "none")) == 1
+
+
+def test_rejected_keys_are_not_multiplied(spark, monkeypatch):
+    monkeypatch.setattr(keys, "BROADCAST_KEYS", 0)
+    rows = spark.range(100).select(F.col("id").cast("string").alias("k"),
+                                   (F.col("id") % 7).alias("x")).unionByName(
+        spark.createDataFrame([(None, 0)], "k string, x long"))
+    bad = rows.limit(0).withColumn("reject_reasons", F.lit(""))
+    gone = rows.filter("x = 3").select("k")
+    good, bad, _ = keys.reject_keys(rows, bad, gone, ["k"], "gone")
+    assert good.count() == 101 - 14 and bad.count() == 14
+    assert "Generate" not in good._jdf.queryExecution().optimizedPlan() \
+        .toString()
