@@ -53,17 +53,19 @@ class TransformResult:
     observed_dedup: Observation | None = None   # rows after dedupe
     staged_path: str | None = None              # where the deduped rows sit
     layouts: dict = field(default_factory=dict)  # of each datetime column
+    checked_path: str | None = None             # and the checked ones
 
 
 DUPLICATE_KEY = "duplicate_key"
 _ORD = "_delivered"            # position of a row among the deduped ones
 
 
-def _unique(good: DataFrame, bad: DataFrame, key: Sequence[str],
-            order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def _unique(good: DataFrame, key: Sequence[str], order: Sequence[str]
+            ) -> DataFrame:
     """Key uniqueness: of the good rows of a key one stays (the least by
-    ``order``, then the first delivered), the others are rejected. Keys are
-    counted before anything is joined, and only repeated ones are."""
+    ``order``, then the first delivered, with empty ``reject_reasons``), the
+    others are rejected. Keys are counted before anything is joined, and only
+    repeated ones are."""
     rank = F.struct(*[F.col(f"`{c}`") for c in order], F.col(_ORD))
     twice = good.groupBy(*key).agg(
         F.count(F.lit(1)).alias("_n"), F.min(rank).alias("_least")).filter(
@@ -73,9 +75,8 @@ def _unique(good: DataFrame, bad: DataFrame, key: Sequence[str],
     same = [F.col(f"`{c}`") == F.col(f"_k{i}") for i, c in enumerate(key)]
     joined = good.join(twice, same, "left")
     extra = F.col("_keep").isNotNull() & (F.col("_keep") != F.col(_ORD))
-    gone = joined.filter(extra).select(
-        *good.columns, F.lit(DUPLICATE_KEY).alias("reject_reasons"))
-    return joined.filter(~extra).select(*good.columns), bad.unionByName(gone)
+    return joined.select(*good.columns, F.when(extra, F.lit(DUPLICATE_KEY))
+                         .otherwise("").alias("reject_reasons"))
 
 
 def transform(df: DataFrame, spec: JobSpec,
@@ -91,7 +92,10 @@ def transform(df: DataFrame, spec: JobSpec,
     checkpoint folder before the statistics passes of the fill, so those passes (and
     the good/bad writes) read the staged rows instead of re-running the read
     and the dedupe shuffle. The staging pass also fills the row-count
-    observations (no extra scan)."""
+    observations (no extra scan). With ``enforce`` the checked rows are
+    written once more, with their reasons, so that the conversions, the rules
+    and the key's shuffles run once and not for each reader of the good and
+    bad rows."""
     if spec.dedupe_subset and not order_by:
         raise ValueError("dedupe_subset keeps the first row delivered: give "
                          "order_by, the columns that tell the order")
@@ -138,14 +142,27 @@ def transform(df: DataFrame, spec: JobSpec,
     if enforce:
         rules += table_rules(spec.table, typed.columns)
     good, bad = quality.split(typed, rules)
+    checked_path = None
     if enforce:
         key = spec.key or CATALOG[spec.table].key
-        if set(key) <= set(good.columns):
-            good, bad = _unique(good, bad, key, spec.key_order)
-        good, bad = good.drop(_ORD), bad.drop(_ORD)
+        checked = (bad.unionByName(_unique(good, key, spec.key_order))
+                   if set(key) <= set(good.columns)
+                   else quality.tag_reasons(typed, rules)).drop(_ORD)
+        if stage:
+            checked_path = scratch_path(df.sparkSession, "dedup-checked")
+            try:
+                checked = stage_table(checked, path=checked_path)
+            except BaseException:
+                for path in (staged, checked_path):
+                    drop_path(df.sparkSession, path)
+                raise
+        good = checked.filter(F.col("reject_reasons") == "").drop(
+            "reject_reasons")
+        bad = checked.filter(F.col("reject_reasons") != "")
     return TransformResult(good, bad, extra, plan.values, plan.nulls_before,
                            plan.nulls_after, obs_in if stage else None,
-                           obs_d if stage else None, staged, layouts or {})
+                           obs_d if stage else None, staged, layouts or {},
+                           checked_path)
 
 
 @dataclass
@@ -322,8 +339,9 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
         log.error("Run %s failed: %s", run_id, res.error)
         raise
     finally:
-        if t is not None and t.staged_path:
-            drop_path(spark, t.staged_path)
+        for path in (t.staged_path, t.checked_path) if t is not None else ():
+            if path:
+                drop_path(spark, path)
         keys.forget(spark, listed)
         res.end = now()
         log.info("Run %s %s in %.2fs: read %d, duplicates %d, loaded %d, "

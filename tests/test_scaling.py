@@ -51,3 +51,24 @@ def test_rejected_keys_are_not_multiplied(spark, monkeypatch):
     assert good.count() == 101 - 14 and bad.count() == 14
     assert "Generate" not in good._jdf.queryExecution().optimizedPlan() \
         .toString()
+
+
+def test_checked_rows_are_written_once(spark):
+    res = transform(_raw(spark), queries_load.LENS_JOB, order_by=["_row"],
+                    enforce=True)
+    for df, n in ((res.good, 2), (res.bad, 2)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+        assert df.count() == n
+    assert sorted(r.reject_reasons for r in res.bad.collect()) == [
+        "duplicate_key", "price_range"]
+
+
+def _raw(spark):
+    return spark.createDataFrame(
+        [("1", "1", "C", "2026-01-02", "P", "x", "5", "y", "3", 1),
+         ("1", "2", "C", "2026-01-02", "P", "x", "6", "y", "3", 2),
+         ("2", "1", "C", "2026-01-02", "P", "x", "5", "y", "3", 3),
+         ("3", "1", "C", "2026-01-02", "P", "x", "-5", "y", "3", 4)],
+        ", ".join(f"{c} string" for c in queries_load.RAW_COLS)
+        + ", _row long")
