@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import ALL_FORMATS
 from ..operators import clean
-from ..session import scratch_path
+from ..session import input_bytes, scratch_path
 from ..sinks.export import export_csv
 from ..sources.csv import DELIVERED, read_directory
 from . import lens
@@ -26,6 +26,8 @@ from .registry import register
 HIDDEN_ORDER, HIDDEN_PART, LATER_ORDER = 13, 31, 3
 # A permutation of the rows as their order of delivery.
 SHUFFLE, WITHIN = 7919, 10007
+# Bytes of the lineitem table whose rows are delivered in one file.
+FILE_INPUT = 16 << 20
 # ---------------------------------------------------------------------------
 
 ITEMS_JOB = JobSpec(name="order_items_load", table="order_items",
@@ -128,7 +130,10 @@ def csv_keep_first(spark, sf_dir):
     d = scratch_path(spark, "delivered-csv")
     place = [F.pmod(F.col("_row") * SHUFFLE, F.lit(WITHIN)), "_row",
              "product_id", "price", "shipping_days"]
-    export_csv(lens.raw_sales(spark, sf_dir).repartitionByRange(5, *place)
+    # more files as the table grows, so that no task sorts a fixed share of it
+    files = max(5, input_bytes(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+                // FILE_INPUT + 1)
+    export_csv(lens.raw_sales(spark, sf_dir).repartitionByRange(files, *place)
                .sortWithinPartitions(*place), d)
     read = read_directory(spark, d, pattern="part-*.csv", with_order=True)
     return clean.dedupe(read.data, ["order_id"], list(DELIVERED)).drop(

@@ -72,3 +72,14 @@ def _raw(spark):
          ("3", "1", "C", "2026-01-02", "P", "x", "-5", "y", "3", 4)],
         ", ".join(f"{c} string" for c in queries_load.RAW_COLS)
         + ", _row long")
+
+
+def test_delivered_files_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(queries_keys, "FILE_INPUT", 10_000)
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(glob.glob(root + "/delivered-csv-*"))
+    got = queries_keys.csv_keep_first(spark, SF001)
+    [d] = set(glob.glob(root + "/delivered-csv-*")) - before
+    assert len(glob.glob(os.path.join(d, "part-*.csv"))) > 5
+    rows = got.count()
+    assert rows == got.select("order_id").distinct().count() > 0
