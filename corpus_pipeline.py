@@ -15,6 +15,10 @@ from loadstar.llm import decontam, langid, linededup, oddsketch, packing
 from loadstar.llm.common import drop_staged, stage, table
 from loadstar.llm.queries import PACK_TOKENIZER
 
+# Words whose ids a worker of the last stage keeps: executors still hold the
+# memory of the stages before.
+PACK_KEEP = 100_000
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the labels in ``docs`` teach (a
@@ -65,7 +69,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Power-of-two token sequences of the remaining documents; a null or
     empty text is the end id alone, a repeated row a document of its own."""
-    return packing.pack(docs, public_tokenizers.path(PACK_TOKENIZER))
+    return packing.pack(docs, public_tokenizers.path(PACK_TOKENIZER),
+                        keep=PACK_KEEP)
 
 
 STAGES = [("language_id", language), ("line_dedup", lines),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import python_ready, running_offsets, small, stage
-from .tokens import encoder
+from .tokens import KEEP, encoder
 
 # Output rows (and bytes of ids) gathered in a worker before they go out.
 _ROWS, _BYTES = 8192, 4 << 20
@@ -30,11 +30,12 @@ def lengths(n: int, max_len: int) -> list[int]:
         max_len.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def _cut(path: str, end_id: int | None, max_len: int, schema: pa.Schema):
+def _cut(path: str, end_id: int | None, max_len: int, schema: pa.Schema,
+         keep: int):
     end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        enc, part = encoder(path), TaskContext.get().partitionId()
+        enc, part = encoder(path, keep), TaskContext.get().partitionId()
         seen: dict[int, int] = {}
         rows: list[tuple] = []
         held = 0
@@ -66,10 +67,11 @@ def _cut(path: str, end_id: int | None, max_len: int, schema: pa.Schema):
 
 def pack(docs: DataFrame, tokenizer: str, max_len: int = 2048,
          end_id: int | None = 1, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+         text_col: str = "text", keep: int = KEEP) -> DataFrame:
     """Token pieces of all documents: ``id_col``, ``start``, ``length``,
     ``tokens`` (little-endian unsigned 32-bit ids), ``doc_tokens``,
     ``sequence_id`` (dense, longest bucket first), ``offset`` (always 0).
+    ``keep``: words whose ids a worker keeps (about 230 bytes each).
 
     * null or empty text: the end id alone (nothing if ``end_id`` is None)
     * null id, repeated rows: each row is packed as a document of its own
@@ -97,7 +99,7 @@ def pack(docs: DataFrame, tokenizer: str, max_len: int = 2048,
             _arrow(out[0].dataType), pa.int64(), pa.int64(), pa.binary(),
             pa.int64(), pa.int32(), pa.int64()])])
     pieces = docs.select(F.col(id_col), F.col(text_col).cast("string")) \
-        .mapInArrow(_cut(tokenizer, end_id, max_len, arrow), out)
+        .mapInArrow(_cut(tokenizer, end_id, max_len, arrow, keep), out)
     held = stage(pieces, "packed")
     counts = held.groupBy("length", "__part").agg(
         F.count(F.lit(1)).alias("__n"))

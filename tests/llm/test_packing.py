@@ -77,3 +77,12 @@ def test_empty_table_and_bad_length(spark):
     assert packing.pack(docs(spark, []), PATHS[0]).count() == 0
     with pytest.raises(ValueError):
         packing.pack(docs(spark, []), PATHS[0], max_len=1000)
+
+
+def test_packs_the_same_with_few_kept_words(spark):
+    df = docs(spark, [(i, f"word{i} and some others, number {i % 5}.")
+                      for i in range(40)])
+    def got(**kw):
+        return sorted(tuple(r) for r in packing.pack(
+            df, PATHS[0], **kw).collect())
+    assert got(keep=4) == got()
