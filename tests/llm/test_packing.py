@@ -86,3 +86,21 @@ def test_packs_the_same_with_few_kept_words(spark):
         return sorted(tuple(r) for r in packing.pack(
             df, PATHS[0], **kw).collect())
     assert got(keep=4) == got()
+
+
+def test_marked_words_are_looked_up_by_their_parts():
+    marked = [f"dotaga{m}" for m in ("***", "$$$", ".$$$", "?", "!\"", "-")]
+    texts = ["dotaga x " + " ".join(marked) + "\nDotaga: end***",
+             "İ, b क़. c İ*** don't. l'", "dotaga**", "a ", "a  b", "\nab c"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = public_tokenizers.path(name)
+        tok, enc = Tokenizer.from_file(path), tokens.Encoder(path)
+        for t in texts * 2:
+            want = tok.encode(t, add_special_tokens=False).ids
+            assert enc.encode(t) == b"".join(
+                k.to_bytes(4, "little") for k in want), (name, t)
+    enc = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    enc.encode("a dotaga " + " ".join(marked) + " b")
+    # the marks' ids are known now, a stem is all that goes to the model
+    enc._chunk = None
+    enc.encode("a " + " ".join(m.replace("g", "k") for m in marked) + " b")
