@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import only, python_ready
+from .common import give_back, only, python_ready
 
 # Families of languages that are easily confused. A label that
 # is not listed is a family of its own.
@@ -38,6 +38,8 @@ SAMPLE_PER_LANGUAGE, MAX_LANGUAGES = 500, 100
 MAX_LOSS, PARTS = 0.001, 3
 # Characters of a text held as numbers at a time.
 _CHUNK = 1 << 20
+# Rows whose squares are held at a time.
+_SQUARES = 256
 _TABLE: list[np.ndarray] = []
 
 
@@ -80,21 +82,34 @@ def vector(text: str | None) -> np.ndarray | None:
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0,
-            rounds: int = 30, seed: int = 1) -> np.ndarray:
+            rounds: int = 30, seed: int = 1,
+            rows: np.ndarray | None = None) -> np.ndarray:
     """Linear SVM with hinge loss by dual coordinate descent; ``y`` is ±1 and
-    the last weight is the bias. Classes weigh the same."""
-    x = np.hstack([x, np.ones((len(x), 1), "f4")]).astype("f8")
+    the last weight is the bias. Classes weigh the same. ``rows``: those of
+    ``x`` that ``y`` stands for, all if None. One row at a time is widened, so
+    no copy of ``x`` is made."""
+    rows = np.arange(len(x)) if rows is None else rows
     share = {s: max(1, int((y == s).sum())) for s in (-1, 1)}
     top = np.array([cost * len(y) / (2 * share[int(v)]) for v in y])
-    norm, alpha = (x * x).sum(1), np.zeros(len(y))
-    w, rng = np.zeros(x.shape[1]), np.random.default_rng(seed)
+    one = np.ones(x.shape[1] + 1)
+
+    def squares(part):
+        wide = np.ones((len(part), len(one)))
+        wide[:, :-1] = x[part]
+        return (wide * wide).sum(1)
+
+    norm = np.concatenate([squares(rows[k:k + _SQUARES]) for k in range(
+        0, len(rows), _SQUARES)]) if len(rows) else np.zeros(0)
+    alpha = np.zeros(len(y))
+    w, rng = np.zeros(len(one)), np.random.default_rng(seed)
     for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(len(y)):
-            g = y[i] * (x[i] @ w) - 1
+            one[:-1] = x[rows[i]]
+            g = y[i] * (one @ w) - 1
             a = min(max(alpha[i] - g / norm[i], 0.0), top[i])
             if a != alpha[i]:
-                w += (a - alpha[i]) * y[i] * x[i]
+                w += (a - alpha[i]) * y[i] * one
                 moved = max(moved, abs(a - alpha[i]))
                 alpha[i] = a
         if moved < 1e-4:
@@ -155,16 +170,21 @@ def _squash(margin):
     return 1.0 / (1.0 + np.exp(-np.clip(2.0 * margin, -30, 30)))
 
 
-def fit(x: np.ndarray, labels: list[str], families=FAMILIES) -> Model:
-    """The hierarchical model of labelled feature rows."""
+def fit(x: np.ndarray, labels: list[str], families=FAMILIES,
+        rows: np.ndarray | None = None) -> Model:
+    """The hierarchical model of labelled feature rows, of ``rows`` if
+    given."""
     model, y = Model(), np.array(labels, dtype=object)
-    for lang in sorted(set(labels)):
+    rows = np.arange(len(x)) if rows is None else rows
+    y = y[rows]
+    for lang in sorted(set(y)):
         model.families.setdefault(families.get(lang, lang), []).append(lang)
     model.families = dict(sorted(model.families.items()))
-    of = np.array([families.get(v, v) for v in labels], dtype=object)
+    of = np.array([families.get(v, v) for v in y], dtype=object)
     if len(model.families) > 1:
         model.family_w = np.stack([
-            fit_svm(x, np.where(of == f, 1, -1)) for f in model.families]
+            fit_svm(x, np.where(of == f, 1, -1), rows=rows)
+            for f in model.families]
         ).astype("f4")
     for f, langs in model.families.items():
         model.pairs[f] = [(a, b) for a in range(len(langs))
@@ -172,9 +192,9 @@ def fit(x: np.ndarray, labels: list[str], families=FAMILIES) -> Model:
         if model.pairs[f]:
             ws = []
             for a, b in model.pairs[f]:
-                rows = np.flatnonzero((y == langs[a]) | (y == langs[b]))
-                ws.append(fit_svm(x[rows],
-                                  np.where(y[rows] == langs[a], 1, -1)))
+                own = np.flatnonzero((y == langs[a]) | (y == langs[b]))
+                ws.append(fit_svm(x, np.where(y[own] == langs[a], 1, -1),
+                                  rows=rows[own]))
             model.pair_w[f] = np.stack(ws).astype("f4")
     return model
 
@@ -189,7 +209,8 @@ def score_floor(x: np.ndarray, labels: list[str], families=FAMILIES,
     for p in range(parts):
         rest, own = part != p, part == p
         if rest.any() and own.any():
-            got, score = fit(x[rest], list(y[rest]), families).predict(x[own])
+            got, score = fit(x, labels, families, np.flatnonzero(
+                rest)).predict(x[own])
             right.append(score[np.array(got, dtype=object) == y[own]])
     right = np.concatenate(right) if right else np.zeros(0)
     return float(np.quantile(right, max_loss)) if len(right) else 0.0
@@ -247,15 +268,19 @@ def train(docs: DataFrame, learn: Column | None = None,
     rows = sample(docs, id_col, text_col, lang_col, learn, per_language,
                   max_languages).select(F.col("__lang").alias("lang"),
                                         F.col("__text").alias("text"))
-    got = rows.mapInArrow(_vectors, "lang string, x binary").collect()
-    got.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    if not got:
+    got = rows.mapInArrow(_vectors, "lang string, x binary").toArrow()
+    labels, x = got.column("lang").to_pylist(), [
+        np.frombuffer(v.as_buffer(), dtype="f4") for v in got.column("x")]
+    if not labels:
         return Model()
-    x = np.stack([np.frombuffer(r["x"], dtype="f4") for r in got])
-    labels = [r["lang"] for r in got]
+    order = sorted(range(len(x)), key=lambda k: (labels[k], x[k].tobytes()))
+    labels, x = [labels[k] for k in order], np.stack([x[k] for k in order])
+    del got
     model = fit(x, labels, families)
     if calibrate:
         model.floor = score_floor(x, labels, families)
+    del x
+    give_back()
     return model
 
 

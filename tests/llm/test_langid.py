@@ -126,3 +126,19 @@ def test_pairs_are_machines_of_their_two_languages(spark):
     for name, langs in model.families.items():
         assert model.pairs.get(name, []) == [
             (a, b) for a in range(len(langs)) for b in range(a + 1, len(langs))]
+
+
+def test_fit_makes_no_copy_of_the_sample():
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    x = rng.random((2000, 512)).astype("f4")
+    y = np.where(rng.random(2000) < 0.5, 1, -1)
+    tracemalloc.start()
+    w = langid.fit_svm(x, y, rounds=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < x.nbytes, peak
+    rows = np.flatnonzero(np.arange(2000) % 3)
+    assert (langid.fit_svm(x, y[rows], rounds=1, rows=rows)
+            == langid.fit_svm(x[rows], y[rows], rounds=1)).all()
+    assert len(w) == 513
