@@ -12,15 +12,19 @@ overwrites its own partition instead of appending twice.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import drop_path, scratch_path, stage
+from ..session import drop_path, input_bytes, scratch_path, stage
 from ..sinks.lake import load_run, path_exists
 from ..sources.csv import (CORRUPT, DirectoryRead, EmptyCsvError, read_files,
                            text_schema)
 
+# Bytes of a file below which it is not split further.
+LEAST_SPLIT = 4 << 20
+
 
 def csv_stream(spark: SparkSession, input_dir: str, columns: Sequence[str],
                archive_dir: str | None = None,
@@ -61,13 +65,19 @@ def file_stream(spark: SparkSession, input_dir: str,
     return r.load(input_dir).select("path")
 
 
-def batch_files(df: DataFrame, columns: Sequence[str] = (), **kw
-                ) -> DirectoryRead | None:
+def batch_files(df: DataFrame, columns: Sequence[str] = (),
+                spread: bool = False, **kw) -> DirectoryRead | None:
     """The files of a micro-batch of :func:`file_stream` as one frame; None
-    if none has a header. ``columns`` that no file has are null."""
+    if none has a header. ``columns`` that no file has are null. ``spread``:
+    a file of more than a core's share of the batch is read in splits, if
+    that gives the same rows, so that few files keep all cores busy."""
     files = sorted(r["path"] for r in df.collect())
     if not files:
         return None
+    if spread:
+        spark = df.sparkSession
+        kw["split_bytes"] = max(LEAST_SPLIT, input_bytes(spark, files)
+                                // spark.sparkContext.defaultParallelism)
     try:
         read = read_files(df.sparkSession, files, **kw)
     except EmptyCsvError:
@@ -96,12 +106,16 @@ def ingest_available_now(spark: SparkSession, input_dir: str,
     stream = file_stream(spark, input_dir, archive_dir, max_files_per_trigger)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        read = batch_files(df, columns, multi_line=multi_line)
+        read = batch_files(df, columns, spread=True, multi_line=multi_line)
         if read is None:
             return
-        load_run(process(read.data), target, f"batch-{epoch_id}")
+        loads = [(process(read.data), target)]
         if reject_target:
-            load_run(read.malformed, reject_target, f"batch-{epoch_id}")
+            loads.append((read.malformed, reject_target))
+        # a batch has few files: while one load reads them, cores are free
+        # for the other
+        with ThreadPoolExecutor(max_workers=len(loads)) as ex:
+            list(ex.map(lambda x: load_run(*x, f"batch-{epoch_id}"), loads))
 
     q = (stream.writeStream.foreachBatch(batch)
          .option("checkpointLocation", checkpoint)

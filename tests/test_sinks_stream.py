@@ -422,3 +422,19 @@ def test_jdbc_partitioned_read_finds_bounds(spark):
     assert back.rdd.getNumPartitions() == 4
     assert back.count() == 1000
     assert back.agg(F.sum("V")).first()[0] == sum(range(0, 2000, 2))
+
+
+def test_a_batch_of_one_file_is_read_by_several_tasks(spark, tmp_path):
+    row = "{},some text that makes the line longer than it was before\n"
+    plain, quoted = str(tmp_path / "plain.csv"), str(tmp_path / "quoted.csv")
+    with open(plain, "w") as f:
+        f.write("k,v\n" + "".join(map(row.format, range(300_000))))
+    with open(quoted, "w") as f:
+        f.write("k,v\n" + "".join(map(row.format, range(150_000)))
+                + '150000,"two\nlines"\n')
+    for path, rows, split in ((plain, 300_000, True), (quoted, 150_001, False)):
+        given = spark.createDataFrame([("file:" + path,)], "path string")
+        data = ingest.batch_files(given, spread=True).data
+        assert data.agg(F.count("k"), F.countDistinct("k")).first() == (
+            rows, rows)
+        assert (data.rdd.getNumPartitions() > 1) == split
