@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import drop_path, scratch_path, stage
 from ..sinks.lake import load_run, path_exists
@@ -47,6 +48,54 @@ def bloom_filter(keys: DataFrame, words: int) -> DataFrame:
         "_word").agg(F.bit_or("_b").alias("_bits"))
 
 
+def _words(rows: int) -> int:
+    """Words of a Bloom filter of so many keys."""
+    words = 64
+    while words < min(MOST_WORDS, rows / KEYS_PER_WORD):
+        words *= 2
+    return words
+
+
+def _may_hold(rows: DataFrame, keys: Sequence[str], bloom: DataFrame,
+              words: int) -> DataFrame:
+    """``rows`` with ``_may``: whether the Bloom filter may hold their key."""
+    word, bits = _word_and_bits(keys, words)
+    # at most MOST_WORDS rows
+    return rows.withColumns({"_word": word, "_need": bits}).join(
+        F.broadcast(bloom), "_word", "left").withColumn(
+        "_may", F.coalesce(F.col("_bits").bitwiseAND(F.col("_need"))
+                           == F.col("_need"), F.lit(False)))
+
+
+# Types whose equal values have equal hashes.
+HASHED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType,
+          T.TimestampNTZType, T.BinaryType)
+
+
+def distinct_rows(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """U1 for a written table: its distinct rows, nulls being equal, and the
+    folder written for it, for the caller to delete once they are used.
+
+    Only hashes of all rows are shuffled. Those that come more than once make
+    a Bloom filter, and the rows that it may hold are compared whole; no
+    other row can have a duplicate."""
+    if not df.columns or not all(
+            isinstance(f.dataType, HASHED) or f.dataType == T.StringType()
+            for f in df.schema.fields):
+        return df.dropDuplicates(), []
+    path = scratch_path(df.sparkSession, "repeated-hashes")
+    own = [F.col(f"`{c}`") for c in df.columns]
+    hashed = df.select(F.struct(*own).alias("_own"),
+                       F.xxhash64(*own).alias("_hash"))
+    again = stage(hashed.groupBy("_hash").agg(
+        F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_hash"),
+        path=path)
+    words = _words(again.count())
+    tagged = _may_hold(hashed, ["_hash"], bloom_filter(again, words), words)
+    return tagged.filter(~F.col("_may")).select("_own.*").unionByName(
+        tagged.filter("_may").select("_own.*").dropDuplicates()), [path]
+
+
 def missing_keys(child: DataFrame, parent: DataFrame, keys: Sequence[str],
                  parent_keys: Sequence[str]) -> DataFrame:
     """The distinct keys of ``child`` (without nulls, which refer to nothing)
@@ -60,16 +109,8 @@ def missing_keys(child: DataFrame, parent: DataFrame, keys: Sequence[str],
     there = parent.select(*[F.col(f"`{p}`").cast(child.schema[k].dataType)
                             .alias(k) for k, p in zip(keys, parent_keys)]
                           ).dropna()
-    rows = there.count()
-    words = 64
-    while words < min(MOST_WORDS, rows / KEYS_PER_WORD):
-        words *= 2
-    word, bits = _word_and_bits(keys, words)
-    # at most MOST_WORDS rows
-    tagged = own.withColumns({"_word": word, "_need": bits}).join(
-        F.broadcast(bloom_filter(there, words)), "_word", "left").withColumn(
-        "_may", F.coalesce(F.col("_bits").bitwiseAND(F.col("_need"))
-                           == F.col("_need"), F.lit(False)))
+    words = _words(there.count())
+    tagged = _may_hold(own, keys, bloom_filter(there, words), words)
     held = there.distinct().withColumn("_hit", F.lit(True))
     return tagged.filter(~F.col("_may")).select(keys).unionByName(
         tagged.filter("_may").select(keys).join(held, keys, "left")

@@ -9,13 +9,16 @@ import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, keys, quality
 from ..operators.runlog import FAILED, PARTIAL, SUCCESS, run_log_row
-from ..session import drop_path, scratch_path, stage as stage_table
+from ..session import (drop_path, releases_shuffles, scratch_path,
+                       stage as stage_table)
 from ..sinks.files import archive_file
 from ..sinks.jdbc import JdbcTarget
 from ..sinks.lake import load_run, row_count, verify_load, write_table
@@ -50,33 +53,55 @@ class TransformResult:
     nulls_before: int = 0
     nulls_after: int = 0
     observed_in: Observation | None = None      # rows read
-    observed_dedup: Observation | None = None   # rows after dedupe
-    staged_path: str | None = None              # where the deduped rows sit
+    rows_deduped: int | None = None             # rows after dedupe
+    staged_paths: list = field(default_factory=list)  # to delete at the end
     layouts: dict = field(default_factory=dict)  # of each datetime column
-    checked_path: str | None = None             # and the checked ones
 
 
 DUPLICATE_KEY = "duplicate_key"
 _ORD = "_delivered"            # position of a row among the deduped ones
 
 
-def _unique(good: DataFrame, key: Sequence[str], order: Sequence[str]
-            ) -> DataFrame:
-    """Key uniqueness: of the good rows of a key one stays (the least by
-    ``order``, then the first delivered, with empty ``reject_reasons``), the
-    others are rejected. Keys are counted before anything is joined, and only
-    repeated ones are."""
+# Bitmaps of 4 KB that may be broadcast (64 MB: 500 million rows); more are
+# joined by shuffle.
+BROADCAST_BITMAPS = 1 << 14
+
+
+def _has_key(key: Sequence[str]) -> Column:
+    """A row with a null in its key repeats no other's."""
+    return reduce(and_, [F.col(f"`{c}`").isNotNull() for c in key])
+
+
+def _first_rows(tagged: DataFrame, key: Sequence[str], order: Sequence[str]
+                ) -> DataFrame:
+    """Of the good rows of a key the one that stays (the least by ``order``,
+    then the first delivered), as one bit each in bitmaps (``_block``,
+    ``_bits``) of up to 32,768 places of rows: whole rows need not be
+    shuffled to tell the others."""
     rank = F.struct(*[F.col(f"`{c}`") for c in order], F.col(_ORD))
-    twice = good.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(rank).alias("_least")).filter(
-        F.col("_n") > 1).select(
-        *[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(key)],
-        F.col(f"_least.{_ORD}").alias("_keep"))
-    same = [F.col(f"`{c}`") == F.col(f"_k{i}") for i, c in enumerate(key)]
-    joined = good.join(twice, same, "left")
-    extra = F.col("_keep").isNotNull() & (F.col("_keep") != F.col(_ORD))
-    return joined.select(*good.columns, F.when(extra, F.lit(DUPLICATE_KEY))
-                         .otherwise("").alias("reject_reasons"))
+    at = F.col(f"_least.{_ORD}")
+    return tagged.filter((F.col("reject_reasons") == "") & _has_key(key)) \
+        .groupBy(*[F.col(f"`{c}`") for c in key]).agg(
+            F.min(rank).alias("_least")).select(
+            F.bitmap_bucket_number(at).alias("_block"),
+            F.bitmap_bit_position(at).alias("_bit")) \
+        .repartition("_block").groupBy("_block").agg(
+            F.bitmap_construct_agg("_bit").alias("_bits"))
+
+
+def _unique(tagged: DataFrame, key: Sequence[str], first: DataFrame
+            ) -> DataFrame:
+    """Key uniqueness: good rows with a key that are not among the ``first``
+    of theirs (see :func:`_first_rows`) get ``DUPLICATE_KEY``."""
+    bit = F.bitmap_bit_position(_ORD).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(bit, 3) + 1,
+                                    F.lit(1))), 16, 10).cast("int")
+    stays = F.coalesce(F.getbit(byte, bit.bitwiseAND(7)) == 1, F.lit(False))
+    extra = (F.col("reject_reasons") == "") & _has_key(key) & ~stays
+    return tagged.withColumn("_block", F.bitmap_bucket_number(_ORD)).join(
+        first, "_block", "left").withColumn("reject_reasons", F.when(
+            extra, F.lit(DUPLICATE_KEY)).otherwise(F.col("reject_reasons"))
+        ).select(*tagged.columns)
 
 
 def transform(df: DataFrame, spec: JobSpec,
@@ -92,10 +117,33 @@ def transform(df: DataFrame, spec: JobSpec,
     checkpoint folder before the statistics passes of the fill, so those passes (and
     the good/bad writes) read the staged rows instead of re-running the read
     and the dedupe shuffle. The staging pass also fills the row-count
-    observations (no extra scan). With ``enforce`` the checked rows are
-    written once more, with their reasons, so that the conversions, the rules
-    and the key's shuffles run once and not for each reader of the good and
-    bad rows."""
+    observations (no extra scan). Without ``dedupe_subset`` the rows read are
+    written before, so that the dedupe shuffles their hashes and not all of
+    them whole. With ``enforce`` the checked rows are written once more, with
+    their reasons, so that the conversions, the rules and the key's shuffles
+    run once and not for each reader of the good and bad rows. Each table is
+    deleted when the next one is written."""
+    held: list[str] = []
+    try:
+        return _transform(df, spec, order_by, stage, enforce, held)
+    except BaseException:
+        for path in held:
+            drop_path(df.sparkSession, path)
+        raise
+
+
+def _transform(df, spec, order_by, stage, enforce, held) -> TransformResult:
+    """:func:`transform`; ``held`` lists the written folders."""
+    def write(rows: DataFrame, name: str) -> DataFrame:
+        """``rows`` written, and the tables before them deleted."""
+        path, old = scratch_path(df.sparkSession, name), list(held)
+        held.append(path)
+        out = stage_table(rows, path=path)
+        for p in old:
+            drop_path(df.sparkSession, p)
+            held.remove(p)
+        return out
+
     if spec.dedupe_subset and not order_by:
         raise ValueError("dedupe_subset keeps the first row delivered: give "
                          "order_by, the columns that tell the order")
@@ -105,31 +153,31 @@ def transform(df: DataFrame, spec: JobSpec,
     tag = uuid.uuid4().hex[:12]
     obs_in, obs_d = Observation(f"in_{tag}"), Observation(f"dedup_{tag}")
     src = df.observe(obs_in, F.count(F.lit(1)).alias("rows"))
-    d = clean.dedupe(src, subset=spec.dedupe_subset, order_by=order_by)
-    if order_by:
-        d = d.drop(*order_by)
+    if spec.dedupe_subset:
+        d = clean.dedupe(src, spec.dedupe_subset, order_by).drop(*order_by)
+    else:           # of equal rows it is no matter which one stays
+        d = src.drop(*order_by or ())
+        if stage:
+            d, listed = keys.distinct_rows(write(d, "delivered"))
+            held += listed
+        else:
+            d = clean.dedupe(d)
     enforce = enforce and spec.enforce_table and spec.table in CATALOG
     if enforce:
         d = d.withColumn(_ORD, F.monotonically_increasing_id())
     # the staging write also counts rows and nulls per column, so the fill
     # needs no separate counting pass
     d = d.observe(obs_d, *clean.null_count_columns(d))
-    staged, nulls = None, None
+    nulls, rows = None, None
     if stage:
-        staged = scratch_path(d.sparkSession, "dedup")
-        d = stage_table(d, path=staged)
-        nulls = clean.null_counts_from(d, observed(
-            obs_d, lambda: d.agg(*clean.null_count_columns(d)).first()
-            .asDict()))
-    try:
-        filled, plan = clean.fill_missing(d, exclude=spec.fill_exclude,
-                                          unknown=spec.unknown_text,
-                                          null_counts=nulls,
-                                          median=spec.median)
-    except BaseException:
-        if staged:
-            drop_path(d.sparkSession, staged)
-        raise
+        d = write(d, "dedup")
+        seen = observed(obs_d, lambda: d.agg(
+            *clean.null_count_columns(d)).first().asDict())
+        nulls, rows = clean.null_counts_from(d, seen), int(seen["_rows"])
+    filled, plan = clean.fill_missing(d, exclude=spec.fill_exclude,
+                                      unknown=spec.unknown_text,
+                                      null_counts=nulls,
+                                      median=spec.median)
     layouts = None
     if spec.infer_datetime:
         layouts = clean.choose_layouts(clean.layout_profile(
@@ -141,28 +189,27 @@ def transform(df: DataFrame, spec: JobSpec,
     rules = clean.range_rules(typed, spec.value_constraints) + list(spec.rules)
     if enforce:
         rules += table_rules(spec.table, typed.columns)
-    good, bad = quality.split(typed, rules)
-    checked_path = None
-    if enforce:
         key = spec.key or CATALOG[spec.table].key
-        checked = (bad.unionByName(_unique(good, key, spec.key_order))
-                   if set(key) <= set(good.columns)
-                   else quality.tag_reasons(typed, rules)).drop(_ORD)
+        checked = quality.tag_reasons(typed, rules)
+        if set(key) <= set(typed.columns):
+            first = _first_rows(checked, key, spec.key_order)
+            if stage:
+                held.append(scratch_path(df.sparkSession, "first-rows"))
+                first = stage_table(first, path=held[-1])
+                if first.count() <= BROADCAST_BITMAPS:
+                    first = F.broadcast(first)
+            checked = _unique(checked, key, first)
+        checked = checked.drop(_ORD)
         if stage:
-            checked_path = scratch_path(df.sparkSession, "dedup-checked")
-            try:
-                checked = stage_table(checked, path=checked_path)
-            except BaseException:
-                for path in (staged, checked_path):
-                    drop_path(df.sparkSession, path)
-                raise
+            checked = write(checked, "dedup-checked")
         good = checked.filter(F.col("reject_reasons") == "").drop(
             "reject_reasons")
         bad = checked.filter(F.col("reject_reasons") != "")
+    else:
+        good, bad = quality.split(typed, rules)
     return TransformResult(good, bad, extra, plan.values, plan.nulls_before,
-                           plan.nulls_after, obs_in if stage else None,
-                           obs_d if stage else None, staged, layouts or {},
-                           checked_path)
+                           plan.nulls_after, obs_in if stage else None, rows,
+                           held, layouts or {})
 
 
 @dataclass
@@ -197,6 +244,7 @@ def now() -> _dt.datetime:
     return _dt.datetime.now().replace(microsecond=0)
 
 
+@releases_shuffles
 def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
         spec: JobSpec, target: str | JdbcTarget, run_id: str | None = None,
         reject_target: str | None = None, run_log_target: str | None = None,
@@ -260,9 +308,7 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
         res.nulls_before, res.nulls_after = t.nulls_before, t.nulls_after
         res.rows_read = int(observed(
             t.observed_in, lambda: {"rows": raw.count()})["rows"])
-        res.duplicates_removed = res.rows_read - int(observed(
-            t.observed_dedup, lambda: {"_rows": spark.read.parquet(
-                t.staged_path).count()})["_rows"])
+        res.duplicates_removed = res.rows_read - t.rows_deduped
         good, bad, key = t.good, t.bad, ()
         if lake and spec.enforce_table and spec.table in CATALOG:
             table = CATALOG[spec.table]
@@ -339,10 +385,7 @@ def run(spark: SparkSession, source: str | Sequence[str] | DataFrame,
         log.error("Run %s failed: %s", run_id, res.error)
         raise
     finally:
-        for path in (t.staged_path, t.checked_path) if t is not None else ():
-            if path:
-                drop_path(spark, path)
-        keys.forget(spark, listed)
+        keys.forget(spark, listed + (t.staged_paths if t is not None else []))
         res.end = now()
         log.info("Run %s %s in %.2fs: read %d, duplicates %d, loaded %d, "
                  "rejected %d", run_id, res.status, time.time() - t0,

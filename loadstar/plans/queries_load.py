@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import range_rule
 from ..operators import cdc, clean, marts, quality, runlog
-from ..session import scratch_path
+from ..session import drop_path, scratch_path
 from ..sinks.export import export_csv
 from ..sinks.lake import load_run
 from ..sources.csv import (DELIVERED, list_files, read_directory, read_files,
@@ -38,6 +38,19 @@ def _raw_csv_dir(spark, sf_dir):
     return d
 
 
+def _raw_run(spark, sf_dir, target, **kw):
+    """The load run on the raw CSV, which is delivered compressed and goes
+    when the run has ended. Returns the run's result."""
+    d = scratch_path(spark, "raw-sales-csv")
+    try:
+        export_csv(lens.raw_sales(spark, sf_dir), d, compression="gzip")
+        src = read_directory(spark, d, pattern="part-*.csv.gz")
+        return run(spark, src.data, LENS_JOB, target, run_id="r1",
+                   reject_target=target + "_rejects", order_by=["_row"], **kw)
+    finally:
+        drop_path(spark, d)
+
+
 @register("csv_extract", f"""
 WITH {SQL_RAW}
 SELECT * REPLACE (CAST(_row AS VARCHAR) AS _row) FROM raw""")
@@ -109,12 +122,8 @@ def csv_split_files(spark, sf_dir):
 def load_append_verify(spark, sf_dir):
     """The full load run on the raw CSV with the table's
     constraints, read back from the lake table."""
-    src = read_directory(spark, _raw_csv_dir(spark, sf_dir),
-                         pattern="part-*.csv")
     target = scratch_path(spark, "sales-table")
-    res = run(spark, src.data, LENS_JOB, target, run_id="r1",
-              reject_target=target + "_rejects",
-              run_log_target=target + "_runlog", order_by=["_row"])
+    res = _raw_run(spark, sf_dir, target, run_log_target=target + "_runlog")
     if res.status not in ("SUCCESS", "PARTIAL"):
         raise RuntimeError(f"load failed: {res}")
     return _admitted(spark.read.parquet(target))
@@ -363,11 +372,8 @@ _CHECKED = SQL_CHECKED.replace("{chain}", "SELECT * FROM f")
 
 
 def _constrained_run(spark, sf_dir):
-    src = read_directory(spark, _raw_csv_dir(spark, sf_dir),
-                         pattern="part-*.csv")
     target = scratch_path(spark, "sales-constrained")
-    run(spark, src.data, LENS_JOB, target, run_id="r1",
-        reject_target=target + "_rejects", order_by=["_row"])
+    _raw_run(spark, sf_dir, target)
     return target
 
 

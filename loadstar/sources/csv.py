@@ -74,12 +74,21 @@ def _fs_and_path(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p
 
 
+def _codec(spark: SparkSession, p):
+    """The codec of a compressed file, by its name, or None."""
+    return spark.sparkContext._jvm.org.apache.hadoop.io.compress \
+        .CompressionCodecFactory(
+            spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+
+
 def header_line(spark: SparkSession, path: str) -> str | None:
     """First non-blank line of one file (metadata read on the driver: a few
     bytes through the cluster's file system, never the data)."""
     fs, p = _fs_and_path(spark, path)
     jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
+    stream, codec = fs.open(p), _codec(spark, p)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
     try:
         reader = jvm.java.io.BufferedReader(
             jvm.java.io.InputStreamReader(stream, "UTF-8"))
@@ -126,7 +135,8 @@ def _place(path: str) -> tuple[str, str]:
 def _longer_than(spark: SparkSession, files: Sequence[str],
                  most: int | None) -> dict[tuple[str, str], str]:
     """Those of ``files`` longer than ``most`` bytes (else: than a split), by
-    place (file status only; what is no plain file is left out)."""
+    place (file status only; what is no plain file is left out, and so are
+    compressed ones, which are read whole)."""
     if most is None:
         most = spark._jvm.org.apache.spark.network.util.JavaUtils \
             .byteStringAsBytes(
@@ -137,7 +147,8 @@ def _longer_than(spark: SparkSession, files: Sequence[str],
         if any(c in f for c in "*?[{") or not fs.exists(p):
             return None
         st = fs.getFileStatus(p)
-        if not st.isFile() or st.getLen() <= most:
+        if not st.isFile() or st.getLen() <= most \
+                or _codec(spark, p) is not None:
             return None
         uri = st.getPath().toUri()
         return (uri.getAuthority() or "", uri.getPath()), f
