@@ -259,3 +259,13 @@ def test_load_runs_leave_no_delivery(spark):
     assert queries_load.load_constraint_rejects(spark, SF001).count()
     assert queries_keys.load_key_rejects(spark, SF001).count() == 3
     assert _folders(spark, *names) == before
+
+
+def test_two_runs_join_once(spark, monkeypatch):
+    plans = []
+
+    def look(_, rows, *a, **kw):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+    monkeypatch.setattr(queries_keys, "run", look)
+    queries_keys._two_runs(spark, SF001)
+    assert len(plans) == 3 and not any("Join" in p for p in plans)
